@@ -13,16 +13,28 @@ from pyspark.sql import functions as F
 from railflow.functions import (
     minutes_between, snapshot_from_member, split_stop_id, trip_start,
 )
+from railflow.operators import graph as G
+from railflow.operators import star as S
 from railflow.operators.fold import fold_changes
+from railflow.operators.merge import first_wins, unmatched_changes as unmatched
 from railflow.operators.names import lookup_table, resolve_names
+from railflow.operators.nearest import nearest_station as nearest_one, nearest_stations
 from railflow.plans import queries as Q
 from railflow.plans.pipelines import build_movements
 from railflow.sources import analogs as A
-from railflow.sources.timetables import change_rows, planned_rows
+from railflow.sources.timetables import (
+    change_rows, documents_from_elements, parse_changes, parse_planned, planned_rows,
+)
 
 PREFIX = A.STATION_PREFIX
 # Fixed parameters of the registered runs.
 STATION = "NATION 7"              # a raw (document) spelling, exact match in Q5
+LOOKUP_NAME = "NATION 5"          # Q1: resolves by stripping the prefix
+DELAY_NAME = "7"                  # Q4: resolves by adding "NATION "
+CANCEL_DATE, CANCEL_HOUR = "2024-01-15", 15
+POINT = (0.0, 0.0)                # Q2 position (latitude, longitude)
+HOP_SOURCE = "0"                  # part key the hop search starts from
+TIMED_SOURCE, DEPARTURE = "0", "2024-01-01 00:00:00"
 
 
 def movements(spark: SparkSession, d: str) -> DataFrame:
@@ -103,6 +115,134 @@ def resolve_name(spark, d):
         "c_custkey", "raw_name", "resolved_id")
 
 
+PLANNED_COLUMNS = ["stop_id", "station_name", "eva_raw", "snapshot_ts", "filter_flags", "trip_type",
+                   "owner", "trip_category", "train_number", "origin_station", "destination_station",
+                   "planned_arrival_time", "planned_departure_time", "cancelled", "planned_platform"]
+CHANGE_COLUMNS = ["stop_id", "station_name", "eva_raw", "snapshot_ts", "changed_arrival_time",
+                  "changed_departure_time", "cancelled", "changed_platform", "has_time"]
+
+
+def xml_planned(spark, d):
+    docs = documents_from_elements(A.planned_elements(spark, d), "planned")
+    return parse_planned(docs).select(*PLANNED_COLUMNS)
+
+
+def xml_changes(spark, d):
+    docs = documents_from_elements(A.change_elements(spark, d), "change")
+    return parse_changes(docs, "star").select(*CHANGE_COLUMNS)
+
+
+def _planned(spark, d):
+    return planned_rows(A.planned_elements(spark, d))
+
+
+def _trip_planned(spark, d):
+    # the analog stop ids embed no trip start: the planned time stands in
+    return _planned(spark, d).withColumn("trip_start", F.col("snapshot_ts"))
+
+
+def dim_station(spark, d):
+    return S.dim_station(A.stations(spark, d))
+
+
+def dim_date(spark, d):
+    return S.dim_date(A.event_trips(spark, d))
+
+
+def dim_time(spark, d):
+    return S.dim_time(A.event_trips(spark, d))
+
+
+def dim_train(spark, d):
+    return S.dim_train(_planned(spark, d))
+
+
+def fact_first_wins(spark, d):
+    li = A.table(spark, d, "lineitem")
+    return first_wins(li, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_shipdate"])
+
+
+def upsert_last(spark, d):
+    first = first_wins(_planned(spark, d), ["stop_id"], ["snapshot_ts", "member"])
+    out = S.apply_changes(first, change_rows(A.change_elements(spark, d), "star"))
+    return out.select("stop_id", "planned_arrival_time", "planned_departure_time", "changed_arrival_time",
+                      "changed_departure_time", "arrival_delay_minutes", "departure_delay_minutes",
+                      "cancelled", "planned_platform", "changed_platform")
+
+
+def unmatched_changes(spark, d):
+    planned = planned_rows(A.matched_planned_elements(spark, d))
+    return unmatched(change_rows(A.change_elements(spark, d), "star"), planned)
+
+
+def star_fact_df(spark, d):
+    planned = _trip_planned(spark, d)
+    return S.build_fact(planned, change_rows(A.change_elements(spark, d), "star"),
+                        S.dim_station(A.stations(spark, d)), S.dim_train(planned),
+                        S.dim_date(planned), S.dim_time(planned),
+                        trip_start_col=F.col("snapshot_ts"), prefix=PREFIX)
+
+
+def star_fact(spark, d):
+    return star_fact_df(spark, d)
+
+
+def station_by_name(spark, d):
+    return Q.station_by_name(A.stations(spark, d), LOOKUP_NAME, PREFIX)
+
+
+def avg_delay(spark, d):
+    return Q.avg_delay(star_fact_df(spark, d), S.dim_station(A.stations(spark, d)), DELAY_NAME, PREFIX)
+
+
+def peak_departures(spark, d):
+    return Q.peak_departures(A.event_trips(spark, d))
+
+
+def cancelled_at(spark, d):
+    trips = A.event_trips(spark, d)
+    dates, times = S.dim_date(trips), S.dim_time(trips)
+    fact = S.with_date_time_keys(trips, dates, times)
+    return Q.cancelled_at(fact, dates, times, CANCEL_DATE, CANCEL_HOUR)
+
+
+def nearest_station(spark, d):
+    return nearest_one(A.station_points(spark, d), *POINT)
+
+
+def nearest_station_batch(spark, d):
+    return nearest_stations(A.query_points(spark, d), A.stations(spark, d)).select("point_id", "name")
+
+
+def trip_edges(spark, d):
+    return G.trip_edges(A.hop_movements(spark, d))
+
+
+def timed_connections(spark, d):
+    return G.timed_connections(A.timed_movements(spark, d))
+
+
+def _fmt_ts(c):
+    return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+
+
+def edge_connections(spark, d):
+    nested = G.edge_connections(G.timed_connections(A.timed_movements(spark, d)))
+    text = F.array_join(F.transform("connections", lambda x: F.concat_ws(
+        "|", _fmt_ts(x["dp_time"]), _fmt_ts(x["ar_time"]), x["trip_key"])), ";")
+    return nested.select("src", "dst", "period", "n_connections", text.alias("connections"))
+
+
+def shortest_path(spark, d):
+    paths = G.shortest_paths(G.trip_edges(A.hop_movements(spark, d)), HOP_SOURCE)
+    return paths.select("station_name", "hops", F.array_join("path", ">").alias("path"))
+
+
+def earliest_arrival(spark, d):
+    best = G.earliest_arrivals(G.timed_connections(A.timed_movements(spark, d)), TIMED_SOURCE, DEPARTURE)
+    return best.select("station_name", "earliest_arrival")
+
+
 QUERIES = {
     "snapshot_parse": snapshot_parse,
     "parse_stop_id": parse_stop_id,
@@ -115,4 +255,25 @@ QUERIES = {
     "daily_avg_delay": daily_avg_delay,
     "delay_unpivot": delay_unpivot,
     "resolve_name": resolve_name,
+    "xml_planned": xml_planned,
+    "xml_changes": xml_changes,
+    "dim_station": dim_station,
+    "dim_date": dim_date,
+    "dim_time": dim_time,
+    "dim_train": dim_train,
+    "fact_first_wins": fact_first_wins,
+    "upsert_last": upsert_last,
+    "unmatched_changes": unmatched_changes,
+    "star_fact": star_fact,
+    "station_by_name": station_by_name,
+    "avg_delay": avg_delay,
+    "peak_departures": peak_departures,
+    "cancelled_at": cancelled_at,
+    "nearest_station": nearest_station,
+    "nearest_station_batch": nearest_station_batch,
+    "trip_edges": trip_edges,
+    "timed_connections": timed_connections,
+    "edge_connections": edge_connections,
+    "shortest_path": shortest_path,
+    "earliest_arrival": earliest_arrival,
 }

@@ -78,7 +78,7 @@ stations AS (
 lookup AS (SELECT name, max(eva_number) AS id FROM stations WHERE name IS NOT NULL GROUP BY name)"""
 
 
-def resolve_cte(name: str, source: str, raw_col: str) -> str:
+def resolve_cte(name: str, source: str, raw_col: str, lookup: str = "lookup") -> str:
     """CTE ``name(raw, resolved_id)``: first present of four spellings."""
     return f"""
 {name} AS (
@@ -86,10 +86,10 @@ def resolve_cte(name: str, source: str, raw_col: str) -> str:
          CASE WHEN l0.name IS NOT NULL THEN l0.id WHEN l1.name IS NOT NULL THEN l1.id
               WHEN l2.name IS NOT NULL THEN l2.id ELSE l3.id END AS resolved_id
   FROM (SELECT DISTINCT {raw_col} AS raw FROM {source} WHERE {raw_col} IS NOT NULL) d
-  LEFT JOIN lookup l0 ON l0.name = d.raw
-  LEFT JOIN lookup l1 ON l1.name = regexp_replace(d.raw, '^NATION([- ]?)', '')
-  LEFT JOIN lookup l2 ON l2.name = 'NATION-' || d.raw
-  LEFT JOIN lookup l3 ON l3.name = 'NATION ' || d.raw
+  LEFT JOIN {lookup} l0 ON l0.name = d.raw
+  LEFT JOIN {lookup} l1 ON l1.name = regexp_replace(d.raw, '^NATION([- ]?)', '')
+  LEFT JOIN {lookup} l2 ON l2.name = 'NATION-' || d.raw
+  LEFT JOIN {lookup} l3 ON l3.name = 'NATION ' || d.raw
 )"""
 
 
@@ -210,3 +210,195 @@ raw AS (
   FROM customer JOIN nation ON n_nationkey = c_nationkey
 ),""" + resolve_cte("res", "raw", "raw_name") + """
 SELECT c_custkey, raw_name, r.resolved_id FROM raw LEFT JOIN res r ON r.raw = raw.raw_name"""
+
+
+SQL["xml_planned"] = "WITH " + PLANNED + """
+SELECT stop_id, station_name, eva_raw, snapshot_ts, filter_flags, trip_type, owner, trip_category,
+       train_number, origin_station, destination_station, planned_arrival_time,
+       planned_departure_time, cancelled, planned_platform
+FROM planned_rows"""
+
+SQL["xml_changes"] = "WITH " + CHANGES + """
+SELECT stop_id, station_name, eva_raw, snapshot_ts, changed_arrival_time, changed_departure_time,
+       cancelled, platform_star AS changed_platform, has_time
+FROM change_rows"""
+
+SQL["dim_station"] = "WITH " + STATIONS + """
+SELECT row_number() OVER (ORDER BY eva_number NULLS FIRST, name NULLS FIRST) AS station_id,
+       name, eva_number, longitude, latitude
+FROM stations"""
+
+SQL["dim_date"] = """
+SELECT row_number() OVER (ORDER BY date) AS date_id, date
+FROM (SELECT DISTINCT CAST(ts AS DATE) AS date FROM events WHERE ts IS NOT NULL)"""
+
+SQL["dim_time"] = """
+SELECT row_number() OVER (ORDER BY time) AS time_id, time
+FROM (SELECT DISTINCT strftime(ts, '%H:%M:%S') AS time FROM events WHERE ts IS NOT NULL)"""
+
+TRAIN_KEY = ["filter_flags", "trip_type", "owner", "trip_category", "train_number",
+             "origin_station", "destination_station"]
+_TRAIN_ORDER = ", ".join(f"{c} NULLS FIRST" for c in TRAIN_KEY)
+
+DIM_TRAIN = f"""
+dtrain AS (
+  SELECT row_number() OVER (ORDER BY {_TRAIN_ORDER}) AS train_id, *
+  FROM (SELECT DISTINCT {", ".join(TRAIN_KEY)} FROM planned_rows)
+)"""
+
+SQL["dim_train"] = "WITH " + PLANNED + "," + DIM_TRAIN + """
+SELECT * FROM dtrain"""
+
+SQL["fact_first_wins"] = """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                               ORDER BY l_partkey, l_suppkey, l_shipdate, l_quantity, l_extendedprice,
+                                        l_discount, l_tax, l_returnflag, l_linestatus) AS rn
+  FROM lineitem)
+WHERE rn = 1"""
+
+SQL["upsert_last"] = "WITH " + PLANNED + "," + CHANGES + "," + folded_cte("last", "star") + """
+SELECT p.stop_id, p.planned_arrival_time, p.planned_departure_time,
+       f.changed_arrival_time, f.changed_departure_time,
+       CAST(date_sub('minute', p.planned_arrival_time, f.changed_arrival_time) AS INTEGER) AS arrival_delay_minutes,
+       CAST(date_sub('minute', p.planned_departure_time, f.changed_departure_time) AS INTEGER) AS departure_delay_minutes,
+       coalesce(p.cancelled, FALSE) OR coalesce(f.cancelled, FALSE) AS cancelled,
+       p.planned_platform, f.changed_platform
+FROM planned_rows p LEFT JOIN folded f ON f.stop_id = p.stop_id"""
+
+SQL["unmatched_changes"] = "WITH " + PLANNED + "," + CHANGES + """
+SELECT c.stop_id, c.station_name, c.eva_raw AS eva_number, c.snapshot_ts, c.changed_arrival_time,
+       c.changed_departure_time, c.cancelled, c.platform_star AS changed_platform, c.has_time
+FROM change_rows c
+WHERE NOT EXISTS (SELECT 1 FROM planned_rows p WHERE p.stop_id = c.stop_id AND p.filter_flags <> 'P')"""
+
+STAR = (PLANNED + "," + CHANGES + "," + STATIONS + "," + folded_cte("last", "star") + "," + DIM_TRAIN + """,
+dstation AS (SELECT row_number() OVER (ORDER BY eva_number NULLS FIRST, name NULLS FIRST) AS station_id, name
+             FROM stations),
+slookup AS (SELECT name, max(station_id) AS id FROM dstation WHERE name IS NOT NULL GROUP BY name),
+ddate AS (SELECT row_number() OVER (ORDER BY date) AS date_id, date
+          FROM (SELECT DISTINCT CAST(snapshot_ts AS DATE) AS date FROM planned_rows)),
+dtime AS (SELECT row_number() OVER (ORDER BY time) AS time_id, time
+          FROM (SELECT DISTINCT strftime(snapshot_ts, '%H:%M:%S') AS time FROM planned_rows)),"""
+        + resolve_cte("sres", "planned_rows", "station_name", "slookup") + """,
+fact AS (
+  SELECT p.stop_id, r.resolved_id AS station_id, t.train_id, dd.date_id, dt.time_id,
+         p.planned_arrival_time, p.planned_departure_time, f.changed_arrival_time, f.changed_departure_time,
+         CAST(date_sub('minute', p.planned_arrival_time, f.changed_arrival_time) AS INTEGER) AS arrival_delay_minutes,
+         CAST(date_sub('minute', p.planned_departure_time, f.changed_departure_time) AS INTEGER) AS departure_delay_minutes,
+         coalesce(p.cancelled, FALSE) OR coalesce(f.cancelled, FALSE) AS cancelled,
+         p.planned_platform, f.changed_platform
+  FROM planned_rows p
+  LEFT JOIN sres r ON r.raw = p.station_name
+  LEFT JOIN dtrain t ON """ + " AND ".join(f"t.{c} IS NOT DISTINCT FROM p.{c}" for c in TRAIN_KEY) + """
+  LEFT JOIN ddate dd ON dd.date = CAST(p.snapshot_ts AS DATE)
+  LEFT JOIN dtime dt ON dt.time = strftime(p.snapshot_ts, '%H:%M:%S')
+  LEFT JOIN folded f ON f.stop_id = p.stop_id
+)""")
+
+SQL["star_fact"] = "WITH " + STAR + """
+SELECT * FROM fact"""
+
+SQL["station_by_name"] = "WITH " + STATIONS + "," + resolve_cte("one", "(SELECT 'NATION 5' AS raw_name)", "raw_name") + """
+SELECT s.name, s.longitude, s.latitude, s.eva_number AS identifier
+FROM one JOIN stations s ON s.eva_number = one.resolved_id AND s.name IN
+     (SELECT name FROM stations WHERE eva_number = one.resolved_id)"""
+
+SQL["avg_delay"] = "WITH " + STAR + "," + resolve_cte("one", "(SELECT '7' AS raw_name)", "raw_name", "slookup") + """
+SELECT avg(d) AS avg_delay_minutes FROM (
+  SELECT arrival_delay_minutes AS d FROM fact
+  WHERE station_id = (SELECT resolved_id FROM one) AND arrival_delay_minutes IS NOT NULL
+  UNION ALL
+  SELECT departure_delay_minutes FROM fact
+  WHERE station_id = (SELECT resolved_id FROM one) AND departure_delay_minutes IS NOT NULL)"""
+
+SQL["peak_departures"] = """
+WITH t AS (SELECT CAST(user_id AS VARCHAR) AS station_name, ts AS planned_departure_time,
+                  CAST(ts AS DATE) AS snapshot_date FROM events),
+cnt AS (SELECT station_name, snapshot_date, count(*) AS n FROM t
+        WHERE planned_departure_time IS NOT NULL
+          AND ((hour(planned_departure_time) >= 7 AND hour(planned_departure_time) < 9)
+               OR (hour(planned_departure_time) >= 17 AND hour(planned_departure_time) < 19))
+        GROUP BY station_name, snapshot_date),
+grid AS (SELECT s.station_name, d.snapshot_date
+         FROM (SELECT DISTINCT station_name FROM t) s CROSS JOIN (SELECT DISTINCT snapshot_date FROM t) d)
+SELECT g.station_name, avg(coalesce(c.n, 0)) AS avg_num_train_departures_during_peak
+FROM grid g LEFT JOIN cnt c ON c.station_name = g.station_name AND c.snapshot_date = g.snapshot_date
+GROUP BY g.station_name"""
+
+SQL["cancelled_at"] = """
+SELECT count(*) AS cancelled_movements FROM events
+WHERE event_type = 'error' AND CAST(ts AS DATE) = DATE '2024-01-15' AND hour(ts) = 15"""
+
+SQL["nearest_station"] = """
+WITH p AS (SELECT 'S' || CAST(vec_id AS VARCHAR) AS name, CAST(embedding[2] AS DOUBLE) AS latitude,
+                  CAST(embedding[1] AS DOUBLE) AS longitude FROM embeddings)
+SELECT name, latitude, longitude FROM p
+WHERE latitude IS NOT NULL AND longitude IS NOT NULL
+ORDER BY sqrt(power(latitude - 0.0, 2) + power(longitude - 0.0, 2)), name
+LIMIT 1"""
+
+SQL["nearest_station_batch"] = "WITH " + STATIONS + """,
+q AS (SELECT vec_id AS point_id, CAST(embedding[4] AS DOUBLE) AS latitude,
+             CAST(embedding[3] AS DOUBLE) AS longitude FROM embeddings)
+SELECT q.point_id,
+       arg_min(s.name, (sqrt(power(s.latitude - q.latitude, 2) + power(s.longitude - q.longitude, 2)), s.name)) AS name
+FROM q, stations s
+WHERE s.latitude IS NOT NULL AND s.longitude IS NOT NULL AND q.latitude IS NOT NULL AND q.longitude IS NOT NULL
+GROUP BY q.point_id"""
+
+EDGES = HOP_STOPS + r""",
+hs AS (SELECT DISTINCT regexp_extract(stop_id, '^(.*)-(\d+)$', 1) AS trip_key,
+              CAST(regexp_extract(stop_id, '^(.*)-(\d+)$', 2) AS BIGINT) AS stop_index, station_name
+       FROM hop WHERE stop_id IS NOT NULL AND station_name IS NOT NULL),
+hn AS (SELECT station_name AS src,
+              lead(station_name) OVER (PARTITION BY trip_key ORDER BY stop_index, station_name) AS dst
+       FROM hs),
+edges AS (SELECT DISTINCT src, dst FROM hn WHERE dst IS NOT NULL AND src <> dst)"""
+
+SQL["trip_edges"] = "WITH " + EDGES + """
+SELECT src, dst FROM edges"""
+
+CONNS = r"""
+tm AS (SELECT 'u' || CAST(user_id AS VARCHAR) || '-' || CAST(event_id AS VARCHAR) AS stop_id,
+              json_extract_string(props, '$.k') AS station_name, ts AS ar, ts AS dp FROM events),
+ts_ AS (SELECT DISTINCT regexp_extract(stop_id, '^(.*)-(\d+)$', 1) AS trip_key,
+               CAST(regexp_extract(stop_id, '^(.*)-(\d+)$', 2) AS BIGINT) AS stop_index, station_name, ar, dp
+        FROM tm WHERE stop_id IS NOT NULL AND station_name IS NOT NULL),
+tn AS (SELECT station_name AS src, lead(station_name) OVER w AS dst, dp AS dp_time,
+              lead(ar) OVER w AS ar_time, trip_key
+       FROM ts_
+       WINDOW w AS (PARTITION BY trip_key ORDER BY stop_index NULLS FIRST, station_name NULLS FIRST,
+                                                   ar NULLS FIRST, dp NULLS FIRST)),
+tc AS (SELECT src, dst, dp_time, ar_time, trip_key FROM tn
+       WHERE dst IS NOT NULL AND src <> dst AND dp_time IS NOT NULL AND ar_time IS NOT NULL
+         AND ar_time >= dp_time)"""
+
+SQL["timed_connections"] = "WITH " + CONNS + """
+SELECT * FROM tc"""
+
+SQL["edge_connections"] = "WITH " + CONNS + """
+SELECT src, dst, date_trunc('hour', dp_time) AS period, count(*) AS n_connections,
+       string_agg(strftime(dp_time, '%Y-%m-%d %H:%M:%S.%f') || '|' || strftime(ar_time, '%Y-%m-%d %H:%M:%S.%f')
+                  || '|' || trip_key, ';' ORDER BY dp_time, ar_time, trip_key) AS connections
+FROM tc GROUP BY src, dst, date_trunc('hour', dp_time)"""
+
+SQL["shortest_path"] = "WITH RECURSIVE " + EDGES + """,
+bfs(station_name, hops, path) USING KEY (station_name) AS (
+  SELECT DISTINCT '0', 0, ['0'] FROM edges WHERE src = '0' OR dst = '0'
+  UNION
+  SELECT e.dst, min(b.hops) + 1, min(b.path || [e.dst])
+  FROM bfs b JOIN edges e ON e.src = b.station_name
+  WHERE NOT EXISTS (SELECT 1 FROM recurring.bfs r WHERE r.station_name = e.dst)
+  GROUP BY e.dst)
+SELECT station_name, CAST(hops AS INTEGER) AS hops, array_to_string(path, '>') AS path FROM bfs"""
+
+SQL["earliest_arrival"] = "WITH RECURSIVE " + CONNS + """,
+c AS (SELECT * FROM tc WHERE dp_time >= TIMESTAMP '2024-01-01 00:00:00'),
+ea(station_name, earliest_arrival) USING KEY (station_name) AS (
+  SELECT DISTINCT '0', TIMESTAMP '2024-01-01 00:00:00' FROM tc WHERE src = '0' OR dst = '0'
+  UNION
+  SELECT c.dst, min(c.ar_time) FROM ea r JOIN c ON c.src = r.station_name AND c.dp_time >= r.earliest_arrival
+  WHERE NOT EXISTS (SELECT 1 FROM recurring.ea x WHERE x.station_name = c.dst AND x.earliest_arrival <= c.ar_time)
+  GROUP BY c.dst)
+SELECT station_name, earliest_arrival FROM ea"""

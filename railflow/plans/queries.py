@@ -26,3 +26,72 @@ def daily_avg_delay(movements: DataFrame, station: str) -> DataFrame:
                .groupBy("snapshot_date", "station_name")
                .agg(F.avg("delay_minutes").alias("avg_delay_minutes")))
     return per_day.orderBy("snapshot_date")
+
+
+# --------------------------------------------------------------- Q1 .. Q4, Q6
+
+def _name_hits(stations: DataFrame, raw_name: str, prefix: str) -> DataFrame:
+    """Stations whose name is one of the four spellings of ``raw_name``,
+    with the spelling's priority in ``_rank`` (1 = exact)."""
+    from railflow.operators.names import candidate_names
+    cands = candidate_names(F.lit(raw_name), prefix)
+    return (stations.select("*", F.array_position(cands, F.col("name")).alias("_rank"))
+            .filter(F.col("_rank") > 0))
+
+
+def resolve_station(stations: DataFrame, raw_name: str, prefix: str, id_col: str = "eva_number") -> DataFrame:
+    """The one station a loosely spelled name stands for (first present
+    spelling; a repeated name keeps its largest id).  0 or 1 row."""
+    hits = _name_hits(stations, raw_name, prefix)
+    return hits.orderBy(F.col("_rank").asc(), F.col(id_col).desc()).limit(1).drop("_rank")
+
+
+def station_by_name(stations: DataFrame, raw_name: str, prefix: str) -> DataFrame:
+    """Q1: ``name, longitude, latitude, identifier`` of a loosely spelled station."""
+    return resolve_station(stations, raw_name, prefix).select(
+        "name", "longitude", "latitude", F.col("eva_number").alias("identifier"))
+
+
+def cancelled_at(fact: DataFrame, dates: DataFrame, times: DataFrame, date: str, hour: int) -> DataFrame:
+    """Q3: number of cancelled stops whose trip starts on ``date`` in ``hour``.
+
+    Both dimensions are filtered first and broadcast (bounded by the
+    calendar), so the fact side is scanned once with no shuffle."""
+    d = dates.filter(F.col("date") == F.lit(date).cast("date")).select("date_id")
+    t = times.filter(F.substring("time", 1, 2).cast("int") == F.lit(int(hour))).select("time_id")
+    hits = (fact.filter(F.col("cancelled"))
+            .join(F.broadcast(d), "date_id").join(F.broadcast(t), "time_id"))
+    return hits.agg(F.count(F.lit(1)).alias("cancelled_movements"))
+
+
+def avg_delay(fact: DataFrame, stations_dim: DataFrame, raw_name: str, prefix: str) -> DataFrame:
+    """Q4: average of all arrival and departure delays at a loosely spelled
+    station, in minutes (one row; NULL when there is none)."""
+    sid = resolve_station(stations_dim, raw_name, prefix, "station_id").select("station_id")
+    at = fact.join(F.broadcast(sid), "station_id")   # at most one row
+    return delays_long(at).agg(F.avg("delay_minutes").alias("avg_delay_minutes"))
+
+
+PEAK_HOURS = ((7, 9), (17, 19))   # fixed values: [07:00, 09:00) and [17:00, 19:00)
+
+
+def peak_departures(movements: DataFrame) -> DataFrame:
+    """Q6: per station, departures in the peak hours per day, averaged over
+    all days in the table (days without departures count as 0).
+
+    The station x day grid is never built: the average over the grid is
+    the station's peak-departure total divided by the number of days, so
+    one aggregation per station plus one distinct-day count suffice."""
+    h = F.hour("planned_departure_time")
+    in_peak = F.lit(False)
+    for lo, hi in PEAK_HOURS:
+        in_peak = in_peak | ((h >= lo) & (h < hi))
+    counted = (F.col("planned_departure_time").isNotNull() & F.col("snapshot_date").isNotNull() & in_peak)
+    per_station = movements.groupBy("station_name").agg(F.count_if(counted).alias("_n"))
+    days = movements.select(
+        F.count_distinct("snapshot_date")
+        + F.max(F.when(F.col("snapshot_date").isNull(), 1).otherwise(0))).scalar()
+    # a NULL station never matches a grid cell, so it averages to 0
+    total = F.when(F.col("station_name").isNotNull(), F.col("_n")).otherwise(F.lit(0))
+    return (per_station.select("station_name", (total / days).alias("avg_num_train_departures_during_peak"))
+            .orderBy("station_name"))
