@@ -29,3 +29,66 @@ def build_movements(planned_elements: DataFrame, change_elements: DataFrame, sta
     planned = resolve_planned(planned_rows(planned_elements), stations, prefix)
     folded = fold_changes(change_rows(change_elements, platform_rule), policy)
     return merge_movements(planned, folded)
+
+
+# ------------------------------------------------------------ raw inputs
+
+def etl_movements(spark, planned_paths, change_paths, stations_path: str, out_path: str,
+                  prefix: str = DEFAULT_PREFIX, policy: str = "max", platform_rule: str = "parquet",
+                  archive_mode: str = "content") -> DataFrame:
+    """E1 end to end: archives + station JSON -> partitioned Parquet
+    ``train_movements`` at ``out_path``.  Returns the movements DataFrame
+    as written (lazy; re-reading ``out_path`` is cheaper than re-running)."""
+    from railflow.operators.sinks import write_movements
+    from railflow.sources.archives import read_archives
+    from railflow.sources.stations import read_stations
+    from railflow.sources.timetables import change_elements_from_xml, planned_elements_from_xml
+
+    planned_docs = read_archives(spark, planned_paths, archive_mode)
+    change_docs = read_archives(spark, change_paths, archive_mode)
+    stations = read_stations(spark, stations_path)
+    mv = build_movements(planned_elements_from_xml(planned_docs), change_elements_from_xml(change_docs),
+                         stations, prefix, policy, platform_rule)
+    write_movements(mv, out_path)
+    return mv
+
+
+def build_star(planned_elements: DataFrame, change_elements: DataFrame, stations: DataFrame,
+               prefix: str = DEFAULT_PREFIX, trip_start_col=None) -> dict[str, DataFrame]:
+    """E2: the star schema as six DataFrames (dimension keys are dense and
+    checkpointed, so building them runs jobs; the fact stays lazy)."""
+    from railflow.functions.timefmt import trip_start
+    from railflow.operators import star as S
+    from railflow.operators.merge import unmatched_changes
+
+    planned = planned_rows(planned_elements)
+    start = trip_start_col if trip_start_col is not None else trip_start("stop_id")
+    trips = planned.withColumn("trip_start", start)
+    changes = change_rows(change_elements, "star")
+    tables = {
+        "dim_station": S.dim_station(stations),
+        "dim_train": S.dim_train(planned),
+        "dim_date": S.dim_date(trips),
+        "dim_time": S.dim_time(trips),
+    }
+    tables["fact_train_movements"] = S.build_fact(
+        planned, changes, tables["dim_station"], tables["dim_train"], tables["dim_date"],
+        tables["dim_time"], trip_start_col=start, prefix=prefix)
+    tables["unmatched_timetable_changes"] = unmatched_changes(changes, planned)
+    return tables
+
+
+def etl_star(spark, planned_paths, change_paths, stations_path: str, out_dir: str,
+             prefix: str = DEFAULT_PREFIX, archive_mode: str = "content") -> dict[str, DataFrame]:
+    """E2 end to end: archives + station JSON -> six Parquet tables under ``out_dir``."""
+    from railflow.operators.sinks import write_table
+    from railflow.sources.archives import read_archives
+    from railflow.sources.stations import read_stations
+    from railflow.sources.timetables import change_elements_from_xml, planned_elements_from_xml
+
+    tables = build_star(planned_elements_from_xml(read_archives(spark, planned_paths, archive_mode)),
+                        change_elements_from_xml(read_archives(spark, change_paths, archive_mode)),
+                        read_stations(spark, stations_path), prefix)
+    for name, df in tables.items():
+        write_table(df, f"{out_dir}/{name}")
+    return tables
