@@ -1,16 +1,20 @@
 """Station graphs and the two searches.
 
-Graphs are edge DataFrames.  Consecutive stops of a trip are paired with
-``lead`` over a window partitioned by trip (a trip is one train run, so a
-window partition is one run's stops).
+Graphs are edge DataFrames.  Consecutive stops of a trip are paired by
+``next_in_group``: a ``lead`` over windows of one trip *and one range of
+stop indexes*, so a trip with very many stops is spread over many tasks;
+the pairs that cross a range boundary are stitched from the first row of
+each range (a partial aggregation, then a window over ranges only).
 
 Both searches are frontier loops whose every round is a Spark job:
-frontier -> join edges/connections -> min per node -> anti/improvement
-test.  The edge side is partitioned by source once and checkpointed; the
-frontier is broadcast only after its row count (needed anyway to stop
-the loop) shows it is within ``max_broadcast_rows``.  Every round's
-state is checkpointed to the session's reliable checkpoint folder, so the
-lineage stays one round long and a lost executor only re-runs one round.
+frontier -> join edges/connections -> min per node -> improvement test.
+The edge side is checkpointed once with balanced (round-robin) partitions,
+so a station with a huge out-degree is spread over all tasks.  The
+frontier is broadcast only after its row count (needed anyway to stop the
+loop) shows it is within ``max_broadcast_rows``; beyond that the round is
+a shuffle join (AQE splits skewed partitions).  Every round's state is
+checkpointed to the session's reliable checkpoint folder, so the lineage
+stays one round long and a lost executor only re-runs one round.
 """
 
 from __future__ import annotations
@@ -33,29 +37,59 @@ def _stops(movements: DataFrame, *extra: str) -> DataFrame:
     return parsed.filter(F.col("trip_key").isNotNull() & F.col("stop_index").isNotNull()).distinct()
 
 
-def trip_edges(movements: DataFrame) -> DataFrame:
+DEFAULT_RANGE = 1024   # stop indexes per window partition of one trip
+
+
+def next_in_group(df: DataFrame, group: str, order: list[str], carry: list[str],
+                  range_size: int = DEFAULT_RANGE) -> DataFrame:
+    """``df`` plus ``next_<c>`` for every ``c`` in ``carry``: the values of
+    the following row of the same ``group`` in ``order`` (NULL for the last
+    row).  ``order[0]`` must be an integral index and the order total.
+
+    Windows are partitioned by (group, index range): a hot group never
+    forms one window partition.  A range's last row takes the first row of
+    the next non-empty range of its group, found by a ``min`` per range
+    (map-side reduced) and a ``lead`` over the (few) ranges of a group."""
+    rng = F.floor(F.col(order[0]) / F.lit(range_size)).alias("_rng")
+    keyed = df.select("*", rng)
+    w = Window.partitionBy(group, "_rng").orderBy(*order)
+    inner = keyed.select("*", *[F.lead(c).over(w).alias(f"_n_{c}") for c in carry],
+                         F.lead(F.lit(1)).over(w).isNull().alias("_last"))
+    firsts = keyed.groupBy(group, "_rng").agg(
+        F.min(F.struct(*[F.col(c) for c in order + [x for x in carry if x not in order]])).alias("_f"))
+    wr = Window.partitionBy(group).orderBy("_rng")
+    stitch = firsts.select(group, "_rng", F.lead("_f").over(wr).alias("_nf"))
+    joined = inner.join(stitch, [group, "_rng"], "left")
+    out = joined.select(
+        *df.columns,
+        *[F.when(F.col("_last"), F.col("_nf")[c]).otherwise(F.col(f"_n_{c}")).alias(f"next_{c}")
+          for c in carry])
+    return out
+
+
+def trip_edges(movements: DataFrame, range_size: int = DEFAULT_RANGE) -> DataFrame:
     """Hop graph ``(src, dst)``: consecutive stops of every trip in stop
     index order (gaps in the index are bridged), self-loops dropped, each
     edge once.  Duplicate stops are removed first; stops sharing an index
     are ordered by station name."""
     stops = _stops(movements)
-    w = Window.partitionBy("trip_key").orderBy("stop_index", "station_name")
-    nxt = stops.select(F.col("station_name").alias("src"), F.lead("station_name").over(w).alias("dst"))
+    nxt = next_in_group(stops, "trip_key", ["stop_index", "station_name"], ["station_name"], range_size)
+    nxt = nxt.select(F.col("station_name").alias("src"), F.col("next_station_name").alias("dst"))
     return nxt.filter(F.col("dst").isNotNull() & (F.col("src") != F.col("dst"))).distinct()
 
 
-def timed_connections(movements: DataFrame) -> DataFrame:
+def timed_connections(movements: DataFrame, range_size: int = DEFAULT_RANGE) -> DataFrame:
     """Timed graph as flat rows ``(src, dst, dp_time, ar_time, trip_key)``:
     departure at this stop, planned arrival at the next stop of the trip.
     Hops without both times, self-loops and hops arriving before they
     depart are dropped."""
     stops = _stops(movements, "planned_arrival_time", "planned_departure_time")
-    w = Window.partitionBy("trip_key").orderBy("stop_index", "station_name",
-                                               "planned_arrival_time", "planned_departure_time")
-    nxt = stops.select(
-        F.col("station_name").alias("src"), F.lead("station_name").over(w).alias("dst"),
+    order = ["stop_index", "station_name", "planned_arrival_time", "planned_departure_time"]
+    paired = next_in_group(stops, "trip_key", order, ["station_name", "planned_arrival_time"], range_size)
+    nxt = paired.select(
+        F.col("station_name").alias("src"), F.col("next_station_name").alias("dst"),
         F.col("planned_departure_time").alias("dp_time"),
-        F.lead("planned_arrival_time").over(w).alias("ar_time"), "trip_key")
+        F.col("next_planned_arrival_time").alias("ar_time"), "trip_key")
     return nxt.filter(F.col("dst").isNotNull() & (F.col("src") != F.col("dst"))
                       & F.col("dp_time").isNotNull() & F.col("ar_time").isNotNull()
                       & (F.col("ar_time") >= F.col("dp_time")))
@@ -71,9 +105,10 @@ def edge_connections(connections: DataFrame, bucket: str = "hour") -> DataFrame:
         F.sort_array(F.collect_list(F.struct("dp_time", "ar_time", "trip_key"))).alias("connections"))
 
 
-def _prepare(edges: DataFrame, key: str) -> DataFrame:
+def _prepare(edges: DataFrame) -> DataFrame:
+    """Checkpoint the search's edge side once, in balanced partitions."""
     ensure_checkpoint_dir(edges.sparkSession)
-    return edges.repartition(key).checkpoint(eager=True)
+    return edges.repartition(edges.sparkSession.sparkContext.defaultParallelism).checkpoint(eager=True)
 
 
 def _maybe_broadcast(df: DataFrame, rows: int, limit: int) -> DataFrame:
@@ -89,8 +124,7 @@ def shortest_paths(edges: DataFrame, source: str, target: str | None = None,
     empty when unreachable or unknown).  Among equally short paths the
     smallest path array wins: the best path to a station extends the best
     path to one of its predecessors, so ``min(path)`` per round is exact."""
-    spark = edges.sparkSession
-    e = _prepare(edges.select("src", "dst").distinct(), "src")
+    e = _prepare(edges.select("src", "dst").distinct())
     present = (e.select(F.col("src").alias("station_name")).union(e.select("dst"))
                .filter(F.col("station_name") == F.lit(source)).distinct())
     frontier = present.select("station_name", F.array("station_name").alias("path")).checkpoint()
@@ -140,7 +174,7 @@ def earliest_arrivals(connections: DataFrame, source: str, departure: datetime |
     rounds, so the links form a tree rooted at the source."""
     dep = _ntz_literal(departure)
     conn = connections.filter(F.col("dp_time") >= dep).select("src", "dst", "dp_time", "ar_time", "trip_key")
-    c = _prepare(conn, "src")
+    c = _prepare(conn)
     known = (connections.select(F.col("src").alias("station_name")).union(connections.select("dst"))
              .filter(F.col("station_name") == F.lit(source)).distinct())
     none_s = F.lit(None).cast("string")
