@@ -14,15 +14,9 @@ VALUE_COLUMNS = ("changed_arrival_time", "changed_departure_time", "changed_plat
 POLICIES = ("max", "last")
 
 
-def fold_changes(changes: DataFrame, policy: str = "max", order_cols=("snapshot_ts", "member")) -> DataFrame:
-    """``changes``: rows of ``sources.timetables.change_rows``.
-
-    ``max``  largest changed times, largest platform text, any cancellation.
-    ``last`` per column the last non-NULL value in ``order_cols`` order
-             (a later NULL does not erase an earlier value); cancellation is
-             sticky (once true, stays true).
-    Result: ``stop_id, changed_arrival_time, changed_departure_time,
-    cancelled, changed_platform``."""
+def fold_aggregations(policy: str = "max", order_cols=("snapshot_ts", "member")) -> list:
+    """The aggregate Columns of a fold (shared by the batch and the
+    streaming fold)."""
     if policy == "max":
         aggs = [F.max(c).alias(c) for c in VALUE_COLUMNS]
     elif policy == "last":
@@ -33,6 +27,18 @@ def fold_changes(changes: DataFrame, policy: str = "max", order_cols=("snapshot_
                 for c in VALUE_COLUMNS]
     else:
         raise ValueError(f"policy must be one of {POLICIES}, got {policy!r}")
-    folded = changes.groupBy("stop_id").agg(*aggs, F.bool_or("cancelled").alias("cancelled"))
+    return aggs + [F.bool_or("cancelled").alias("cancelled")]
+
+
+def fold_changes(changes: DataFrame, policy: str = "max", order_cols=("snapshot_ts", "member")) -> DataFrame:
+    """``changes``: rows of ``sources.timetables.change_rows``.
+
+    ``max``  largest changed times, largest platform text, any cancellation.
+    ``last`` per column the last non-NULL value in ``order_cols`` order
+             (a later NULL does not erase an earlier value); cancellation is
+             sticky (once true, stays true).
+    Result: ``stop_id, changed_arrival_time, changed_departure_time,
+    cancelled, changed_platform``."""
+    folded = changes.groupBy("stop_id").agg(*fold_aggregations(policy, order_cols))
     return folded.select("stop_id", "changed_arrival_time", "changed_departure_time",
                          "cancelled", "changed_platform")
