@@ -48,15 +48,18 @@ def next_in_group(df: DataFrame, group: str, order: list[str], carry: list[str],
 
     Windows are partitioned by (group, index range): a hot group never
     forms one window partition.  A range's last row takes the first row of
-    the next non-empty range of its group, found by a ``min`` per range
-    (map-side reduced) and a ``lead`` over the (few) ranges of a group."""
+    the next non-empty range of its group: the first rows come out of the
+    same window (``lag`` is NULL), and a ``lead`` over the (few) ranges of
+    a group pairs each range with the next one."""
     rng = F.floor(F.col(order[0]) / F.lit(range_size)).alias("_rng")
     keyed = df.select("*", rng)
     w = Window.partitionBy(group, "_rng").orderBy(*order)
     inner = keyed.select("*", *[F.lead(c).over(w).alias(f"_n_{c}") for c in carry],
-                         F.lead(F.lit(1)).over(w).isNull().alias("_last"))
-    firsts = keyed.groupBy(group, "_rng").agg(
-        F.min(F.struct(*[F.col(c) for c in order + [x for x in carry if x not in order]])).alias("_f"))
+                         F.lead(F.lit(1)).over(w).isNull().alias("_last"),
+                         F.lag(F.lit(1)).over(w).isNull().alias("_first"))
+    # first row of every range, taken from the same window output (one
+    # shuffle of the input, shared by both branches)
+    firsts = inner.filter("_first").select(group, "_rng", F.struct(*[F.col(c) for c in carry]).alias("_f"))
     wr = Window.partitionBy(group).orderBy("_rng")
     stitch = firsts.select(group, "_rng", F.lead("_f").over(wr).alias("_nf"))
     joined = inner.join(stitch, [group, "_rng"], "left")
