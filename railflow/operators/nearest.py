@@ -5,8 +5,8 @@ Single position: a top-1 over one scan of the stations
 
 Many positions: the station table is normally small (a city network),
 so after *counting* it, a table of at most ``max_broadcast`` stations is
-shipped to every task as one array and each position scans it with a
-higher-order function, JVM-side.  Beyond that bound an exact grid search
+shipped to every task as one array (a scalar subquery, no join) and each
+position scans it with a higher-order function, JVM-side.  Beyond that bound an exact grid search
 runs instead: stations and positions are bucketed into square cells and
 each position looks at the ring of cells around its own, ring radius
 doubling for the positions whose best candidate is not provably nearest.
@@ -21,7 +21,11 @@ from pyspark.sql import functions as F
 
 from railflow.functions.geo import degree_distance
 
-DEFAULT_MAX_BROADCAST = 100_000
+# Up to this many stations every position scans the whole (broadcast)
+# list: cost positions x stations, fine for a city network (hundreds).
+# Larger station sets go to the grid search, whose cost per position is
+# the stations of a few nearby cells.
+DEFAULT_MAX_BROADCAST = 2_048
 
 
 def nearest_station(stations: DataFrame, latitude: float, longitude: float,

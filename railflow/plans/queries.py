@@ -19,6 +19,24 @@ def delays_long(movements: DataFrame, *keep: str) -> DataFrame:
     return stacked.filter(F.col("delay_minutes").isNotNull())
 
 
+DAILY_AVG_SQL = """
+SELECT snapshot_date, station_name, AVG(delay_minutes) AS avg_delay_minutes
+FROM (SELECT snapshot_date, station_name,
+             stack(2, arrival_delay_minutes, departure_delay_minutes) AS delay_minutes
+      FROM {movements}
+      WHERE station_name = :station)
+WHERE delay_minutes IS NOT NULL
+GROUP BY snapshot_date, station_name
+ORDER BY snapshot_date
+"""
+
+
+def daily_avg_delay_sql(movements: DataFrame, station: str) -> DataFrame:
+    """Q5 in SQL text: the DataFrame is passed in (no global temp view) and
+    the station is a bound parameter, never pasted into the text."""
+    return movements.sparkSession.sql(DAILY_AVG_SQL, args={"station": station}, movements=movements)
+
+
 def daily_avg_delay(movements: DataFrame, station: str) -> DataFrame:
     """Q5: average delay per snapshot date for one station (exact name)."""
     at = movements.filter(F.col("station_name") == F.lit(station))

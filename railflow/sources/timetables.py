@@ -21,8 +21,11 @@ from railflow.functions.timefmt import parse_stamp
 _XML_OPTIONS = {"mode": "PERMISSIVE"}
 
 
+_PASS = ("archive", "snapshot_ts", "member")   # carried through when present
+
+
 def _parse_docs(docs: DataFrame, schema: str) -> DataFrame:
-    keep = [c for c in ("snapshot_ts", "member") if c in docs.columns]
+    keep = [c for c in _PASS if c in docs.columns]
     return docs.select(*keep, F.from_xml("xml", schema, _XML_OPTIONS).alias("doc"))
 
 
@@ -44,8 +47,9 @@ def _elements(parsed: DataFrame) -> DataFrame:
     if "snapshot_ts" in parsed.columns:
         valid = valid.filter(F.col("snapshot_ts").isNotNull())
     member = F.col("member") if "member" in parsed.columns else F.lit(None).cast("string")
+    archive = [F.col("archive")] if "archive" in parsed.columns else []
     return valid.select(
-        "snapshot_ts", member.alias("member"),
+        *archive, "snapshot_ts", member.alias("member"),
         F.col("doc._station").alias("station"),
         F.col("doc._eva").try_cast("int").alias("eva_raw"),
         F.explode("doc.s").alias("s"),
@@ -64,7 +68,9 @@ def planned_rows(elements: DataFrame) -> DataFrame:
     """One planned stop per ``<s>``: train label, planned times, path ends,
     planned platform and the cancellation flag."""
     s, ar, dp, tl = F.col("s"), F.col("s.ar"), F.col("s.dp"), F.col("s.tl")
+    week = [F.col("archive")] if "archive" in elements.columns else []
     return elements.select(
+        *week,
         F.col("snapshot_ts"),
         F.to_date("snapshot_ts").alias("snapshot_date"),
         F.hour("snapshot_ts").alias("snapshot_hour"),
@@ -93,7 +99,9 @@ def change_rows(elements: DataFrame, platform_rule: str = "star") -> DataFrame:
     ``has_time`` tells whether the change carries a changed time (the narrow
     notion of a matched/unmatched change)."""
     ar, dp = F.col("s.ar"), F.col("s.dp")
+    week = [F.col("archive")] if "archive" in elements.columns else []
     return elements.select(
+        *week,
         F.col("snapshot_ts"),
         F.col("member"),
         F.col("s._id").alias("stop_id"),

@@ -169,3 +169,25 @@ def test_earliest_arrival(rail):
 def test_daily_order(rail):
     rows = Q.daily_avg_delay(rail.movements_max, W).collect()
     assert [r.snapshot_date for r in rows] == sorted(r.snapshot_date for r in rows)
+
+
+def test_daily_avg_delay_sql_form(rail):
+    a = Q.daily_avg_delay(rail.movements_max, A).collect()
+    b = Q.daily_avg_delay_sql(rail.movements_max, A).collect()
+    assert a == b
+    # a quote in the name is data, not SQL
+    assert Q.daily_avg_delay_sql(rail.movements_max, "x' OR '1'='1").count() == 0
+
+
+def test_archive_name_carried(rail):
+    assert {r.archive.rsplit("/", 1)[-1] for r in rail.planned.select("archive").distinct().collect()} == \
+        {"250902_250909.tar.gz"}
+
+
+def test_nearest_grid_matches_broadcast_on_driver_tables(spark):
+    from railflow.sources import analogs as A_
+    pts = A_.query_points(spark, "/root/testdata/sf0.001")
+    st = A_.station_points(spark, "/root/testdata/sf0.001")
+    a = nearest_stations(pts, st).select("point_id", "name")
+    b = nearest_stations(pts, st, max_broadcast=0).select("point_id", "name")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
