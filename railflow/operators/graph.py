@@ -19,6 +19,9 @@ stays one round long and a lost executor only re-runs one round.
 
 from __future__ import annotations
 
+import functools
+import logging
+import time
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Window
@@ -28,6 +31,7 @@ from railflow.functions.stopid import stop_index, trip_key
 from railflow.session import ensure_checkpoint_dir
 
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+log = logging.getLogger(__name__)
 
 
 def _stops(movements: DataFrame, *extra: str) -> DataFrame:
@@ -102,12 +106,24 @@ def edge_connections(connections: DataFrame, bucket: str = "hour") -> DataFrame:
     """Nested form: per edge and departure ``bucket`` (``date_trunc`` unit)
     the connections sorted by departure.  Bucketing keeps each array to
     the trains of one edge in one period rather than a whole edge."""
-    b = F.date_trunc(bucket, "dp_time")
+    b = _truncate_ntz("dp_time", bucket)
     return connections.groupBy("src", "dst", b.alias("period")).agg(
         F.count(F.lit(1)).alias("n_connections"),
         F.sort_array(F.collect_list(F.struct("dp_time", "ar_time", "trip_key"))).alias("connections"))
 
 
+def _truncate_ntz(col: str, unit: str):
+    """Wall-clock truncation of a TIMESTAMP_NTZ (``date_trunc`` would go
+    through the session time zone and return a zoned timestamp)."""
+    c = F.col(col)
+    zero = F.lit(0)
+    if unit == "hour":
+        return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), zero, zero)
+    if unit == "day":
+        return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), zero, zero, zero)
+    return F.date_trunc(unit, c).cast("timestamp_ntz")
+
+
 def _prepare(edges: DataFrame) -> DataFrame:
     """Checkpoint the search's edge side once, in balanced partitions."""
     ensure_checkpoint_dir(edges.sparkSession)
@@ -131,24 +147,30 @@ def shortest_paths(edges: DataFrame, source: str, target: str | None = None,
     present = (e.select(F.col("src").alias("station_name")).union(e.select("dst"))
                .filter(F.col("station_name") == F.lit(source)).distinct())
     frontier = present.select("station_name", F.array("station_name").alias("path")).checkpoint()
-    visited = frontier.select("station_name", F.lit(0).alias("hops"), "path")
+    levels = [frontier.select("station_name", F.lit(0).alias("hops"), "path")]
     n = frontier.count()
     level = 0
     hit = target is not None and target == source and n > 0
     while n > 0 and not hit:
         level += 1
+        # visited = union of the checkpointed levels: shallow lineage, no extra job
+        visited = functools.reduce(DataFrame.unionByName, [lv.select("station_name") for lv in levels])
         step = (_maybe_broadcast(frontier, n, max_broadcast_rows)
                 .join(e, F.col("station_name") == F.col("src"))
                 .select(F.col("dst").alias("station_name"),
                         F.concat("path", F.array("dst")).alias("path")))
-        step = step.join(visited.select("station_name"), "station_name", "left_anti")
+        step = step.join(visited, "station_name", "left_anti")
+        t0 = time.perf_counter()
         frontier = step.groupBy("station_name").agg(F.min("path").alias("path")).checkpoint()
         n = frontier.count()
+        log.debug("bfs round %d: %d new stations, %.2fs", level, n, time.perf_counter() - t0)
         if n:
-            visited = visited.unionByName(frontier.select("station_name", F.lit(level).alias("hops"), "path"))
-            visited = visited.checkpoint()
+            levels.append(frontier.select("station_name", F.lit(level).alias("hops"), "path"))
+            if len(levels) >= 16:     # deep searches: keep the union shallow
+                levels = [functools.reduce(DataFrame.unionByName, levels).checkpoint()]
             if target is not None:
                 hit = frontier.filter(F.col("station_name") == F.lit(target)).count() > 0
+    visited = functools.reduce(DataFrame.unionByName, levels)
     out = visited.select("station_name", F.col("hops").cast("int").alias("hops"), "path")
     if target is not None:
         out = out.filter(F.col("station_name") == F.lit(target))
@@ -189,6 +211,7 @@ def earliest_arrivals(connections: DataFrame, source: str, departure: datetime |
     rnd = 0
     while n > 0:
         rnd += 1
+        t0 = time.perf_counter()
         reach = (_maybe_broadcast(frontier.select("station_name", "earliest_arrival"), n,
                                   max_broadcast_rows).alias("f")
                  .join(c.alias("c"), (F.col("f.station_name") == F.col("c.src"))
@@ -203,6 +226,7 @@ def earliest_arrivals(connections: DataFrame, source: str, departure: datetime |
                             F.col("m.t").alias("prev_trip"))
                     ).checkpoint()
         n = improved.count()
+        log.debug("earliest-arrival round %d: %d improved, %.2fs", rnd, n, time.perf_counter() - t0)
         if n:
             best = (best.join(improved.select("station_name"), "station_name", "left_anti")
                     .unionByName(improved)).checkpoint()

@@ -155,3 +155,12 @@ def test_earliest_arrival_monotone_in_departure(rail):
                                                                           "2025-09-02 08:00:00").collect()}
     for k, v in b.items():
         assert k in a and a[k] <= v
+
+
+def test_bfs_deep_chain_compacts_levels(spark):
+    # more than 16 levels: the visited union is compacted into a checkpoint
+    e = spark.range(40).select(F.col("id").cast("string").alias("src"),
+                               (F.col("id") + 1).cast("string").alias("dst"))
+    row = G.shortest_paths(e, "0", "40").first()
+    assert row.hops == 40 and row.path[0] == "0" and row.path[-1] == "40" and len(row.path) == 41
+    assert G.shortest_paths(e, "0").count() == 41
