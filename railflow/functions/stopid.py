@@ -21,7 +21,7 @@ def trip_key(stop_id) -> Column:
 
 def stop_index(stop_id) -> Column:
     digits = F.nullif(F.regexp_extract(_c(stop_id), STOP_ID_PATTERN, 2), F.lit(""))
-    return F.try_cast(digits, "bigint") if hasattr(F, "try_cast") else digits.try_cast("bigint")
+    return digits.try_cast("bigint")
 
 
 def split_stop_id(stop_id) -> list[Column]:

@@ -23,7 +23,6 @@ import tarfile
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from railflow.functions.timefmt import snapshot_from_member
 

@@ -120,13 +120,11 @@ def test_cancelled_at(rail):
 
 
 def test_avg_delay(rail):
-    from railflow.operators.star import apply_changes, build_fact
     st = rail.star
     assert _one(Q.avg_delay(st["fact_train_movements"], st["dim_station"], "Ostkreuz", "Berlin")).avg_delay_minutes == 2.0
     # the same stop under the max policy
     assert _one(rail.movements_max.filter(F.col("station_name") == O)
                 .select(F.avg(F.col("arrival_delay_minutes")).alias("a"))).a == 4.0
-    del apply_changes, build_fact
 
 
 def test_daily_avg_delay(rail):
