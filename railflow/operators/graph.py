@@ -35,10 +35,14 @@ log = logging.getLogger(__name__)
 
 
 def _stops(movements: DataFrame, *extra: str) -> DataFrame:
+    """Parsed stops.  Exact duplicates are *not* removed: in the pairing
+    order they sit next to each other, so they only form self-pairs, which
+    are dropped; every other pair is the same with or without them (a
+    shuffle saved)."""
     m = movements.dropna(subset=["stop_id", "station_name"])
     parsed = m.select(trip_key("stop_id").alias("trip_key"), stop_index("stop_id").alias("stop_index"),
                       "station_name", *extra)
-    return parsed.filter(F.col("trip_key").isNotNull() & F.col("stop_index").isNotNull()).distinct()
+    return parsed.filter(F.col("trip_key").isNotNull() & F.col("stop_index").isNotNull())
 
 
 DEFAULT_RANGE = 1024   # stop indexes per window partition of one trip
@@ -77,8 +81,7 @@ def next_in_group(df: DataFrame, group: str, order: list[str], carry: list[str],
 def trip_edges(movements: DataFrame, range_size: int = DEFAULT_RANGE) -> DataFrame:
     """Hop graph ``(src, dst)``: consecutive stops of every trip in stop
     index order (gaps in the index are bridged), self-loops dropped, each
-    edge once.  Duplicate stops are removed first; stops sharing an index
-    are ordered by station name."""
+    edge once.  Stops sharing an index are ordered by station name."""
     stops = _stops(movements)
     nxt = next_in_group(stops, "trip_key", ["stop_index", "station_name"], ["station_name"], range_size)
     nxt = nxt.select(F.col("station_name").alias("src"), F.col("next_station_name").alias("dst"))

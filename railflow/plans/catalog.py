@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railflow.functions import (
-    minutes_between, snapshot_from_member, split_stop_id, trip_start,
+    changed_platform, minutes_between, snapshot_from_member, split_stop_id, trip_start,
 )
 from railflow.operators import graph as G
 from railflow.operators import star as S
@@ -69,10 +69,12 @@ def platform_rule(spark, d):
         F.lit("planned").alias("rule"), "stop_id", F.lit("").alias("member"),
         F.col("planned_platform").alias("platform"))
     ch = A.change_elements(spark, d)
-    per_rule = [change_rows(ch, rule).select(F.lit(rule).alias("rule"), "stop_id", "member",
-                                              F.col("changed_platform").alias("platform"))
-                for rule in ("parquet", "star")]
-    return planned.unionByName(per_rule[0]).unionByName(per_rule[1])
+    ar, dp = F.col("s.ar"), F.col("s.dp")
+    # both rules from one scan of the change elements
+    both = ch.select(F.col("s._id").alias("stop_id"), "member", F.stack(
+        F.lit(2), F.lit("parquet"), changed_platform(ar, dp, "parquet"),
+        F.lit("star"), changed_platform(ar, dp, "star")).alias("rule", "platform"))
+    return planned.unionByName(both.select("rule", "stop_id", "member", "platform"))
 
 
 def delay_minutes(spark, d):
@@ -145,14 +147,6 @@ def dim_station(spark, d):
     return S.dim_station(A.stations(spark, d))
 
 
-def dim_date(spark, d):
-    return S.dim_date(A.event_trips(spark, d))
-
-
-def dim_time(spark, d):
-    return S.dim_time(A.event_trips(spark, d))
-
-
 def dim_train(spark, d):
     return S.dim_train(_planned(spark, d))
 
@@ -175,12 +169,22 @@ def unmatched_changes(spark, d):
     return unmatched(change_rows(A.change_elements(spark, d), "star"), planned)
 
 
-def star_fact_df(spark, d):
+@A.memo
+def star_tables(spark, d):
+    """The star schema of the analog: dimensions are materialized
+    (checkpointed) once per session, like loaded warehouse tables; the
+    fact stays a lazy plan over them."""
     planned = _trip_planned(spark, d)
-    return S.build_fact(planned, change_rows(A.change_elements(spark, d), "star"),
-                        S.dim_station(A.stations(spark, d)), S.dim_train(planned),
-                        S.dim_date(planned), S.dim_time(planned),
+    dims = {"dim_station": S.dim_station(A.stations(spark, d)), "dim_train": S.dim_train(planned),
+            "dim_date": S.dim_date(planned), "dim_time": S.dim_time(planned)}
+    fact = S.build_fact(planned, change_rows(A.change_elements(spark, d), "star"),
+                        dims["dim_station"], dims["dim_train"], dims["dim_date"], dims["dim_time"],
                         trip_start_col=F.col("snapshot_ts"), prefix=PREFIX)
+    return {**dims, "fact_train_movements": fact}
+
+
+def star_fact_df(spark, d):
+    return star_tables(spark, d)["fact_train_movements"]
 
 
 def star_fact(spark, d):
@@ -192,17 +196,31 @@ def station_by_name(spark, d):
 
 
 def avg_delay(spark, d):
-    return Q.avg_delay(star_fact_df(spark, d), S.dim_station(A.stations(spark, d)), DELAY_NAME, PREFIX)
+    st = star_tables(spark, d)
+    return Q.avg_delay(st["fact_train_movements"], st["dim_station"], DELAY_NAME, PREFIX)
 
 
 def peak_departures(spark, d):
     return Q.peak_departures(A.event_trips(spark, d))
 
 
-def cancelled_at(spark, d):
+@A.memo
+def event_dims(spark, d):
     trips = A.event_trips(spark, d)
-    dates, times = S.dim_date(trips), S.dim_time(trips)
-    fact = S.with_date_time_keys(trips, dates, times)
+    return S.dim_date(trips), S.dim_time(trips)
+
+
+def dim_date(spark, d):
+    return event_dims(spark, d)[0]
+
+
+def dim_time(spark, d):
+    return event_dims(spark, d)[1]
+
+
+def cancelled_at(spark, d):
+    dates, times = event_dims(spark, d)
+    fact = S.with_date_time_keys(A.event_trips(spark, d), dates, times)
     return Q.cancelled_at(fact, dates, times, CANCEL_DATE, CANCEL_HOUR)
 
 

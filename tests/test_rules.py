@@ -164,3 +164,11 @@ def test_bfs_deep_chain_compacts_levels(spark):
     row = G.shortest_paths(e, "0", "40").first()
     assert row.hops == 40 and row.path[0] == "0" and row.path[-1] == "40" and len(row.path) == 41
     assert G.shortest_paths(e, "0").count() == 41
+
+
+def test_duplicate_stops_do_not_change_pairs(rail):
+    # exact duplicate stops only form self-pairs, so no dedupe shuffle is needed
+    mv = rail.movements_max
+    dup = mv.unionByName(mv)
+    assert sorted(G.trip_edges(dup).collect()) == sorted(G.trip_edges(mv).collect())
+    assert sorted(G.timed_connections(dup).collect()) == sorted(G.timed_connections(mv).collect())
