@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from railflow.functions.geo import degree_distance
+from railflow.session import ensure_checkpoint_dir
 
 # Up to this many stations every position scans the whole (broadcast)
 # list: cost positions x stations, fine for a city network (hundreds).
@@ -68,6 +69,7 @@ def nearest_stations(points: DataFrame, stations: DataFrame, max_broadcast: int
 
 
 def _grid_search(pts: DataFrame, st: DataFrame, n_stations: int, cell: float | None) -> DataFrame:
+    ensure_checkpoint_dir(pts.sparkSession)
     if cell is None:
         ext = st.agg((F.max("latitude") - F.min("latitude")).alias("a"),
                      (F.max("longitude") - F.min("longitude")).alias("b")).first()

@@ -25,3 +25,14 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert set(df.columns) == {"snapshot_date", "station_name", "avg_delay_minutes"}
     assert df.count() >= 0
+
+
+@pytest.mark.parametrize("name", ["snapshot_parse", "parse_stop_id", "xml_planned", "edge_connections",
+                                  "merge_movements", "earliest_arrival"])
+def test_results_do_not_depend_on_session_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")   # +05:30, not whole hours
+        assert compare(spark, con, name, entry.queries()[name], entry.oracle_sql()[name], SF)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
