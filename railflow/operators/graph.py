@@ -137,47 +137,86 @@ def _maybe_broadcast(df: DataFrame, rows: int, limit: int) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
-def shortest_paths(edges: DataFrame, source: str, target: str | None = None,
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Breadth-first search from ``source`` over ``(src, dst)`` edges.
+def _nodes(edges: DataFrame) -> DataFrame:
+    return (edges.select(F.col("src").alias("station_name"))
+            .union(edges.select(F.col("dst").alias("station_name"))).distinct())
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def shortest_paths_batch(edges: DataFrame, requests: DataFrame,
+                         max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Breadth-first search for many requests in one loop.
 
-    Returns ``station_name, hops, path`` for every reached station (with
-    ``target``: only the target, and the search stops once it is reached;
-    empty when unreachable or unknown).  Among equally short paths the
-    smallest path array wins: the best path to a station extends the best
-    path to one of its predecessors, so ``min(path)`` per round is exact."""
+    ``requests``: ``source`` and optionally ``target``.  Returns ``source,
+    station_name, hops, path``: for a request with a target only that
+    station, otherwise every station reached.  A source stops expanding
+    once all its targets are reached (unless it also has an untargeted
+    request).  Among equally short paths the smallest path array wins: the
+    best path to a station extends the best path to one of its
+    predecessors, so ``min(path)`` per (source, station) per round is exact.
+
+    State is keyed by (source, station): one round serves every request."""
     e = _prepare(edges.select("src", "dst").distinct())
-    present = (e.select(F.col("src").alias("station_name")).union(e.select("dst"))
-               .filter(F.col("station_name") == F.lit(source)).distinct())
-    frontier = present.select("station_name", F.array("station_name").alias("path")).checkpoint()
-    levels = [frontier.select("station_name", F.lit(0).alias("hops"), "path")]
+    has_target = "target" in requests.columns
+    req = requests.select("source", F.col("target") if has_target else F.lit(None).cast("string").alias("target"))
+    req = req.filter(F.col("source").isNotNull()).distinct().checkpoint()
+    targeted = req.filter(F.col("target").isNotNull())
+    explore_all = req.filter(F.col("target").isNull()).select("source").distinct()
+    seeds = (req.select("source").distinct()
+             .join(_nodes(e), F.col("source") == F.col("station_name"), "left_semi"))
+    frontier = seeds.select("source", F.col("source").alias("station_name"),
+                            F.array("source").alias("path")).checkpoint()
+    levels = [frontier.select("source", "station_name", F.lit(0).alias("hops"), "path")]
     n = frontier.count()
+    prune = targeted.count() > 0       # early stop only matters for targeted requests
     level = 0
-    hit = target is not None and target == source and n > 0
-    while n > 0 and not hit:
+    while n > 0:
+        reached = _union([lv.select("source", "station_name") for lv in levels])
+        if prune:
+            # sources still searching: an untargeted request, or a target not yet reached
+            missing = targeted.join(reached.withColumnRenamed("station_name", "target"),
+                                    ["source", "target"], "left_anti").select("source")
+            open_sources = missing.union(explore_all).distinct()
+            frontier = frontier.join(open_sources, "source", "left_semi").checkpoint()
+            n = frontier.count()
+            if n == 0:
+                break
         level += 1
-        # visited = union of the checkpointed levels: shallow lineage, no extra job
-        visited = functools.reduce(DataFrame.unionByName, [lv.select("station_name") for lv in levels])
         step = (_maybe_broadcast(frontier, n, max_broadcast_rows)
                 .join(e, F.col("station_name") == F.col("src"))
-                .select(F.col("dst").alias("station_name"),
+                .select("source", F.col("dst").alias("station_name"),
                         F.concat("path", F.array("dst")).alias("path")))
-        step = step.join(visited, "station_name", "left_anti")
+        step = step.join(reached, ["source", "station_name"], "left_anti")
         t0 = time.perf_counter()
-        frontier = step.groupBy("station_name").agg(F.min("path").alias("path")).checkpoint()
+        frontier = step.groupBy("source", "station_name").agg(F.min("path").alias("path")).checkpoint()
         n = frontier.count()
-        log.debug("bfs round %d: %d new stations, %.2fs", level, n, time.perf_counter() - t0)
+        log.debug("bfs round %d: %d new (source, station) pairs, %.2fs", level, n, time.perf_counter() - t0)
         if n:
-            levels.append(frontier.select("station_name", F.lit(level).alias("hops"), "path"))
+            levels.append(frontier.select("source", "station_name", F.lit(level).alias("hops"), "path"))
             if len(levels) >= 16:     # deep searches: keep the union shallow
-                levels = [functools.reduce(DataFrame.unionByName, levels).checkpoint()]
-            if target is not None:
-                hit = frontier.filter(F.col("station_name") == F.lit(target)).count() > 0
-    visited = functools.reduce(DataFrame.unionByName, levels)
-    out = visited.select("station_name", F.col("hops").cast("int").alias("hops"), "path")
-    if target is not None:
-        out = out.filter(F.col("station_name") == F.lit(target))
-    return out
+                levels = [_union(levels).checkpoint()]
+    found = _union(levels).select("source", "station_name", F.col("hops").cast("int").alias("hops"), "path")
+    wanted = (targeted.select("source", F.col("target").alias("station_name"))
+              .join(found, ["source", "station_name"], "inner"))
+    everything = found.join(explore_all, "source", "left_semi")
+    return wanted.unionByName(everything).dropDuplicates(["source", "station_name"])
+
+
+def _param_frame(spark, rows: list[tuple], schema: str) -> DataFrame:
+    # query parameters as a tiny DataFrame (one row per request)
+    return spark.createDataFrame(rows, schema)
+
+
+def shortest_paths(edges: DataFrame, source: str, target: str | None = None,
+                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Q7: fewest-hop paths from one ``source``: ``station_name, hops, path``
+    for every reached station, or only ``target`` (the search then stops
+    once it is reached; empty when unreachable or unknown)."""
+    req = _param_frame(edges.sparkSession, [(source, target)], "source string, target string")
+    return shortest_paths_batch(edges, req, max_broadcast_rows).drop("source")
 
 
 def _ntz_literal(value):
@@ -185,76 +224,119 @@ def _ntz_literal(value):
     return F.lit(text).cast("timestamp_ntz")   # text -> NTZ: no zone involved
 
 
-def earliest_arrivals(connections: DataFrame, source: str, departure: datetime | str,
-                      max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Earliest arrival at every station reachable from ``source`` when
-    leaving at ``departure`` or later:
-    ``station_name, earliest_arrival, round, prev, prev_departure, prev_trip``.
-    A connection is usable from a station if it departs at or after the
-    arrival there; transfers take no time.
-
-    Each round joins only the stations improved in the previous round with
-    their outgoing connections, keeps the best arrival per station (ties:
-    least departure, source station, trip) and the strict improvements; it
-    ends at the fixpoint (never later than a departure-ordered scan).
-    ``prev`` is the station the final improvement came from: along ``prev``
-    links arrivals never increase and equal arrivals have strictly smaller
-    rounds, so the links form a tree rooted at the source."""
-    dep = _ntz_literal(departure)
-    conn = connections.filter(F.col("dp_time") >= dep).select("src", "dst", "dp_time", "ar_time", "trip_key")
+REQUEST_KEY = ["source", "departure"]
+
+
+def earliest_arrivals_batch(connections: DataFrame, requests: DataFrame,
+                            max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Earliest arrivals for many ``(source, departure)`` requests in one loop.
+
+    Returns ``source, departure, station_name, earliest_arrival, round,
+    prev, prev_departure, prev_trip`` for every station reachable from the
+    source when leaving at ``departure`` or later.  A connection is usable
+    from a station if it departs at or after the arrival there; transfers
+    take no time.
+
+    Each round joins only the (request, station) pairs improved in the
+    previous round with their outgoing connections, keeps the best arrival
+    per (request, station) (ties: least departure, source station, trip)
+    and the strict improvements; it ends at the fixpoint (never later than
+    a departure-ordered scan).  ``prev`` is the station the final
+    improvement came from: along ``prev`` links arrivals never increase and
+    equal arrivals have strictly smaller rounds, so the links form a tree
+    rooted at the source."""
+    req = (requests.select("source", F.col("departure").cast("timestamp_ntz").alias("departure"))
+           .filter(F.col("source").isNotNull() & F.col("departure").isNotNull()).distinct().checkpoint())
+    # one value: connections departing before every request are useless
+    earliest = req.select(F.min("departure").cast("string")).first()[0]
+    conn = connections.select("src", "dst", "dp_time", "ar_time", "trip_key")
+    if earliest is not None:
+        conn = conn.filter(F.col("dp_time") >= F.lit(earliest).cast("timestamp_ntz"))
     c = _prepare(conn)
-    known = (connections.select(F.col("src").alias("station_name")).union(connections.select("dst"))
-             .filter(F.col("station_name") == F.lit(source)).distinct())
+    known = req.join(_nodes(connections), F.col("source") == F.col("station_name"), "left_semi")
     none_s = F.lit(None).cast("string")
-    best = known.select("station_name", dep.alias("earliest_arrival"), F.lit(0).alias("round"),
+    best = known.select("source", "departure", F.col("source").alias("station_name"),
+                        F.col("departure").alias("earliest_arrival"), F.lit(0).alias("round"),
                         none_s.alias("prev"), F.lit(None).cast("timestamp_ntz").alias("prev_departure"),
                         none_s.alias("prev_trip")).checkpoint()
     frontier = best
     n = frontier.count()
     rnd = 0
+    key = REQUEST_KEY + ["station_name"]
     while n > 0:
         rnd += 1
         t0 = time.perf_counter()
-        reach = (_maybe_broadcast(frontier.select("station_name", "earliest_arrival"), n,
-                                  max_broadcast_rows).alias("f")
-                 .join(c.alias("c"), (F.col("f.station_name") == F.col("c.src"))
-                       & (F.col("c.dp_time") >= F.col("f.earliest_arrival")))
-                 .groupBy(F.col("c.dst").alias("station_name"))
+        f = _maybe_broadcast(frontier.select(*REQUEST_KEY, "station_name", "earliest_arrival"), n,
+                             max_broadcast_rows).alias("f")
+        reach = (f.join(c.alias("c"), (F.col("f.station_name") == F.col("c.src"))
+                        & (F.col("c.dp_time") >= F.col("f.earliest_arrival")))
+                 .groupBy(F.col("f.source").alias("source"), F.col("f.departure").alias("departure"),
+                          F.col("c.dst").alias("station_name"))
                  .agg(F.min(F.struct(F.col("c.ar_time").alias("a"), F.col("c.dp_time").alias("d"),
                                      F.col("c.src").alias("u"), F.col("c.trip_key").alias("t"))).alias("m")))
-        improved = (reach.join(best.select("station_name", "earliest_arrival"), "station_name", "left")
+        improved = (reach.join(best.select(*key, "earliest_arrival"), key, "left")
                     .filter(F.col("earliest_arrival").isNull() | (F.col("m.a") < F.col("earliest_arrival")))
-                    .select("station_name", F.col("m.a").alias("earliest_arrival"), F.lit(rnd).alias("round"),
+                    .select(*key, F.col("m.a").alias("earliest_arrival"), F.lit(rnd).alias("round"),
                             F.col("m.u").alias("prev"), F.col("m.d").alias("prev_departure"),
                             F.col("m.t").alias("prev_trip"))
                     ).checkpoint()
         n = improved.count()
         log.debug("earliest-arrival round %d: %d improved, %.2fs", rnd, n, time.perf_counter() - t0)
         if n:
-            best = (best.join(improved.select("station_name"), "station_name", "left_anti")
-                    .unionByName(improved)).checkpoint()
+            # improved rows replace the old ones (a full outer join on the
+            # request key: no union, whose constraint propagation over
+            # checkpointed inputs trips Spark's planner)
+            rest = [c for c in best.columns if c not in key]
+            j = best.alias("b").join(improved.alias("i"), key, "full_outer")
+            hit = F.col("i.round").isNotNull()
+            best = j.select(*key, *[F.when(hit, F.col(f"i.{c}")).otherwise(F.col(f"b.{c}")).alias(c)
+                                    for c in rest]).checkpoint()
             frontier = improved
     return best
 
 
+def earliest_arrivals(connections: DataFrame, source: str, departure: datetime | str,
+                      max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Earliest arrival at every station reachable from one ``source``
+    leaving at ``departure``: ``station_name, earliest_arrival, round,
+    prev, prev_departure, prev_trip``."""
+    spark = connections.sparkSession
+    req = _param_frame(spark, [(source,)], "source string").select(
+        "source", _ntz_literal(departure).alias("departure"))
+    return earliest_arrivals_batch(connections, req, max_broadcast_rows).drop(*REQUEST_KEY)
+
+
+def arrival_paths(best: DataFrame, targets: DataFrame, key=tuple(REQUEST_KEY)) -> DataFrame:
+    """Walk ``prev`` links back from each target, all requests at once:
+    ``targets`` has ``key`` columns and ``target``; returns ``key, target,
+    earliest_arrival, path`` (unreachable targets are left out).
+
+    Each round is one join of the open walks with ``best``; the number of
+    rounds is the longest path's hop count."""
+    key = list(key)
+    b = best.select(*key, "station_name", "earliest_arrival", "prev")
+    walks = (targets.join(b.withColumnRenamed("station_name", "target"), key + ["target"])
+             .select(*key, "target", "earliest_arrival", F.array("target").alias("path"),
+                     F.col("prev").alias("_at")).checkpoint())
+    done = [walks.filter(F.col("_at").isNull())]
+    walks = walks.filter(F.col("_at").isNotNull())
+    while walks.count() > 0:
+        step = (walks.join(b.select(*key, F.col("station_name").alias("_at"), F.col("prev").alias("_next")),
+                           key + ["_at"])
+                .select(*key, "target", "earliest_arrival", F.concat("path", F.array("_at")).alias("path"),
+                        F.col("_next").alias("_at")).checkpoint())
+        done.append(step.filter(F.col("_at").isNull()))
+        walks = step.filter(F.col("_at").isNotNull())
+    out = _union(done)
+    return out.select(*key, "target", "earliest_arrival", F.reverse("path").alias("path"))
+
+
 def earliest_arrival(connections: DataFrame, source: str, target: str, departure,
                      max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Q8: earliest arrival at ``target`` and one path achieving it:
-    ``earliest_arrival, path`` (one row; empty when unreachable).
-
-    The path follows the ``prev`` links back from the target: one lookup
-    per hop on the checkpointed result (a path has at most as many hops as
-    the search had rounds)."""
-    best = earliest_arrivals(connections, source, departure, max_broadcast_rows)
-    spark = best.sparkSession
-    schema = "earliest_arrival timestamp_ntz, path array<string>"
-    rows = best.filter(F.col("station_name") == F.lit(target)).select("earliest_arrival", "prev").collect()
-    if not rows:
-        return spark.createDataFrame([], schema)
-    arrival, prev = rows[0]["earliest_arrival"], rows[0]["prev"]
-    path = [target]
-    while prev is not None:
-        path.append(prev)
-        prev = best.filter(F.col("station_name") == F.lit(prev)).select("prev").first()["prev"]
-    path.reverse()
-    return spark.createDataFrame([(arrival, path)], schema)
+    ``earliest_arrival, path`` (one row; empty when unreachable)."""
+    spark = connections.sparkSession
+    req = _param_frame(spark, [(source, target)], "source string, target string").select(
+        "source", _ntz_literal(departure).alias("departure"), "target")
+    best = earliest_arrivals_batch(connections, req.select(*REQUEST_KEY), max_broadcast_rows)
+    return arrival_paths(best, req).select("earliest_arrival", "path")

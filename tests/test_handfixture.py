@@ -189,3 +189,30 @@ def test_nearest_grid_matches_broadcast_on_driver_tables(spark):
     a = nearest_stations(pts, st).select("point_id", "name")
     b = nearest_stations(pts, st, max_broadcast=0).select("point_id", "name")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_batch_bfs_equals_single_runs(rail, spark):
+    edges = G.trip_edges(rail.movements_max)
+    req = spark.createDataFrame([(A, None), (O, S), (W, A), ("Nowhere", None)], "source string, target string")
+    got = {(r.source, r.station_name): (r.hops, r.path) for r in G.shortest_paths_batch(edges, req).collect()}
+    want = {(A, r.station_name): (r.hops, r.path) for r in G.shortest_paths(edges, A).collect()}
+    want.update({(O, r.station_name): (r.hops, r.path) for r in G.shortest_paths(edges, O, S).collect()})
+    assert got == want                     # W -> A unreachable, unknown source: nothing
+
+
+def test_batch_earliest_arrival_equals_single_runs(rail, spark):
+    conns = G.timed_connections(rail.movements_max)
+    deps = ["2025-09-02 07:00:00", "2025-09-02 07:01:00", "2025-09-02 17:00:00"]
+    req = spark.createDataFrame([(A, d) for d in deps] + [(O, deps[0])], "source string, departure string")
+    best = G.earliest_arrivals_batch(conns, req)
+    for src, dep in [(A, d) for d in deps] + [(O, deps[0])]:
+        one = {r.station_name: r.earliest_arrival for r in G.earliest_arrivals(conns, src, dep).collect()}
+        many = {r.station_name: r.earliest_arrival for r in
+                best.filter((F.col("source") == src) & (F.col("departure") == F.lit(dep).cast("timestamp_ntz"))).collect()}
+        assert one == many
+    targets = spark.createDataFrame([(A, deps[0], S), (A, deps[0], W), (A, deps[1], S)],
+                                    "source string, departure string, target string").select(
+        "source", F.col("departure").cast("timestamp_ntz").alias("departure"), "target")
+    paths = {(r.target): (r.earliest_arrival, r.path) for r in
+             G.arrival_paths(best, targets).filter(F.col("departure") == F.lit(deps[0]).cast("timestamp_ntz")).collect()}
+    assert paths == {S: (datetime(2025, 9, 2, 7, 40), [A, O, S]), W: (datetime(2025, 9, 2, 7, 20), [A, O, W])}
