@@ -261,6 +261,14 @@ def earliest_arrival(spark, d):
     return best.select("station_name", "earliest_arrival")
 
 
+def earliest_arrival_all(spark, d):
+    """Batch form: every station of the timed graph as a source, one loop."""
+    conns = G.timed_connections(A.timed_movements(spark, d))
+    req = conns.select(F.col("src").alias("source")).distinct().select(
+        "source", F.lit(DEPARTURE).cast("timestamp_ntz").alias("departure"))
+    return G.earliest_arrivals_batch(conns, req).select("source", "station_name", "earliest_arrival")
+
+
 QUERIES = {
     "snapshot_parse": snapshot_parse,
     "parse_stop_id": parse_stop_id,
@@ -294,4 +302,5 @@ QUERIES = {
     "edge_connections": edge_connections,
     "shortest_path": shortest_path,
     "earliest_arrival": earliest_arrival,
+    "earliest_arrival_all": earliest_arrival_all,
 }

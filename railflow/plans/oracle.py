@@ -402,3 +402,15 @@ ea(station_name, earliest_arrival) USING KEY (station_name) AS (
   WHERE NOT EXISTS (SELECT 1 FROM recurring.ea x WHERE x.station_name = c.dst AND x.earliest_arrival <= c.ar_time)
   GROUP BY c.dst)
 SELECT station_name, earliest_arrival FROM ea"""
+
+SQL["earliest_arrival_all"] = "WITH RECURSIVE " + CONNS + """,
+c AS (SELECT * FROM tc WHERE dp_time >= TIMESTAMP '2024-01-01 00:00:00'),
+ea(source, station_name, earliest_arrival) USING KEY (source, station_name) AS (
+  SELECT DISTINCT src, src, TIMESTAMP '2024-01-01 00:00:00' FROM tc
+  UNION
+  SELECT r.source, c.dst, min(c.ar_time)
+  FROM ea r JOIN c ON c.src = r.station_name AND c.dp_time >= r.earliest_arrival
+  WHERE NOT EXISTS (SELECT 1 FROM recurring.ea x
+                    WHERE x.source = r.source AND x.station_name = c.dst AND x.earliest_arrival <= c.ar_time)
+  GROUP BY r.source, c.dst)
+SELECT source, station_name, earliest_arrival FROM ea"""
