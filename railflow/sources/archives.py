@@ -65,7 +65,8 @@ def _untar_path(batches):
         for pdf in batches:
             for path in pdf["path"]:
                 filesystem, inner = pafs.FileSystem.from_uri(path)
-                with filesystem.open_input_stream(inner) as stream:
+                # raw bytes: tarfile does the gunzip (pyarrow would by extension)
+                with filesystem.open_input_stream(inner, compression=None) as stream:
                     yield from _members(stream, path)
     yield from _batched(rows())
 
