@@ -48,3 +48,28 @@ def test_split_stop_id_matches_rsplit(spark, ids):
             assert (r.trip_key, r.stop_index) == (m.group(1), int(m.group(2)))
         else:
             assert r.stop_index is None or r.trip_key is None
+
+
+def _forward(raw, lookup, prefix):
+    # the rule stated directly: first present of four spellings
+    cands = [raw, re.sub("^" + re.escape(prefix) + "([- ]?)", "", raw), f"{prefix}-{raw}", f"{prefix} {raw}"]
+    for c in cands:
+        if c in lookup:
+            return lookup[c]
+    return None
+
+
+_PIECE = st.sampled_from(["B", "-", " ", "x", "Bx", "B-", "B "])
+_NAME = st.lists(_PIECE, min_size=0, max_size=4).map("".join)
+
+
+@settings(max_examples=8, deadline=None)
+@given(names=st.lists(_NAME, min_size=1, max_size=12, unique=True), raws=st.lists(_NAME, min_size=1, max_size=30))
+def test_inverted_lookup_equals_forward_rule(spark, names, raws):
+    from railflow.operators.names import lookup_table, resolve_names
+    stations = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "name string, eva_number int")
+    lookup = {n: i for i, n in enumerate(names)}
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(raws)], "k int, raw string")
+    got = {r.k: r.resolved_id for r in resolve_names(df, "raw", lookup_table(stations), "B").collect()}
+    want = {i: _forward(r, lookup, "B") for i, r in enumerate(raws)}
+    assert got == want
