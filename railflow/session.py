@@ -43,8 +43,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder of this session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (local tests) a fresh scratch folder is
-    created for this process.
+    as is (an unset value is an error there).  Only in local mode, when it
+    is unset, a fresh scratch folder is created for this process.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +52,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # a machine-local folder is not readable by other executors
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(iterative searches and dense keys checkpoint there)")
         configured = tempfile.mkdtemp(prefix="railflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
