@@ -47,3 +47,22 @@ def test_archive_path_mode_equals_content_mode(spark, rail):
     a = read_archives(spark, glob, mode="content").select("member", "xml")
     b = read_archives(spark, glob, mode="path").select("member", "xml")
     assert a.count() == 10 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_members_without_snapshot_are_quarantined(spark):
+    from railflow.sources.timetables import change_elements_from_xml, malformed_documents, parse_changes
+    from tests.handfixture import write_tar
+    root = tempfile.mkdtemp(prefix="railflow-q-")
+    good = '<timetable station="X" eva="7"><s id="1-2509020700-1"><ar ct="2509020701"/></s></timetable>'
+    write_tar(f"{root}/w.tar.gz", {
+        "2509020715/X/changes.xml": good,
+        "incoming/X/changes.xml": good,                       # no YYMMDDHHMM folder
+        "2509020730/X/broken.xml": '<timetable station="X"><s id="2">',
+        "2509020745/X/empty.xml": '<timetable station="X" eva="7"/>',
+    })
+    docs = read_archives(spark, f"{root}/*.tar.gz")
+    rows = parse_changes(docs).collect()
+    assert [(r.stop_id, r.eva_raw) for r in rows] == [("1-2509020700-1", 7)]
+    bad = sorted(r.member for r in malformed_documents(docs, "change").collect())
+    assert bad == ["2509020730/X/broken.xml", "incoming/X/changes.xml"]
+    assert change_elements_from_xml(docs).count() == 1
