@@ -22,6 +22,7 @@ from __future__ import annotations
 import functools
 import logging
 import time
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Window
@@ -127,10 +128,44 @@ def _truncate_ntz(col: str, unit: str):
     return F.date_trunc(unit, c).cast("timestamp_ntz")
 
 
-def _prepare(edges: DataFrame) -> DataFrame:
-    """Checkpoint the search's edge side once, in balanced partitions."""
-    ensure_checkpoint_dir(edges.sparkSession)
-    return edges.repartition(edges.sparkSession.sparkContext.defaultParallelism).checkpoint(eager=True)
+def _bucket(col: str, buckets: int):
+    return F.pmod(F.xxhash64(F.col(col)), F.lit(buckets)).cast("int")
+
+
+def _prepare(edges: DataFrame, buckets: int | None = None) -> DataFrame:
+    """The search's edge side, materialized once.
+
+    Default: checkpointed in balanced (round-robin) partitions.
+    ``buckets=N``: written as a table in the session's checkpoint folder,
+    partitioned by ``_b`` = hash(src) mod N.  Each round then reads only
+    the bucket folders its frontier touches (``_touched``: at most N bucket
+    ids, a partition filter) and joins on the bucket too, instead of
+    scanning the whole table -- for very large timetables with narrow
+    frontiers."""
+    spark = edges.sparkSession
+    folder = ensure_checkpoint_dir(spark)
+    if not buckets:
+        return edges.repartition(spark.sparkContext.defaultParallelism).checkpoint(eager=True)
+    path = f"{folder.rstrip('/')}/railflow-search-{uuid.uuid4().hex}"
+    edges.withColumn("_b", _bucket("src", buckets)).write.partitionBy("_b").parquet(path)
+    return spark.read.parquet(path)
+
+
+def _probe(frontier: DataFrame, buckets: int | None) -> DataFrame:
+    return frontier.withColumn("_fb", _bucket("station_name", buckets)) if buckets else frontier
+
+
+def _touched(table: DataFrame, probe: DataFrame, buckets: int | None) -> DataFrame:
+    """The bucket folders of ``table`` this round needs (partition pruning)."""
+    if not buckets:
+        return table
+    ids = [r[0] for r in probe.select("_fb").distinct().collect()]   # at most ``buckets`` values
+    return table.filter(F.col("_b").isin(ids))
+
+
+def _on_station(frontier_station, edge_src, buckets: int | None):
+    cond = frontier_station == edge_src
+    return cond & (F.col("_fb") == F.col("_b")) if buckets else cond
 
 
 def _maybe_broadcast(df: DataFrame, rows: int, limit: int) -> DataFrame:
@@ -147,7 +182,8 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def shortest_paths_batch(edges: DataFrame, requests: DataFrame,
-                         max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                         max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                         buckets: int | None = None) -> DataFrame:
     """Breadth-first search for many requests in one loop.
 
     ``requests``: ``source`` and optionally ``target``.  Returns ``source,
@@ -158,8 +194,9 @@ def shortest_paths_batch(edges: DataFrame, requests: DataFrame,
     best path to a station extends the best path to one of its
     predecessors, so ``min(path)`` per (source, station) per round is exact.
 
-    State is keyed by (source, station): one round serves every request."""
-    e = _prepare(edges.select("src", "dst").distinct())
+    State is keyed by (source, station): one round serves every request.
+    ``buckets``: see ``_prepare`` (partition-pruned edge reads)."""
+    e = _prepare(edges.select("src", "dst").distinct(), buckets)
     has_target = "target" in requests.columns
     req = requests.select("source", F.col("target") if has_target else F.lit(None).cast("string").alias("target"))
     req = req.filter(F.col("source").isNotNull()).distinct().checkpoint()
@@ -167,9 +204,11 @@ def shortest_paths_batch(edges: DataFrame, requests: DataFrame,
     explore_all = req.filter(F.col("target").isNull()).select("source").distinct()
     seeds = (req.select("source").distinct()
              .join(_nodes(e), F.col("source") == F.col("station_name"), "left_semi"))
-    frontier = seeds.select("source", F.col("source").alias("station_name"),
+    # ``hops`` is stored in every checkpointed level (a real column, not a
+    # literal over the plan), so the union of levels plans cleanly
+    frontier = seeds.select("source", F.col("source").alias("station_name"), F.lit(0).alias("hops"),
                             F.array("source").alias("path")).checkpoint()
-    levels = [frontier.select("source", "station_name", F.lit(0).alias("hops"), "path")]
+    levels = [frontier]
     n = frontier.count()
     prune = targeted.count() > 0       # early stop only matters for targeted requests
     level = 0
@@ -185,17 +224,19 @@ def shortest_paths_batch(edges: DataFrame, requests: DataFrame,
             if n == 0:
                 break
         level += 1
-        step = (_maybe_broadcast(frontier, n, max_broadcast_rows)
-                .join(e, F.col("station_name") == F.col("src"))
+        probe = _probe(frontier, buckets)
+        step = (_maybe_broadcast(probe, n, max_broadcast_rows)
+                .join(_touched(e, probe, buckets), _on_station(F.col("station_name"), F.col("src"), buckets))
                 .select("source", F.col("dst").alias("station_name"),
                         F.concat("path", F.array("dst")).alias("path")))
         step = step.join(reached, ["source", "station_name"], "left_anti")
         t0 = time.perf_counter()
-        frontier = step.groupBy("source", "station_name").agg(F.min("path").alias("path")).checkpoint()
+        frontier = (step.groupBy("source", "station_name").agg(F.min("path").alias("path"))
+                    .select("source", "station_name", F.lit(level).alias("hops"), "path").checkpoint())
         n = frontier.count()
         log.debug("bfs round %d: %d new (source, station) pairs, %.2fs", level, n, time.perf_counter() - t0)
         if n:
-            levels.append(frontier.select("source", "station_name", F.lit(level).alias("hops"), "path"))
+            levels.append(frontier)
             if len(levels) >= 16:     # deep searches: keep the union shallow
                 levels = [_union(levels).checkpoint()]
     found = _union(levels).select("source", "station_name", F.col("hops").cast("int").alias("hops"), "path")
@@ -211,12 +252,13 @@ def _param_frame(spark, rows: list[tuple], schema: str) -> DataFrame:
 
 
 def shortest_paths(edges: DataFrame, source: str, target: str | None = None,
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                   buckets: int | None = None) -> DataFrame:
     """Q7: fewest-hop paths from one ``source``: ``station_name, hops, path``
     for every reached station, or only ``target`` (the search then stops
     once it is reached; empty when unreachable or unknown)."""
     req = _param_frame(edges.sparkSession, [(source, target)], "source string, target string")
-    return shortest_paths_batch(edges, req, max_broadcast_rows).drop("source")
+    return shortest_paths_batch(edges, req, max_broadcast_rows, buckets).drop("source")
 
 
 def _ntz_literal(value):
@@ -228,7 +270,8 @@ REQUEST_KEY = ["source", "departure"]
 
 
 def earliest_arrivals_batch(connections: DataFrame, requests: DataFrame,
-                            max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                            max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                            buckets: int | None = None) -> DataFrame:
     """Earliest arrivals for many ``(source, departure)`` requests in one loop.
 
     Returns ``source, departure, station_name, earliest_arrival, round,
@@ -252,7 +295,7 @@ def earliest_arrivals_batch(connections: DataFrame, requests: DataFrame,
     conn = connections.select("src", "dst", "dp_time", "ar_time", "trip_key")
     if earliest is not None:
         conn = conn.filter(F.col("dp_time") >= F.lit(earliest).cast("timestamp_ntz"))
-    c = _prepare(conn)
+    c = _prepare(conn, buckets)
     known = req.join(_nodes(connections), F.col("source") == F.col("station_name"), "left_semi")
     none_s = F.lit(None).cast("string")
     best = known.select("source", "departure", F.col("source").alias("station_name"),
@@ -266,9 +309,10 @@ def earliest_arrivals_batch(connections: DataFrame, requests: DataFrame,
     while n > 0:
         rnd += 1
         t0 = time.perf_counter()
-        f = _maybe_broadcast(frontier.select(*REQUEST_KEY, "station_name", "earliest_arrival"), n,
-                             max_broadcast_rows).alias("f")
-        reach = (f.join(c.alias("c"), (F.col("f.station_name") == F.col("c.src"))
+        probe = _probe(frontier.select(*REQUEST_KEY, "station_name", "earliest_arrival"), buckets)
+        f = _maybe_broadcast(probe, n, max_broadcast_rows).alias("f")
+        reach = (f.join(_touched(c, probe, buckets).alias("c"),
+                        _on_station(F.col("f.station_name"), F.col("c.src"), buckets)
                         & (F.col("c.dp_time") >= F.col("f.earliest_arrival")))
                  .groupBy(F.col("f.source").alias("source"), F.col("f.departure").alias("departure"),
                           F.col("c.dst").alias("station_name"))
@@ -296,14 +340,15 @@ def earliest_arrivals_batch(connections: DataFrame, requests: DataFrame,
 
 
 def earliest_arrivals(connections: DataFrame, source: str, departure: datetime | str,
-                      max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                      max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                      buckets: int | None = None) -> DataFrame:
     """Earliest arrival at every station reachable from one ``source``
     leaving at ``departure``: ``station_name, earliest_arrival, round,
     prev, prev_departure, prev_trip``."""
     spark = connections.sparkSession
     req = _param_frame(spark, [(source,)], "source string").select(
         "source", _ntz_literal(departure).alias("departure"))
-    return earliest_arrivals_batch(connections, req, max_broadcast_rows).drop(*REQUEST_KEY)
+    return earliest_arrivals_batch(connections, req, max_broadcast_rows, buckets).drop(*REQUEST_KEY)
 
 
 def arrival_paths(best: DataFrame, targets: DataFrame, key=tuple(REQUEST_KEY)) -> DataFrame:
