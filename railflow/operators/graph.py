@@ -4,12 +4,16 @@ Graphs are edge DataFrames.  Consecutive stops of a trip are paired by
 ``next_in_group``: a ``lead`` over windows of one trip *and one range of
 stop indexes*, so a trip with very many stops is spread over many tasks;
 the pairs that cross a range boundary are stitched from the first row of
-each range (a partial aggregation, then a window over ranges only).
-
-Both searches are frontier loops whose every round is a Spark job:
-frontier -> join edges/connections -> min per node -> improvement test.
-The edge side is checkpointed once with balanced (round-robin) partitions,
-so a station with a huge out-degree is spread over all tasks.  The
+each range (taken from the same window output, then a window over the
+ranges of a trip only).
+
+Both searches are batch frontier loops keyed by (request, station), so one
+round serves every request: frontier -> join edges/connections -> min per
+(request, station) -> improvement test.  The edge side is checkpointed
+once with balanced (round-robin) partitions, so a station with a huge
+out-degree is spread over all tasks; with ``buckets=N`` it is instead
+written partitioned by station bucket and each round reads only the
+bucket folders its frontier touches.  The
 frontier is broadcast only after its row count (needed anyway to stop the
 loop) shows it is within ``max_broadcast_rows``; beyond that the round is
 a shuffle join (AQE splits skewed partitions).  Every round's state is
