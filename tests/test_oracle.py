@@ -4,6 +4,7 @@ tables (the driver's correctness gate, run locally at sf0.001)."""
 import pytest
 
 import __spark_entry__ as entry
+from railflow.plans import catalog
 from tests.oracle_check import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -14,7 +15,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_oracle(spark, con, name):
     sql = entry.oracle_sql().get(name)
     assert sql is not None, f"{name} has no oracle"
