@@ -50,6 +50,14 @@ def stage(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def words_of(text: Column) -> Column:
     """Array of words (see WORD_GAP); empty for null or blank text."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_GAP), lambda w: w != "")

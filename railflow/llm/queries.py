@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railflow.llm import bpe, oracles, sharding, tokens, urls
+from railflow.llm import bpe, oracles, quality, sharding, tokens, urls
 from railflow.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op2_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return tokens.count_tokens(table(spark, d, "documents"), "doc_id", "text")
 
 
+def op3_quality_trees(spark: SparkSession, d: str) -> DataFrame:
+    return quality.judge(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 def op5_bpe_transducer(spark: SparkSession, d: str) -> DataFrame:
     return bpe.encode_digests(table(spark, d, "documents"), "doc_id", "text")
 
@@ -37,6 +41,7 @@ def op8_url_filter(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "op1_shard_interleave": op1_shard_interleave,
     "op2_token_counts": op2_token_counts,
+    "op3_quality_trees": op3_quality_trees,
     "op5_bpe_transducer": op5_bpe_transducer,
     "op8_url_filter": op8_url_filter,
 }
