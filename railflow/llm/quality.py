@@ -122,7 +122,7 @@ class Trees:
 
 
 def fit(rows: np.ndarray, good: np.ndarray, signs: list[int], n_trees: int = 60, depth: int = 3,
-        rate: float = 0.2, n_bins: int = 48, ridge: float = 1.0, least: float = 4.0) -> Trees:
+        rate: float = 0.2, n_bins: int = 48, ridge: float = 1.0, least: float = 1.0) -> Trees:
     """Boost regression trees on the logistic loss.  A split of a feature with a
     sign must order its children's values by that sign, and the middle of the two
     bounds all values below, so the sum of the trees is monotonic too."""
