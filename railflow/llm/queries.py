@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railflow.llm import bpe, oracles, quality, sharding, tokens, urls
+from railflow.llm import bpe, neardup, oracles, quality, sharding, tokens, urls
 from railflow.llm.common import table
 
 
@@ -38,12 +38,17 @@ def op8_url_filter(spark: SparkSession, d: str) -> DataFrame:
     return urls.judge(pages, listed_urls(pages))
 
 
+def op10_hyperminhash_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, d, "documents"))
+
+
 QUERIES = {
     "op1_shard_interleave": op1_shard_interleave,
     "op2_token_counts": op2_token_counts,
     "op3_quality_trees": op3_quality_trees,
     "op5_bpe_transducer": op5_bpe_transducer,
     "op8_url_filter": op8_url_filter,
+    "op10_hyperminhash_dedup": op10_hyperminhash_dedup,
 }
 
 ORACLE_SQL = {k: v for k, v in oracles.SQL.items() if k in QUERIES}
