@@ -13,8 +13,9 @@ of 64.  Four registers fill one long, so the 32 longs of a sketch are also its
    bucket's smallest node, then, where a bucket still spans several components,
    with its largest.
 3. What then remains of a bucket outside its largest component is compared with
-   the bucket's other components: every candidate pair that could still change
-   a component is looked at, so no link is lost to the stars.
+   the bucket's other components, in blocks of bounded size: every candidate
+   pair that could still change a component is looked at, so no link is lost to
+   the stars, and only pairs that pass the estimate leave the worker.
 4. Candidates pass a collision-corrected estimate of the Jaccard index, five
    standard errors below the threshold, then an exact check on the full sets.
 5. Components grow by smallest label with pointer jumping.
@@ -48,6 +49,7 @@ MANTISSA_BITS = 10
 SKETCH = [f"b{j}" for j in range(BANDS)]
 CHUNK = 1 << 15            # shingles permuted at a time
 KEPT_WORDS = 500_000       # word hashes remembered by a worker
+BLOCK = 4096               # members of a bucket compared at a time
 DEVIATIONS = 5             # of the estimate below the threshold
 
 
@@ -145,34 +147,60 @@ def _set_of(text: Column, k: int) -> Column:
     return run(text)
 
 
-def _same_registers(left: str, right: str) -> Column:
-    """Number of equal 16-bit lanes of two sketches.  Short, repeated terms:
-    the generated method must stay small enough to be compiled."""
-    equal = F.lit(0)
-    for b in SKETCH:
-        differ = F.col(f"{left}.{b}").bitwiseXOR(F.col(f"{right}.{b}"))
-        for lane in range(LANES):
-            mask = 0xFFFF << (16 * lane)
-            mask -= 1 << 64 if mask >> 63 else 0
-            equal = equal + F.when(differ.bitwiseAND(F.lit(mask)) == 0, 1).otherwise(0)
-    return equal
-
-
-def _estimate(left: str, right: str) -> Column:
-    """Jaccard estimate without the registers that agree by chance: two
-    independent minima of n and m values share a bin of relative width
-    2^-MANTISSA_BITS with probability 0.7213 * 2^-MANTISSA_BITS * nm / (n + m)^2."""
-    n, m = F.col(f"{left}.n").cast("double"), F.col(f"{right}.n").cast("double")
-    chance = F.lit(0.7213 / 2 ** MANTISSA_BITS) * n * m / ((n + m) * (n + m))
-    return (_same_registers(left, right) / F.lit(float(REGISTERS)) - chance) / (1 - chance)
-
-
-def _possible(left: str, right: str, percent: int) -> Column:
+def _slack(percent: int) -> float:
     t = percent / 100
-    slack = DEVIATIONS * (t * (1 - t) / REGISTERS) ** 0.5
-    n, m = F.col(f"{left}.n"), F.col(f"{right}.n")
-    sizes = F.least(n, m) * 100 >= F.greatest(n, m) * percent
-    return sizes & (_estimate(left, right) >= t - slack)
+    return t - DEVIATIONS * (t * (1 - t) / REGISTERS) ** 0.5
+
+
+def estimate(n: np.ndarray, m: np.ndarray, same: np.ndarray) -> np.ndarray:
+    """Jaccard estimate from the number of equal registers, without those that
+    agree by chance: two independent minima of n and m values share a bin of
+    relative width 2^-MANTISSA_BITS with probability
+    0.7213 * 2^-MANTISSA_BITS * nm / (n + m)^2."""
+    n, m = np.asarray(n, float), np.asarray(m, float)
+    chance = 0.7213 / 2 ** MANTISSA_BITS * n * m / ((n + m) * (n + m))
+    return (same / REGISTERS - chance) / (1 - chance)
+
+
+def _possible(percent: int) -> Column:
+    """Whether the sketches of a pair (l, r) allow a link."""
+    least = _slack(percent)
+
+    @F.arrow_udf("boolean")
+    def run(n: pa.Array, left: pa.Array, m: pa.Array, right: pa.Array) -> pa.Array:
+        n, m = n.to_numpy(zero_copy_only=False), m.to_numpy(zero_copy_only=False)
+        same = (_registers(left) == _registers(right)).sum(axis=1)
+        sizes = np.minimum(n, m) * 100 >= np.maximum(n, m) * percent
+        return pa.array(sizes & (estimate(n, m, same) >= least))
+    return run("l.n", "l.bands", "r.n", "r.bands")
+
+
+def _registers(bands: pa.Array) -> np.ndarray:
+    return bands.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint16).reshape(-1, REGISTERS)
+
+
+def _block_pairs(group: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Possible pairs (a, b) of different labels in one group of blocks; one
+    member at least is outside the bucket's largest component."""
+    node, label, top, block, n = (group.column(c).to_numpy() for c in ("node", "label", "top", "block", "n"))
+    registers = _registers(group.column("bands").combine_chunks())
+    several, least = len(np.unique(block)) > 1, _slack(percent)
+    first, second = [], []
+    for i in np.flatnonzero(label != top):
+        ok = (label != label[i]) & ((label == top) | (node > node[i]))
+        ok &= np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * percent
+        if several:            # pairs inside a block are found in that block's own group
+            ok &= block != block[i]
+        at = np.flatnonzero(ok)
+        if len(at):
+            same = (registers[at] == registers[i]).sum(axis=1)
+            at = at[estimate(n[at], n[i], same) >= least]
+            first.append(np.full(len(at), node[i]))
+            second.append(node[at])
+    if not first:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    a, b = np.concatenate(first), np.concatenate(second)
+    return np.minimum(a, b), np.maximum(a, b)
 
 
 def components(edges: DataFrame, label: str) -> DataFrame:
@@ -195,6 +223,11 @@ def components(edges: DataFrame, label: str) -> DataFrame:
             return labels
 
 
+def _pair_batch(slices: list[pa.RecordBatch], percent: int) -> pa.RecordBatch:
+    a, b = _block_pairs(pa.Table.from_batches(slices), percent)
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
 class NearDuplicates:
     """The staged tables of one run: sketches, nodes and component labels."""
 
@@ -206,14 +239,15 @@ class NearDuplicates:
         self.rows = stage(self.spark, sketched, "neardup-rows")
         nodes = self.rows.where("n > 0").groupBy("digest").agg(
             F.min("doc_id").alias("rep"), F.first("n").alias("n"), *[F.first(b).alias(b) for b in SKETCH])
-        nodes = nodes.sort(F.col("rep").asc_nulls_last(), "digest").withColumn("node", F.monotonically_increasing_id())
+        nodes = nodes.sort(F.col("rep").asc_nulls_last(), "digest").select(
+            F.monotonically_increasing_id().alias("node"), "digest", "rep", "n", F.array(*SKETCH).alias("bands"))
         self.nodes = stage(self.spark, nodes, "neardup-nodes")
         self.labels = self._link()
 
     def _link(self) -> DataFrame:
         """(node, label) of the nodes that have a link."""
         spark = self.spark
-        band = F.explode(F.array(*[F.xxhash64(F.lit(j), F.col(b)) for j, b in enumerate(SKETCH)]))
+        band = F.explode(F.array(*[F.xxhash64(F.lit(j), F.col("bands")[j]) for j in range(BANDS)]))
         keys = self.nodes.select("node", band.alias("key"))
         shared = keys.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("first"),
                                          F.max("node").alias("last")).where("size > 1")
@@ -244,8 +278,8 @@ class NearDuplicates:
         """Pairs (a, b) whose full sets reach the threshold."""
         if not estimated:
             left, right = self.nodes.alias("l"), self.nodes.alias("r")
-            pairs = pairs.join(left, F.col("a") == F.col("l.node")).join(
-                right, (F.col("b") == F.col("r.node")) & _possible("l", "r", self.percent)).select("a", "b")
+            pairs = pairs.join(left, F.col("a") == F.col("l.node")).join(right, F.col("b") == F.col("r.node")).where(
+                _possible(self.percent)).select("a", "b")
         one, two = self.sets.alias("s1"), self.sets.alias("s2")
         both = pairs.join(one, F.col("b") == F.col("s1.node")).join(two, F.col("a") == F.col("s2.node"))
         common = F.size(F.array_intersect("s1.members", "s2.members"))
@@ -266,13 +300,35 @@ class NearDuplicates:
         outside a bucket's largest component against all other components."""
         mixed = stage(self.spark, mixed.select("key", "node", "label"), "neardup-mixed")
         sizes = mixed.groupBy("key", "label").agg(F.count("*").alias("size"))
-        top = sizes.groupBy("key").agg(F.max_by("label", F.struct("size", "label")).alias("top"))
-        sketched = mixed.join(self.nodes.select("node", "n", *SKETCH), "node").join(top, "key")
-        small, other = sketched.where("label != top").alias("l"), sketched.alias("r")
-        differ = (F.col("l.key") == F.col("r.key")) & (F.col("l.label") != F.col("r.label")) & (
-            (F.col("r.label") == F.col("r.top")) | (F.col("l.node") < F.col("r.node")))
-        pairs = small.join(other, differ & _possible("l", "r", self.percent))
-        return pairs.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct()
+        top = sizes.groupBy("key").agg(F.max_by("label", F.struct("size", "label")).alias("top"),
+                                       F.ceil(F.sum("size") / BLOCK).cast("int").alias("blocks"))
+        # a bucket of several blocks is compared block by block: each row meets every block
+        rows = mixed.join(top, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        rows = rows.join(self.nodes.select("node", "n", "bands"), "node").select(
+            "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+            "node", "label", "top", "block", "n", "bands")
+        percent, by = self.percent, ["key", "low", "high"]
+
+        def pairs(batches):
+            held, held_key = [], None
+            for batch in batches:
+                keys = np.stack([batch.column(c).to_numpy() for c in by], axis=1)
+                cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+                for low, high in zip(cuts, cuts[1:]):
+                    if low == high:
+                        continue
+                    key = tuple(keys[low])
+                    if held and key != held_key:
+                        yield _pair_batch(held, percent)
+                        held = []
+                    held.append(batch.slice(low, high - low))
+                    held_key = key
+            if held:
+                yield _pair_batch(held, percent)
+
+        found = rows.repartition(*by).sortWithinPartitions(*by).mapInArrow(pairs, "a long, b long")
+        return found.distinct()
 
     def result(self) -> DataFrame:
         """Per document: doc_id, n_shingles, component_id, kept, and whether
