@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railflow.llm import bpe, neardup, oracles, quality, sharding, tokens, urls
+from railflow.llm import bpe, linededup, mixing, neardup, oracles, quality, sharding, tokens, urls
 from railflow.llm.common import table
 
 
@@ -25,6 +25,16 @@ def op5_bpe_transducer(spark: SparkSession, d: str) -> DataFrame:
     return bpe.encode_digests(table(spark, d, "documents"), "doc_id", "text")
 
 
+def op6_source_mixing(spark: SparkSession, d: str) -> DataFrame:
+    """The mixture without its texts: one row per document and epoch."""
+    return mixing.mix(table(spark, d, "documents")).select("doc_id", "domain", "lang", "source", "n_tokens", "epoch")
+
+
+def op7_line_winnowing(spark: SparkSession, d: str) -> DataFrame:
+    docs = linededup.dedup_lines(table(spark, d, "documents"))
+    return docs.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def listed_urls(pages: DataFrame) -> DataFrame:
     """URLs to block: pages whose content lost its words to symbols (at least
     one in ten characters of the page's body text is a symbol)."""
@@ -47,6 +57,8 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_quality_trees": op3_quality_trees,
     "op5_bpe_transducer": op5_bpe_transducer,
+    "op6_source_mixing": op6_source_mixing,
+    "op7_line_winnowing": op7_line_winnowing,
     "op8_url_filter": op8_url_filter,
     "op10_hyperminhash_dedup": op10_hyperminhash_dedup,
 }

@@ -26,12 +26,12 @@ def running_start(df: DataFrame, group: list[str], bucket: Column, order: list[C
     by_group = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
     sums = df.groupBy(*keys).agg(F.sum("_amount").alias("_sum"))
     starts = sums.select(
-        *keys, (F.sum("_sum").over(by_group.orderBy("_bucket")) - F.col("_sum")).alias("_start"),
+        *keys, (F.sum("_sum").over(by_group.orderBy("_bucket")) - F.col("_sum")).alias("_bucket_start"),
         F.sum("_sum").over(by_group).alias("_total"))
     inside = Window.partitionBy(*keys).orderBy(*order)
     out = df.withColumn("_inside", F.sum("_amount").over(
         inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_amount"))
-    out = out.join(starts, keys).withColumn(name, F.col("_start") + F.col("_inside"))
+    out = out.join(starts, keys).withColumn(name, F.col("_bucket_start") + F.col("_inside"))
     if total:
         out = out.withColumn(total, F.col("_total"))
-    return out.drop("_bucket", "_amount", "_inside", "_start", "_total")
+    return out.drop("_bucket", "_amount", "_inside", "_bucket_start", "_total")
