@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railflow.llm import bpe, linededup, mixing, neardup, oracles, quality, sharding, tokens, urls
+from railflow.llm import bpe, fingerprints, linededup, mixing, neardup, oracles, quality, sharding, tokens, urls
 from railflow.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op3_quality_trees(spark: SparkSession, d: str) -> DataFrame:
     return quality.judge(table(spark, d, "documents"), table(spark, d, "labels"))
 
 
+def op4_imatch_fingerprints(spark: SparkSession, d: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, d, "documents"))
+
+
 def op5_bpe_transducer(spark: SparkSession, d: str) -> DataFrame:
     return bpe.encode_digests(table(spark, d, "documents"), "doc_id", "text")
 
@@ -56,6 +60,7 @@ QUERIES = {
     "op1_shard_interleave": op1_shard_interleave,
     "op2_token_counts": op2_token_counts,
     "op3_quality_trees": op3_quality_trees,
+    "op4_imatch_fingerprints": op4_imatch_fingerprints,
     "op5_bpe_transducer": op5_bpe_transducer,
     "op6_source_mixing": op6_source_mixing,
     "op7_line_winnowing": op7_line_winnowing,
