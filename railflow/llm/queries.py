@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railflow.llm import bpe, fingerprints, linededup, mixing, neardup, oracles, quality, sharding, tokens, urls
+from railflow.llm import bpe, fingerprints, linededup, mixing, neardup, oracles, pii, quality, sharding, tokens, urls
 from railflow.llm.common import table
 
 
@@ -52,6 +52,10 @@ def op8_url_filter(spark: SparkSession, d: str) -> DataFrame:
     return urls.judge(pages, listed_urls(pages))
 
 
+def op9_pii_bootstrap(spark: SparkSession, d: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, d, "documents"))
+
+
 def op10_hyperminhash_dedup(spark: SparkSession, d: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, d, "documents"))
 
@@ -65,6 +69,7 @@ QUERIES = {
     "op6_source_mixing": op6_source_mixing,
     "op7_line_winnowing": op7_line_winnowing,
     "op8_url_filter": op8_url_filter,
+    "op9_pii_bootstrap": op9_pii_bootstrap,
     "op10_hyperminhash_dedup": op10_hyperminhash_dedup,
 }
 
