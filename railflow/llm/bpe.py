@@ -28,11 +28,14 @@ from __future__ import annotations
 import codecs
 import hashlib
 import heapq
+import itertools
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -40,6 +43,7 @@ from railflow.llm.common import ship
 
 TOKENIZER = "word_bpe_49k.json"
 KEPT = 200_000         # spellings remembered by a worker
+ROWS_OUT = 512         # rows in a batch of results
 STREAM_STEP = 4096     # symbols taken into the buffer at a time
 
 # Pattern of the vocabulary's words (fixed value).
@@ -336,34 +340,51 @@ def tokenizer(name: str) -> WordTokenizer:
     return _loaded[name]
 
 
-def encode_digests(df: DataFrame, id_col: str, text_col: str, name: str = TOKENIZER) -> DataFrame:
-    """Per row: the id, ``n_tokens``, SHA-256 of the ids and of their decoding."""
+def _encoded(model: WordTokenizer, text: str | None) -> tuple[array, str, str]:
+    """(ids, SHA-256 of the ids as text, SHA-256 of their library decoding)."""
+    ids, numbers_hash, text_hash, gap = array("i"), hashlib.sha256(), hashlib.sha256(), ""
+    for part in _parts(text or ""):
+        spelled = [s for s in map(model.spelled, _PIECE.findall(part)) if s[0]]
+        if spelled:
+            numbers = " ".join([s[0] for s in spelled])
+            ids.extend(map(int, numbers.split(" ")))
+            numbers_hash.update((gap + numbers).encode())
+            text_hash.update((gap + " ".join([s[1] for s in spelled])).encode())
+            gap = " "
+    return ids, numbers_hash.hexdigest(), text_hash.hexdigest()
+
+
+def encode(df: DataFrame, text_col: str, keep_ids: bool = True, name: str = TOKENIZER) -> DataFrame:
+    """All columns but the text, plus ``n_tokens``, ``ids`` (on request),
+    ``ids_sha256`` and ``decoded_sha256``; earlier columns of those names are
+    replaced.  Rows leave in small batches, so that ids never pile up."""
     ship(df.sparkSession)
+    kept = [c for c in df.columns if c not in (text_col, "n_tokens", "ids", "ids_sha256", "decoded_sha256")]
 
     def run(batches):
         model = tokenizer(name)
-        for batch in batches:
-            n_tokens, ids_hash, text_hash = [], [], []
-            for text in batch.column(1).to_pylist():
-                n, ids, decoded, gap = 0, hashlib.sha256(), hashlib.sha256(), ""
-                for part in _parts(text or ""):
-                    spelled = [s for s in map(model.spelled, _PIECE.findall(part)) if s[0]]
-                    if spelled:
-                        numbers = gap + " ".join([s[0] for s in spelled])
-                        n += numbers.count(" ") + (not gap)
-                        ids.update(numbers.encode())
-                        decoded.update((gap + " ".join([s[1] for s in spelled])).encode())
-                        gap = " "
-                n_tokens.append(n)
-                ids_hash.append(ids.hexdigest())
-                text_hash.append(decoded.hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n_tokens, pa.int64()), pa.array(ids_hash), pa.array(text_hash)],
-                names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    kind = df.schema[id_col].dataType.simpleString()
-    return df.select(id_col, text_col).mapInArrow(
-        run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS_OUT):
+                batch = whole.slice(start, ROWS_OUT)
+                rows = [_encoded(model, t) for t in batch.column(len(kept)).to_pylist()]
+                sizes = [len(r[0]) for r in rows]
+                columns = [*batch.columns[:len(kept)], pa.array(sizes, pa.int64())]
+                if keep_ids:
+                    flat = array("i", itertools.chain.from_iterable(r[0] for r in rows))
+                    offsets = pa.array([0, *itertools.accumulate(sizes)], pa.int32())
+                    columns.append(pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(flat, np.int32))))
+                columns += [pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=out)
+
+    out = [*kept, "n_tokens", *(["ids"] if keep_ids else []), "ids_sha256", "decoded_sha256"]
+    schema = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept] + ["n_tokens long"]
+    schema += (["ids array<int>"] if keep_ids else []) + ["ids_sha256 string", "decoded_sha256 string"]
+    return df.select(*kept, text_col).mapInArrow(run, ", ".join(schema))
+
+
+def encode_digests(df: DataFrame, id_col: str, text_col: str, name: str = TOKENIZER) -> DataFrame:
+    """Per row: the id, ``n_tokens``, SHA-256 of the ids and of their decoding."""
+    return encode(df.select(id_col, text_col), text_col, keep_ids=False, name=name)
 
 
 _SPACE = re.compile(r"[\t-\r ]")
@@ -381,22 +402,6 @@ def _parts(text: str, size: int = 1 << 18) -> Iterator[str]:
     yield text[start:] if start else text
 
 
-def encode_ids(df: DataFrame, text_col: str, out_col: str = "ids", name: str = TOKENIZER) -> DataFrame:
-    """All columns but the text, plus the token ids as an array of ints."""
-    ship(df.sparkSession)
-    kept = [c for c in df.columns if c not in (text_col, out_col)]
-
-    def run(batches):
-        model = tokenizer(name)
-        for batch in batches:
-            ids = [model.encode(t) for t in batch.column(len(kept)).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:len(kept)], pa.array(ids, pa.list_(pa.int32()))], names=[*kept, out_col])
-
-    schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept)
-    return df.select(*kept, text_col).mapInArrow(run, f"{schema}{', ' if kept else ''}`{out_col}` array<int>")
-
-
 def decode_ids(df: DataFrame, ids_col: str, out_col: str = "text", name: str = TOKENIZER) -> DataFrame:
     """All columns but the ids, plus the text behind them (lower case, words
     and symbols set apart by one space, as the vocabulary keeps no spacing)."""

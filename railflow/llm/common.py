@@ -17,6 +17,8 @@ from railflow.session import ensure_checkpoint_dir
 WORD_GAP = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
+_staged: list[tuple[str, DataFrame]] = []   # folders written by ``stage`` and not yet deleted
+
 HASH60 = 16 ** 15   # number of values of ``hash60``
 
 
@@ -43,11 +45,29 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def stage(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: the lineage
-    is cut, and a lost executor costs no recomputation.  The folder goes
-    with the session's checkpoint folder."""
+    is cut, and a lost executor costs no recomputation."""
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    _staged.append((path, staged))
+    return staged
+
+
+def unstage(*tables: DataFrame) -> None:
+    """Delete the folders of staged tables that nothing reads any more."""
+    for path, staged in [x for x in _staged if any(x[1] is t for t in tables)]:
+        _staged.remove((path, staged))
+        delete(staged.sparkSession, path)
+
+
+def staged_tables() -> list[DataFrame]:
+    return [t for _, t in _staged]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder in whatever store the session's paths point to."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def fresh(df: DataFrame, name: str) -> str:

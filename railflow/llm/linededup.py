@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from railflow.llm.common import SPACE_CHARS, WORD_GAP, fresh, stage
+from railflow.llm.common import SPACE_CHARS, WORD_GAP, fresh, stage, unstage
 
 NOISE_WORDS = 8       # shorter matches are never looked at
 WINDOW_WORDS = 42     # every repeated run of 8 + 42 = 50 words is found
@@ -107,7 +107,9 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     lo = F.when(same_doc, F.greatest(lo, F.col("f_r") + F.col("gram_lines"))).otherwise(lo)
     hi = F.col("r") + _equal_prefix(F.col("after"), F.col("f_after")) - 1
     runs = runs.select(*KEY, lo.alias("lo"), hi.alias("hi")).where("lo <= hi")
-    return runs.groupBy(*KEY).agg(F.collect_set(F.struct("lo", "hi")).alias("runs"))
+    runs = stage(spark, runs.groupBy(*KEY).agg(F.collect_set(F.struct("lo", "hi")).alias("runs")), "linededup-runs")
+    unstage(lines, matches)
+    return runs
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", removed: str = "n_removed",

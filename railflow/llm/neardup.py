@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from railflow.llm.common import fresh, ship, stage
+from railflow.llm.common import fresh, ship, stage, unstage
 
 BANDS = 32                 # longs of a sketch
 LANES = 4                  # registers of 16 bits in a long
@@ -210,6 +210,7 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     both = stage(spark, both, f"{label}-edges")
     labels = stage(spark, both.groupBy("a").agg(F.least("a", F.min("b")).alias("label")).withColumnRenamed("a", "node"),
                    f"{label}-labels")
+    previous = labels
     while True:
         near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("label").alias("near"))
         step = labels.join(near, labels.node == near.a).select(
@@ -218,8 +219,10 @@ def components(edges: DataFrame, label: str) -> DataFrame:
         step = stage(spark, step.join(up, step.label == up.up_node).select(
             "node", "old", F.least("label", "up").alias("label")), f"{label}-labels")
         changed = step.where("label < old").limit(1).count()
-        labels = step.select("node", "label")
+        unstage(previous)
+        previous, labels = step, step.select("node", "label")
         if not changed:
+            unstage(both)
             return labels
 
 
@@ -263,7 +266,9 @@ class NearDuplicates:
         links = stage(spark, checked.unionByName(more), "neardup-links")
         labels = components(links, "neardup-last")
         rest = self._verified(self._cross(self._mixed(members, labels)), "cross", estimated=True)
-        return components(links.unionByName(rest), "neardup-all")
+        labels = components(links.unionByName(rest), "neardup-all")
+        unstage(members, self.sets, checked, more, links, rest, self.mixed)
+        return labels
 
     def _sets(self, wanted: DataFrame) -> DataFrame:
         """Full shingle sets of the nodes in ``wanted``, from their texts."""
@@ -298,7 +303,7 @@ class NearDuplicates:
     def _cross(self, mixed: DataFrame) -> DataFrame:
         """Candidate pairs between components that share a bucket: members
         outside a bucket's largest component against all other components."""
-        mixed = stage(self.spark, mixed.select("key", "node", "label"), "neardup-mixed")
+        self.mixed = mixed = stage(self.spark, mixed.select("key", "node", "label"), "neardup-mixed")
         sizes = mixed.groupBy("key", "label").agg(F.count("*").alias("size"))
         top = sizes.groupBy("key").agg(F.max_by("label", F.struct("size", "label")).alias("top"),
                                        F.ceil(F.sum("size") / BLOCK).cast("int").alias("blocks"))
@@ -354,7 +359,9 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     are kept.  Rows that share an id are told apart by their sets; of rows equal
     in both, the smallest stays."""
     ship(docs.sparkSession)
-    found = stage(docs.sparkSession, NearDuplicates(docs, k, percent).result(), "neardup-result")
+    run = NearDuplicates(docs, k, percent)
+    found = stage(docs.sparkSession, run.result(), "neardup-result")
+    unstage(run.rows, run.nodes)
     ids = found.groupBy("doc_id").agg(F.count("*").alias("copies"), F.max("stays").alias("stays"))
     single = ids.where("copies = 1 AND stays AND doc_id IS NOT NULL").select("doc_id")
     out = docs.join(single, "doc_id", "left_semi")

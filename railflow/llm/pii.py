@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from railflow.llm.common import stage
+from railflow.llm.common import stage, unstage
 
 KINDS = ["email", "ip", "card", "phone"]
 ROUNDS = 3
@@ -141,13 +141,14 @@ def discover(found: DataFrame, rounds: int = ROUNDS, least_seeds: int = LEAST_SE
     known = rows.where("kind_no IS NOT NULL").groupBy("instance").agg(F.min("kind_no").alias("kind_no")).withColumn(
         "belief", F.lit(1.0))
     seeds = known = stage(spark, known, "pii-seeds")
-    patterns = None
+    patterns, passed = None, []
     for _ in range(rounds):
         support = edges.join(known, "instance").groupBy("pattern", "kind_no").agg(F.sum("belief").alias("support"))
         precision = F.col("support") / F.col("size")
         patterns = support.where(F.col("support") >= least_seeds).join(sizes, "pattern").withColumn(
             "precision", precision).where(F.col("precision") >= precise).select("pattern", "kind_no", "precision")
         patterns = stage(spark, patterns, "pii-patterns")
+        passed += [patterns, known]
         doubt = F.exp(F.sum(F.log(F.greatest(1 - F.col("precision"), F.lit(1e-6)))))
         context = F.max(~F.col("pattern").startswith("S:"))
         new = edges.join(seeds.select("instance"), "instance", "left_anti").join(patterns, "pattern").groupBy(
@@ -160,8 +161,10 @@ def discover(found: DataFrame, rounds: int = ROUNDS, least_seeds: int = LEAST_SE
     spots = rows.where("kind_no IS NULL").join(added, "instance").select(
         "rid", "start", "end", "new_kind", F.explode("context").alias("pattern"))
     held = patterns.select("pattern", F.col("kind_no").alias("new_kind"))
-    return spots.join(held, ["pattern", "new_kind"], "left_semi").select(
-        "rid", "start", "end", F.col("new_kind").alias("kind_no")).distinct()
+    spots = stage(spark, spots.join(held, ["pattern", "new_kind"], "left_semi").select(
+        "rid", "start", "end", F.col("new_kind").alias("kind_no")).distinct(), "pii-added")
+    unstage(rows, edges, seeds, known, *passed)
+    return spots
 
 
 def _line(spans: Column) -> Column:

@@ -95,7 +95,7 @@ def test_query_rows(spark, library):
 def test_ids_round_trip(spark):
     rows = [(1, "Hello world, ça va <|endoftext|> 😀"), (2, None), (3, "")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    back = {r.doc_id: r.text for r in bpe.decode_ids(bpe.encode_ids(df, "text"), "ids").collect()}
+    back = {r.doc_id: r.text for r in bpe.decode_ids(bpe.encode(df, "text"), "ids").collect()}
     assert back == {1: "hello world , ça va <|endoftext|>😀", 2: "", 3: ""}
 
 
