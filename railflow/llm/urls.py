@@ -137,4 +137,4 @@ def judge(pages: DataFrame, listed: DataFrame, id_col: str = "page_id", url_col:
     return found.select(
         id_col, "host", "path", rule.alias("rule"),
         F.coalesce(says, F.when(F.col("listed"), "block").otherwise("allow")).alias("verdict"),
-        "canonical_url", "maybe_listed", "listed")
+        "canonical_url", "listed")
