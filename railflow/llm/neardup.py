@@ -15,7 +15,8 @@ of 64.  Four registers fill one long, so the 32 longs of a sketch are also its
 3. What then remains of a bucket outside its largest component is compared with
    the bucket's other components, in blocks of bounded size: every candidate
    pair that could still change a component is looked at, so no link is lost to
-   the stars, and only pairs that pass the estimate leave the worker.
+   the stars.  There the sets are kept as differences from a common home set, so
+   the worker checks a pair exactly and only links leave it.
 4. Candidates pass a collision-corrected estimate of the Jaccard index, five
    standard errors below the threshold, then an exact check on the full sets.
 5. Components grow by smallest label with pointer jumping.
@@ -179,28 +180,48 @@ def _registers(bands: pa.Array) -> np.ndarray:
     return bands.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint16).reshape(-1, REGISTERS)
 
 
-def _block_pairs(group: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Possible pairs (a, b) of different labels in one group of blocks; one
-    member at least is outside the bucket's largest component."""
-    node, label, top, block, n = (group.column(c).to_numpy() for c in ("node", "label", "top", "block", "n"))
-    registers = _registers(group.column("bands").combine_chunks())
-    several, least = len(np.unique(block)) > 1, _slack(percent)
-    first, second = [], []
+def _block_pairs(group: pa.Table, percent: int) -> tuple[list[int], list[int], list[bool]]:
+    """Pairs (a, b, sure) of different labels in one group of blocks, one member
+    at least outside the bucket's largest component.  Pairs with the same home
+    are checked here on their full sets: with added A and removed R against the
+    home set H, the intersection of x and y has |H| - |Rx or Ry| + |Ax and Ay|
+    members.  Others that the estimate allows are given back unsure."""
+    node, label, top, block, n, home, home_n = (
+        group.column(c).to_numpy() for c in ("node", "label", "top", "block", "n", "home", "home_n"))
+    bands = group.column("bands").combine_chunks()
+    registers, longs = _registers(bands), _registers(bands).view(np.int64)
+    added, removed = group.column("added").combine_chunks(), group.column("removed").combine_chunks()
+    sets: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def diffs(i: int) -> tuple[np.ndarray, np.ndarray]:
+        if i not in sets:
+            sets[i] = tuple(c[i].values.to_numpy(zero_copy_only=False) for c in (added, removed))
+        return sets[i]
+
+    band, least = group.column("band")[0].as_py(), _slack(percent)
+    several = len(np.unique(block)) > 1
+    first, second, sure = [], [], []
     for i in np.flatnonzero(label != top):
         ok = (label != label[i]) & ((label == top) | (node > node[i]))
         ok &= np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * percent
         if several:            # pairs inside a block are found in that block's own group
             ok &= block != block[i]
         at = np.flatnonzero(ok)
-        if len(at):
+        if len(at):            # a pair belongs to the first band that it shares
+            at = at[~(longs[at, :band] == longs[i, :band]).any(axis=1)]
             same = (registers[at] == registers[i]).sum(axis=1)
             at = at[estimate(n[at], n[i], same) >= least]
-            first.append(np.full(len(at), node[i]))
-            second.append(node[at])
-    if not first:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    a, b = np.concatenate(first), np.concatenate(second)
-    return np.minimum(a, b), np.maximum(a, b)
+        for j in at:
+            if home[i] == home[j]:
+                (ai, ri), (aj, rj) = diffs(i), diffs(j)
+                common = home_n[i] - len(ri) - len(rj) + len(np.intersect1d(ri, rj, True)) + len(
+                    np.intersect1d(ai, aj, True))
+                if 100 * common < percent * (n[i] + n[j] - common):
+                    continue
+            first.append(int(min(node[i], node[j])))
+            second.append(int(max(node[i], node[j])))
+            sure.append(bool(home[i] == home[j]))
+    return first, second, sure
 
 
 def components(edges: DataFrame, label: str) -> DataFrame:
@@ -227,8 +248,9 @@ def components(edges: DataFrame, label: str) -> DataFrame:
 
 
 def _pair_batch(slices: list[pa.RecordBatch], percent: int) -> pa.RecordBatch:
-    a, b = _block_pairs(pa.Table.from_batches(slices), percent)
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+    a, b, sure = _block_pairs(pa.Table.from_batches(slices), percent)
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sure, pa.bool_())],
+                                      names=["a", "b", "sure"])
 
 
 class NearDuplicates:
@@ -250,11 +272,11 @@ class NearDuplicates:
     def _link(self) -> DataFrame:
         """(node, label) of the nodes that have a link."""
         spark = self.spark
-        band = F.explode(F.array(*[F.xxhash64(F.lit(j), F.col("bands")[j]) for j in range(BANDS)]))
-        keys = self.nodes.select("node", band.alias("key"))
+        keys = self.nodes.select("node", F.posexplode("bands").alias("band", "value")).select(
+            "node", "band", F.xxhash64("band", "value").alias("key"))
         shared = keys.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("first"),
                                          F.max("node").alias("last")).where("size > 1")
-        members = stage(spark, keys.join(shared, "key").select("key", "node", "first", "last"), "neardup-members")
+        members = stage(spark, keys.join(shared, "key").select("key", "band", "node", "first", "last"), "neardup-members")
         self.sets = self._sets(members.select("node").distinct())
         checked = self._verified(members.where("node != first").select(
             F.col("first").alias("a"), F.col("node").alias("b")).distinct(), "star")
@@ -265,9 +287,11 @@ class NearDuplicates:
         more = self._verified(ends.distinct(), "last")
         links = stage(spark, checked.unionByName(more), "neardup-links")
         labels = components(links, "neardup-last")
-        rest = self._verified(self._cross(self._mixed(members, labels)), "cross", estimated=True)
-        labels = components(links.unionByName(rest), "neardup-all")
-        unstage(members, self.sets, checked, more, links, rest, self.mixed)
+        mixed = stage(spark, self._mixed(members, labels).select("key", "band", "node", "label"), "neardup-mixed")
+        pairs = stage(spark, self._cross(mixed, self._homes(members, mixed)), "neardup-pairs")
+        rest = self._verified(pairs.where("NOT sure").select("a", "b").distinct(), "cross", estimated=True)
+        labels = components(links.unionByName(pairs.where("sure").select("a", "b")).unionByName(rest), "neardup-all")
+        unstage(members, self.sets, checked, more, links, rest, mixed, pairs)
         return labels
 
     def _sets(self, wanted: DataFrame) -> DataFrame:
@@ -300,19 +324,35 @@ class NearDuplicates:
                                                 "last_label")).where("low < high")
         return labelled.join(spans.select("key", "last_label"), "key")
 
-    def _cross(self, mixed: DataFrame) -> DataFrame:
-        """Candidate pairs between components that share a bucket: members
-        outside a bucket's largest component against all other components."""
-        self.mixed = mixed = stage(self.spark, mixed.select("key", "node", "label"), "neardup-mixed")
+    def _homes(self, members: DataFrame, mixed: DataFrame) -> DataFrame:
+        """Per node of a mixed bucket its set as a difference from a home set:
+        the smallest node that its buckets, or that node's buckets, hold.  In a
+        large group of near copies nearly all share one home, and the
+        differences are a fraction of the sets."""
+        first = stage(self.spark, members.groupBy("node").agg(F.min("first").alias("home")), "neardup-homes")
+        again = first.select(F.col("node").alias("_home"), F.col("home").alias("_next"))
+        homes = first.join(mixed.select("node").distinct(), "node", "left_semi").join(
+            again, F.col("home") == F.col("_home")).select("node", F.col("_next").alias("home"))
+        base = self.sets.select(F.col("node").alias("_base"), F.col("members").alias("_members"))
+        out = homes.join(self.sets, "node").join(base, F.col("home") == F.col("_base")).select(
+            "node", "home", F.size("_members").cast("long").alias("home_n"),
+            F.array_except("members", "_members").alias("added"), F.array_except("_members", "members").alias("removed"))
+        out = stage(self.spark, out, "neardup-differences")
+        unstage(first)
+        return out
+
+    def _cross(self, mixed: DataFrame, homes: DataFrame) -> DataFrame:
+        """Pairs between components that share a bucket: members outside a
+        bucket's largest component against all other components."""
         sizes = mixed.groupBy("key", "label").agg(F.count("*").alias("size"))
         top = sizes.groupBy("key").agg(F.max_by("label", F.struct("size", "label")).alias("top"),
                                        F.ceil(F.sum("size") / BLOCK).cast("int").alias("blocks"))
         # a bucket of several blocks is compared block by block: each row meets every block
         rows = mixed.join(top, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        rows = rows.join(self.nodes.select("node", "n", "bands"), "node").select(
+        rows = rows.join(self.nodes.select("node", "n", "bands").join(homes, "node"), "node").select(
             "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-            "node", "label", "top", "block", "n", "bands")
+            "band", "node", "label", "top", "block", "n", "bands", "home", "home_n", "added", "removed")
         percent, by = self.percent, ["key", "low", "high"]
 
         def pairs(batches):
@@ -332,8 +372,7 @@ class NearDuplicates:
             if held:
                 yield _pair_batch(held, percent)
 
-        found = rows.repartition(*by).sortWithinPartitions(*by).mapInArrow(pairs, "a long, b long")
-        return found.distinct()
+        return rows.repartition(*by).sortWithinPartitions(*by).mapInArrow(pairs, "a long, b long, sure boolean")
 
     def result(self) -> DataFrame:
         """Per document: doc_id, n_shingles, component_id, kept, and whether
