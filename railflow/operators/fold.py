@@ -1,8 +1,13 @@
 """Fold successive change snapshots into one record per stop.
 
-Both policies are plain hash aggregations keyed by ``stop_id``: Spark runs
-them as partial (map-side) + final aggregation, so a stop with very many
-snapshots is pre-reduced on every mapper and never gathered into one buffer.
+Both policies are aggregations keyed by ``stop_id`` that Spark runs as partial
+(map-side) + final aggregation, so a stop with very many snapshots is pre-reduced on
+every mapper and never gathered into one buffer.  The text column (and ``max_by``)
+has no fixed-width buffer, so Spark plans *sort* aggregates: each side sorts its
+rows by ``stop_id`` once.
+
+``fold_state`` / ``merge_states`` are the same folds in mergeable form: the state of
+two loads together is the merge of their states.
 """
 
 from __future__ import annotations
@@ -42,3 +47,23 @@ def fold_changes(changes: DataFrame, policy: str = "max", order_cols=("snapshot_
     folded = changes.groupBy("stop_id").agg(*fold_aggregations(policy, order_cols))
     return folded.select("stop_id", "changed_arrival_time", "changed_departure_time",
                          "cancelled", "changed_platform")
+
+
+def fold_state(changes: DataFrame, policy: str = "max", order_cols=("snapshot_ts", "member")) -> DataFrame:
+    """The fold with what a later merge needs: for ``last`` also the place
+    (``<column>_at``) of each value."""
+    aggs = fold_aggregations(policy, order_cols)
+    if policy == "last":
+        at = F.struct(*[F.col(c) for c in order_cols])
+        aggs += [F.max(F.when(F.col(c).isNotNull(), at)).alias(f"{c}_at") for c in VALUE_COLUMNS]
+    return changes.groupBy("stop_id").agg(*aggs)
+
+
+def merge_states(one: DataFrame, two: DataFrame, policy: str = "max") -> DataFrame:
+    """The state of both inputs of two ``fold_state`` results."""
+    both = one.unionByName(two)
+    if policy == "max":
+        return both.groupBy("stop_id").agg(*fold_aggregations("max"))
+    values = [F.max_by(c, f"{c}_at").alias(c) for c in VALUE_COLUMNS]
+    places = [F.max(f"{c}_at").alias(f"{c}_at") for c in VALUE_COLUMNS]
+    return both.groupBy("stop_id").agg(*values, F.bool_or("cancelled").alias("cancelled"), *places)

@@ -13,10 +13,9 @@ round serves every request: frontier -> join edges/connections -> min per
 once with balanced (round-robin) partitions, so a station with a huge
 out-degree is spread over all tasks; with ``buckets=N`` it is instead
 written partitioned by station bucket and each round reads only the
-bucket folders its frontier touches.  The
-frontier is broadcast only after its row count (needed anyway to stop the
-loop) shows it is within ``max_broadcast_rows``; beyond that the round is
-a shuffle join (AQE splits skewed partitions).  Every round's state is
+bucket folders its frontier touches.  How a
+round's join runs is left to AQE, which broadcasts a side by its measured
+bytes and else shuffles (and splits skewed partitions).  Every round's state is
 checkpointed to the session's reliable checkpoint folder, so the lineage
 stays one round long and a lost executor only re-runs one round.
 """
@@ -33,21 +32,24 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from railflow.functions.stopid import stop_index, trip_key
+from railflow.operators.merge import first_wins
+from railflow.operators.sinks import PARTITION_COLUMNS
 from railflow.session import ensure_checkpoint_dir
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 log = logging.getLogger(__name__)
 
 
 def _stops(movements: DataFrame, *extra: str) -> DataFrame:
-    """Parsed stops.  Exact duplicates are *not* removed: in the pairing
-    order they sit next to each other, so they only form self-pairs, which
-    are dropped; every other pair is the same with or without them (a
-    shuffle saved)."""
+    """Parsed stops, one per ``(trip_key, stop_index)``: a stop that was
+    planned again in a later snapshot, or two stations on one index, count as
+    first seen (by snapshot if the movements carry it, then by the other columns)."""
     m = movements.dropna(subset=["stop_id", "station_name"])
+    seen = [c for c in PARTITION_COLUMNS if c in movements.columns]
     parsed = m.select(trip_key("stop_id").alias("trip_key"), stop_index("stop_id").alias("stop_index"),
-                      "station_name", *extra)
-    return parsed.filter(F.col("trip_key").isNotNull() & F.col("stop_index").isNotNull())
+                      *seen, "station_name", *extra)
+    parsed = parsed.filter(F.col("trip_key").isNotNull() & F.col("stop_index").isNotNull())
+    first = first_wins(parsed, ["trip_key", "stop_index"], [*seen, "station_name", *extra])
+    return first.select("trip_key", "stop_index", "station_name", *extra)
 
 
 DEFAULT_RANGE = 1024   # stop indexes per window partition of one trip
@@ -86,7 +88,7 @@ def next_in_group(df: DataFrame, group: str, order: list[str], carry: list[str],
 def trip_edges(movements: DataFrame, range_size: int = DEFAULT_RANGE) -> DataFrame:
     """Hop graph ``(src, dst)``: consecutive stops of every trip in stop
     index order (gaps in the index are bridged), self-loops dropped, each
-    edge once.  Stops sharing an index are ordered by station name."""
+    edge once."""
     stops = _stops(movements)
     nxt = next_in_group(stops, "trip_key", ["stop_index", "station_name"], ["station_name"], range_size)
     nxt = nxt.select(F.col("station_name").alias("src"), F.col("next_station_name").alias("dst"))
@@ -172,10 +174,6 @@ def _on_station(frontier_station, edge_src, buckets: int | None):
     return cond & (F.col("_fb") == F.col("_b")) if buckets else cond
 
 
-def _maybe_broadcast(df: DataFrame, rows: int, limit: int) -> DataFrame:
-    return F.broadcast(df) if rows <= limit else df
-
-
 def _nodes(edges: DataFrame) -> DataFrame:
     return (edges.select(F.col("src").alias("station_name"))
             .union(edges.select(F.col("dst").alias("station_name"))).distinct())
@@ -185,9 +183,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, parts)
 
 
-def shortest_paths_batch(edges: DataFrame, requests: DataFrame,
-                         max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                         buckets: int | None = None) -> DataFrame:
+def shortest_paths_batch(edges: DataFrame, requests: DataFrame, buckets: int | None = None) -> DataFrame:
     """Breadth-first search for many requests in one loop.
 
     ``requests``: ``source`` and optionally ``target``.  Returns ``source,
@@ -229,8 +225,7 @@ def shortest_paths_batch(edges: DataFrame, requests: DataFrame,
                 break
         level += 1
         probe = _probe(frontier, buckets)
-        step = (_maybe_broadcast(probe, n, max_broadcast_rows)
-                .join(_touched(e, probe, buckets), _on_station(F.col("station_name"), F.col("src"), buckets))
+        step = (probe.join(_touched(e, probe, buckets), _on_station(F.col("station_name"), F.col("src"), buckets))
                 .select("source", F.col("dst").alias("station_name"),
                         F.concat("path", F.array("dst")).alias("path")))
         step = step.join(reached, ["source", "station_name"], "left_anti")
@@ -256,13 +251,12 @@ def _param_frame(spark, rows: list[tuple], schema: str) -> DataFrame:
 
 
 def shortest_paths(edges: DataFrame, source: str, target: str | None = None,
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                    buckets: int | None = None) -> DataFrame:
     """Q7: fewest-hop paths from one ``source``: ``station_name, hops, path``
     for every reached station, or only ``target`` (the search then stops
     once it is reached; empty when unreachable or unknown)."""
     req = _param_frame(edges.sparkSession, [(source, target)], "source string, target string")
-    return shortest_paths_batch(edges, req, max_broadcast_rows, buckets).drop("source")
+    return shortest_paths_batch(edges, req, buckets).drop("source")
 
 
 def _ntz_literal(value):
@@ -273,9 +267,7 @@ def _ntz_literal(value):
 REQUEST_KEY = ["source", "departure"]
 
 
-def earliest_arrivals_batch(connections: DataFrame, requests: DataFrame,
-                            max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                            buckets: int | None = None) -> DataFrame:
+def earliest_arrivals_batch(connections: DataFrame, requests: DataFrame, buckets: int | None = None) -> DataFrame:
     """Earliest arrivals for many ``(source, departure)`` requests in one loop.
 
     Returns ``source, departure, station_name, earliest_arrival, round,
@@ -314,7 +306,7 @@ def earliest_arrivals_batch(connections: DataFrame, requests: DataFrame,
         rnd += 1
         t0 = time.perf_counter()
         probe = _probe(frontier.select(*REQUEST_KEY, "station_name", "earliest_arrival"), buckets)
-        f = _maybe_broadcast(probe, n, max_broadcast_rows).alias("f")
+        f = probe.alias("f")
         reach = (f.join(_touched(c, probe, buckets).alias("c"),
                         _on_station(F.col("f.station_name"), F.col("c.src"), buckets)
                         & (F.col("c.dp_time") >= F.col("f.earliest_arrival")))
@@ -344,15 +336,14 @@ def earliest_arrivals_batch(connections: DataFrame, requests: DataFrame,
 
 
 def earliest_arrivals(connections: DataFrame, source: str, departure: datetime | str,
-                      max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                      buckets: int | None = None) -> DataFrame:
+                       buckets: int | None = None) -> DataFrame:
     """Earliest arrival at every station reachable from one ``source``
     leaving at ``departure``: ``station_name, earliest_arrival, round,
     prev, prev_departure, prev_trip``."""
     spark = connections.sparkSession
     req = _param_frame(spark, [(source,)], "source string").select(
         "source", _ntz_literal(departure).alias("departure"))
-    return earliest_arrivals_batch(connections, req, max_broadcast_rows, buckets).drop(*REQUEST_KEY)
+    return earliest_arrivals_batch(connections, req, buckets).drop(*REQUEST_KEY)
 
 
 def arrival_paths(best: DataFrame, targets: DataFrame, key=tuple(REQUEST_KEY)) -> DataFrame:
@@ -380,12 +371,11 @@ def arrival_paths(best: DataFrame, targets: DataFrame, key=tuple(REQUEST_KEY)) -
     return out.select(*key, "target", "earliest_arrival", F.reverse("path").alias("path"))
 
 
-def earliest_arrival(connections: DataFrame, source: str, target: str, departure,
-                     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def earliest_arrival(connections: DataFrame, source: str, target: str, departure) -> DataFrame:
     """Q8: earliest arrival at ``target`` and one path achieving it:
     ``earliest_arrival, path`` (one row; empty when unreachable)."""
     spark = connections.sparkSession
     req = _param_frame(spark, [(source, target)], "source string, target string").select(
         "source", _ntz_literal(departure).alias("departure"), "target")
-    best = earliest_arrivals_batch(connections, req.select(*REQUEST_KEY), max_broadcast_rows)
+    best = earliest_arrivals_batch(connections, req.select(*REQUEST_KEY))
     return arrival_paths(best, req).select("earliest_arrival", "path")

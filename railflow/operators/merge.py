@@ -49,9 +49,9 @@ def first_wins(rows: DataFrame, key_cols, order_cols, existing: DataFrame | None
     columns, so the choice is total).  Rows whose key is already in
     ``existing`` are dropped (insert ... on conflict do nothing).
 
-    Implemented as ``min(struct(order, payload))`` per key: a hash
-    aggregation with map-side pre-reduction, so a hot key never forms a
-    single sorted window partition."""
+    Implemented as ``min(struct(order, payload))`` per key, with map-side
+    pre-reduction, so a hot key never forms a single sorted window partition
+    (a struct has no fixed-width buffer: Spark plans sort aggregates)."""
     key_cols, order_cols = list(key_cols), list(order_cols)
     rest = [c for c in rows.columns if c not in key_cols and c not in order_cols]
     packed = F.struct(*[F.col(c) for c in order_cols + rest]).alias("_first")

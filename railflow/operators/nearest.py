@@ -3,13 +3,13 @@
 Single position: a top-1 over one scan of the stations
 (``TakeOrderedAndProject``: each task keeps its own best row).
 
-Many positions: the station table is normally small (a city network),
-so after *counting* it, a table of at most ``max_broadcast`` stations is
-shipped to every task as one array (a scalar subquery, no join) and each
-position scans it with a higher-order function, JVM-side.  Beyond that bound an exact grid search
-runs instead: stations and positions are bucketed into square cells and
-each position looks at the ring of cells around its own, ring radius
-doubling for the positions whose best candidate is not provably nearest.
+Many positions: one exact grid search, whatever the number of stations.  The
+stations' extent is cut into square cells (about 16 stations each); a position
+starts from the cell nearest to it and looks at a square of cells that doubles each
+round.  A candidate is final once no station outside the square can be nearer: the
+distance from the position to each side beyond which cells remain bounds them from
+below, which also settles positions far outside the extent early.  The square is cut
+off at the extent, so the last round covers all cells and the search ends.
 """
 
 from __future__ import annotations
@@ -22,79 +22,86 @@ from pyspark.sql import functions as F
 from railflow.functions.geo import degree_distance
 from railflow.session import ensure_checkpoint_dir
 
-# Up to this many stations every position scans the whole (broadcast)
-# list: cost positions x stations, fine for a city network (hundreds).
-# Larger station sets go to the grid search, whose cost per position is
-# the stations of a few nearby cells.
-DEFAULT_MAX_BROADCAST = 2_048
+STATIONS_PER_CELL = 16
 
 
 def nearest_station(stations: DataFrame, latitude: float, longitude: float,
                     name_col: str = "name") -> DataFrame:
     """Closest station to one position (ties by name): ``name, latitude, longitude``."""
     dist = degree_distance("latitude", "longitude", F.lit(float(latitude)), F.lit(float(longitude)))
-    ranked = stations.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-    return (ranked.orderBy(dist.asc(), F.col(name_col).asc()).limit(1)
+    return (_located(stations, name_col).orderBy(dist.asc(), F.col(name_col).asc()).limit(1)
             .select(F.col(name_col).alias("name"), "latitude", "longitude"))
 
 
-def _best_in_array(arr):
-    def key(s):
-        return F.struct(degree_distance(s["latitude"], s["longitude"],
-                                        F.col("latitude"), F.col("longitude")).alias("d"),
-                        s["name"].alias("name"))
-    return F.array_min(F.transform(arr, key))
-
-
-def nearest_stations(points: DataFrame, stations: DataFrame, max_broadcast: int = DEFAULT_MAX_BROADCAST,
-                     cell_degrees: float | None = None) -> DataFrame:
-    """For every row of ``points`` (``point_id, latitude, longitude``) the
-    nearest station: ``point_id, name, distance``."""
-    st = stations.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).select(
-        "name", F.col("latitude").cast("double").alias("latitude"),
-        F.col("longitude").cast("double").alias("longitude"))
-    n = st.count()
-    pts = points.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-    if n == 0:
-        return pts.select("point_id", F.lit(None).cast("string").alias("name"),
-                          F.lit(None).cast("double").alias("distance")).limit(0)
-    if n <= max_broadcast:
-        # size checked above: the station list travels as one scalar-subquery
-        # value (evaluated once, shipped with the tasks), no join at all
-        packed = st.select(F.collect_list(F.struct("name", "latitude", "longitude"))).scalar()
-        with_st = pts.select("point_id", "latitude", "longitude", packed.alias("_st"))
-        best = with_st.select("point_id", _best_in_array(F.col("_st")).alias("_b"))
-        return best.select("point_id", F.col("_b.name").alias("name"), F.col("_b.d").alias("distance"))
-    return _grid_search(pts, st, n, cell_degrees)
-
-
-def _grid_search(pts: DataFrame, st: DataFrame, n_stations: int, cell: float | None) -> DataFrame:
-    ensure_checkpoint_dir(pts.sparkSession)
-    if cell is None:
-        ext = st.agg((F.max("latitude") - F.min("latitude")).alias("a"),
-                     (F.max("longitude") - F.min("longitude")).alias("b")).first()
-        area = max((ext["a"] or 0.0) * (ext["b"] or 0.0), 1e-12)
-        cell = max(math.sqrt(area / max(n_stations, 1)) * 4, 1e-9)  # ~16 stations per cell
-    cx = lambda c: F.floor(F.col(c) / F.lit(cell)).cast("long")
-    cells = st.select("name", "latitude", "longitude", cx("latitude").alias("_cy"), cx("longitude").alias("_cx"))
-    todo = pts.select("point_id", "latitude", "longitude", cx("latitude").alias("_py"), cx("longitude").alias("_px"))
-    done = None
-    radius = 1
+def _located(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows with finite coordinates."""
+    out = df.select(*columns, F.col("latitude").cast("double").alias("latitude"),
+                    F.col("longitude").cast("double").alias("longitude"))
+    ok = [F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")) for c in ("latitude", "longitude")]
+    return out.filter(ok[0] & ok[1])
+
+
+def nearest_stations(points: DataFrame, stations: DataFrame, cell_degrees: float | None = None) -> DataFrame:
+    """For every row of ``points`` (``point_id, latitude, longitude``) one row
+    ``point_id, name, distance``; ties by name.  Name and distance are NULL where
+    the position is missing or not finite, or there is no station."""
+    ensure_checkpoint_dir(points.sparkSession)
+    st = _located(stations, "name")
+    ext = st.agg(F.count("*").alias("n"), *[f(c).alias(f"{f.__name__}_{c}") for c in ("latitude", "longitude")
+                                            for f in (F.min, F.max)]).first()
+    rows = points.select("point_id", F.col("latitude").cast("double").alias("latitude"),
+                         F.col("longitude").cast("double").alias("longitude")).withColumn(
+        "_row", F.monotonically_increasing_id()).checkpoint()      # point_id may repeat
+    if not ext["n"]:
+        return rows.select("point_id", F.lit(None).cast("string").alias("name"), F.lit(None).cast("double").alias("distance"))
+    low = {"_y": ext["min_latitude"], "_x": ext["min_longitude"]}
+    high = {"_y": ext["max_latitude"], "_x": ext["max_longitude"]}
+    wide = max(high["_y"] - low["_y"], high["_x"] - low["_x"], 1e-9)
+    side = max(1, math.isqrt(ext["n"] // STATIONS_PER_CELL + 1))
+    cell = cell_degrees or wide / side
+    last = {k: int((high[k] - low[k]) // cell) for k in low}       # index of the last cell
+    source = {"_y": "latitude", "_x": "longitude"}
+
+    def index(k):
+        return F.least(F.greatest(F.floor((F.col(source[k]) - low[k]) / cell), F.lit(0)), F.lit(last[k])).cast("long")
+
+    cells = st.select("name", F.col("latitude").alias("_slat"), F.col("longitude").alias("_slon"),
+                      *[index(k).alias(f"c{k}") for k in low])
+    todo = _located(rows, "_row").select("*", *[index(k).alias(k) for k in low])
+    done, radius = None, 1
     while True:
-        span = F.sequence(F.lit(-radius), F.lit(radius))
-        ring = (todo.select("*", F.explode(span).alias("_dy"))
-                .select("*", F.explode(span).alias("_dx"))
-                .select("*", (F.col("_py") + F.col("_dy")).alias("_cy"), (F.col("_px") + F.col("_dx")).alias("_cx")))
-        cand = ring.join(cells.withColumnRenamed("latitude", "_slat").withColumnRenamed("longitude", "_slon"),
-                         ["_cy", "_cx"])
-        key = F.struct(degree_distance("_slat", "_slon", "latitude", "longitude").alias("d"),
-                       F.col("name").alias("name"))
-        best = cand.groupBy("point_id").agg(F.min(key).alias("_b"))
-        # a candidate within radius*cell is provably the nearest
-        settled = best.filter(F.col("_b.d") <= F.lit(radius * cell)).select(
-            "point_id", F.col("_b.name").alias("name"), F.col("_b.d").alias("distance")).checkpoint()
+        whole = radius >= max(last.values())
+        square = todo
+        for k in low:
+            square = square.withColumn(f"c{k}", F.explode(F.sequence(
+                F.greatest(F.col(k) - radius, F.lit(0)), F.least(F.col(k) + radius, F.lit(last[k])))))
+        key = F.struct(degree_distance("_slat", "_slon", "latitude", "longitude").alias("d"), F.col("name").alias("name"))
+        best = square.join(cells, ["c_y", "c_x"]).groupBy("_row").agg(F.min(key).alias("_b"))
+        found = todo.join(best, "_row")
+        if not whole:
+            found = found.filter(F.col("_b.d") < _outside(low, high, source, last, cell, radius))
+        settled = found.select("_row", F.col("_b.name").alias("name"), F.col("_b.d").alias("distance")).checkpoint()
         done = settled if done is None else done.unionByName(settled)
-        todo = todo.join(settled.select("point_id"), "point_id", "left_anti").checkpoint()
-        if todo.count() == 0:
-            return done
+        if whole:
+            break
+        todo = todo.join(settled.select("_row"), "_row", "left_anti").checkpoint()
+        if todo.isEmpty():
+            break
         radius *= 2
+    return rows.select("_row", "point_id").join(done, "_row", "left").drop("_row")
+
+
+def _outside(low, high, source, last, cell: float, radius: int):
+    """Least distance from a position to any station outside its square."""
+    far = F.lit(float("inf"))
+    bounds = []
+    for k, other in (("_y", "_x"), ("_x", "_y")):
+        p, q = F.col(source[k]), F.col(source[other])
+        # how far the position lies outside the extent in the other direction
+        aside = F.greatest(F.lit(low[other]) - q, q - F.lit(high[other]), F.lit(0.0))
+        up = F.greatest(F.lit(low[k]) + (F.col(k) + radius + 1) * cell - p, F.lit(0.0))
+        down = F.greatest(p - (F.lit(low[k]) + (F.col(k) - radius) * cell), F.lit(0.0))
+        for gap, left in ((up, F.col(k) + radius < last[k]), (down, F.col(k) - radius > 0)):
+            bounds.append(F.when(left, F.sqrt(gap * gap + aside * aside)).otherwise(far))
+    # a hair less than the exact bound, against rounding in the cell index
+    return F.least(*bounds) * (1 - 1e-9)

@@ -23,16 +23,22 @@ def dim_station(stations: DataFrame) -> DataFrame:
     return with_dense_key(stations, ["eva_number", "name"], "station_id")
 
 
+def dates_of(trips: DataFrame, ts_col: str = "trip_start") -> DataFrame:
+    return trips.select(F.to_date(ts_col).alias("date")).filter(F.col("date").isNotNull()).distinct()
+
+
+def times_of(trips: DataFrame, ts_col: str = "trip_start") -> DataFrame:
+    """Times of day as ``HH:mm:ss`` text (Spark has no TIME type by default)."""
+    return (trips.select(F.date_format(ts_col, TIME_FORMAT).alias("time"))
+            .filter(F.col("time").isNotNull()).distinct())
+
+
 def dim_date(trips: DataFrame, ts_col: str = "trip_start") -> DataFrame:
-    dates = trips.select(F.to_date(ts_col).alias("date")).filter(F.col("date").isNotNull()).distinct()
-    return with_dense_key(dates, ["date"], "date_id")
+    return with_dense_key(dates_of(trips, ts_col), ["date"], "date_id")
 
 
 def dim_time(trips: DataFrame, ts_col: str = "trip_start") -> DataFrame:
-    """Time of day as ``HH:mm:ss`` text (Spark has no TIME type by default)."""
-    times = (trips.select(F.date_format(ts_col, TIME_FORMAT).alias("time"))
-             .filter(F.col("time").isNotNull()).distinct())
-    return with_dense_key(times, ["time"], "time_id")
+    return with_dense_key(times_of(trips, ts_col), ["time"], "time_id")
 
 
 def dim_train(planned: DataFrame) -> DataFrame:
@@ -56,8 +62,12 @@ def apply_changes(planned: DataFrame, changes: DataFrame) -> DataFrame:
     """Last-writer-wins update of the planned stops by their changes:
     changed times and platform take the last non-NULL value, cancellation
     is sticky, delays are recomputed.  ``planned`` must be one row per stop."""
-    folded = fold_changes(changes, "last").alias("c")
-    p = planned.alias("p")
+    return apply_folded(planned, fold_changes(changes, "last"))
+
+
+def apply_folded(planned: DataFrame, folded: DataFrame) -> DataFrame:
+    """The update by changes that are already folded, one row per stop."""
+    folded, p = folded.alias("c"), planned.alias("p")
     j = p.join(folded, F.col("p.stop_id") == F.col("c.stop_id"), "left")
     updated = j.select(
         "p.*",
@@ -86,10 +96,17 @@ def build_fact(planned: DataFrame, changes: DataFrame, stations_dim: DataFrame,
     from railflow.functions.timefmt import trip_start
     start = trip_start_col if trip_start_col is not None else trip_start("stop_id")
     first = first_wins(planned, ["stop_id"], ["snapshot_ts", "member"])
-    first = first.withColumn("trip_start", start)
-    first = resolve_names(first, "station_name",
-                          lookup_table(stations_dim, "name", "station_id"), prefix, "station_id")
-    cond = [first[c].eqNullSafe(trains[c]) for c in TRAIN_KEY]
-    first = first.join(trains, cond, "left").select(first["*"], trains["train_id"])
-    first = with_date_time_keys(first, dates, times)
-    return apply_changes(first, changes).select(*FACT_COLUMNS)
+    # changes first, while the stops are still partitioned by stop_id
+    changed = apply_changes(first.withColumn("trip_start", start), changes)
+    return with_foreign_keys(changed, stations_dim, trains, dates, times, prefix).select(*FACT_COLUMNS)
+
+
+def with_foreign_keys(rows: DataFrame, stations_dim: DataFrame, trains: DataFrame, dates: DataFrame,
+                      times: DataFrame, prefix: str = DEFAULT_PREFIX) -> DataFrame:
+    """Attach station_id, train_id, date_id and time_id to planned rows with
+    a ``trip_start``."""
+    rows = resolve_names(rows, "station_name",
+                         lookup_table(stations_dim, "name", "station_id"), prefix, "station_id")
+    cond = [rows[c].eqNullSafe(trains[c]) for c in TRAIN_KEY]
+    rows = rows.join(trains, cond, "left").select(rows["*"], trains["train_id"])
+    return with_date_time_keys(rows, dates, times)

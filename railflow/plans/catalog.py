@@ -7,6 +7,8 @@ DuckDB oracle is in ``plans.oracle``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,11 +22,12 @@ from railflow.operators.merge import first_wins, unmatched_changes as unmatched
 from railflow.operators.names import lookup_table, resolve_names
 from railflow.operators.nearest import nearest_station as nearest_one, nearest_stations
 from railflow.plans import queries as Q
-from railflow.plans.pipelines import build_movements
+from railflow.plans.incremental import load_movements, load_star
+from railflow.plans.pipelines import build_movements, resolve_planned
+from railflow.session import ensure_checkpoint_dir
+from railflow.schemas import MOVEMENT_COLUMNS
 from railflow.sources import analogs as A
-from railflow.sources.timetables import (
-    change_rows, documents_from_elements, parse_changes, parse_planned, planned_rows,
-)
+from railflow.sources.timetables import change_rows, parse_changes, parse_planned, planned_rows
 
 PREFIX = A.STATION_PREFIX
 # Fixed parameters of the registered runs.
@@ -33,7 +36,9 @@ LOOKUP_NAME = "NATION 5"          # Q1: resolves by stripping the prefix
 DELAY_NAME = "7"                  # Q4: resolves by adding "NATION "
 CANCEL_DATE, CANCEL_HOUR = "2024-01-15", 15
 POINT = (0.0, 0.0)                # Q2 position (latitude, longitude)
+LOAD_DAY = "2028-06-15"          # both incremental loads hold this day
 HOP_SOURCE = "0"                  # part key the hop search starts from
+HOP_TARGET = "7"
 TIMED_SOURCE, DEPARTURE = "0", "2024-01-01 00:00:00"
 
 
@@ -125,12 +130,12 @@ CHANGE_COLUMNS = ["stop_id", "station_name", "eva_raw", "snapshot_ts", "changed_
 
 
 def xml_planned(spark, d):
-    docs = documents_from_elements(A.planned_elements(spark, d), "planned")
+    docs = A.documents_from_elements(A.planned_elements(spark, d), "planned")
     return parse_planned(docs).select(*PLANNED_COLUMNS)
 
 
 def xml_changes(spark, d):
-    docs = documents_from_elements(A.change_elements(spark, d), "change")
+    docs = A.documents_from_elements(A.change_elements(spark, d), "change")
     return parse_changes(docs, "star").select(*CHANGE_COLUMNS)
 
 
@@ -169,11 +174,8 @@ def unmatched_changes(spark, d):
     return unmatched(change_rows(A.change_elements(spark, d), "star"), planned)
 
 
-@A.memo
 def star_tables(spark, d):
-    """The star schema of the analog: dimensions are materialized
-    (checkpointed) once per session, like loaded warehouse tables; the
-    fact stays a lazy plan over them."""
+    """The star schema of the analog; every query builds its own."""
     planned = _trip_planned(spark, d)
     dims = {"dim_station": S.dim_station(A.stations(spark, d)), "dim_train": S.dim_train(planned),
             "dim_date": S.dim_date(planned), "dim_time": S.dim_time(planned)}
@@ -204,22 +206,16 @@ def peak_departures(spark, d):
     return Q.peak_departures(A.event_trips(spark, d))
 
 
-@A.memo
-def event_dims(spark, d):
-    trips = A.event_trips(spark, d)
-    return S.dim_date(trips), S.dim_time(trips)
-
-
 def dim_date(spark, d):
-    return event_dims(spark, d)[0]
+    return S.dim_date(A.event_trips(spark, d))
 
 
 def dim_time(spark, d):
-    return event_dims(spark, d)[1]
+    return S.dim_time(A.event_trips(spark, d))
 
 
 def cancelled_at(spark, d):
-    dates, times = event_dims(spark, d)
+    dates, times = dim_date(spark, d), dim_time(spark, d)
     fact = S.with_date_time_keys(A.event_trips(spark, d), dates, times)
     return Q.cancelled_at(fact, dates, times, CANCEL_DATE, CANCEL_HOUR)
 
@@ -269,7 +265,60 @@ def earliest_arrival_all(spark, d):
     return G.earliest_arrivals_batch(conns, req).select("source", "station_name", "earliest_arrival")
 
 
+def _loads(df):
+    """The rows of two loads that share one day (like weekly archives)."""
+    day = F.to_date("snapshot_ts")
+    return df.filter(day <= F.lit(LOAD_DAY).cast("date")), df.filter(day >= F.lit(LOAD_DAY).cast("date"))
+
+
+def _load_folder(spark, label: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def incremental_movements(spark, d):
+    """The merged fact after two loads: equal to one load of everything."""
+    out = _load_folder(spark, "movements")
+    planned = resolve_planned(_planned(spark, d), A.stations(spark, d), PREFIX)
+    for p, c in zip(_loads(planned), _loads(change_rows(A.change_elements(spark, d), "parquet"))):
+        loaded = load_movements(p, c, out)
+    return loaded.select(*MOVEMENT_COLUMNS)
+
+
+def _two_star_loads(spark, d):
+    out = _load_folder(spark, "star")
+    for p, c in zip(_loads(_planned(spark, d)), _loads(change_rows(A.change_elements(spark, d), "star"))):
+        tables = load_star(p, c, A.stations(spark, d), out, PREFIX, F.col("snapshot_ts"))
+    return tables
+
+
+def incremental_star(spark, d):
+    """The fact after two loads, with its dimensions' natural keys."""
+    t = _two_star_loads(spark, d)
+    fact = t["fact_train_movements"]
+    for name, key in (("dim_train", "train_id"), ("dim_date", "date_id"), ("dim_time", "time_id")):
+        fact = fact.join(t[name], key, "left").drop(key)
+    return fact
+
+
+def stable_dim_keys(spark, d):
+    """Dates and times after two loads: the first load's keys stay."""
+    t = _two_star_loads(spark, d)
+    return t["dim_date"].select(F.lit("date").alias("dim"), F.col("date_id").alias("id"),
+                                F.col("date").cast("string").alias("member")).unionByName(
+        t["dim_time"].select(F.lit("time").alias("dim"), F.col("time_id").alias("id"), F.col("time").alias("member")))
+
+
+def shortest_path_target(spark, d):
+    """One source to one target (Q7 as asked by a user)."""
+    paths = G.shortest_paths(G.trip_edges(A.hop_movements(spark, d)), HOP_SOURCE, HOP_TARGET)
+    return paths.select("station_name", "hops", F.array_join("path", ">").alias("path"))
+
+
 QUERIES = {
+    "incremental_movements": incremental_movements,
+    "incremental_star": incremental_star,
+    "stable_dim_keys": stable_dim_keys,
+    "shortest_path_target": shortest_path_target,
     "snapshot_parse": snapshot_parse,
     "parse_stop_id": parse_stop_id,
     "path_ends": path_ends,

@@ -348,9 +348,9 @@ WHERE s.latitude IS NOT NULL AND s.longitude IS NOT NULL AND q.latitude IS NOT N
 GROUP BY q.point_id"""
 
 EDGES = HOP_STOPS + r""",
-hs AS (SELECT DISTINCT regexp_extract(stop_id, '^(.*)-(\d+)$', 1) AS trip_key,
-              CAST(regexp_extract(stop_id, '^(.*)-(\d+)$', 2) AS BIGINT) AS stop_index, station_name
-       FROM hop WHERE stop_id IS NOT NULL AND station_name IS NOT NULL),
+hs AS (SELECT regexp_extract(stop_id, '^(.*)-(\d+)$', 1) AS trip_key,
+              CAST(regexp_extract(stop_id, '^(.*)-(\d+)$', 2) AS BIGINT) AS stop_index, min(station_name) AS station_name
+       FROM hop WHERE stop_id IS NOT NULL AND station_name IS NOT NULL GROUP BY ALL),
 hn AS (SELECT station_name AS src,
               lead(station_name) OVER (PARTITION BY trip_key ORDER BY stop_index, station_name) AS dst
        FROM hs),
@@ -414,3 +414,22 @@ ea(source, station_name, earliest_arrival) USING KEY (source, station_name) AS (
                     WHERE x.source = r.source AND x.station_name = c.dst AND x.earliest_arrival <= c.ar_time)
   GROUP BY r.source, c.dst)
 SELECT source, station_name, earliest_arrival FROM ea"""
+
+# ------------------------------------------------- two loads that share a day
+
+SQL["incremental_movements"] = SQL["merge_movements"]
+
+SQL["incremental_star"] = "WITH " + STAR + """
+SELECT f.* EXCLUDE (train_id, date_id, time_id), t.* EXCLUDE (train_id), dd.date, dt.time
+FROM fact f LEFT JOIN dtrain t USING (train_id) LEFT JOIN ddate dd USING (date_id) LEFT JOIN dtime dt USING (time_id)"""
+
+SQL["stable_dim_keys"] = """
+WITH starts AS (SELECT o_orderdate + INTERVAL 30 YEAR AS t FROM orders),
+seen AS (
+  SELECT 'date' AS dim, CAST(CAST(t AS DATE) AS VARCHAR) AS member, CAST(t AS DATE) <= DATE '2028-06-15' AS early FROM starts
+  UNION ALL
+  SELECT 'time', strftime(t, '%H:%M:%S'), CAST(t AS DATE) <= DATE '2028-06-15' FROM starts
+), members AS (SELECT dim, member, bool_or(early) AS early FROM seen WHERE member IS NOT NULL GROUP BY dim, member)
+SELECT dim, member, row_number() OVER (PARTITION BY dim ORDER BY early DESC, member) AS id FROM members"""
+
+SQL["shortest_path_target"] = SQL["shortest_path"] + """ WHERE station_name = '7'"""

@@ -33,24 +33,61 @@ def build_movements(planned_elements: DataFrame, change_elements: DataFrame, sta
 
 # ------------------------------------------------------------ raw inputs
 
+def stage_documents(spark, paths, kind: str, path: str, archive_mode: str = "content") -> DataFrame:
+    """Untar and parse the archives once into Parquet at ``path`` (a folder of
+    the shared store); every table of the load is built from it."""
+    from railflow.sources.archives import read_archives
+    from railflow.sources.timetables import parse_documents
+
+    parse_documents(read_archives(spark, paths, archive_mode), kind).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def _add_rows(rows: DataFrame, path: str) -> DataFrame:
+    """Add rows to a stored table, each once however often a load is run."""
+    from railflow.operators.sinks import read_table, replace_table
+    stored = read_table(rows.sparkSession, path)
+    return replace_table((rows if stored is None else stored.unionByName(rows)).distinct(), path)
+
+
+def _stage_load(spark, planned_paths, change_paths, staging: str, archive_mode: str, quarantine_path: str):
+    from railflow.operators.sinks import remove
+    from railflow.sources.timetables import elements_of, quarantined
+
+    remove(spark, staging)
+    planned = stage_documents(spark, planned_paths, "planned", f"{staging}/planned", archive_mode)
+    changes = stage_documents(spark, change_paths, "change", f"{staging}/changes", archive_mode)
+    _add_rows(quarantined(planned).unionByName(quarantined(changes)), quarantine_path)
+    return elements_of(planned), elements_of(changes)
+
+
 def etl_movements(spark, planned_paths, change_paths, stations_path: str, out_path: str,
                   prefix: str = DEFAULT_PREFIX, policy: str = "max", platform_rule: str = "parquet",
-                  archive_mode: str = "content") -> DataFrame:
-    """E1 end to end: archives + station JSON -> partitioned Parquet
-    ``train_movements`` at ``out_path``.  Returns the movements DataFrame
-    as written (lazy; re-reading ``out_path`` is cheaper than re-running)."""
-    from railflow.operators.sinks import write_movements
-    from railflow.sources.archives import read_archives
+                  archive_mode: str = "content", staging_path: str | None = None) -> DataFrame:
+    """E1 end to end: one load of archives + station JSON merged into the
+    partitioned ``train_movements`` at ``out_path`` (``plans.incremental``).
+
+    Beside it: ``<out>_quarantine`` (malformed documents),
+    ``<out>_unmatched`` (changes without a planned stop so far),
+    ``<out>_change_state`` and, while the load runs, ``<out>_staging``."""
+    from railflow.operators.merge import unmatched_changes
+    from railflow.operators.sinks import read_table, remove, replace_table
+    from railflow.plans.incremental import load_movements
     from railflow.sources.stations import read_stations
-    from railflow.sources.timetables import change_elements_from_xml, planned_elements_from_xml
 
-    planned_docs = read_archives(spark, planned_paths, archive_mode)
-    change_docs = read_archives(spark, change_paths, archive_mode)
-    stations = read_stations(spark, stations_path)
-    mv = build_movements(planned_elements_from_xml(planned_docs), change_elements_from_xml(change_docs),
-                         stations, prefix, policy, platform_rule)
-    write_movements(mv, out_path)
-    return mv
+    staging = staging_path or f"{out_path}_staging"
+    planned_el, change_el = _stage_load(spark, planned_paths, change_paths, staging, archive_mode,
+                                        f"{out_path}_quarantine")
+    changes = change_rows(change_el, platform_rule)
+    planned = resolve_planned(planned_rows(planned_el), read_stations(spark, stations_path), prefix)
+    movements = load_movements(planned, changes, out_path, policy)
+    stops = movements.select("stop_id")
+    waiting, open_ = read_table(spark, f"{out_path}_unmatched"), unmatched_changes(changes, stops)
+    if waiting is not None:
+        open_ = open_.unionByName(waiting.join(stops, "stop_id", "left_anti").select(*open_.columns)).distinct()
+    replace_table(open_, f"{out_path}_unmatched")
+    remove(spark, staging)
+    return movements
 
 
 def build_star(planned_elements: DataFrame, change_elements: DataFrame, stations: DataFrame,
@@ -79,16 +116,19 @@ def build_star(planned_elements: DataFrame, change_elements: DataFrame, stations
 
 
 def etl_star(spark, planned_paths, change_paths, stations_path: str, out_dir: str,
-             prefix: str = DEFAULT_PREFIX, archive_mode: str = "content") -> dict[str, DataFrame]:
-    """E2 end to end: archives + station JSON -> six Parquet tables under ``out_dir``."""
-    from railflow.operators.sinks import write_table
-    from railflow.sources.archives import read_archives
+             prefix: str = DEFAULT_PREFIX, archive_mode: str = "content",
+             staging_path: str | None = None) -> dict[str, DataFrame]:
+    """E2 end to end: one load of archives + station JSON merged into the
+    star schema under ``out_dir`` (six tables, ``quarantine`` and the change
+    state)."""
+    from railflow.operators.sinks import remove
+    from railflow.plans.incremental import load_star
     from railflow.sources.stations import read_stations
-    from railflow.sources.timetables import change_elements_from_xml, planned_elements_from_xml
 
-    tables = build_star(planned_elements_from_xml(read_archives(spark, planned_paths, archive_mode)),
-                        change_elements_from_xml(read_archives(spark, change_paths, archive_mode)),
-                        read_stations(spark, stations_path), prefix)
-    for name, df in tables.items():
-        write_table(df, f"{out_dir}/{name}")
+    staging = staging_path or f"{out_dir}/staging"
+    planned_el, change_el = _stage_load(spark, planned_paths, change_paths, staging, archive_mode,
+                                        f"{out_dir}/quarantine")
+    tables = load_star(planned_rows(planned_el), change_rows(change_el, "star"),
+                       read_stations(spark, stations_path), out_dir, prefix)
+    remove(spark, staging)
     return tables

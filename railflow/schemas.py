@@ -1,8 +1,6 @@
 """Fixed schemas.  No schema is ever inferred (inference fails on all-null
 batches and differs between weeks)."""
 
-from pyspark.sql import types as T
-
 # Timetable XML as read by ``from_xml``: attributes carry a ``_`` prefix,
 # repeated ``s`` elements become an array.  A corrupt-record column is not
 # part of the schema (it stops ``from_xml`` from filling ``s``); malformed
@@ -27,31 +25,6 @@ MOVEMENT_COLUMNS = [
     "departure_delay_minutes", "cancelled", "planned_platform", "changed_platform",
 ]
 
-MOVEMENT_SCHEMA = T.StructType([
-    T.StructField("snapshot_date", T.DateType()),
-    T.StructField("snapshot_hour", T.IntegerType()),
-    T.StructField("snapshot_minute", T.IntegerType()),
-    T.StructField("stop_id", T.StringType()),
-    T.StructField("station_name", T.StringType()),
-    T.StructField("filter_flags", T.StringType()),
-    T.StructField("trip_type", T.StringType()),
-    T.StructField("owner", T.StringType()),
-    T.StructField("eva_number", T.IntegerType()),
-    T.StructField("trip_category", T.StringType()),
-    T.StructField("train_number", T.StringType()),
-    T.StructField("origin_station", T.StringType()),
-    T.StructField("destination_station", T.StringType()),
-    T.StructField("planned_arrival_time", T.TimestampNTZType()),
-    T.StructField("planned_departure_time", T.TimestampNTZType()),
-    T.StructField("changed_arrival_time", T.TimestampNTZType()),
-    T.StructField("changed_departure_time", T.TimestampNTZType()),
-    T.StructField("arrival_delay_minutes", T.IntegerType()),
-    T.StructField("departure_delay_minutes", T.IntegerType()),
-    T.StructField("cancelled", T.BooleanType()),
-    T.StructField("planned_platform", T.StringType()),
-    T.StructField("changed_platform", T.StringType()),
-])
-
 _coords = "struct<coordinates:array<double>>"
 STATION_JSON_SCHEMA = (
     "result array<struct<"

@@ -292,3 +292,48 @@ def member_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(F.col("event_id"), F.concat_ws(
         "/", folder, F.col("event_type"), F.concat(F.col("event_id").cast("string"), F.lit(".xml"))
     ).alias("member"))
+
+
+# ---------------------------------------------------------------- XML text
+
+def _attr(name: str, value) -> "F.Column":
+    # attribute text; NULL attributes are left out
+    escaped = F.replace(F.replace(F.replace(F.replace(value, F.lit("&"), F.lit("&amp;")),
+                                            F.lit("<"), F.lit("&lt;")),
+                                  F.lit('"'), F.lit("&quot;")),
+                        F.lit(">"), F.lit("&gt;"))
+    return F.when(value.isNotNull(), F.concat(F.lit(f' {name}="'), escaped, F.lit('"'))).otherwise(F.lit(""))
+
+
+def _element_xml(tag: str, struct, fields: list[str]):
+    body = F.concat(F.lit(f"<{tag}"), *[_attr(f, struct[f"_{f}"]) for f in fields], F.lit("/>"))
+    return F.when(struct.isNotNull(), body).otherwise(F.lit(""))
+
+
+def stop_xml(elements: DataFrame, kind: str = "planned"):
+    """XML text of one ``<s>`` element (a Column over the element form)."""
+    s = F.col("s")
+    if kind == "planned":
+        ev = ["pt", "ppth", "pp", "cs", "clt"]
+        inner = [_element_xml("tl", s["tl"], ["f", "t", "o", "c", "n"]),
+                 _element_xml("ar", s["ar"], ev), _element_xml("dp", s["dp"], ev)]
+    else:
+        ev = ["ct", "cp", "cs", "clt"]
+        inner = [_element_xml("ar", s["ar"], ev), _element_xml("dp", s["dp"], ev)]
+    return F.concat(F.lit("<s"), _attr("id", s["_id"]), F.lit(">"), *inner, F.lit("</s>"))
+
+
+def documents_from_elements(elements: DataFrame, kind: str = "planned", pieces: int = 64) -> DataFrame:
+    """Group elements into timetable documents: one per station, snapshot
+    and hash piece, so no document grows with a hot station.  NULL keys group
+    like any other value.  Returns ``(snapshot_ts, member, xml)``."""
+    keyed = elements.withColumn("_stop", stop_xml(elements, kind)).withColumn(
+        "_piece", F.pmod(F.xxhash64("s._id", "member"), F.lit(pieces)))
+    docs = keyed.groupBy("snapshot_ts", "station", "eva_raw", "_piece").agg(
+        F.array_join(F.sort_array(F.collect_list("_stop")), "").alias("_body"))
+    root = F.concat(F.lit("<timetable"), _attr("station", F.col("station")),
+                    _attr("eva", F.col("eva_raw").cast("string")), F.lit(">"),
+                    F.col("_body"), F.lit("</timetable>"))
+    member = F.concat_ws("/", F.date_format("snapshot_ts", "yyMMddHHmm"), F.col("station"),
+                         F.concat(F.lit("part-"), F.col("_piece").cast("string"), F.lit(".xml")))
+    return docs.select("snapshot_ts", member.alias("member"), root.alias("xml"))

@@ -36,7 +36,11 @@ def _members(fileobj, archive: str):
             if not member.isfile():
                 continue
             data = tar.extractfile(member).read()
-            yield archive, member.name, data.decode("utf-8", errors="replace")
+            try:
+                text = data.decode("utf-8")
+            except UnicodeDecodeError:
+                text = None      # quarantined by the parsers, never altered
+            yield archive, member.name, text
 
 
 def _batched(rows):

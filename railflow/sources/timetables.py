@@ -24,28 +24,35 @@ _XML_OPTIONS = {"mode": "PERMISSIVE"}
 _PASS = ("archive", "snapshot_ts", "member")   # carried through when present
 
 
-def _parse_docs(docs: DataFrame, schema: str) -> DataFrame:
-    keep = [c for c in _PASS if c in docs.columns]
-    return docs.select(*keep, F.from_xml("xml", schema, _XML_OPTIONS).alias("doc"))
+def _schema(kind: str) -> str:
+    return schemas.PLANNED_XML_SCHEMA if kind == "planned" else schemas.CHANGE_XML_SCHEMA
 
 
-def malformed_documents(docs: DataFrame, kind: str = "planned") -> DataFrame:
-    """Quarantine: documents that do not parse to a timetable with a
-    ``station`` attribute, and members without a snapshot time."""
-    schema = schemas.PLANNED_XML_SCHEMA if kind == "planned" else schemas.CHANGE_XML_SCHEMA
-    keep = [c for c in ("snapshot_ts", "member") if c in docs.columns]
-    parsed = docs.select(*keep, "xml", F.from_xml("xml", schema, _XML_OPTIONS).alias("doc"))
+def parse_documents(docs: DataFrame, kind: str = "planned") -> DataFrame:
+    """Documents with their parsed content ``doc``; the text is kept only
+    where it is ``malformed`` (no timetable with a ``station``, text that is
+    not UTF-8, or a member without a snapshot time)."""
+    keep = [c for c in _PASS if c in docs.columns]
+    parsed = docs.select(*keep, "xml", F.from_xml("xml", _schema(kind), _XML_OPTIONS).alias("doc"))
     bad = F.col("doc._station").isNull()
     if "snapshot_ts" in docs.columns:
         bad = bad | F.col("snapshot_ts").isNull()
-    return parsed.filter(bad).drop("doc")
+    parsed = parsed.withColumn("malformed", bad)
+    return parsed.withColumn("xml", F.when(F.col("malformed"), F.col("xml")))
+
+
+def quarantined(parsed: DataFrame) -> DataFrame:
+    """The malformed documents of ``parse_documents``, with their text."""
+    return parsed.filter("malformed").drop("doc", "malformed")
 
 
-def _elements(parsed: DataFrame) -> DataFrame:
-    # explode drops documents with no / empty ``s`` (an empty <timetable/>)
-    valid = parsed.filter(F.col("doc._station").isNotNull())
-    if "snapshot_ts" in parsed.columns:
-        valid = valid.filter(F.col("snapshot_ts").isNotNull())
+def malformed_documents(docs: DataFrame, kind: str = "planned") -> DataFrame:
+    return quarantined(parse_documents(docs, kind))
+
+
+def elements_of(parsed: DataFrame) -> DataFrame:
+    """The ``<s>`` elements of well-formed documents (an empty timetable has none)."""
+    valid = parsed.filter(~F.col("malformed"))
     member = F.col("member") if "member" in parsed.columns else F.lit(None).cast("string")
     archive = [F.col("archive")] if "archive" in parsed.columns else []
     return valid.select(
@@ -57,11 +64,11 @@ def _elements(parsed: DataFrame) -> DataFrame:
 
 
 def planned_elements_from_xml(docs: DataFrame) -> DataFrame:
-    return _elements(_parse_docs(docs, schemas.PLANNED_XML_SCHEMA))
+    return elements_of(parse_documents(docs, "planned"))
 
 
 def change_elements_from_xml(docs: DataFrame) -> DataFrame:
-    return _elements(_parse_docs(docs, schemas.CHANGE_XML_SCHEMA))
+    return elements_of(parse_documents(docs, "change"))
 
 
 def planned_rows(elements: DataFrame) -> DataFrame:
@@ -121,55 +128,3 @@ def parse_planned(docs: DataFrame) -> DataFrame:
 
 def parse_changes(docs: DataFrame, platform_rule: str = "star") -> DataFrame:
     return change_rows(change_elements_from_xml(docs), platform_rule)
-
-
-# ---------------------------------------------------------------- XML text
-
-def _attr(name: str, value) -> "F.Column":
-    # attribute text; NULL attributes are left out
-    escaped = F.replace(F.replace(F.replace(F.replace(value, F.lit("&"), F.lit("&amp;")),
-                                            F.lit("<"), F.lit("&lt;")),
-                                  F.lit('"'), F.lit("&quot;")),
-                        F.lit(">"), F.lit("&gt;"))
-    return F.when(value.isNotNull(), F.concat(F.lit(f' {name}="'), escaped, F.lit('"'))).otherwise(F.lit(""))
-
-
-def _element_xml(tag: str, struct, fields: list[str]):
-    body = F.concat(F.lit(f"<{tag}"), *[_attr(f, struct[f"_{f}"]) for f in fields], F.lit("/>"))
-    return F.when(struct.isNotNull(), body).otherwise(F.lit(""))
-
-
-def stop_xml(elements: DataFrame, kind: str = "planned"):
-    """XML text of one ``<s>`` element (a Column over the element form)."""
-    s = F.col("s")
-    if kind == "planned":
-        ev = ["pt", "ppth", "pp", "cs", "clt"]
-        inner = [_element_xml("tl", s["tl"], ["f", "t", "o", "c", "n"]),
-                 _element_xml("ar", s["ar"], ev), _element_xml("dp", s["dp"], ev)]
-    else:
-        ev = ["ct", "cp", "cs", "clt"]
-        inner = [_element_xml("ar", s["ar"], ev), _element_xml("dp", s["dp"], ev)]
-    return F.concat(F.lit("<s"), _attr("id", s["_id"]), F.lit(">"), *inner, F.lit("</s>"))
-
-
-def documents_from_elements(elements: DataFrame, kind: str = "planned",
-                            stops_per_document: int = 500) -> DataFrame:
-    """Group elements into timetable documents, one per station and
-    snapshot, split into pieces of about ``stops_per_document`` stops so that
-    no document (and no aggregation buffer) grows with a hot station.
-
-    Returns ``(snapshot_ts, member, xml)``."""
-    keyed = elements.withColumn("_stop", stop_xml(elements, kind))
-    group = ["snapshot_ts", "station", "eva_raw"]
-    sizes = keyed.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    pieces = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(stops_per_document)))
-    keyed = (keyed.join(sizes, group, "inner")
-             .withColumn("_piece", F.pmod(F.xxhash64("s._id", "member"), pieces)))
-    docs = keyed.groupBy(*group, "_piece").agg(
-        F.array_join(F.sort_array(F.collect_list("_stop")), "").alias("_body"))
-    root = F.concat(F.lit("<timetable"), _attr("station", F.col("station")),
-                    _attr("eva", F.col("eva_raw").cast("string")), F.lit(">"),
-                    F.col("_body"), F.lit("</timetable>"))
-    member = F.concat_ws("/", F.date_format("snapshot_ts", "yyMMddHHmm"), F.col("station"),
-                         F.concat(F.lit("part-"), F.col("_piece").cast("string"), F.lit(".xml")))
-    return docs.select("snapshot_ts", member.alias("member"), root.alias("xml"))

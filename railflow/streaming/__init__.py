@@ -1,7 +1,5 @@
-"""Structured Streaming form of the change fold: change snapshots arrive
-every 15 minutes as archives; the fold runs incrementally with bounded
-state instead of re-reading every week."""
+"""Structured Streaming entry points."""
 
-from railflow.streaming.changes import (  # noqa: F401
-    fold_changes_stream, read_change_stream, write_folded_stream,
-)
+from railflow.streaming.changes import fold_into_state, read_change_stream
+
+__all__ = ["fold_into_state", "read_change_stream"]

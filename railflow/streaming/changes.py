@@ -1,28 +1,24 @@
-"""Incremental fold of timetable changes.
-
-``read_change_stream``   new ``.tar.gz`` archives in a folder -> change rows
-                         (``binaryFile`` stream, the same untar and XML
-                         parsing as the batch path)
-``fold_changes_stream``  the batch fold's aggregations, grouped by stop and
-                         trip start, with a watermark on the trip start:
-                         a stop's state is dropped once its trip is older
-                         than ``lateness`` (changes stop arriving after a
-                         trip has run), so state stays bounded by the trips
-                         in flight, not by the whole history
-``write_folded_stream``  append mode: each stop's final fold is written
-                         once, after the watermark passes; the stream's
-                         checkpoint gives exactly-once files on restart
+"""Incremental fold of timetable changes as they arrive.
+
+``read_change_stream``  new ``.tar.gz`` archives in a folder -> change rows
+                        (``binaryFile`` stream, the same untar and XML parsing as
+                        the batch path)
+``fold_into_state``     every micro-batch is merged into the change state that the
+                        incremental loads keep (``plans.incremental``): one row
+                        per stop, equal to the batch fold of all changes so far
+
+No watermark is needed and no change is ever dropped: the state lives in a table,
+not in the stream, and merging is idempotent, so a batch replayed after a restart
+changes nothing.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from railflow.functions.timefmt import snapshot_from_member, trip_start
-from railflow.operators.fold import fold_aggregations
-from railflow.session import ensure_checkpoint_dir
+from railflow.functions.timefmt import snapshot_from_member
+from railflow.plans.incremental import load_change_state
 from railflow.sources.archives import ARCHIVE_ROW_SCHEMA, _untar_content
 from railflow.sources.timetables import parse_changes
 
@@ -37,29 +33,19 @@ def read_change_stream(spark: SparkSession, folder: str, platform_rule: str = "s
              .option("maxFilesPerTrigger", max_files_per_trigger)
              .load(folder))
     docs = (files.select("path", "content").mapInPandas(_untar_content, ARCHIVE_ROW_SCHEMA)
-            .repartition(spark.sparkContext.defaultParallelism)
             .withColumn("snapshot_ts", snapshot_from_member("member")))
     return parse_changes(docs, platform_rule)
 
 
-def fold_changes_stream(changes: DataFrame, policy: str = "max", lateness: str = "2 days") -> DataFrame:
-    """Streaming fold: ``stop_id, trip_start`` + the folded columns.
-
-    ``trip_start`` comes from the stop id; the watermark is on it (as a
-    zoned timestamp, which watermarks require; the session zone only
-    shifts both sides of the comparison alike)."""
-    keyed = (changes.withColumn("trip_start", trip_start("stop_id").cast("timestamp"))
-             .filter(F.col("trip_start").isNotNull())
-             .withWatermark("trip_start", lateness))
-    return keyed.groupBy("stop_id", "trip_start").agg(*fold_aggregations(policy))
-
+def fold_into_state(changes: DataFrame, path: str, checkpoint: str, policy: str = "max",
+                    trigger: dict | None = None) -> StreamingQuery:
+    """Start a query that keeps the fold state at ``path``.  ``checkpoint`` is
+    the stream's own folder on the shared store; a restart must name the same."""
+    def merge(batch: DataFrame, _: int) -> None:
+        rows = batch.persist()     # read twice: by the test for rows and by the merge
+        if not rows.isEmpty():
+            load_change_state(rows, path, policy)
+        rows.unpersist()
 
-def write_folded_stream(folded: DataFrame, path: str, checkpoint: str | None = None,
-                        trigger: dict | None = None) -> StreamingQuery:
-    spark = folded.sparkSession
-    if checkpoint is None:
-        checkpoint = ensure_checkpoint_dir(spark).rstrip("/") + "/folded-changes-stream"
-    writer = (folded.writeStream.format("parquet").outputMode("append")
-              .option("path", path).option("checkpointLocation", checkpoint))
-    writer = writer.trigger(**(trigger or {"processingTime": "1 minute"}))
-    return writer.start()
+    writer = changes.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"processingTime": "1 minute"})).start()

@@ -11,7 +11,8 @@ from railflow.operators import graph as G
 from railflow.operators.fold import fold_changes
 from railflow.operators.merge import first_wins, unmatched_changes
 from railflow.operators.star import dim_train
-from railflow.sources.timetables import change_rows, documents_from_elements, parse_changes
+from railflow.sources.analogs import documents_from_elements
+from railflow.sources.timetables import change_rows, parse_changes
 
 
 def test_stop_id_sign_kept_and_split(spark):
@@ -139,7 +140,7 @@ def test_documents_split_into_bounded_pieces(spark, rail):
     # an XML document never holds more than about stops_per_document stops
     from railflow.sources import analogs as A
     ce = A.change_elements(spark, "/root/testdata/sf0.001")
-    docs = documents_from_elements(ce, "change", stops_per_document=10)
+    docs = documents_from_elements(ce, "change", pieces=10)
     sizes = docs.select(F.size(F.split("xml", "<s ")).alias("n")).agg(F.max("n")).first()[0] - 1
     assert sizes <= 40
     back = parse_changes(docs, "star")

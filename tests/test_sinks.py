@@ -4,7 +4,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from railflow.operators.sinks import PARTITION_COLUMNS, append_batch, write_movements
+from railflow.operators.sinks import PARTITION_COLUMNS, write_movements
 from railflow.schemas import MOVEMENT_COLUMNS
 
 
@@ -25,13 +25,6 @@ def test_round_trip_and_rerun(spark, rail):
     assert final.exceptAll(mv.select(*final.columns)).count() == 0
 
 
-def test_append_skips_empty_batch(spark, rail):
-    out = tempfile.mkdtemp(prefix="railflow-append-") + "/t"
-    assert append_batch(rail.planned.limit(0), out) is False
-    assert append_batch(rail.planned.select("stop_id", "snapshot_date"), out, ["snapshot_date"]) is True
-    assert spark.read.parquet(out).count() == rail.planned.count()
-
-
 def test_star_tables_write(spark, rail):
     from railflow.operators.sinks import write_table
     root = tempfile.mkdtemp(prefix="railflow-star-")
