@@ -21,14 +21,16 @@ PARTITION_COLUMNS = ["snapshot_date", "snapshot_hour", "snapshot_minute"]
 
 
 def write_movements(movements: DataFrame, path: str, partitions: int | None = None,
-                    max_records_per_file: int = 5_000_000) -> None:
-    cols = PARTITION_COLUMNS + ["stop_id"]
+                    max_records_per_file: int = 5_000_000, layout: list[str] = PARTITION_COLUMNS) -> None:
+    """``layout``: the columns that name the folders (a coarser choice suits
+    data with few rows per snapshot)."""
+    cols = list(layout) + ["stop_id"]
     ordered = (movements.repartitionByRange(partitions, *cols) if partitions
                else movements.repartitionByRange(*cols))
     (ordered.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", max_records_per_file)
-     .partitionBy(*PARTITION_COLUMNS)
+     .partitionBy(*layout)
      .parquet(path))
 
 

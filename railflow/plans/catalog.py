@@ -276,11 +276,12 @@ def _load_folder(spark, label: str) -> str:
 
 
 def incremental_movements(spark, d):
-    """The merged fact after two loads: equal to one load of everything."""
+    """The merged fact after two loads: equal to one load of everything.
+    (The analog has a snapshot per day and few rows in each: one folder per hour.)"""
     out = _load_folder(spark, "movements")
     planned = resolve_planned(_planned(spark, d), A.stations(spark, d), PREFIX)
     for p, c in zip(_loads(planned), _loads(change_rows(A.change_elements(spark, d), "parquet"))):
-        loaded = load_movements(p, c, out)
+        loaded = load_movements(p, c, out, layout=["snapshot_hour"])
     return loaded.select(*MOVEMENT_COLUMNS)
 
 

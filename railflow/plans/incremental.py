@@ -48,11 +48,13 @@ def load_change_state(changes: DataFrame, path: str, policy: str) -> DataFrame:
     return replace_table(new if stored is None else merge_states(stored, new, policy), path)
 
 
-def load_movements(planned: DataFrame, changes: DataFrame, path: str, policy: str = "max") -> DataFrame:
+def load_movements(planned: DataFrame, changes: DataFrame, path: str, policy: str = "max",
+                   layout: list[str] = PARTITION_COLUMNS) -> DataFrame:
     """Merge one load into the partitioned ``train_movements`` at ``path``.
 
     ``planned``: planned rows with ``eva_number`` (``pipelines.resolve_planned``);
-    ``changes``: change rows.  The fold state lies beside the table."""
+    ``changes``: change rows; ``layout``: the table's folder columns.  The fold
+    state lies beside the table."""
     spark = planned.sparkSession
     state = load_change_state(changes, f"{path}_change_state", policy)
     new = merge_movements(planned, state)
@@ -60,15 +62,15 @@ def load_movements(planned: DataFrame, changes: DataFrame, path: str, policy: st
     if exists(spark, path):
         stored = spark.read.parquet(path).select(*MOVEMENT_COLUMNS)
         late = stored.join(changes.select("stop_id").distinct(), "stop_id", "left_semi")
-        touched = new.select(*PARTITION_COLUMNS).unionByName(late.select(*PARTITION_COLUMNS)).distinct()
-        old = _null_safe(stored, touched, PARTITION_COLUMNS, "left_semi")
+        touched = new.select(*layout).unionByName(late.select(*layout)).distinct()
+        old = _null_safe(stored, touched, layout, "left_semi")
         old = _null_safe(old, new, [*PARTITION_COLUMNS, "stop_id"], "left_anti")
         rows = new.unionByName(merge_movements(old.drop(*CHANGED), state))
     # the plan reads the partitions that it replaces: write beside the table first
     beside = f"{path}__load"
     remove(spark, beside)
     rows.write.parquet(beside)
-    write_movements(spark.read.parquet(beside), path)
+    write_movements(spark.read.parquet(beside), path, layout=layout)
     remove(spark, beside)
     return spark.read.parquet(path)
 
