@@ -43,7 +43,7 @@ PATTERNS = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 # Identifier-like: number groups, or addresses with an @ or a spelled-out one.
-LIKE = r"(?<![A-Za-z0-9])(?:[(+]?[0-9](?:[0-9().+/-]| (?=[0-9(]))*+|[A-Za-z0-9._%+-]++(?:@|\(at\)|\[at\])[A-Za-z0-9.-]++)"
+LIKE = r"(?<![A-Za-z0-9._%+-])(?:[(+]?[0-9](?:[0-9().+/-]| (?=[0-9(]))*+|[A-Za-z0-9._%+-]++(?:@|\(at\)|\[at\])[A-Za-z0-9.-]++)"
 LEAST_DIGITS = 6      # of an identifier-like number
 
 SPAN = "struct<start:int,kind_no:int,end:int,body:string,left:string,right:string>"
