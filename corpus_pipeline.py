@@ -40,7 +40,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     before = common.staged_tables()
     gone = common.fresh(docs, "n_removed")
-    out = linededup.dedup_lines(docs, removed=gone)
+    out = linededup.dedup_passages(docs, removed=gone)
     out = out.where((F.col(gone) == 0) | (F.btrim("text", F.lit(common.SPACE_CHARS)) != "")).drop(gone)
     out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     _tidy(before)

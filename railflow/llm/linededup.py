@@ -1,20 +1,29 @@
-"""Operator 7, line dedup: winnowing over line hashes.
-
-A document is its sequence of non-blank lines.  From every line on, the fewest
-whole lines with at least ``NOISE_WORDS`` words form a *gram*; the smallest gram
-hash among those that start within ``WINDOW_WORDS`` words is selected (winnowing).
-A run of lines with ``NOISE_WORDS + WINDOW_WORDS`` words that occurs twice selects
-the same gram in both places whatever surrounds it: the guarantee.
-
-Selected grams are joined by position: every occurrence meets the first one (by
-document, then line).  Each match is extended line by line in both directions,
-up to ``REACH_WORDS`` words either way (a longer run has further selected grams),
-and the lines of the later run are deleted, blank lines between them too.  A run
-that repeats inside its own document keeps its first gram.
-
-Everything is DataFrame code.  Only hashes are shuffled before the last join; a
-frequent line is pre-aggregated, and its matches are spread by skew-join splits,
-each against one first occurrence.
+"""Operator 7, line dedup: exact repeats of whole lines and of word runs, the
+latter found by winnowing.
+
+A document is its sequence of words, and its sequence of non-blank lines.  Two
+kinds of repeats are deleted (``dedup_passages``); ``dedup_lines`` deletes only the
+first kind:
+
+* A run of whole lines with at least ``NOISE_WORDS`` words that occurs earlier.  From
+  every line on, the fewest whole lines with that many words form a *gram*, up to
+  every line too; together they cover each line of such a run.
+* A run of at least ``NOISE_WORDS + WINDOW_WORDS`` words that occurs earlier, wherever
+  it stands in its lines and however it is cut into lines.  Of the ``NOISE_WORDS``
+  words from every word on, the smallest hash among ``WINDOW_WORDS + 1`` places in a
+  row is selected (winnowing).  A repeated run selects the same places whatever
+  surrounds it, so only windows whose selected hash occurs twice are candidates;
+  each candidate window is hashed whole.
+
+Grams and whole windows meet their first occurrence (by document, then place), which
+holds all of them: a match never depends on what else that document has.  The words
+of every later one are deleted, with the lines of which nothing is left and the blank
+lines between them.  A repeat that overlaps its first occurrence in its own document
+keeps the words of the first.
+
+Everything is DataFrame code.  Before the last joins only hashes are shuffled, and
+the texts that have candidates; a frequent gram is pre-aggregated, and its matches are
+spread by skew-join splits, each against one first occurrence.
 
 Defined results: a null text stays null; blank texts and texts shorter than a gram
 stay as they are; a document whose every line repeats becomes the empty text; rows
@@ -25,6 +34,8 @@ no rows; extra columns are kept.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,9 +43,9 @@ from railflow.llm.common import SPACE_CHARS, WORD_GAP, fresh, stage, unstage
 
 NOISE_WORDS = 8       # shorter matches are never looked at
 WINDOW_WORDS = 42     # every repeated run of 8 + 42 = 50 words is found
-REACH_WORDS = 200     # a match is extended so far either way
 
 KEY = ["id0", "th"]   # a document: its id (0 for null) and a hash that knows nulls
+PLACE_BITS = 28       # low bits of a selected hash, for its place in the document
 
 
 def _key(doc_id: Column, text: Column) -> list[Column]:
@@ -46,91 +57,178 @@ def _trimmed(line: Column) -> Column:
 
 
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per non-blank line: key, rank in the document, words before it,
-    words in it, hash."""
+    """One row per non-blank line: key, hash, words in it, words before it."""
     rows = docs.select(*_key(F.col(id_col), F.col(text_col)), F.col(id_col).isNull().alias("nul"),
                        F.posexplode(F.split(F.col(text_col), "\n")).alias("at", "line"))
     rows = rows.withColumn("line", _trimmed(F.col("line"))).where("line <> ''")
     rows = rows.select(*KEY, "nul", "at", F.size(F.split("line", WORD_GAP)).cast("long").alias("nw"),
                        F.xxhash64("line").alias("h")).dropDuplicates([*KEY, "at"])
     by = Window.partitionBy(*KEY).orderBy("at")
-    return rows.select(*KEY, "nul", "h", "nw", (F.row_number().over(by) - 1).alias("r"),
-                       (F.sum("nw").over(by) - F.col("nw")).alias("c"))
-
-
-def select_grams(lines: DataFrame, noise: int, window: int) -> DataFrame:
-    """Add the gram that starts at a line (g1, g2, gram_lines; null if the
-    document ends too soon) and whether winnowing selects it."""
-    by = Window.partitionBy(*KEY).orderBy("c")
-    gram = by.rangeBetween(0, noise - 1)
-    out = lines.withColumns({"gram": F.collect_list("h").over(gram), "words": F.sum("nw").over(gram)})
-    full = F.col("words") >= noise
-    out = out.select(*lines.columns, F.when(full, F.xxhash64("gram", F.lit(1))).alias("g1"),
-                     F.when(full, F.xxhash64("gram", F.lit(2))).alias("g2"),
-                     F.when(full, F.size("gram")).alias("gram_lines"))
-    least = F.min(F.when(F.col("g1").isNotNull(), F.struct("g1", "g2", "c")))
-    out = out.withColumn("least", least.over(by.rangeBetween(0, window - 1))["c"])
-    chosen = F.array_contains(F.collect_set("least").over(by.rangeBetween(1 - window, 0)), F.col("c"))
-    return out.withColumn("selected", chosen & F.col("g1").isNotNull()).drop("least")
-
-
-def _equal_prefix(one: Column, two: Column) -> Column:
-    """Length of the common prefix of two arrays."""
-    differ = F.array_position(F.zip_with(one, two, lambda a, b: a.eqNullSafe(b)), False)
-    return F.when(differ == 0, F.size(one)).otherwise(differ - 1).cast("int")
+    return rows.select(*KEY, "nul", "h", "nw", (F.sum("nw").over(by) - F.col("nw")).alias("c"))
+
+
+def line_grams(lines: DataFrame, noise: int) -> DataFrame:
+    """(g1, g2, nul, key, lo, hi): the grams that start and end at every line,
+    with their first and last word."""
+    out = lines.withColumn("e", F.col("c") + F.col("nw") - 1)
+    on = Window.partitionBy(*KEY).orderBy("c").rangeBetween(0, noise - 1)
+    upto = Window.partitionBy(*KEY).orderBy("e").rangeBetween(1 - noise, 0)
+    out = out.select(*KEY, "nul", "nw", F.collect_list("h").over(on).alias("on"), F.max("e").over(on).alias("on_hi"),
+                     F.collect_list("h").over(upto).alias("upto"), F.min("c").over(upto).alias("upto_lo"), "c", "e")
+    gram = lambda hashes, lo, hi: F.struct(
+        F.xxhash64(hashes, F.lit(1)).alias("g1"), F.xxhash64(hashes, F.lit(2)).alias("g2"), F.col(lo).alias("lo"),
+        F.col(hi).alias("hi"))
+    # a line with enough words is its own gram both ways
+    out = out.select(*KEY, "nul", F.explode(F.array_compact(F.array(
+        F.when(F.col("on_hi") - F.col("c") + 1 >= noise, gram("on", "c", "on_hi")),
+        F.when((F.col("nw") < noise) & (F.col("e") - F.col("upto_lo") + 1 >= noise), gram("upto", "upto_lo", "e"))))).alias("g"))
+    return out.select("g.g1", "g.g2", "nul", *KEY, "g.lo", "g.hi")
+
+
+def _neighbours(array: Column, apart: int, f: Callable[[Column, Column], Column]) -> Column:
+    """f of every element and the one ``apart`` after it."""
+    n = F.greatest(F.size(array) - apart, F.lit(0))
+    return F.zip_with(F.slice(array, F.lit(1), n), F.slice(array, F.lit(apart + 1), n), f)
+
+
+def _over(df: DataFrame, name: str, width: int, f: Callable[[Column, Column], Column], have: int = 1) -> DataFrame:
+    """Replace array ``name``, whose elements stand for ``have`` places each, by f
+    over ``width`` places; each step is a column of its own, so that none is
+    computed again.  (To unfold such a column use an outer explode: the filter that
+    Spark infers from an inner one holds all steps, each several times.)"""
+    while have < width:
+        apart = min(have, width - have)
+        df, have = df.withColumn(name, _neighbours(F.col(name), apart, f)), have + apart
+    return df
+
+
+def _words(text: Column) -> Column:
+    return F.transform(F.split(_trimmed(text), WORD_GAP), lambda w: F.xxhash64(w))
+
+
+def _islands(ranges: Column) -> Column:
+    """Sorted ranges, joined where they meet or overlap."""
+    kind = "struct<done:array<struct<lo:bigint,hi:bigint>>,lo:bigint,hi:bigint>"
+    one = lambda lo, hi: F.struct(lo.alias("lo"), hi.alias("hi"))
+    state = lambda done, lo, hi: F.struct(done.alias("done"), lo.alias("lo"), hi.alias("hi")).cast(kind)
+    first = state(F.array().cast("array<struct<lo:bigint,hi:bigint>>"), F.get(ranges, F.lit(0))["lo"], F.get(ranges, F.lit(0))["hi"])
+    return F.aggregate(ranges, first, lambda at, r: F.when(
+        r["lo"] <= at["hi"] + 1, state(at["done"], at["lo"], F.greatest(at["hi"], r["hi"]))).otherwise(
+        state(F.concat(at["done"], F.array(one(at["lo"], at["hi"]))), r["lo"], r["hi"])),
+        lambda at: F.concat(at["done"], F.array(one(at["lo"], at["hi"]))))
+
+
+def selected_windows(docs: DataFrame, id_col: str, text_col: str, noise: int, run: int) -> DataFrame:
+    """(g, key, lo, hi): the hashes that winnowing selects, each with the first
+    and last start of the windows of ``run`` words that select it."""
+    rows = docs.select(*_key(F.col(id_col), F.col(text_col)), _words(F.col(text_col)).alias("h")).where(F.size("h") >= run)
+    rows = _over(rows, "h", noise, lambda a, b: F.xxhash64(a, b))
+    place = (1 << PLACE_BITS) - 1
+    rows = rows.withColumn("m", F.transform("h", lambda g, at: g.bitwiseAND(F.lit(~place)).bitwiseOR(at.cast("long"))))
+    rows = _over(rows, "m", run - noise + 1, lambda a, b: F.least(a, b))
+    rows = rows.withColumn("windows", F.size("m")).withColumn("m", F.array_distinct("m"))
+    at = lambda v: v.bitwiseAND(F.lit(place))
+    # the next place is selected once it comes into the window, if smaller, or when the one before leaves it
+    starts = F.transform("m", lambda v, i: F.when(i == 0, F.lit(0).cast("long")).when(
+        v < F.get("m", i - 1), at(v) - (run - noise)).otherwise(at(F.get("m", i - 1)) + 1))
+    rows = rows.withColumn("lo", starts).withColumn("one", F.explode_outer(F.transform("m", lambda v, i: F.struct(
+        F.get("h", at(v).cast("int")).alias("g"), F.get("lo", i).alias("lo"),
+        (F.coalesce(F.get("lo", i + 1), F.col("windows").cast("long")) - 1).alias("hi")))))
+    return rows.select("one.g", *KEY, "one.lo", "one.hi")
+
+
+def word_grams(docs: DataFrame, id_col: str, text_col: str, noise: int, run: int) -> tuple[DataFrame, DataFrame]:
+    """(g1, g2, nul, key, lo, hi) of the windows of ``run`` words that may occur
+    twice, and the staged table that this reads."""
+    spots = stage(docs.sparkSession, selected_windows(docs, id_col, text_col, noise, run), "linededup-spots")
+    twice = spots.groupBy("g").agg(F.count("*").alias("times")).where("times > 1").select("g")
+    spans = spots.join(twice, "g", "left_semi").groupBy(*KEY).agg(
+        F.array_sort(F.collect_set(F.struct("lo", "hi"))).alias("spans")).withColumn("spans", _islands(F.col("spans")))
+    rows = docs.select(*_key(F.col(id_col), F.col(text_col)), F.col(id_col).isNull().alias("nul"), F.col(text_col).alias("t"))
+    rows = rows.join(spans, KEY).withColumn("h", _words(F.col("t"))).select(*KEY, "nul", "h", F.explode_outer("spans").alias("span"))
+    rows = rows.select(*KEY, "nul", F.col("span.lo").alias("from"), F.slice(
+        "h", (F.col("span.lo") + 1).cast("int"), (F.col("span.hi") - F.col("span.lo") + run).cast("int")).alias("h"))
+    rows = _over(rows, "h", run, lambda a, b: F.xxhash64(a, b))
+    rows = rows.select(*KEY, "nul", "from", F.posexplode_outer("h").alias("at", "g1"))
+    lo = F.col("from") + F.col("at")
+    return rows.select("g1", F.lit(0).cast("long").alias("g2"), "nul", *KEY, lo.alias("lo"), (lo + run - 1).alias("hi")), spots
+
+
+def later_ones(grams: DataFrame) -> DataFrame:
+    """(key, lo, hi): the words of every gram that occurs earlier."""
+    firsts = grams.groupBy("g1", "g2").agg(
+        F.count("*").alias("times"), F.min(F.struct("nul", *KEY, "lo")).alias("first")).where("times > 1")
+    firsts = firsts.select("g1", "g2", F.col("first.id0").alias("f_id0"), F.col("first.th").alias("f_th"),
+                           F.col("first.lo").alias("f_lo"))
+    same_doc = (F.col("id0") == F.col("f_id0")) & (F.col("th") == F.col("f_th"))
+    found = grams.join(firsts, ["g1", "g2"]).where(~(same_doc & (F.col("lo") == F.col("f_lo"))))
+    past = F.col("f_lo") + F.col("hi") - F.col("lo") + 1
+    lo = F.when(same_doc, F.greatest(F.col("lo"), past)).otherwise(F.col("lo"))
+    return found.select(*KEY, lo.alias("lo"), "hi")
 
 
 def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", noise: int = NOISE_WORDS,
-                  window: int = WINDOW_WORDS, reach: int = REACH_WORDS) -> DataFrame:
-    """(id0, th, runs): the runs of line ranks [lo, hi] to delete per document."""
+                  window: int = WINDOW_WORDS, passages: bool = False) -> DataFrame:
+    """(id0, th, runs): the runs of words [lo, hi] to delete per document, in
+    order and apart."""
     spark = docs.sparkSession
-    lines = stage(spark, select_grams(lines_of(docs, id_col, text_col), noise, window), "linededup-lines")
-    anchors = lines.where("selected").select("g1", "g2", "nul", *KEY, "r", "gram_lines")
-    firsts = anchors.groupBy("g1", "g2").agg(
-        F.count("*").alias("times"), F.min(F.struct("nul", *KEY, "r")).alias("first")).where("times > 1")
-    firsts = firsts.select("g1", "g2", F.col("first.id0").alias("f_id0"), F.col("first.th").alias("f_th"),
-                           F.col("first.r").alias("f_r"))
-    same_doc = (F.col("id0") == F.col("f_id0")) & (F.col("th") == F.col("f_th"))
-    matches = anchors.join(firsts, ["g1", "g2"]).where(~(same_doc & (F.col("r") == F.col("f_r"))))
-    matches = stage(spark, matches.select(*KEY, "r", "f_id0", "f_th", "f_r", "gram_lines"), "linededup-matches")
-    ends = matches.select(*KEY, "r").unionByName(matches.select(
-        F.col("f_id0").alias("id0"), F.col("f_th").alias("th"), F.col("f_r").alias("r"))).distinct()
-    by = Window.partitionBy(*KEY).orderBy("c")
-    around = lines.join(ends.select(*KEY).distinct(), KEY, "left_semi").select(
-        *KEY, "r", F.collect_list("h").over(by.rangeBetween(0, reach)).alias("after"),
-        F.reverse(F.collect_list("h").over(by.rangeBetween(-reach, -1))).alias("before"))
-    around = around.join(ends, [*KEY, "r"], "left_semi")
-    first_around = around.select(F.col("id0").alias("f_id0"), F.col("th").alias("f_th"), F.col("r").alias("f_r"),
-                                 F.col("after").alias("f_after"), F.col("before").alias("f_before"))
-    runs = matches.join(around, [*KEY, "r"]).join(first_around, ["f_id0", "f_th", "f_r"])
-    lo = F.col("r") - _equal_prefix(F.col("before"), F.col("f_before"))
-    lo = F.when(same_doc, F.greatest(lo, F.col("f_r") + F.col("gram_lines"))).otherwise(lo)
-    hi = F.col("r") + _equal_prefix(F.col("after"), F.col("f_after")) - 1
-    runs = runs.select(*KEY, lo.alias("lo"), hi.alias("hi")).where("lo <= hi")
-    runs = stage(spark, runs.groupBy(*KEY).agg(F.collect_set(F.struct("lo", "hi")).alias("runs")), "linededup-runs")
-    unstage(lines, matches)
+    grams = stage(spark, line_grams(lines_of(docs, id_col, text_col), noise), "linededup-lines")
+    found, done = later_ones(grams), [grams]
+    if passages:
+        windows, spots = word_grams(docs, id_col, text_col, noise, noise + window)
+        windows = stage(spark, windows, "linededup-windows")
+        found, done = found.unionByName(later_ones(windows)), [grams, spots, windows]
+    runs = found.groupBy(*KEY).agg(F.array_sort(F.collect_set(F.struct("lo", "hi"))).alias("runs"))
+    runs = stage(spark, runs.withColumn("runs", _islands(F.col("runs"))), "linededup-runs")
+    unstage(*done)
     return runs
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", removed: str = "n_removed",
-                noise: int = NOISE_WORDS, window: int = WINDOW_WORDS, reach: int = REACH_WORDS) -> DataFrame:
+                noise: int = NOISE_WORDS, window: int = WINDOW_WORDS, passages: bool = False) -> DataFrame:
     """All rows with the later repeated runs deleted from their texts, and the
-    number of deleted lines in column ``removed``."""
-    runs = repeated_runs(docs, id_col, text_col, noise, window, reach).select(
+    number of lines that were deleted or cut in column ``removed`` (a line cut at
+    several places counts for each).  Without ``passages`` only whole lines go."""
+    runs = repeated_runs(docs, id_col, text_col, noise, window, passages).select(
         F.col("id0").alias("_run_id"), F.col("th").alias("_run_th"), F.col("runs").alias("_runs"))
     keyed = docs.select("*", *[k.alias(f"_doc_{i}") for i, k in enumerate(_key(F.col(id_col), F.col(text_col)))])
     out = keyed.join(runs, (F.col("_doc_0") == F.col("_run_id")) & (F.col("_doc_1") == F.col("_run_th")), "left")
-    name, text = fresh(docs, removed), F.col(text_col)
-    # each step is a column of its own, so that no lambda computes it again
-    out = out.withColumn("_lines", F.when(F.col("_runs").isNotNull(), F.split(text, "\n")))
-    out = out.withColumn("_solid", F.filter(F.transform(
-        "_lines", lambda line, at: F.when(_trimmed(line) != "", at).otherwise(-1)), lambda at: at >= 0))
-    out = out.withColumn("_gone", F.flatten(F.transform("_runs", lambda run: F.sequence(
-        F.get("_solid", run["lo"]), F.get("_solid", run["hi"])))))
-    out = out.withColumn("_kept", F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_gone"))
-    left = F.array_join(F.transform("_kept", lambda at: F.get("_lines", at)), "\n")
+    name, text, space = fresh(docs, removed), F.col(text_col), F.lit(SPACE_CHARS)
     hit = F.col("_runs").isNotNull()
-    return out.withColumns({
-        text_col: F.when(hit, left).otherwise(text),
-        name: F.when(hit, F.size(F.array_intersect("_solid", "_gone"))).otherwise(0)}).drop(
-        "_doc_0", "_doc_1", "_run_id", "_run_th", "_runs", "_lines", "_solid", "_gone", "_kept")
+    # each step is a column of its own, so that no lambda computes it again
+    out = out.withColumn("_words", F.when(hit, F.regexp_extract_all(text, F.lit(f"{WORD_GAP[:-1]}*[^\\x20\\x09-\\x0D]+"), F.lit(0))))
+    out = out.withColumn("_end", F.when(hit, F.regexp_extract(text, f"{WORD_GAP[:-1]}*\\z", 0)))
+    piece = lambda lo, hi: F.slice("_words", (lo + 1).cast("int"), F.greatest(hi - lo + 1, F.lit(0)).cast("int"))
+    lead = lambda word: F.left(word, F.char_length(word) - F.char_length(F.ltrim(word, space)))
+    n_words = F.size("_words").cast("long")
+
+    def join_after(run: Column, i: Column) -> Column:
+        """What stands for a run and the words after it."""
+        last = run["hi"] + 1 >= n_words
+        before = lead(F.get("_words", run["lo"].cast("int")))
+        after = F.when(last, F.col("_end")).otherwise(lead(F.get("_words", (run["hi"] + 1).cast("int"))))
+        starts = (run["lo"] == 0) | F.contains(before, F.lit("\n"))
+        ends = last | F.contains(after, F.lit("\n"))
+        upto = F.regexp_extract(before, r"(?s)\A.*\n", 0)       # all lines before, with the line end
+        below = F.regexp_replace(after, r"\A[^\n]*\n", "")      # all lines after
+        inside = F.exists(piece(run["lo"] + 1, run["hi"]), lambda w: F.contains(w, F.lit("\n")))
+        whole = F.when(F.contains(after, F.lit("\n")), F.concat(upto, below)).otherwise(F.regexp_replace(upto, r"\n\z", ""))
+        gap = F.when(starts & ends, whole).when(starts, before).when(ends, after).when(inside, F.lit("\n")).otherwise(after)
+        then = F.coalesce(F.get("_runs", i + 1)["lo"], n_words) - 1
+        first = F.when(last, F.lit("")).otherwise(F.ltrim(F.get("_words", (run["hi"] + 1).cast("int")), space))
+        tail = F.when(then + 1 >= n_words, F.when(last, F.lit("")).otherwise(F.col("_end"))).otherwise(F.lit(""))
+        return F.concat(gap, first, F.array_join(piece(run["hi"] + 2, then), ""), tail)
+
+    out = out.withColumn("_left", F.when(hit, F.concat(
+        F.array_join(piece(F.lit(0), F.get("_runs", F.lit(0))["lo"] - 1), ""), F.array_join(F.transform("_runs", join_after), ""))))
+    lines = F.aggregate("_runs", F.lit(0), lambda n, run: n + 1 + F.size(
+        F.filter(piece(run["lo"] + 1, run["hi"]), lambda w: F.contains(w, F.lit("\n")))))
+    out = out.withColumn(name, F.when(hit, lines).otherwise(0))
+    return out.withColumn(text_col, F.when(hit, F.col("_left")).otherwise(text)).select(*docs.columns, name)
+
+
+def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", removed: str = "n_removed",
+                   noise: int = NOISE_WORDS, window: int = WINDOW_WORDS) -> DataFrame:
+    """``dedup_lines`` that also deletes word runs of ``noise + window`` words and
+    more that are not whole lines."""
+    return dedup_lines(docs, id_col, text_col, removed, noise, window, passages=True)

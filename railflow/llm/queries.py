@@ -35,7 +35,7 @@ def op6_source_mixing(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op7_line_winnowing(spark: SparkSession, d: str) -> DataFrame:
-    docs = linededup.dedup_lines(table(spark, d, "documents"))
+    docs = linededup.dedup_passages(table(spark, d, "documents"))
     return docs.withColumn("n_chars", F.char_length("text").cast("long"))
 
 

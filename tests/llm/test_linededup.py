@@ -108,3 +108,73 @@ def test_no_python_in_the_plan(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     plan = L.dedup_lines(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def words(n, tag):
+    return [f"{tag}{i}" for i in range(n)]
+
+
+def brute_passages(rows, noise=L.NOISE_WORDS, run=L.NOISE_WORDS + L.WINDOW_WORDS):
+    """{doc_id: kept words}: every word goes that lies in a run of whole lines with
+    ``noise`` words, or in a run of ``run`` words, that occurs earlier."""
+    first, ranges = {}, {}
+    for doc in sorted(rows):
+        lines = [x.split() for x in solid(rows[doc])]
+        flat, starts = [w for x in lines for w in x], [0]
+        for x in lines:
+            starts.append(starts[-1] + len(x))
+        grams = [(p, p + run - 1, tuple(flat[p:p + run])) for p in range(len(flat) - run + 1)]
+        for a in range(len(lines)):
+            for b in range(a, len(lines)):
+                if starts[b + 1] - starts[a] >= noise:
+                    grams.append((starts[a], starts[b + 1] - 1, tuple(map(tuple, lines[a:b + 1]))))
+                    if starts[b] - starts[a] >= 3 * noise:
+                        break
+        gone = set()
+        for lo, hi, gram in sorted(grams, key=lambda g: g[:2]):
+            at = first.setdefault(gram, (doc, lo))
+            if at != (doc, lo):
+                gone.update(range(max(lo, at[1] + hi - lo + 1) if at[0] == doc else lo, hi + 1))
+        ranges[doc] = [w for i, w in enumerate(flat) if i not in gone]
+    return ranges
+
+
+def test_passages_inside_lines(spark):
+    random = __import__("random").Random(7)
+    rows, passages = {}, [words(n, f"p{k}_") for k, n in enumerate((50, 55, 70, 49, 120))]
+    for doc in range(60):
+        text = []
+        for k in random.sample(range(5), 2):
+            text += words(random.randrange(3, 40), f"d{doc}a{k}_") + passages[k]
+        text += words(random.randrange(0, 9), f"d{doc}z")
+        # broken into lines at places of the document's own, some blank
+        rows[doc] = "".join(w + random.choice([" "] * 30 + ["  ", "\n", " \n\n"]) for w in text)
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    got = texts(L.dedup_passages(docs))
+    want = brute_passages(rows)
+    assert {d: t.split() for d, t in got.items()} == want
+    joined = " ".join(" ".join(want[d]) + f" |{d}|" for d in sorted(want))
+    for k in (0, 1, 2, 4):
+        assert joined.count(" ".join(passages[k])) == 1
+    whole = texts(L.dedup_lines(docs))      # what whole lines alone leave
+    assert sum(len(t.split()) for t in whole.values()) > 2 * sum(len(t.split()) for t in got.values())
+
+
+def test_passages_keep_the_rest(spark):
+    p = " ".join(words(60, "p"))
+    rows = {1: f"a b {p} c d", 2: f"e f\n  g h {p} i j  \nk", 3: f"l\n\n{p}\n\nm n ", 4: f"o {p}\nq", 5: f"r\n{p} s",
+            6: "t " + p.replace("p30 ", "p30\n") + " u", 7: p, 8: f"v\n{p}\n", 9: "p1 p2 p3"}
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    out = L.dedup_passages(docs)
+    assert texts(out) == {1: rows[1], 2: "e f\n  g h i j  \nk", 3: "l\n\n\nm n ", 4: "o\nq", 5: "r\ns", 6: "t\nu", 7: "",
+                          8: "v\n", 9: "p1 p2 p3"}
+    assert {r.doc_id: r.n_removed for r in out.collect()} == {1: 0, 2: 1, 3: 1, 4: 1, 5: 1, 6: 2, 7: 1, 8: 1, 9: 0}
+
+
+def test_passages_of_the_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    out = L.dedup_passages(docs)
+    assert {d: (t or "").split() for d, t in texts(out).items()} == {
+        d: [w for w in kept] for d, kept in brute_passages({d: t or "" for d, t in texts(docs).items()}).items()}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
