@@ -178,3 +178,18 @@ def test_passages_of_the_table(spark):
         d: [w for w in kept] for d, kept in brute_passages({d: t or "" for d, t in texts(docs).items()}).items()}
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_part_of_a_passage_stands_earlier(spark):
+    """B and C share six lines; an earlier A has some of them.  Every hash differs
+    from trial to trial, and every trial loses the whole passage in C."""
+    rows, n = {}, 0
+    for trial in range(400):
+        passage = lines(6, f"t{trial}p", 10)
+        inside = passage[2:3] if trial % 2 else passage[1:4]
+        for text in (lines(2, f"t{trial}a") + inside, passage + lines(2, f"t{trial}b"), lines(2, f"t{trial}c") + passage):
+            rows[n] = text
+            n += 1
+    docs = spark.createDataFrame([(k, "\n".join(v)) for k, v in rows.items()], "doc_id long, text string")
+    for got in (texts(L.dedup_lines(docs)), texts(L.dedup_passages(docs))):
+        assert [got[k] for k in range(2, n, 3)] == ["\n".join(rows[k][:2]) for k in range(2, n, 3)]
