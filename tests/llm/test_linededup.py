@@ -193,3 +193,13 @@ def test_part_of_a_passage_stands_earlier(spark):
     docs = spark.createDataFrame([(k, "\n".join(v)) for k, v in rows.items()], "doc_id long, text string")
     for got in (texts(L.dedup_lines(docs)), texts(L.dedup_passages(docs))):
         assert [got[k] for k in range(2, n, 3)] == ["\n".join(rows[k][:2]) for k in range(2, n, 3)]
+
+
+def test_every_repeated_line_above_noise_goes(spark):
+    """Repeated lines of 8 words and more go whatever stands next to them."""
+    rows = {0: [" ".join(f"k{k}w{j}" for j in range(8 + k % 12)) for k in range(200)]}
+    for k in range(200):
+        rows[k + 1] = lines(4, f"n{k}", 9) + [rows[0][k]] + lines(4, f"m{k}", 9)
+    docs = spark.createDataFrame([(k, "\n".join(v)) for k, v in rows.items()], "doc_id long, text string")
+    got = texts(L.dedup_lines(docs))
+    assert all(got[k + 1] == "\n".join(lines(4, f"n{k}", 9) + lines(4, f"m{k}", 9)) for k in range(200))
