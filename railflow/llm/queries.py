@@ -22,7 +22,7 @@ def op3_quality_trees(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op4_imatch_fingerprints(spark: SparkSession, d: str) -> DataFrame:
-    return fingerprints.fingerprints(table(spark, d, "documents"))
+    return fingerprints.fingerprints(table(spark, d, "documents"), whole=True)
 
 
 def op5_bpe_transducer(spark: SparkSession, d: str) -> DataFrame:
