@@ -7,7 +7,7 @@ DuckDB does not have), bootstrapped extraction (iterative).
 
 from __future__ import annotations
 
-from railflow.llm import mixing, sharding
+from railflow.llm import importance, mixing, sharding
 
 H60 = "CAST(('0x' || substr(md5({}), 1, 15)) AS BIGINT)"
 WORDS = "list_filter(regexp_split_to_array({}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
@@ -163,9 +163,97 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, component_id, doc_id = component
 FROM sized JOIN component USING (doc_id)
 """
 
+# CRC-32 of a text in UTF-8, by the table ``crc.entry`` of OP1's first CTEs.
+CRC_TABLE = OP1.split("docs AS")[0].strip().rstrip(",").rstrip()
+
+
+def _crc(text: str) -> str:
+    return f"""xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+      regexp_extract_all(hex(encode({text})), '..'), lambda x: CAST('0x' || x AS BIGINT))),
+      lambda c, b: xor(c >> 8, entry[1 + (xor(c, b) & 255)])))"""
+
+
+OP11 = CRC_TABLE + f""",
+words AS (
+  SELECT 'd' AS side, row_number() OVER () AS row, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '') AS w
+  FROM documents
+  UNION ALL
+  SELECT 'b', row_number() OVER (), NULL, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')
+  FROM benchmark
+), features AS (
+  SELECT side, row, unnest(list_concat(w,
+    list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+    list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS f FROM words
+), hashed AS (
+  SELECT f, {_crc("f")} % {importance.BUCKETS} AS bucket FROM (SELECT DISTINCT f FROM features), crc
+), counts AS (
+  SELECT side, row, bucket, count(*) AS c FROM features JOIN hashed USING (f) GROUP BY ALL
+), sums AS (
+  SELECT b.bucket, coalesce(sum(c) FILTER (WHERE side = 'd'), 0)::DOUBLE AS s, coalesce(sum(c) FILTER (WHERE side = 'b'), 0)::DOUBLE AS t
+  FROM range({importance.BUCKETS}) b(bucket) LEFT JOIN counts USING (bucket) GROUP BY b.bucket
+), total AS (SELECT sum(s) AS s_all, sum(t) AS t_all FROM sums),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1) * (s_all + {importance.BUCKETS}) / ((s + 1) * (t_all + {importance.BUCKETS})))) AS BIGINT) AS gain
+  FROM sums, total
+), weights AS (
+  SELECT row, sum(c)::BIGINT AS n_features, sum(c * gain)::BIGINT AS weight
+  FROM counts JOIN gains USING (bucket) WHERE side = 'd' GROUP BY row
+), scored AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('{importance.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8)
+      AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM words LEFT JOIN weights USING (row) WHERE side = 'd'
+), drawn AS (
+  SELECT *, n_words >= {importance.LEAST_WORDS} AS able,
+    row_number() OVER (PARTITION BY n_words >= {importance.LEAST_WORDS} ORDER BY score DESC, doc_id NULLS LAST) AS place FROM scored
+)
+SELECT doc_id, n_features, weight, score, n_words,
+  CASE WHEN able AND place <= {importance.PERCENT} * (SELECT count(*) FROM drawn WHERE able) // 100 THEN place END AS rank
+FROM drawn
+"""
+
+# Prefixes as lists of digests; totals over all ancestors of every node.
+OP12 = CRC_TABLE + f""",
+turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list(struct_pack(d := d, b := b) ORDER BY turn NULLS FIRST, d) AS t
+  FROM (SELECT conv_id, turn, md5(strlen(role) || ':' || role || text) AS d, strlen(text) AS b FROM turns) GROUP BY conv_id
+), hashed AS (SELECT *, CAST({_crc("CAST(conv_id AS VARCHAR)")} % 9 AS INT) AS h FROM own, crc),
+rebuilt AS (
+  SELECT a.conv_id, list_concat(CASE WHEN b.t IS NULL THEN [] ELSE b.t[1:a.h] END, a.t[a.h + 1:]) AS t
+  FROM hashed a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 5
+), paths AS (
+  SELECT conv_id, len(t) AS length, d AS depth,
+    CASE WHEN d = 0 THEN '' ELSE md5(array_to_string(list_transform(t[1:d], lambda x: x.d), ',')) END AS node,
+    CASE WHEN d = 0 THEN 0 ELSE t[d].b END AS bytes
+  FROM rebuilt, LATERAL unnest(range(len(t) + 1)) r(d)
+), nodes AS (
+  SELECT depth, node, min(conv_id) AS conv_id, count(*) AS n_convs, min(bytes) AS bytes,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE length = depth), '') AS ends
+  FROM paths GROUP BY depth, node
+), ups AS (
+  SELECT n.depth, n.node, p.node AS parent FROM nodes n JOIN paths p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1
+), children AS (SELECT depth - 1 AS depth, parent AS node, count(*) AS n_children FROM ups GROUP BY ALL),
+valued AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children, s.parent, (n_convs - 1) * bytes AS saved
+  FROM nodes n LEFT JOIN children USING (depth, node) LEFT JOIN ups s USING (depth, node)
+), totals AS (
+  SELECT p.depth, p.node, count(*) FILTER (WHERE v.n_children = 0) AS n_leaves, sum(v.saved) AS saved_tokens
+  FROM valued v JOIN paths p ON p.conv_id = v.conv_id AND p.depth <= v.depth GROUP BY p.depth, p.node
+)
+SELECT v.conv_id, v.depth, up.conv_id AS parent_conv_id, v.n_convs, v.n_children, t.n_leaves,
+  CAST(t.saved_tokens AS BIGINT) AS saved_tokens, sha256(v.ends) AS ends_sha256
+FROM valued v JOIN totals t USING (depth, node) LEFT JOIN nodes up ON up.depth = v.depth - 1 AND up.node = v.parent
+"""
+
 SQL: dict[str, str] = {
     "op1_shard_interleave": OP1,
     "op6_source_mixing": OP6,
     "op8_url_filter": OP8,
     "op10_hyperminhash_dedup": OP10,
+    "op11_importance_resampling": OP11,
+    "op12_conversation_trie": OP12,
 }

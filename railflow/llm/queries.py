@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railflow.llm import bpe, fingerprints, linededup, mixing, neardup, oracles, pii, quality, sharding, tokens, urls
+from railflow.llm import (
+    bpe, fingerprints, importance, linededup, mixing, neardup, oracles, pieces, pii, quality, sharding, tokens, trie, urls,
+)
 from railflow.llm.common import table
 
 
@@ -60,6 +62,18 @@ def op10_hyperminhash_dedup(spark: SparkSession, d: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, d, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, d: str) -> DataFrame:
+    return importance.resample(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+def op12_conversation_trie(spark: SparkSession, d: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, d, "conversations"))
+
+
+def op13_piece_backtracking(spark: SparkSession, d: str) -> DataFrame:
+    return pieces.encode_digests(table(spark, d, "documents"), "doc_id", "text")
+
+
 QUERIES = {
     "op1_shard_interleave": op1_shard_interleave,
     "op2_token_counts": op2_token_counts,
@@ -71,6 +85,9 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_pii_bootstrap": op9_pii_bootstrap,
     "op10_hyperminhash_dedup": op10_hyperminhash_dedup,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_piece_backtracking": op13_piece_backtracking,
 }
 
 ORACLE_SQL = {k: v for k, v in oracles.SQL.items() if k in QUERIES}
