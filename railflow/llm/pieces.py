@@ -15,7 +15,7 @@ So every position fails at most once, and the work is linear in the text.
 Before that a text is prepared as the vocabulary demands: a space before it, spaces
 written as U+2581.  No piece has that sign behind another character, so a text falls
 apart before every run of it, exactly; the codes of such units are remembered per
-worker (at most ``KEPT``).  Pieces of this sign alone all have one score, below all
+worker (at most ``2 * KEPT``, the long unused ones forgotten).  Pieces of this sign alone all have one score, below all
 others: a run is merged last, from the left.  A character without a piece becomes its
 bytes' pieces.
 
@@ -23,8 +23,8 @@ Decoding is a state machine: ids go in one at a time, bytes wait until a charact
 complete, the sign becomes a space, and the first one is left out.
 
 Defined results: null and empty texts have no pieces and decode to the empty text;
-very long texts are cut before spaces into parts, and a very long unit costs four bytes
-and a bit a character; repeated rows are encoded each; an empty table gives no rows;
+very long texts are cut before spaces into parts, and a very long unit costs nine bytes
+a character; repeated rows are encoded each; an empty table gives no rows;
 extra columns are kept by ``encode`` and ignored by ``encode_digests``.
 """
 
@@ -44,7 +44,8 @@ from railflow.llm.common import ship
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-KEPT = 200_000          # units, and pairs of pieces, remembered by a worker
+KEPT = 250_000          # units remembered by a worker before the older half is forgotten
+PAIRS = 1_000_000       # pairs of pieces remembered by a worker
 LONGEST_KEPT = 64       # characters of a unit that is remembered
 ROWS_OUT = 512          # rows in a batch of results
 PART = 1 << 18          # characters of a text that are split into units at once
@@ -75,7 +76,8 @@ class Pieces:
         self._shorter = {p: next((p[:n] for n in range(len(p) - 1, 0, -1) if p[:n] in self.reached or p[:n] == SPACE), None)
                          for p in self.reached}
         self._pairs: dict[tuple[str, str], bool] = {}
-        self._known: dict[str, tuple[int, str, str]] = {}
+        self._known: dict[str, tuple[int, str, str]] = {}       # lately used units
+        self._older: dict[str, tuple[int, str, str]] = {}
 
     def _check(self, scores: dict[str, float]) -> None:
         words = [s for p, s in scores.items() if p.strip(SPACE)]
@@ -101,38 +103,40 @@ class Pieces:
         return out
 
     def compatible(self, left: str, right: str) -> bool:
-        """Whether merging the characters of both anew gives both again."""
-        known = self._pairs.get((left, right))
-        if known is None:
-            known = self.merge([*left, *right]) == [left, right]
-            if len(self._pairs) >= KEPT:
-                self._pairs.clear()
-            self._pairs[left, right] = known
+        """Whether merging the characters of both anew gives both again; remembered."""
+        known = self.merge([*left, *right]) == [left, right]
+        if len(self._pairs) >= PAIRS:
+            self._pairs.clear()
+        self._pairs[left, right] = known
         return known
 
     def backtrack(self, text: str) -> list[str]:
         """Pieces of a text whose characters are all pieces."""
-        number = self.ids
-        longest = array("i", [number[c] for c in text])
+        longest = list(text)
         for end, (size, piece) in self._found.iter(text):
-            longest[end - size + 1] = number[piece]      # later ends are longer
-        text_of, shorter, n = self.text_of, self._shorter, len(text)
+            longest[end - size + 1] = piece      # later ends are longer
+        pairs, shorter, n = self._pairs, self._shorter, len(text)
         failed = bytearray(n // 8 + 1)
         taken: list[str] = []
-        at, piece = 0, text_of[longest[0]]
+        at, piece, before = 0, longest[0], None
         while True:
             end = at + len(piece)
-            if not failed[end >> 3] >> (end & 7) & 1 and (not taken or self.compatible(taken[-1], piece)):
-                taken.append(piece)
-                if end == n:
-                    return taken
-                at, piece = end, text_of[longest[end]]
-                continue
+            if not failed[end >> 3] >> (end & 7) & 1:
+                fits = before is None or pairs.get((before, piece))
+                if fits is None:
+                    fits = self.compatible(before, piece)
+                if fits:
+                    taken.append(piece)
+                    if end == n:
+                        return taken
+                    at, before, piece = end, piece, longest[end]
+                    continue
             piece = shorter.get(piece)
             while piece is None:
                 failed[at >> 3] |= 1 << (at & 7)
                 last = taken.pop()
                 at -= len(last)
+                before = taken[-1] if taken else None
                 piece = shorter.get(last)
 
     def blanks(self, n: int) -> list[str]:
@@ -146,6 +150,9 @@ class Pieces:
 
     def _characters(self, text: str) -> Iterator[int]:
         """Ids of a text without a run of signs: known stretches, bytes of the rest."""
+        if self._plain(text):
+            yield from map(self.ids.__getitem__, self.backtrack(text))
+            return
         start = 0
         for i, char in enumerate(text):
             if char not in self.ids:
@@ -158,6 +165,8 @@ class Pieces:
 
     def unit(self, unit: str) -> list[int]:
         """Ids of a run of signs and the characters behind it."""
+        if unit[:1] == SPACE != unit[1:2] and len(unit) > 1:       # one sign: nothing to join with
+            return list(self._characters(unit))
         body = unit.lstrip(SPACE)
         signs = len(unit) - len(body)
         if not body:
@@ -178,20 +187,28 @@ class Pieces:
             yield _UNIT.findall(mark + text[start:end].replace(" ", SPACE))
             start, mark = end, ""
 
+    def _plain(self, text: str) -> bool:
+        return self.ids.keys() >= {*text}
+
     def encode(self, text: str | None) -> list[int]:
         return [i for units in self.units(text) for u in units for i in self.unit(u)]
 
-    def spelled(self, unit: str) -> tuple[int, str, str]:
-        """(number of ids, ids joined by commas, text behind them), remembered."""
-        known = self._known.get(unit)
+    def spelled(self, units: list[str]) -> list[tuple[int, str, str]]:
+        """(number of ids, ids joined by commas, text behind them) of every unit."""
+        known = self._known
+        return [known.get(u) or self._spell(u) for u in units]
+
+    def _spell(self, unit: str) -> tuple[int, str, str]:
+        known = self._older.get(unit)
         if known is None:
             ids = self.unit(unit)
             machine = Decoder(self, inside=True)
-            known = len(ids), ",".join(map(str, ids)), "".join([*map(machine.feed, ids), machine.end()])
-            if len(unit) <= LONGEST_KEPT:
-                if len(self._known) >= KEPT:
-                    self._known.clear()
-                self._known[unit] = known
+            known = len(ids), ",".join(map(str, ids)), machine.feed_all(ids) + machine.end()
+        if len(unit) <= LONGEST_KEPT:
+            if len(self._known) >= KEPT:
+                self._older = dict(self._known)
+                self._known.clear()
+            self._known[unit] = known
         return known
 
 
@@ -215,6 +232,13 @@ class Decoder:
             self.first, piece = False, piece.removeprefix(" ") if token != self.pieces.unknown else piece
         return before + piece
 
+    def feed_all(self, tokens: list[int]) -> str:
+        """The same for several ids; at once where none of them has a state."""
+        text_of = self.pieces.text_of
+        if not self.first and all(map(text_of.__contains__, tokens)):
+            return self.end() + "".join(map(text_of.__getitem__, tokens)).replace(SPACE, " ")
+        return "".join(map(self.feed, tokens))
+
     def end(self) -> str:
         out = self.utf8.decode(b"", True)
         self.utf8.reset()
@@ -246,9 +270,9 @@ def _digests(pieces: Pieces, text: str | None, ids: array | None) -> tuple[int,
     """(number of ids, SHA-256 of the ids, of the decoded text); appends the ids."""
     n, numbers_hash, text_hash, first = 0, hashlib.sha256(), hashlib.sha256(), True
     for units in pieces.units(text):
-        spelled = list(map(pieces.spelled, units))
-        n += sum([s[0] for s in spelled])
-        numbers, decoded = ",".join([s[1] for s in spelled]), "".join([s[2] for s in spelled])
+        sizes, numbers, texts = zip(*pieces.spelled(units))
+        n += sum(sizes)
+        numbers, decoded = ",".join(numbers), "".join(texts)
         if ids is not None:
             ids.extend(map(int, numbers.split(",")))
         numbers_hash.update((numbers if first else "," + numbers).encode())
@@ -299,7 +323,7 @@ def decode_ids(df: DataFrame, ids_col: str, out_col: str = "text", name: str = M
             texts = []
             for ids in batch.column(len(kept)).to_pylist():
                 machine = Decoder(pieces)
-                texts.append("".join([*map(machine.feed, ids or []), machine.end()]))
+                texts.append(machine.feed_all(ids or []) + machine.end())
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(kept)], pa.array(texts, pa.string())], names=[*kept, out_col])
 
     schema = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept] + [f"`{out_col}` string"]
