@@ -6,8 +6,8 @@ every mapper and never gathered into one buffer.  The text column (and ``max_by`
 has no fixed-width buffer, so Spark plans *sort* aggregates: each side sorts its
 rows by ``stop_id`` once.
 
-``fold_state`` / ``merge_states`` are the same folds in mergeable form: the state of
-two loads together is the merge of their states.
+``fold_state`` / ``merge_deltas`` are the same folds in mergeable form: the state of
+several loads together is the merge of their states.
 """
 
 from __future__ import annotations
@@ -59,11 +59,10 @@ def fold_state(changes: DataFrame, policy: str = "max", order_cols=("snapshot_ts
     return changes.groupBy("stop_id").agg(*aggs)
 
 
-def merge_states(one: DataFrame, two: DataFrame, policy: str = "max") -> DataFrame:
-    """The state of both inputs of two ``fold_state`` results."""
-    both = one.unionByName(two)
+def merge_deltas(states: DataFrame, policy: str = "max") -> DataFrame:
+    """One state per stop out of any number of ``fold_state`` results."""
     if policy == "max":
-        return both.groupBy("stop_id").agg(*fold_aggregations("max"))
+        return states.groupBy("stop_id").agg(*fold_aggregations("max"))
     values = [F.max_by(c, f"{c}_at").alias(c) for c in VALUE_COLUMNS]
     places = [F.max(f"{c}_at").alias(f"{c}_at") for c in VALUE_COLUMNS]
-    return both.groupBy("stop_id").agg(*values, F.bool_or("cancelled").alias("cancelled"), *places)
+    return states.groupBy("stop_id").agg(*values, F.bool_or("cancelled").alias("cancelled"), *places)

@@ -11,7 +11,7 @@ partition's offset; key = offset + position + 1.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from railflow.session import ensure_checkpoint_dir
@@ -32,3 +32,28 @@ def with_dense_key(df: DataFrame, order_cols, key_name: str) -> DataFrame:
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     keyed = tagged.join(F.broadcast(offsets), "_pid")
     return keyed.select((F.col("_off") + F.col("_pos") + 1).alias(key_name), *df.columns)
+
+
+def sorted_blocks(df: DataFrame, group: list[str], order: list[Column], block: str, blocks: int | None = None) -> DataFrame:
+    """``df`` cut into blocks of neighbouring rows: range-partitioned by group and
+    order, with the partition's number in ``block``, checkpointed so that the cut is
+    fixed.  A group of any size is spread over as many blocks as its *rows* fill,
+    whatever the values of the order; all rows of a block precede those of the next.
+    ``blocks``: how many at most; Spark's number of shuffle partitions if not given."""
+    ensure_checkpoint_dir(df.sparkSession)
+    by = [*[F.col(g).asc() for g in group], *order]
+    ordered = df.repartitionByRange(blocks, *by) if blocks else df.repartitionByRange(*by)
+    return ordered.withColumn(block, F.spark_partition_id()).checkpoint(eager=True)
+
+
+def with_position(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """``df`` plus the place (from 0) of each row in its group, in ``order``: counted
+    inside blocks; a block starts after the rows of the group's blocks before it."""
+    columns = [F.col(c).asc() for c in order]
+    rows = sorted_blocks(df, group, columns, "_block")
+    inside = F.row_number().over(Window.partitionBy(*group, "_block").orderBy(*columns))
+    before = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy(*group, "_block").agg(F.count(F.lit(1)).alias("_n")).select(
+        *group, "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    rows = rows.withColumn("_inside", inside).join(starts, [*group, "_block"])
+    return rows.select(*df.columns, (F.col("_start") + F.col("_inside") - 1).alias(name))

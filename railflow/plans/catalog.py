@@ -22,7 +22,7 @@ from railflow.operators.merge import first_wins, unmatched_changes as unmatched
 from railflow.operators.names import lookup_table, resolve_names
 from railflow.operators.nearest import nearest_station as nearest_one, nearest_stations
 from railflow.plans import queries as Q
-from railflow.plans.incremental import load_movements, load_star
+from railflow.plans.incremental import load_calendar, load_movements, load_star
 from railflow.plans.pipelines import build_movements, resolve_planned
 from railflow.session import ensure_checkpoint_dir
 from railflow.schemas import MOVEMENT_COLUMNS
@@ -40,6 +40,7 @@ LOAD_DAY = "2028-06-15"          # both incremental loads hold this day
 HOP_SOURCE = "0"                  # part key the hop search starts from
 HOP_TARGET = "7"
 TIMED_SOURCE, DEPARTURE = "0", "2024-01-01 00:00:00"
+LIST_PAGE = 4
 
 
 def movements(spark: SparkSession, d: str) -> DataFrame:
@@ -247,6 +248,14 @@ def edge_connections(spark, d):
     return nested.select("src", "dst", "period", "n_connections", text.alias("connections"))
 
 
+def edge_lists(spark, d):
+    """One list per edge, in pages of four."""
+    pages = G.edge_lists(G.timed_connections(A.timed_movements(spark, d)), LIST_PAGE)
+    text = F.array_join(F.transform("connections", lambda x: F.concat_ws(
+        "|", _fmt_ts(x["dp_time"]), _fmt_ts(x["ar_time"]), x["trip_key"])), ";")
+    return pages.select("src", "dst", "page", "n_connections", text.alias("connections"))
+
+
 def shortest_path(spark, d):
     paths = G.shortest_paths(G.trip_edges(A.hop_movements(spark, d)), HOP_SOURCE)
     return paths.select("station_name", "hops", F.array_join("path", ">").alias("path"))
@@ -257,6 +266,15 @@ def earliest_arrival(spark, d):
     return best.select("station_name", "earliest_arrival")
 
 
+def earliest_arrival_path(spark, d):
+    """Q8 for every station at once: the arrival and the stations on the way."""
+    conns = G.timed_connections(A.timed_movements(spark, d))
+    req = spark.range(1).select(F.lit(TIMED_SOURCE).alias("source"), F.lit(DEPARTURE).cast("timestamp_ntz").alias("departure"))
+    best = G.earliest_arrivals_batch(conns, req)
+    paths = G.arrival_paths(best, best.select("source", "departure", F.col("station_name").alias("target")))
+    return paths.select(F.col("target").alias("station_name"), "earliest_arrival", F.array_join("path", ">").alias("path"))
+
+
 def earliest_arrival_all(spark, d):
     """Batch form: every station of the timed graph as a source, one loop."""
     conns = G.timed_connections(A.timed_movements(spark, d))
@@ -276,25 +294,22 @@ def _load_folder(spark, label: str) -> str:
 
 
 def incremental_movements(spark, d):
-    """The merged fact after two loads: equal to one load of everything.
+    """The merged fact after two loads: equal to one load of everything.  The planned
+    rows of the day that both loads share come twice in each of them.
     (The analog has a snapshot per day and few rows in each: one folder per hour.)"""
     out = _load_folder(spark, "movements")
     planned = resolve_planned(_planned(spark, d), A.stations(spark, d), PREFIX)
+    planned = planned.unionByName(planned.where(F.to_date("snapshot_ts") == F.lit(LOAD_DAY).cast("date")))
     for p, c in zip(_loads(planned), _loads(change_rows(A.change_elements(spark, d), "parquet"))):
         loaded = load_movements(p, c, out, layout=["snapshot_hour"])
     return loaded.select(*MOVEMENT_COLUMNS)
 
 
-def _two_star_loads(spark, d):
-    out = _load_folder(spark, "star")
-    for p, c in zip(_loads(_planned(spark, d)), _loads(change_rows(A.change_elements(spark, d), "star"))):
-        tables = load_star(p, c, A.stations(spark, d), out, PREFIX, F.col("snapshot_ts"))
-    return tables
-
-
 def incremental_star(spark, d):
     """The fact after two loads, with its dimensions' natural keys."""
-    t = _two_star_loads(spark, d)
+    out = _load_folder(spark, "star")
+    for p, c in zip(_loads(_planned(spark, d)), _loads(change_rows(A.change_elements(spark, d), "star"))):
+        t = load_star(p, c, A.stations(spark, d), out, PREFIX, F.col("snapshot_ts"))
     fact = t["fact_train_movements"]
     for name, key in (("dim_train", "train_id"), ("dim_date", "date_id"), ("dim_time", "time_id")):
         fact = fact.join(t[name], key, "left").drop(key)
@@ -303,7 +318,9 @@ def incremental_star(spark, d):
 
 def stable_dim_keys(spark, d):
     """Dates and times after two loads: the first load's keys stay."""
-    t = _two_star_loads(spark, d)
+    out = _load_folder(spark, "calendar")
+    for p in _loads(_planned(spark, d)):
+        t = load_calendar(p, out, F.col("snapshot_ts"))
     return t["dim_date"].select(F.lit("date").alias("dim"), F.col("date_id").alias("id"),
                                 F.col("date").cast("string").alias("member")).unionByName(
         t["dim_time"].select(F.lit("time").alias("dim"), F.col("time_id").alias("id"), F.col("time").alias("member")))
@@ -350,7 +367,9 @@ QUERIES = {
     "trip_edges": trip_edges,
     "timed_connections": timed_connections,
     "edge_connections": edge_connections,
+    "edge_lists": edge_lists,
     "shortest_path": shortest_path,
     "earliest_arrival": earliest_arrival,
+    "earliest_arrival_path": earliest_arrival_path,
     "earliest_arrival_all": earliest_arrival_all,
 }

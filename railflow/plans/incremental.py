@@ -1,17 +1,25 @@
 """Incremental loads: each load (a week, a day) is merged into what is stored.
 
-The result after any sequence of loads equals one load of everything:
-
-* loads may share snapshots (weekly archives share their boundary day): rows are
-  merged by (snapshot, stop), so nothing of either load is lost and a load run
-  twice changes nothing;
-* a change may arrive in a later load than its stop, or an earlier one: the fold of
-  all changes so far is kept as a mergeable state per stop, and stored stops that
-  a new change touches are updated;
-* dimension keys are stable: known members keep theirs, unseen ones get the next
-  numbers in natural order.
-
-Only partitions that new rows or new changes touch are rewritten.
+Tables live in a ``TableSet``: a load adds delta folders with its own rows only and
+publishes all of them with one rename; what belongs together is merged on read.
+
+``train_movements`` (E1).  Two loads give what one load of everything gives, in any
+order and run any number of times:
+
+* a planned row is identified by its snapshot and stop; of several rows the first by
+  archive member (then by the other columns) counts, whichever load brings it.  A
+  load adds rows with a new identity to ``planned``; a row that comes before the
+  stored one of its identity goes to ``better`` (rare: only contradicting archives
+  have any), and the reader prefers it;
+* changes are folded per stop and load (``changes``); the reader merges the folds.
+  So a change may arrive in a later load than its stop, or an earlier one, and no
+  stored stop is rewritten for it.
+
+Star schema (E2).  Dimension keys are stable: known members keep theirs, unseen ones
+get the next numbers in natural order.  Of several planned rows of one stop the first
+*inserted* wins: within a load the first snapshot, over loads the load that came
+first; so loads are to come in snapshot order to equal one load of everything.
+Changes are folded and merged on read as above.
 """
 
 from __future__ import annotations
@@ -20,17 +28,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railflow.operators import star as S
-from railflow.operators.fold import fold_state, merge_states
+from railflow.operators.fold import fold_state, merge_deltas
 from railflow.operators.index import with_dense_key
 from railflow.operators.merge import first_wins, merge_movements, unmatched_changes
 from railflow.operators.names import DEFAULT_PREFIX
-from railflow.operators.sinks import (
-    PARTITION_COLUMNS, exists, read_table, remove, replace_table, write_movements,
-)
+from railflow.operators.sinks import PARTITION_COLUMNS
+from railflow.operators.store import Load, TableSet
 from railflow.schemas import MOVEMENT_COLUMNS
+from railflow.session import ensure_checkpoint_dir
 
 CHANGED = ["changed_arrival_time", "changed_departure_time", "changed_platform",
            "arrival_delay_minutes", "departure_delay_minutes"]
+IDENTITY = [*PARTITION_COLUMNS, "stop_id"]
+PLANNED = [*IDENTITY, "member", *[c for c in MOVEMENT_COLUMNS if c not in IDENTITY and c not in CHANGED]]
+FACT_ROWS = [c for c in S.FACT_COLUMNS if c not in CHANGED]
 
 
 def _null_safe(left: DataFrame, right: DataFrame, columns: list[str], how: str) -> DataFrame:
@@ -40,85 +51,187 @@ def _null_safe(left: DataFrame, right: DataFrame, columns: list[str], how: str)
     return left.join(right, cond, how)
 
 
-def load_change_state(changes: DataFrame, path: str, policy: str) -> DataFrame:
-    """Merge the fold of ``changes`` into the state stored at ``path``; the
-    merged state (one row per stop)."""
-    stored = read_table(changes.sparkSession, path)
-    new = fold_state(changes, policy)
-    return replace_table(new if stored is None else merge_states(stored, new, policy), path)
+# ------------------------------------------------------------ change state
+
+def add_changes(load: Load, changes: DataFrame, policy: str) -> None:
+    """The load's fold as a delta; full tiers of deltas are merged."""
+    load.append("changes", fold_state(changes, policy))
+    load.compact("changes", lambda states: merge_deltas(states, policy))
+
+
+def change_state(tables: TableSet, policy: str, like: DataFrame | None = None) -> DataFrame | None:
+    """One row per stop over all loads."""
+    states = tables.read("changes")
+    return None if states is None else merge_deltas(states, policy)
+
+
+def load_changes(changes: DataFrame, path: str, policy: str) -> None:
+    """Merge change rows into the change state at ``path``."""
+    load = TableSet(changes.sparkSession, path).load()
+    add_changes(load, changes, policy)
+    load.commit()
+
+
+def read_change_state(spark: SparkSession, path: str, policy: str) -> DataFrame | None:
+    return change_state(TableSet(spark, path), policy)
+
+
+def _add_unmatched(load: Load, changes: DataFrame, stops: DataFrame) -> None:
+    load.append("unmatched", unmatched_changes(changes, stops).distinct())
+
+
+def _unmatched(tables: TableSet, stops: DataFrame) -> DataFrame | None:
+    """Changes whose stop has not come with any load so far, each once."""
+    rows = tables.read("unmatched")
+    return None if rows is None else rows.join(stops.select("stop_id"), "stop_id", "left_anti").distinct()
+
+
+def _quarantine(tables: TableSet) -> DataFrame | None:
+    rows = tables.read("quarantine")
+    return None if rows is None else rows.distinct()
+
+
+# ------------------------------------------------------------ train_movements
+
+def _planned(tables: TableSet) -> DataFrame | None:
+    """One row per identity over all loads."""
+    rows, better = tables.read("planned"), tables.read("better")
+    if better is None:
+        return rows
+    return _null_safe(rows, better, IDENTITY, "left_anti").unionByName(first_wins(better, IDENTITY, ["member"]))
+
+
+def _row(names: list[str], of: str = "") -> Column:
+    return F.struct(*[F.col(f"{of}{c}") for c in names])
 
 
 def load_movements(planned: DataFrame, changes: DataFrame, path: str, policy: str = "max",
-                   layout: list[str] = PARTITION_COLUMNS) -> DataFrame:
-    """Merge one load into the partitioned ``train_movements`` at ``path``.
+                   layout: list[str] = PARTITION_COLUMNS, quarantine: DataFrame | None = None,
+                   keep_unmatched: bool = False) -> DataFrame:
+    """Merge one load into ``train_movements`` at ``path``; the merged fact.
 
     ``planned``: planned rows with ``eva_number`` (``pipelines.resolve_planned``);
-    ``changes``: change rows; ``layout``: the table's folder columns.  The fold
-    state lies beside the table."""
+    ``changes``: change rows; ``layout``: the folder columns of the planned rows."""
     spark = planned.sparkSession
-    state = load_change_state(changes, f"{path}_change_state", policy)
-    new = merge_movements(planned, state)
-    rows = new
-    if exists(spark, path):
-        stored = spark.read.parquet(path).select(*MOVEMENT_COLUMNS)
-        late = stored.join(changes.select("stop_id").distinct(), "stop_id", "left_semi")
-        touched = new.select(*layout).unionByName(late.select(*layout)).distinct()
-        old = _null_safe(stored, touched, layout, "left_semi")
-        old = _null_safe(old, new, [*PARTITION_COLUMNS, "stop_id"], "left_anti")
-        rows = new.unionByName(merge_movements(old.drop(*CHANGED), state))
-    # the plan reads the partitions that it replaces: write beside the table first
-    beside = f"{path}__load"
-    remove(spark, beside)
-    rows.write.parquet(beside)
-    write_movements(spark.read.parquet(beside), path, layout=layout)
-    remove(spark, beside)
-    return spark.read.parquet(path)
-
-
-def extend_dimension(stored: DataFrame | None, members: DataFrame, order: list[str], key: str) -> DataFrame:
-    """``stored`` plus the unseen rows of ``members``, numbered on from its
-    largest key in natural order."""
+    ensure_checkpoint_dir(spark)
+    tables = TableSet(spark, path)
+    load = tables.load()
+    rows = first_wins(planned.select(*PLANNED), IDENTITY, ["member"])
+    stored = _planned(tables)
+    if stored is not None:
+        # only the folders that the load touches are read: at most its snapshots' values
+        values = [r[0] for r in planned.select(layout[0]).distinct().collect()]
+        near = F.col(layout[0]).isin([v for v in values if v is not None])
+        stored = stored.where(near | F.col(layout[0]).isNull() if None in values else near)
+        rest = [c for c in PLANNED if c not in IDENTITY]
+        known = stored.select(*[F.col(c).alias(f"_k_{c}") for c in PLANNED], F.lit(True).alias("_known"))
+        rows = rows.join(known, [rows[c].eqNullSafe(known[f"_k_{c}"]) for c in IDENTITY], "left").withColumn(
+            "_new", F.col("_known").isNull()).withColumn("_better", _row(rest) < _row(rest, "_k_"))
+        rows = rows.select(*PLANNED, "_new", "_better").checkpoint()     # two outputs of one join
+        load.append("better", rows.where(~F.col("_new") & F.col("_better")).select(*PLANNED))
+        rows = rows.where("_new")
+    load.append("planned", rows.select(*PLANNED).repartitionByRange(*layout, "stop_id"), layout)
+    add_changes(load, changes, policy)
+    if quarantine is not None:
+        load.append("quarantine", quarantine.distinct())
+    if keep_unmatched:
+        _add_unmatched(load, changes, load.read("planned"))
+    return movements_of(load.commit(), policy)
+
+
+def movements_of(tables: TableSet, policy: str = "max") -> DataFrame:
+    rows, state = _planned(tables), change_state(tables, policy)
+    if rows is None:
+        raise ValueError(f"no movements at {tables.root}")
+    if state is None:
+        state = rows.select("stop_id", *[F.lit(None).cast(t).alias(c) for c, t in (
+            ("changed_arrival_time", "timestamp_ntz"), ("changed_departure_time", "timestamp_ntz"),
+            ("changed_platform", "string"), ("cancelled", "boolean"))]).limit(0)
+    return merge_movements(rows, state)
+
+
+def read_movements(spark: SparkSession, path: str, policy: str = "max") -> dict[str, DataFrame | None]:
+    """What is stored at ``path``: the fact, the malformed documents and the changes
+    without a planned stop (None: there never were any)."""
+    tables = TableSet(spark, path)
+    rows = movements_of(tables, policy)
+    return {"train_movements": rows, "quarantine": _quarantine(tables), "unmatched": _unmatched(tables, rows)}
+
+
+# ------------------------------------------------------------ star schema
+
+def unseen_members(stored: DataFrame | None, members: DataFrame, order: list[str], key: str) -> DataFrame:
+    """The members that ``stored`` lacks, numbered on from its largest key in
+    natural order."""
     if stored is None:
         return with_dense_key(members, order, key)
     unseen = _null_safe(members, stored, members.columns, "left_anti")
     top = stored.agg(F.coalesce(F.max(key), F.lit(0)).alias("_top"))       # one row
     added = with_dense_key(unseen, order, key).join(F.broadcast(top)).withColumn(key, F.col(key) + F.col("_top"))
-    return stored.unionByName(added.drop("_top").select(*stored.columns))
+    return added.select(*stored.columns)
 
 
-def load_star(planned: DataFrame, changes: DataFrame, stations: DataFrame, out_dir: str,
-              prefix: str = DEFAULT_PREFIX, trip_start_col: Column | None = None) -> dict[str, DataFrame]:
-    """Merge one load into the star schema under ``out_dir``."""
+def _trips(planned: DataFrame, trip_start_col: Column | None) -> tuple[DataFrame, Column]:
     from railflow.functions.timefmt import trip_start
-    spark: SparkSession = planned.sparkSession
     start = trip_start_col if trip_start_col is not None else trip_start("stop_id")
-    trips = planned.withColumn("trip_start", start)
-    members = {
-        "dim_station": (stations, ["eva_number", "name"], "station_id"),
-        "dim_train": (planned.select(*S.TRAIN_KEY).distinct(), S.TRAIN_KEY, "train_id"),
-        "dim_date": (S.dates_of(trips), ["date"], "date_id"),
-        "dim_time": (S.times_of(trips), ["time"], "time_id"),
-    }
-    tables = {name: replace_table(extend_dimension(read_table(spark, f"{out_dir}/{name}"), *spec), f"{out_dir}/{name}")
-              for name, spec in members.items()}
-    state = load_change_state(changes, f"{out_dir}/change_state", "last")
-    stored = read_table(spark, f"{out_dir}/fact_train_movements")
-    first = first_wins(planned, ["stop_id"], ["snapshot_ts", "member"], existing=stored)
-    rows = S.with_foreign_keys(first.withColumn("trip_start", start), tables["dim_station"], tables["dim_train"],
-                               tables["dim_date"], tables["dim_time"], prefix)
-    fact = S.apply_folded(rows, state).select(*S.FACT_COLUMNS)
-    if stored is not None:
-        stops = changes.select("stop_id").distinct()
-        late = S.apply_folded(stored.join(stops, "stop_id", "left_semi").drop(*CHANGED), state)
-        same = stored.join(stops, "stop_id", "left_anti")
-        fact = fact.unionByName(late.select(*S.FACT_COLUMNS)).unionByName(same)
-    tables["fact_train_movements"] = replace_table(fact, f"{out_dir}/fact_train_movements")
-    open_changes = unmatched_changes(changes, tables["fact_train_movements"])
-    waiting = read_table(spark, f"{out_dir}/unmatched_timetable_changes")
-    if waiting is not None:
-        still = waiting.join(tables["fact_train_movements"].select("stop_id"), "stop_id", "left_anti")
-        open_changes = open_changes.unionByName(still.select(*open_changes.columns)).distinct()
-    tables["unmatched_timetable_changes"] = replace_table(open_changes, f"{out_dir}/unmatched_timetable_changes")
-    return tables
+    return planned.withColumn("trip_start", start), start
+
 
+def add_dimensions(load: Load, members: dict[str, tuple]) -> dict[str, DataFrame]:
+    """Add unseen members (name -> members, natural order, key) to the dimensions."""
+    for name, (rows, order, key) in members.items():
+        load.append(name, unseen_members(load.read(name), rows, order, key))
+    return {name: load.read(name) for name in members}
 
+
+def calendar_members(trips: DataFrame) -> dict[str, tuple]:
+    return {"dim_date": (S.dates_of(trips), ["date"], "date_id"), "dim_time": (S.times_of(trips), ["time"], "time_id")}
+
+
+def load_calendar(planned: DataFrame, out_dir: str, trip_start_col: Column | None = None) -> dict[str, DataFrame]:
+    """A load of the date and time dimensions alone."""
+    load = TableSet(planned.sparkSession, out_dir).load()
+    add_dimensions(load, calendar_members(_trips(planned, trip_start_col)[0]))
+    tables = load.commit()
+    return {name: tables.read(name) for name in ("dim_date", "dim_time")}
+
+
+def load_star(planned: DataFrame, changes: DataFrame, stations: DataFrame, out_dir: str,
+              prefix: str = DEFAULT_PREFIX, trip_start_col: Column | None = None,
+              quarantine: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Merge one load into the star schema under ``out_dir``; its tables."""
+    load = TableSet(planned.sparkSession, out_dir).load()
+    trips, start = _trips(planned, trip_start_col)
+    dims = add_dimensions(load, {
+        "dim_station": (stations, ["eva_number", "name"], "station_id"),
+        "dim_train": (planned.select(*S.TRAIN_KEY).distinct(), S.TRAIN_KEY, "train_id"), **calendar_members(trips)})
+    first = first_wins(planned, ["stop_id"], ["snapshot_ts", "member"], existing=load.read("fact_rows"))
+    rows = S.with_foreign_keys(first.withColumn("trip_start", start), dims["dim_station"], dims["dim_train"],
+                               dims["dim_date"], dims["dim_time"], prefix)
+    load.append("fact_rows", rows.select(*FACT_ROWS))
+    add_changes(load, changes, "last")
+    stops = load.read("fact_rows")
+    _add_unmatched(load, changes, planned if stops is None else stops)
+    if quarantine is not None:
+        load.append("quarantine", quarantine.distinct())
+    return star_of(load.commit())
+
+
+def star_of(tables: TableSet) -> dict[str, DataFrame]:
+    """The star schema's tables, deltas merged; tables that never had rows are left out."""
+    out = {name: tables.read(name) for name in ("dim_station", "dim_train", "dim_date", "dim_time")}
+    rows, state = tables.read("fact_rows"), change_state(tables, "last")
+    if rows is not None:
+        if state is None:
+            out["fact_train_movements"] = rows.select(*[F.col(c) if c in FACT_ROWS else F.lit(None).cast(
+                {"changed_platform": "string"}.get(c, "int" if c.endswith("minutes") else "timestamp_ntz")).alias(c)
+                for c in S.FACT_COLUMNS])
+        else:
+            out["fact_train_movements"] = S.apply_folded(rows, state).select(*S.FACT_COLUMNS)
+        out["unmatched_timetable_changes"] = _unmatched(tables, rows)
+    out["quarantine"] = _quarantine(tables)
+    return {name: table for name, table in out.items() if table is not None}
+
+
+def read_star(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
+    return star_of(TableSet(spark, out_dir))

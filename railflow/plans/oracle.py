@@ -383,6 +383,13 @@ SELECT src, dst, date_trunc('hour', dp_time) AS period, count(*) AS n_connection
                   || '|' || trip_key, ';' ORDER BY dp_time, ar_time, trip_key) AS connections
 FROM tc GROUP BY src, dst, date_trunc('hour', dp_time)"""
 
+SQL["edge_lists"] = "WITH " + CONNS + """,
+numbered AS (SELECT *, (row_number() OVER (PARTITION BY src, dst ORDER BY dp_time, ar_time, trip_key) - 1) // 4 AS page FROM tc)
+SELECT src, dst, page, count(*) AS n_connections,
+       string_agg(strftime(dp_time, '%Y-%m-%d %H:%M:%S.%f') || '|' || strftime(ar_time, '%Y-%m-%d %H:%M:%S.%f')
+                  || '|' || trip_key, ';' ORDER BY dp_time, ar_time, trip_key) AS connections
+FROM numbered GROUP BY src, dst, page"""
+
 SQL["shortest_path"] = "WITH RECURSIVE " + EDGES + """,
 bfs(station_name, hops, path) USING KEY (station_name) AS (
   SELECT DISTINCT '0', 0, ['0'] FROM edges WHERE src = '0' OR dst = '0'
@@ -403,6 +410,22 @@ ea(station_name, earliest_arrival) USING KEY (station_name) AS (
   GROUP BY c.dst)
 SELECT station_name, earliest_arrival FROM ea"""
 
+# round by round: of the rides that improve a station the least (arrival, departure, from, trip)
+SQL["earliest_arrival_path"] = "WITH RECURSIVE " + CONNS + """,
+c AS (SELECT * FROM tc WHERE dp_time >= TIMESTAMP '2024-01-01 00:00:00'),
+ea(station_name, earliest_arrival, prev) USING KEY (station_name) AS (
+  SELECT DISTINCT '0', TIMESTAMP '2024-01-01 00:00:00', CAST(NULL AS VARCHAR) FROM tc WHERE src = '0' OR dst = '0'
+  UNION
+  SELECT c.dst, min(c.ar_time), arg_min(c.src, (c.ar_time, c.dp_time, c.src, c.trip_key))
+  FROM ea r JOIN c ON c.src = r.station_name AND c.dp_time >= r.earliest_arrival
+  WHERE NOT EXISTS (SELECT 1 FROM recurring.ea x WHERE x.station_name = c.dst AND x.earliest_arrival <= c.ar_time)
+  GROUP BY c.dst),
+walk(target, earliest_arrival, here, path) AS (
+  SELECT station_name, earliest_arrival, prev, station_name FROM ea
+  UNION ALL
+  SELECT w.target, w.earliest_arrival, e.prev, e.station_name || '>' || w.path FROM walk w JOIN ea e ON e.station_name = w.here)
+SELECT target AS station_name, earliest_arrival, path FROM walk WHERE here IS NULL"""
+
 SQL["earliest_arrival_all"] = "WITH RECURSIVE " + CONNS + """,
 c AS (SELECT * FROM tc WHERE dp_time >= TIMESTAMP '2024-01-01 00:00:00'),
 ea(source, station_name, earliest_arrival) USING KEY (source, station_name) AS (

@@ -43,49 +43,35 @@ def stage_documents(spark, paths, kind: str, path: str, archive_mode: str = "con
     return spark.read.parquet(path)
 
 
-def _add_rows(rows: DataFrame, path: str) -> DataFrame:
-    """Add rows to a stored table, each once however often a load is run."""
-    from railflow.operators.sinks import read_table, replace_table
-    stored = read_table(rows.sparkSession, path)
-    return replace_table((rows if stored is None else stored.unionByName(rows)).distinct(), path)
-
-
-def _stage_load(spark, planned_paths, change_paths, staging: str, archive_mode: str, quarantine_path: str):
+def _stage_load(spark, planned_paths, change_paths, staging: str, archive_mode: str):
+    """Planned and change elements of a load, and its malformed documents."""
     from railflow.operators.sinks import remove
     from railflow.sources.timetables import elements_of, quarantined
 
     remove(spark, staging)
     planned = stage_documents(spark, planned_paths, "planned", f"{staging}/planned", archive_mode)
     changes = stage_documents(spark, change_paths, "change", f"{staging}/changes", archive_mode)
-    _add_rows(quarantined(planned).unionByName(quarantined(changes)), quarantine_path)
-    return elements_of(planned), elements_of(changes)
+    return elements_of(planned), elements_of(changes), quarantined(planned).unionByName(quarantined(changes))
 
 
 def etl_movements(spark, planned_paths, change_paths, stations_path: str, out_path: str,
                   prefix: str = DEFAULT_PREFIX, policy: str = "max", platform_rule: str = "parquet",
                   archive_mode: str = "content", staging_path: str | None = None) -> DataFrame:
     """E1 end to end: one load of archives + station JSON merged into the
-    partitioned ``train_movements`` at ``out_path`` (``plans.incremental``).
+    ``train_movements`` stored at ``out_path`` (``plans.incremental``), together with
+    its malformed documents and unmatched changes (``incremental.read_movements``).
+    While the load runs, parsed documents lie at ``<out>_staging``.
 
-    Beside it: ``<out>_quarantine`` (malformed documents),
-    ``<out>_unmatched`` (changes without a planned stop so far),
-    ``<out>_change_state`` and, while the load runs, ``<out>_staging``."""
-    from railflow.operators.merge import unmatched_changes
-    from railflow.operators.sinks import read_table, remove, replace_table
+    ``sinks.write_movements`` exports the result as a plain partitioned table."""
+    from railflow.operators.sinks import remove
     from railflow.plans.incremental import load_movements
     from railflow.sources.stations import read_stations
 
     staging = staging_path or f"{out_path}_staging"
-    planned_el, change_el = _stage_load(spark, planned_paths, change_paths, staging, archive_mode,
-                                        f"{out_path}_quarantine")
+    planned_el, change_el, bad = _stage_load(spark, planned_paths, change_paths, staging, archive_mode)
     changes = change_rows(change_el, platform_rule)
     planned = resolve_planned(planned_rows(planned_el), read_stations(spark, stations_path), prefix)
-    movements = load_movements(planned, changes, out_path, policy)
-    stops = movements.select("stop_id")
-    waiting, open_ = read_table(spark, f"{out_path}_unmatched"), unmatched_changes(changes, stops)
-    if waiting is not None:
-        open_ = open_.unionByName(waiting.join(stops, "stop_id", "left_anti").select(*open_.columns)).distinct()
-    replace_table(open_, f"{out_path}_unmatched")
+    movements = load_movements(planned, changes, out_path, policy, quarantine=bad, keep_unmatched=True)
     remove(spark, staging)
     return movements
 
@@ -119,16 +105,15 @@ def etl_star(spark, planned_paths, change_paths, stations_path: str, out_dir: st
              prefix: str = DEFAULT_PREFIX, archive_mode: str = "content",
              staging_path: str | None = None) -> dict[str, DataFrame]:
     """E2 end to end: one load of archives + station JSON merged into the
-    star schema under ``out_dir`` (six tables, ``quarantine`` and the change
-    state)."""
+    star schema under ``out_dir`` (six tables and ``quarantine``; see
+    ``incremental.read_star``)."""
     from railflow.operators.sinks import remove
     from railflow.plans.incremental import load_star
     from railflow.sources.stations import read_stations
 
     staging = staging_path or f"{out_dir}/staging"
-    planned_el, change_el = _stage_load(spark, planned_paths, change_paths, staging, archive_mode,
-                                        f"{out_dir}/quarantine")
+    planned_el, change_el, bad = _stage_load(spark, planned_paths, change_paths, staging, archive_mode)
     tables = load_star(planned_rows(planned_el), change_rows(change_el, "star"),
-                       read_stations(spark, stations_path), out_dir, prefix)
+                       read_stations(spark, stations_path), out_dir, prefix, quarantine=bad)
     remove(spark, staging)
     return tables

@@ -37,9 +37,27 @@ def daily_avg_delay_sql(movements: DataFrame, station: str) -> DataFrame:
     return movements.sparkSession.sql(DAILY_AVG_SQL, args={"station": station}, movements=movements)
 
 
-def daily_avg_delay(movements: DataFrame, station: str) -> DataFrame:
-    """Q5: average delay per snapshot date for one station (exact name)."""
-    at = movements.filter(F.col("station_name") == F.lit(station))
+def between_dates(movements: DataFrame, dates: tuple[str, str] | None, column: str = "snapshot_date") -> DataFrame:
+    """Rows whose snapshot date lies in ``dates`` (first, last; both included).  The
+    date is a folder column of the stored fact: only those folders are read."""
+    if dates is None:
+        return movements
+    first, last = (F.lit(str(d)).cast("date") for d in dates)
+    return movements.filter(F.col(column).between(first, last))
+
+
+def daily_avg_delay(movements: DataFrame, station: str, dates: tuple[str, str] | None = None, resolve: bool = False,
+                    stations: DataFrame | None = None, prefix: str = "") -> DataFrame:
+    """Q5: average delay per snapshot date for one station, within ``dates`` if given.
+
+    The name is matched exactly; with ``resolve`` it may be loosely spelled and stands
+    for a station of ``stations``, whose stops count whatever their own spelling."""
+    movements = between_dates(movements, dates)
+    if resolve:
+        one = resolve_station(stations, station, prefix).select(F.col("eva_number"), F.col("name").alias("_name"))
+        at = movements.join(F.broadcast(one), "eva_number").withColumn("station_name", F.col("_name"))   # one row
+    else:
+        at = movements.filter(F.col("station_name") == F.lit(station))
     per_day = (delays_long(at, "snapshot_date", "station_name")
                .groupBy("snapshot_date", "station_name")
                .agg(F.avg("delay_minutes").alias("avg_delay_minutes")))
@@ -70,11 +88,24 @@ def station_by_name(stations: DataFrame, raw_name: str, prefix: str) -> DataFram
         "name", "longitude", "latitude", F.col("eva_number").alias("identifier"))
 
 
-def cancelled_at(fact: DataFrame, dates: DataFrame, times: DataFrame, date: str, hour: int) -> DataFrame:
-    """Q3: number of cancelled stops whose trip starts on ``date`` in ``hour``.
+def cancelled_in_snapshot(movements: DataFrame, date: str, hour: int) -> DataFrame:
+    """Q3 by the snapshot's clock: cancelled stops of the snapshots taken on ``date``
+    in ``hour``, from the wide fact, of which only these snapshots' folders are read."""
+    hits = between_dates(movements, (date, date)).filter((F.col("snapshot_hour") == F.lit(int(hour))) & F.col("cancelled"))
+    return hits.agg(F.count(F.lit(1)).alias("cancelled_movements"))
+
+
+def cancelled_at(fact: DataFrame, dates: DataFrame | None, times: DataFrame | None, date: str, hour: int,
+                 clock: str = "trip_start") -> DataFrame:
+    """Q3: number of cancelled stops on ``date`` in ``hour``, by the start of their
+    trip or (``clock="snapshot"``, ``fact`` is ``train_movements``) by their snapshot.
 
     Both dimensions are filtered first and broadcast (bounded by the
     calendar), so the fact side is scanned once with no shuffle."""
+    if clock == "snapshot":
+        return cancelled_in_snapshot(fact, date, hour)
+    if clock != "trip_start":
+        raise ValueError(f"clock must be 'trip_start' or 'snapshot', got {clock!r}")
     d = dates.filter(F.col("date") == F.lit(date).cast("date")).select("date_id")
     t = times.filter(F.substring("time", 1, 2).cast("int") == F.lit(int(hour))).select("time_id")
     hits = (fact.filter(F.col("cancelled"))
@@ -93,13 +124,14 @@ def avg_delay(fact: DataFrame, stations_dim: DataFrame, raw_name: str, prefix: s
 PEAK_HOURS = ((7, 9), (17, 19))   # fixed values: [07:00, 09:00) and [17:00, 19:00)
 
 
-def peak_departures(movements: DataFrame) -> DataFrame:
+def peak_departures(movements: DataFrame, dates: tuple[str, str] | None = None) -> DataFrame:
     """Q6: per station, departures in the peak hours per day, averaged over
-    all days in the table (days without departures count as 0).
+    all days in the table, or of those in ``dates`` (days without departures count as 0).
 
     The station x day grid is never built: the average over the grid is
     the station's peak-departure total divided by the number of days, so
     one aggregation per station plus one distinct-day count suffice."""
+    movements = between_dates(movements, dates)
     h = F.hour("planned_departure_time")
     in_peak = F.lit(False)
     for lo, hi in PEAK_HOURS:

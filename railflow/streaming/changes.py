@@ -3,9 +3,10 @@
 ``read_change_stream``  new ``.tar.gz`` archives in a folder -> change rows
                         (``binaryFile`` stream, the same untar and XML parsing as
                         the batch path)
-``fold_into_state``     every micro-batch is merged into the change state that the
-                        incremental loads keep (``plans.incremental``): one row
-                        per stop, equal to the batch fold of all changes so far
+``fold_into_state``     every micro-batch adds its fold to the change state that the
+                        incremental loads keep (``incremental.read_change_state``):
+                        one row per stop, equal to the batch fold of all changes so far;
+                        a batch writes its own fold only, and full tiers of deltas merged
 
 No watermark is needed and no change is ever dropped: the state lives in a table,
 not in the stream, and merging is idempotent, so a batch replayed after a restart
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from railflow.functions.timefmt import snapshot_from_member
-from railflow.plans.incremental import load_change_state
+from railflow.plans.incremental import load_changes
 from railflow.sources.archives import ARCHIVE_ROW_SCHEMA, _untar_content
 from railflow.sources.timetables import parse_changes
 
@@ -44,7 +45,7 @@ def fold_into_state(changes: DataFrame, path: str, checkpoint: str, policy: str
     def merge(batch: DataFrame, _: int) -> None:
         rows = batch.persist()     # read twice: by the test for rows and by the merge
         if not rows.isEmpty():
-            load_change_state(rows, path, policy)
+            load_changes(rows, path, policy)
         rows.unpersist()
 
     writer = changes.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)

@@ -1,9 +1,11 @@
 """End-to-end flows on the hand fixture: archives + station JSON -> Parquet."""
 
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from railflow.plans.incremental import read_movements, read_star
 from railflow.plans.pipelines import etl_movements, etl_star
 from railflow.sources.archives import read_archives
 
@@ -13,7 +15,7 @@ def test_etl_movements_writes_partitioned_fact(spark, rail):
     root = rail.root
     etl_movements(spark, str(root / "timetables" / "*.tar.gz"), str(root / "timetable_changes" / "*.tar.gz"),
                   str(root / "station_data.json"), out)
-    back = spark.read.parquet(out)
+    back = read_movements(spark, out)["train_movements"]
     assert back.count() == 9
     row = back.filter(F.col("stop_id") == "-111-2509020700-2").first()
     assert (row.arrival_delay_minutes, row.departure_delay_minutes, row.eva_number) == (4, 4, 2)
@@ -21,7 +23,9 @@ def test_etl_movements_writes_partitioned_fact(spark, rail):
     # running the week again replaces it
     etl_movements(spark, str(root / "timetables" / "*.tar.gz"), str(root / "timetable_changes" / "*.tar.gz"),
                   str(root / "station_data.json"), out)
-    assert spark.read.parquet(out).count() == 9
+    assert read_movements(spark, out)["train_movements"].count() == 9
+    folders = {p.name for p in Path(out).rglob("snapshot_hour=*")}
+    assert folders == {"snapshot_hour=7", "snapshot_hour=9", "snapshot_hour=17"}
 
 
 def test_etl_star_writes_six_tables(spark, rail):
@@ -29,12 +33,13 @@ def test_etl_star_writes_six_tables(spark, rail):
     root = rail.root
     etl_star(spark, str(root / "timetables" / "*.tar.gz"), str(root / "timetable_changes" / "*.tar.gz"),
              str(root / "station_data.json"), out)
-    counts = {t: spark.read.parquet(f"{out}/{t}").count() for t in
+    tables = read_star(spark, out)
+    counts = {t: tables[t].count() for t in
               ["dim_station", "dim_train", "dim_date", "dim_time", "fact_train_movements",
                "unmatched_timetable_changes"]}
     assert counts["dim_station"] == 5 and counts["fact_train_movements"] == 9
     assert counts["unmatched_timetable_changes"] == 1 and counts["dim_date"] == 2
-    fact = spark.read.parquet(f"{out}/fact_train_movements")
+    fact = tables["fact_train_movements"]
     # every planned stop found its station, train, date and time keys
     assert fact.filter(F.col("station_id").isNull() | F.col("train_id").isNull()
                        | F.col("date_id").isNull() | F.col("time_id").isNull()).count() == 0

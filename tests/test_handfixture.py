@@ -109,7 +109,7 @@ def test_nearest(rail, spark):
     pts = spark.createDataFrame([(1, 52.5, 13.4), (2, 52.4, 13.0)], "point_id long, latitude double, longitude double")
     got = {r.point_id: r.name for r in nearest_stations(pts, rail.stations).collect()}
     assert got == {1: A, 2: "Potsdam Hbf"}
-    grid = {r.point_id: r.name for r in nearest_stations(pts, rail.stations, cell_degrees=0.01).collect()}
+    grid = {r.point_id: r.name for r in nearest_stations(pts, rail.stations, leaf=1).collect()}
     assert grid == got
 
 
@@ -187,7 +187,7 @@ def test_nearest_grid_matches_broadcast_on_driver_tables(spark):
     pts = A_.query_points(spark, "/root/testdata/sf0.001")
     st = A_.station_points(spark, "/root/testdata/sf0.001")
     a = nearest_stations(pts, st).select("point_id", "name")
-    b = nearest_stations(pts, st, cell_degrees=0.05).select("point_id", "name")
+    b = nearest_stations(pts, st, leaf=1).select("point_id", "name")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 

@@ -1,8 +1,10 @@
 """Loads one after the other equal one load of everything."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from railflow.plans.incremental import load_movements
+from railflow.operators import store
+from railflow.plans.incremental import load_changes, load_movements, read_change_state, read_movements, read_star
 from railflow.plans.pipelines import etl_movements, etl_star, resolve_planned
 from tests.handfixture import write_tar
 
@@ -45,7 +47,7 @@ def test_boundary_day_and_late_changes_of_movements(spark, rail, tmp_path):
     assert delays == {"1": 5, "2": 20, "3": None, "4": 1}
     _same(got, whole)
     for part in ("quarantine", "unmatched"):
-        one, two = (spark.read.parquet(f"{tmp_path}/{n}_{part}") for n in ("week", "whole"))
+        one, two = (read_movements(spark, f"{tmp_path}/{n}")[part] for n in ("week", "whole"))
         assert one.count() == two.count() == 1
 
 
@@ -77,3 +79,86 @@ def test_loads_of_the_fixture_in_two_parts(spark, rail, tmp_path):
     load_movements(planned.where(~late), rail.changes_parquet.where("snapshot_ts < timestamp_ntz'2025-09-02 07:20:00'"), out)
     got = load_movements(planned.where(late), rail.changes_parquet.where("snapshot_ts >= timestamp_ntz'2025-09-02 07:20:00'"), out)
     _same(got, rail.movements_max)
+
+
+def test_repeated_and_contradicting_rows_over_loads(spark, rail, tmp_path):
+    # the identity is total: however the rows are cut into loads, the first member counts
+    base = resolve_planned(rail.planned, rail.stations)
+    other = base.withColumn("member", F.concat(F.lit("0"), "member")).withColumn("train_number", F.lit("before"))
+    later = base.withColumn("member", F.concat(F.lit("z"), "member")).withColumn("train_number", F.lit("after"))
+    none = rail.changes_parquet.limit(0)
+    whole = load_movements(base.unionByName(base).unionByName(other).unionByName(later), none, f"{tmp_path}/whole")
+    assert {r.train_number for r in whole.collect()} == {"before"} and whole.count() == rail.movements_max.count()
+    for n, parts in enumerate(([base, base, other.unionByName(later)], [other, base.unionByName(base)], [later, base, other])):
+        for part in parts:
+            got = load_movements(part, none, f"{tmp_path}/m{n}")
+        _same(got, whole)
+
+
+def test_a_load_writes_its_own_rows_only(spark, rail, tmp_path):
+    planned = resolve_planned(rail.planned, rail.stations)
+    big = planned.crossJoin(spark.range(400)).withColumn("stop_id", F.concat("stop_id", F.col("id").cast("string"))).drop("id")
+    load_movements(big, rail.changes_parquet, f"{tmp_path}/m")
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "m" / "data").rglob("*.parquet")}
+    load_movements(planned.limit(1), rail.changes_parquet.limit(1), f"{tmp_path}/m")
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "m" / "data").rglob("*.parquet")}
+    assert before.items() <= after.items()
+    rows = [spark.read.parquet(str(p)).count() for p in after.keys() - before.keys()]
+    assert sum(rows) <= 2
+
+
+def test_killed_loads_leave_the_old_tables(spark, rail, tmp_path, monkeypatch):
+    path, st = _weeks(tmp_path), str(rail.root / "station_data.json")
+    etl_star(spark, path("p1"), path("c1"), st, f"{tmp_path}/s")
+    state = lambda: {n: sorted(map(str, t.collect())) for n, t in read_star(spark, f"{tmp_path}/s").items()}
+    old, real, kills = state(), store.Load.append, 0
+    real_commit = store.Load.commit
+    while True:
+        left = kills
+
+        def append(self, *args, **kwargs):
+            nonlocal left
+            real(self, *args, **kwargs)
+            if left == 0:
+                raise KeyboardInterrupt("killed")
+            left -= 1
+
+        def commit(self):
+            raise KeyboardInterrupt("killed")
+        monkeypatch.setattr(store.Load, "append", append)
+        monkeypatch.setattr(store.Load, "commit", commit)
+        with pytest.raises(KeyboardInterrupt):
+            etl_star(spark, path("p2"), path("c2"), st, f"{tmp_path}/s")
+        assert state() == old
+        if left > 0:         # killed by the commit: every write was cut once before
+            break
+        kills += 3
+    monkeypatch.setattr(store.Load, "append", real)
+    monkeypatch.setattr(store.Load, "commit", real_commit)
+    got = etl_star(spark, path("p2"), path("c2"), st, f"{tmp_path}/s")
+    whole = etl_star(spark, path("p1", "p2"), path("c1", "c2"), st, f"{tmp_path}/whole")
+    assert got["fact_train_movements"].count() == whole["fact_train_movements"].count()
+    new = state()
+    store.TableSet(spark, f"{tmp_path}/s").vacuum()
+    assert state() == new
+
+
+def test_deltas_are_compacted_in_tiers(spark, rail, tmp_path):
+    rows = rail.changes_star
+    stops = sorted(r.stop_id for r in rows.select("stop_id").distinct().collect())
+    for n in range(store.FAN * 2 + 1):
+        load_changes(rows.where(F.col("stop_id") == stops[n % len(stops)]), f"{tmp_path}/c", "last")
+    tables = store.TableSet(spark, f"{tmp_path}/c")
+    assert sorted(d["tier"] for d in tables.deltas("changes")) == [0, 1, 1]
+    load_changes(rows, f"{tmp_path}/one", "last")
+    _same(read_change_state(spark, f"{tmp_path}/c", "last"), read_change_state(spark, f"{tmp_path}/one", "last"))
+
+
+def test_two_loads_at_once(spark, rail, tmp_path):
+    one, two = (store.TableSet(spark, f"{tmp_path}/t").load() for _ in range(2))
+    one.append("a", spark.range(3))
+    two.append("a", spark.range(5))
+    one.commit()
+    with pytest.raises(RuntimeError):
+        two.commit()
+    assert store.TableSet(spark, f"{tmp_path}/t").read("a").count() == 3

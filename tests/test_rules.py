@@ -119,20 +119,33 @@ def test_missing_source_gives_empty(spark):
     assert G.shortest_paths(e, "A", "Z").count() == 0
 
 
-@pytest.mark.parametrize("range_size", [1, 2, 3])
-def test_range_split_pairs_equal_unsplit(rail, range_size):
-    # hot-trip splitting: any index range size gives the same edges/connections
+@pytest.mark.parametrize("blocks", [1, 3, 40])
+def test_block_split_pairs_equal_unsplit(rail, blocks):
+    # hot-trip splitting: any number of blocks gives the same edges/connections
     base = sorted(G.trip_edges(rail.movements_max).collect())
-    assert sorted(G.trip_edges(rail.movements_max, range_size).collect()) == base
+    assert sorted(G.trip_edges(rail.movements_max, blocks).collect()) == base
     cb = sorted(G.timed_connections(rail.movements_max).collect())
-    assert sorted(G.timed_connections(rail.movements_max, range_size).collect()) == cb
+    assert sorted(G.timed_connections(rail.movements_max, blocks).collect()) == cb
 
 
-def test_range_split_on_driver_tables(spark):
+def test_hot_trip_with_sparse_indexes_is_spread(spark):
+    # one trip holds nearly all stops, with indexes far apart: blocks cut it by position
+    from railflow.operators.index import sorted_blocks
+    stops = spark.range(20000).select(F.concat(F.lit("9-2509020700-"), F.col("id") * 1_000_003).alias("stop_id"),
+                                      (F.col("id") % 50).cast("string").alias("station_name"))
+    cut = sorted_blocks(G._stops(stops), ["trip_key"], [F.col("stop_index").asc()], "b", 8)
+    sizes = [r["count"] for r in cut.groupBy("b").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 20000 / 8
+    nxt = G.next_in_group(G._stops(stops), "trip_key", ["stop_index", "station_name"], ["stop_index"], 8)
+    steps = nxt.select((F.col("next_stop_index") - F.col("stop_index")).alias("d")).groupBy("d").count().collect()
+    assert sorted((r.d or 0, r["count"]) for r in steps) == [(0, 1), (1_000_003, 19999)]
+
+
+def test_block_split_on_driver_tables(spark):
     from railflow.sources import analogs as A
     mv = A.hop_movements(spark, "/root/testdata/sf0.001")
     a = G.trip_edges(mv)
-    b = G.trip_edges(mv, range_size=2)
+    b = G.trip_edges(mv, blocks=50)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
@@ -200,3 +213,112 @@ def test_bucketed_edges_are_partition_pruned(spark):
     # one bucket folder of eight is read: `_b = k` (or `_b IN (...)` for several)
     assert re.search(r"PartitionFilters: \[isnotnull\(_b#\d+\), \(?_b#\d+ (=|IN)", scan), scan
     assert [r.dst for r in j.collect()] == ["4"]
+
+
+def test_rides_per_round_follow_the_out_degree(spark):
+    # an edge with 20,000 departures: who reaches its station meets a few rows of it
+    minute = F.make_dt_interval(F.lit(0), F.lit(0), F.col("id"))
+    conns = spark.range(20000).select(
+        F.lit("A").alias("src"), F.concat(F.lit("B"), F.col("id") % 2).alias("dst"),
+        (F.lit("2025-01-01 00:00:00").cast("timestamp_ntz") + minute).alias("dp_time"),
+        (F.lit("2025-01-01 00:30:00").cast("timestamp_ntz") + minute).alias("ar_time"), F.col("id").cast("string").alias("trip_key"))
+    index, clock = G.departure_index(conns)
+    assert index.count() <= 20000 * (1 + 1 / G.CELL_ROWS) + 2
+    frontier = spark.range(40).select(F.lit("A").alias("source"), F.col("id").cast("string").alias("departure"), F.lit("A").alias("station_name"), (
+        F.lit("2024-12-31 23:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.col("id") * 371)).alias("earliest_arrival"))
+    rides = G.rides_from(frontier, index, clock)
+    assert rides.count() <= 40 * 2 * (G.CELL_ROWS + 2)
+    best = rides.groupBy("departure", "station_name").agg(F.min("a").alias("a"))
+    want = frontier.join(conns, F.col("dp_time") >= F.col("earliest_arrival")).groupBy("departure", F.col("dst").alias("station_name")).agg(
+        F.min("ar_time").alias("a"))
+    assert sorted(best.collect()) == sorted(want.collect())
+
+
+def test_index_agrees_with_every_later_connection(spark):
+    # random connections with ties, one busy edge, long pauses; and cells in many ranges
+    import random
+    rng = random.Random(11)
+    rows = [(rng.choice("ABC"), rng.choice("DEF"), rng.choice([rng.randrange(100), rng.randrange(100000), 5]), rng.randrange(60), str(i % 7))
+            for i in range(3000)] + [("A", "D", 3 * i, 50, "x") for i in range(3000)]
+    at = lambda c: F.lit("2025-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col(c).cast("decimal(18,6)"))
+    conns = spark.createDataFrame(rows, "src string, dst string, s int, d int, trip_key string").select(
+        "src", "dst", at("s").alias("dp_time"), (at("s") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("d").cast("decimal(18,6)"))).alias("ar_time"), "trip_key")
+    frontier = spark.createDataFrame([(u, str(k), u, rng.choice([rng.randrange(120), rng.randrange(110000)])) for u in "ABCZ" for k in range(60)],
+                                     "source string, departure string, station_name string, s int").withColumn("earliest_arrival", at("s")).drop("s")
+    key = ["source", "departure", "station_name"]
+    coarse = G.COARSE
+    try:
+        for G.COARSE in (3, coarse):
+            index, clock = G.departure_index(conns)
+            got = G.rides_from(frontier, index, clock).groupBy(*key).agg(F.min(F.struct("a", "d", "u", "t")).alias("m"))
+            want = frontier.join(conns, (F.col("station_name") == F.col("src")) & (F.col("dp_time") >= F.col("earliest_arrival"))).select(
+                "source", "departure", F.col("dst").alias("station_name"), F.struct(F.col("ar_time").alias("a"), F.col("dp_time").alias("d"),
+                F.col("src").alias("u"), F.col("trip_key").alias("t")).alias("m")).groupBy(*key).agg(F.min("m").alias("m"))
+            assert sorted(got.collect()) == sorted(want.collect())
+    finally:
+        G.COARSE = coarse
+
+
+def test_search_from_both_ends_equals_full_search(spark):
+    import random
+    rng = random.Random(5)
+    rows = {(str(rng.randrange(60)), str(rng.randrange(60))) for _ in range(150)} | {(f"c{i}", f"c{i + 1}") for i in range(14)}
+    e = spark.createDataFrame(sorted(rows), "src string, dst string")
+    nodes = sorted({x for r in rows for x in r})
+    pairs = [(rng.choice(nodes), rng.choice(nodes)) for _ in range(60)] + [("c0", "c14"), ("c3", "c3"), ("c14", "c0")]
+    full = {(r.source, r.station_name): (r.hops, r.path) for r in G.shortest_paths_batch(
+        e, spark.createDataFrame([(s,) for s, _ in set(pairs)], "source string").distinct()).collect()}
+    for buckets in (None, 4):
+        got = {(r.source, r.station_name): (r.hops, r.path) for r in G.shortest_paths_batch(
+            e, spark.createDataFrame(pairs, "source string, target string"), buckets).collect()}
+        assert got == {p: full[p] for p in pairs if p in full}
+
+
+def test_edge_lists_page_the_one_list_per_edge(rail):
+    conns = G.timed_connections(rail.movements_max)
+    pages = G.edge_lists(conns, 2).collect()
+    assert all(r.n_connections == len(r.connections) <= 2 for r in pages)
+    lists = {}
+    for r in sorted(pages, key=lambda r: (r.src, r.dst, r.page)):
+        assert r.page == len(lists.setdefault((r.src, r.dst), [])) / 2
+        lists[r.src, r.dst] += [tuple(c) for c in r.connections]
+    want = {}
+    for r in conns.collect():
+        want.setdefault((r.src, r.dst), []).append((r.dp_time, r.ar_time, r.trip_key))
+    assert lists == {k: sorted(v) for k, v in want.items()}
+
+
+def test_nearest_is_exact_and_not_hurt_by_an_outlier(spark):
+    import random
+
+    from railflow.operators.nearest import nearest_stations, station_tree
+    rng = random.Random(2)
+    near = [(f"s{i}", rng.gauss(52, 0.1), rng.gauss(13, 0.2)) for i in range(1500)] + [(f"t{i}", 52.0, 13.0) for i in range(300)]
+    points = [(i, rng.gauss(52, 0.2), rng.gauss(13, 0.4)) for i in range(300)] + [(300, 0.0, 0.0), (301, 52.0, 13.0), (302, None, 1.0), (303, 9e9, 9e9)]
+    for extra in ([], [("far", 1e7, -1e7)]):
+        st = spark.createDataFrame(near + extra, "name string, latitude double, longitude double")
+        _, boxes = station_tree(st)
+        assert boxes[-1].count() > 60              # the cells of the others stay small
+        got = {r.point_id: (r.name, r.distance) for r in nearest_stations(spark.createDataFrame(points, "point_id int, latitude double, longitude double"), st).collect()}
+        for i, y, x in points:
+            want = min(((((y - a) ** 2 + (x - b) ** 2) ** 0.5, n) for n, a, b in near + extra), default=None) if y is not None else (None, None)
+            assert got[i] == (want[1], pytest.approx(want[0]))
+
+
+def test_date_bounds_reach_the_stored_folders(spark, rail, tmp_path):
+    from railflow.plans import queries as Q
+    from railflow.plans.incremental import load_movements
+    from railflow.plans.pipelines import resolve_planned
+    mv = load_movements(resolve_planned(rail.planned, rail.stations), rail.changes_parquet, f"{tmp_path}/m")
+    day = str(mv.select(F.min("snapshot_date")).first()[0])
+    whole = Q.daily_avg_delay(mv, "Berlin Ostkreuz").collect()
+    one = Q.daily_avg_delay(mv, "Berlin Ostkreuz", dates=(day, day))
+    assert one.collect() == [r for r in whole if str(r.snapshot_date) == day]
+    loose = Q.daily_avg_delay(mv, "Ostkreuz", resolve=True, stations=rail.stations, prefix="Berlin")
+    assert [r.avg_delay_minutes for r in loose.collect()] == [r.avg_delay_minutes for r in whole]
+    peak = Q.peak_departures(mv, dates=(day, day))
+    assert Q.cancelled_at(mv, None, None, day, 7, clock="snapshot").first()[0] == mv.where(
+        (F.col("snapshot_date") == day) & (F.col("snapshot_hour") == 7) & F.col("cancelled")).count()
+    for df in (one, peak, Q.cancelled_in_snapshot(mv, day, 7)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(snapshot_date" in plan

@@ -3,7 +3,7 @@
 import pytest
 
 from railflow.operators.fold import fold_changes
-from railflow.operators.sinks import read_table
+from railflow.plans.incremental import read_change_state
 from railflow.streaming import fold_into_state, read_change_stream
 from tests.handfixture import change_docs, write_tar
 
@@ -24,7 +24,7 @@ def test_stream_fold_equals_batch(spark, rail, tmp_path, policy):
     for n, part in enumerate((ahead, dict(docs[::2]), dict(docs[1::2]))):
         write_tar(folder / f"{n}.tar.gz", part)
         _run(spark, folder, state, checkpoint, policy)       # a new query each time: a restart
-    got = read_table(spark, state)
+    got = read_change_state(spark, state, policy)
     want = fold_changes(rail.changes_star, policy)
     rows = {tuple(r) for r in got.select(*want.columns).collect()}
     assert {tuple(r) for r in want.collect()} == {r for r in rows if r[0] != "7-2612010700-1"}
