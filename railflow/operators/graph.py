@@ -184,9 +184,11 @@ def _on_station(frontier_station, edge_src, buckets: int | None):
     return cond & (F.col("_fb") == F.col("_b")) if buckets else cond
 
 
-def _nodes(edges: DataFrame) -> DataFrame:
-    return (edges.select(F.col("src").alias("station_name"))
-            .union(edges.select(F.col("dst").alias("station_name"))).distinct())
+def _present(edges: DataFrame, *wanted: DataFrame) -> DataFrame:
+    """``station_name``: the wanted stations (one column each) that the graph has."""
+    ends = edges.select(F.col("src").alias("station_name")).union(edges.select(F.col("dst").alias("station_name")))
+    names = functools.reduce(DataFrame.union, wanted).toDF("station_name").distinct()
+    return ends.join(names, "station_name", "left_semi").distinct()
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -222,18 +224,22 @@ class _Levels:
 CHAINED = 8      # joins that one plan chains before its result is checkpointed
 
 
-def _next_level(frontier: DataFrame, seen: DataFrame, edges: DataFrame, buckets: int | None) -> DataFrame:
+def _next_level(frontier: DataFrame, seen: DataFrame, edges: DataFrame, buckets: int | None,
+                ranked: bool = True) -> DataFrame:
     """One breadth-first step: ``source, station_name, prev, rank`` of the stations
     first reached from ``frontier``.
 
     ``rank`` orders the best paths of one level: paths of equal length compare by the
     rank of the station before, then by the last station.  The rows are sorted so and
     numbered in that order (partition number and place: order-preserving, not dense),
-    so that no path is ever carried along."""
+    so that no path is ever carried along.  Without ``ranked`` the least station
+    before is taken, and all ranks are 0."""
     probe = _probe(frontier, buckets)
     best = (probe.join(_touched(edges, probe, buckets), _on_station(F.col("station_name"), F.col("src"), buckets))
             .groupBy("source", "dst").agg(F.min(F.struct("rank", F.col("station_name").alias("prev"))).alias("m")))
     new = best.withColumnRenamed("dst", "station_name").join(seen, ["source", "station_name"], "left_anti")
+    if not ranked:
+        return new.select("source", "station_name", F.col("m.prev").alias("prev"), F.lit(0).cast("long").alias("rank"))
     return new.orderBy("source", "m.rank", "station_name").select(
         "source", "station_name", F.col("m.prev").alias("prev"), F.monotonically_increasing_id().alias("rank"))
 
@@ -281,32 +287,40 @@ def _reach_pairs(edges: DataFrame, pairs: DataFrame, buckets: int | None, revers
     fronts = {side: levels.add(_seeds(pairs.select(F.col(side).alias("source")).distinct()), 0)
               for side, levels in sides.items()}
     sizes = {side: f.count() for side, f in fronts.items()}
-    depth, meetings, open_pairs = {"source": 0, "target": 0}, [], pairs
+    depth, meetings, open_pairs, closed = {"source": 0, "target": 0}, [], pairs, False
     while True:
+        # pairs whose frontiers both go on, and where these meet (one row per pair)
         here = fronts["source"].select("source", "station_name", "rank")
         there = fronts["target"].select(F.col("source").alias("target"), "station_name")
-        met = (open_pairs.join(here, "source").join(there, ["target", "station_name"]).groupBy("source", "target")
-               .agg(F.min(F.struct("rank", "station_name")).alias("m"))
-               .select("source", "target", F.col("m.station_name").alias("middle"),
-                       F.lit(depth["source"]).alias("before"), F.lit(depth["target"]).alias("after")).checkpoint())
-        meetings.append(met)
-        open_pairs = (open_pairs.join(met, ["source", "target"], "left_anti").join(here, "source", "left_semi")
-                      .join(there, "target", "left_semi").checkpoint())
-        if open_pairs.isEmpty():
-            break
+        meet = open_pairs.join(here, "source").join(there, ["target", "station_name"])
+        turn = depth["source"] + depth["target"]
+        if turn % CHAINED == CHAINED - 1 or not meet.isEmpty():
+            closed = True
+            met = meet.groupBy("source", "target").agg(F.min(F.struct("rank", "station_name")).alias("m"))
+            status = (open_pairs.join(here, "source", "left_semi").join(there, "target", "left_semi")
+                      .join(met, ["source", "target"], "left")
+                      .select("source", "target", F.col("m.station_name").alias("middle"),
+                              F.lit(depth["source"]).alias("before"), F.lit(depth["target"]).alias("after")).checkpoint())
+            meetings.append(status.filter("middle IS NOT NULL"))
+            open_pairs = status.filter("middle IS NULL").select("source", "target")
+            if open_pairs.isEmpty():
+                break
         side = min(sizes, key=sizes.get)
-        still = open_pairs.select(F.col(side).alias("source")).distinct()
-        levels, depth[side] = sides[side], depth[side] + 1
-        frontier = fronts[side].join(still, "source", "left_semi")
+        levels, depth[side], frontier = sides[side], depth[side] + 1, fronts[side]
+        if closed:       # go on for open pairs only
+            frontier = frontier.join(open_pairs.select(F.col(side).alias("source")), "source", "left_semi")
         seen = levels.all().select("source", "station_name")
         if side == "source":
             step = _next_level(frontier, seen, edges, buckets)
         else:
             # towards the target the best next station is simply the least
-            step = _next_level(frontier.withColumn("rank", F.lit(0).cast("long")), seen, reverse, buckets)
+            step = _next_level(frontier, seen, reverse, buckets, ranked=False)
         fronts[side] = levels.add(step, depth[side])
         sizes[side] = fronts[side].count()
-    walks = _union(meetings).withColumns({"path": F.array("middle"), "first": F.col("middle"), "last": F.col("middle")})
+        if not sizes[side]:      # no pair is left that could meet
+            break
+    nothing = pairs.select("source", "target", F.lit("").alias("middle"), F.lit(0).alias("before"), F.lit(0).alias("after")).limit(0)
+    walks = _union(meetings or [nothing]).withColumns({"path": F.array("middle"), "first": F.col("middle"), "last": F.col("middle")})
     for number, h in enumerate(range(depth["source"], 0, -1), 1):
         step = sides["source"].only(h).select("source", F.col("station_name").alias("first"), "prev")
         walks = walks.join(step, ["source", "first"], "left")
@@ -344,19 +358,23 @@ def shortest_paths_batch(edges: DataFrame, requests: DataFrame, buckets: int | N
     has_target = "target" in requests.columns
     req = requests.select("source", F.col("target") if has_target else F.lit(None).cast("string").alias("target"))
     req = req.filter(F.col("source").isNotNull()).distinct().checkpoint()
-    nodes = _nodes(e)
-    known = req.join(nodes, F.col("source") == F.col("station_name"), "left_semi")
-    everything = known.filter(F.col("target").isNull()).select("source")
-    pairs = known.join(nodes, F.col("target") == F.col("station_name"), "left_semi")
-    found = []
-    if not everything.isEmpty():
-        found.append(_reach_all(e, everything, buckets))
+    pairs = req.filter(F.col("target").isNotNull())
+    # a station reaches itself only if the graph has it; other unknown names lead nowhere
+    alone = req.filter(F.col("target").isNull() | (F.col("source") == F.col("target")))
+    everything, found = req.filter(F.col("target").isNull()).select("source"), []
+    if not alone.isEmpty():
+        nodes = _present(e, alone.select("source")).checkpoint()
+        everything = everything.join(nodes, F.col("source") == F.col("station_name"), "left_semi")
+        pairs = pairs.join(nodes, F.col("source") == F.col("station_name"), "left").filter(
+            (F.col("source") != F.col("target")) | F.col("station_name").isNotNull()).select("source", "target").checkpoint()
+        if not everything.isEmpty():
+            found.append(_reach_all(e, everything, buckets))
     if has_target and not pairs.isEmpty():
         back = e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-        found.append(_reach_pairs(e, pairs.checkpoint(), buckets, _prepare(back, buckets) if buckets else back))
+        found.append(_reach_pairs(e, pairs, buckets, _prepare(back, buckets) if buckets else back))
     if not found:
-        return known.select("source", F.col("source").alias("station_name"), F.lit(0).alias("hops"),
-                            F.array("source").alias("path")).limit(0)
+        return req.select("source", F.col("source").alias("station_name"), F.lit(0).alias("hops"),
+                          F.array("source").alias("path")).limit(0)
     # a source may be asked for everything and for a target
     return found[0] if len(found) == 1 else _union(found).dropDuplicates(["source", "station_name"])
 
@@ -476,7 +494,7 @@ def earliest_arrivals_batch(connections: DataFrame, requests: DataFrame, buckets
     # one value: connections departing before every request are useless
     earliest = req.select(F.min("departure").cast("string")).first()[0]
     conn = connections.select("src", "dst", "dp_time", "ar_time", "trip_key").checkpoint()
-    known = req.join(_nodes(conn), F.col("source") == F.col("station_name"), "left_semi")
+    known = req.join(_present(conn, req.select("source")), F.col("source") == F.col("station_name"), "left_semi")
     if earliest is not None:
         conn = conn.filter(F.col("dp_time") >= F.lit(earliest).cast("timestamp_ntz"))
     index, clock = departure_index(conn)

@@ -26,6 +26,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -35,6 +36,13 @@ from railflow.operators.sinks import _file, remove
 FAN = 8      # deltas of a tier that are merged into one of the next
 
 
+def together(*steps: Callable[[], object]) -> list:
+    """Run independent steps of a load at once (their Spark jobs share the cluster);
+    the first failure is raised when all have ended."""
+    with ThreadPoolExecutor(max(1, len(steps))) as pool:
+        return [f.result() for f in [pool.submit(s) for s in steps]]
+
+
 class TableSet:
     """The tables under ``root`` as of its latest version (or the one given)."""
 
@@ -63,11 +71,13 @@ class TableSet:
         return self.tables.get(name, {}).get("deltas", [])
 
     def read(self, name: str, deltas: list[dict] | None = None) -> DataFrame | None:
-        """All rows of a table (of some of its deltas), or None if it never had any."""
-        deltas = self.deltas(name) if deltas is None else deltas
-        if not deltas:
+        """All rows of a table (of some of its deltas), or None if no load named it."""
+        if name not in self.tables:
             return None
+        deltas = self.deltas(name) if deltas is None else deltas
         schema = StructType.fromJson(self.tables[name]["schema"])
+        if not deltas:
+            return self.spark.createDataFrame([], schema)
         base = f"{self.root}/data/{name}"
         rows = self.spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/{d['folder']}" for d in deltas])
         return rows.select(*schema.names)       # without the folders' own column
@@ -106,11 +116,11 @@ class Load(TableSet):
         for key, value in (settings or {}).items():
             writer = writer.option(key, value)
         writer.parquet(path)
+        table = self.tables.setdefault(name, {"schema": json.loads(rows.schema.json()), "deltas": []})
         if self.spark.read.schema(rows.schema).parquet(path).isEmpty():
             remove(self.spark, path)
-            return
-        table = self.tables.setdefault(name, {"schema": json.loads(rows.schema.json()), "deltas": []})
-        table["deltas"].append({"folder": folder, "tier": tier})
+        else:
+            table["deltas"].append({"folder": folder, "tier": tier})
 
     def compact(self, name: str, merge: Callable[[DataFrame], DataFrame], fan: int = FAN) -> None:
         """Merge the deltas of every tier that has ``fan`` of them into one of the next."""

@@ -33,7 +33,7 @@ from railflow.operators.index import with_dense_key
 from railflow.operators.merge import first_wins, merge_movements, unmatched_changes
 from railflow.operators.names import DEFAULT_PREFIX
 from railflow.operators.sinks import PARTITION_COLUMNS
-from railflow.operators.store import Load, TableSet
+from railflow.operators.store import Load, TableSet, together
 from railflow.schemas import MOVEMENT_COLUMNS
 from railflow.session import ensure_checkpoint_dir
 
@@ -95,9 +95,10 @@ def _quarantine(tables: TableSet) -> DataFrame | None:
 
 def _planned(tables: TableSet) -> DataFrame | None:
     """One row per identity over all loads."""
-    rows, better = tables.read("planned"), tables.read("better")
-    if better is None:
+    rows = tables.read("planned")
+    if not tables.deltas("better"):
         return rows
+    better = tables.read("better")
     return _null_safe(rows, better, IDENTITY, "left_anti").unionByName(first_wins(better, IDENTITY, ["member"]))
 
 
@@ -130,10 +131,11 @@ def load_movements(planned: DataFrame, changes: DataFrame, path: str, policy: st
         rows = rows.select(*PLANNED, "_new", "_better").checkpoint()     # two outputs of one join
         load.append("better", rows.where(~F.col("_new") & F.col("_better")).select(*PLANNED))
         rows = rows.where("_new")
-    load.append("planned", rows.select(*PLANNED).repartitionByRange(*layout, "stop_id"), layout)
-    add_changes(load, changes, policy)
+    steps = [lambda: load.append("planned", rows.select(*PLANNED).repartitionByRange(*layout, "stop_id"), layout),
+             lambda: add_changes(load, changes, policy)]
     if quarantine is not None:
-        load.append("quarantine", quarantine.distinct())
+        steps.append(lambda: load.append("quarantine", quarantine.distinct()))
+    together(*steps)
     if keep_unmatched:
         _add_unmatched(load, changes, load.read("planned"))
     return movements_of(load.commit(), policy)
@@ -177,11 +179,12 @@ def _trips(planned: DataFrame, trip_start_col: Column | None) -> tuple[DataFrame
     return planned.withColumn("trip_start", start), start
 
 
-def add_dimensions(load: Load, members: dict[str, tuple]) -> dict[str, DataFrame]:
-    """Add unseen members (name -> members, natural order, key) to the dimensions."""
-    for name, (rows, order, key) in members.items():
-        load.append(name, unseen_members(load.read(name), rows, order, key))
-    return {name: load.read(name) for name in members}
+def dimension_steps(load: Load, members: dict[str, tuple]) -> list:
+    """Steps that add unseen members (name -> members, natural order, key) to the
+    dimensions."""
+    def step(name, rows, order, key):
+        return lambda: load.append(name, unseen_members(load.read(name), rows, order, key))
+    return [step(name, *spec) for name, spec in members.items()]
 
 
 def calendar_members(trips: DataFrame) -> dict[str, tuple]:
@@ -191,7 +194,7 @@ def calendar_members(trips: DataFrame) -> dict[str, tuple]:
 def load_calendar(planned: DataFrame, out_dir: str, trip_start_col: Column | None = None) -> dict[str, DataFrame]:
     """A load of the date and time dimensions alone."""
     load = TableSet(planned.sparkSession, out_dir).load()
-    add_dimensions(load, calendar_members(_trips(planned, trip_start_col)[0]))
+    together(*dimension_steps(load, calendar_members(_trips(planned, trip_start_col)[0])))
     tables = load.commit()
     return {name: tables.read(name) for name in ("dim_date", "dim_time")}
 
@@ -202,18 +205,19 @@ def load_star(planned: DataFrame, changes: DataFrame, stations: DataFrame, out_d
     """Merge one load into the star schema under ``out_dir``; its tables."""
     load = TableSet(planned.sparkSession, out_dir).load()
     trips, start = _trips(planned, trip_start_col)
-    dims = add_dimensions(load, {
-        "dim_station": (stations, ["eva_number", "name"], "station_id"),
-        "dim_train": (planned.select(*S.TRAIN_KEY).distinct(), S.TRAIN_KEY, "train_id"), **calendar_members(trips)})
+    members = {"dim_station": (stations, ["eva_number", "name"], "station_id"),
+               "dim_train": (planned.select(*S.TRAIN_KEY).distinct(), S.TRAIN_KEY, "train_id"), **calendar_members(trips)}
+    steps = [*dimension_steps(load, members), lambda: add_changes(load, changes, "last")]
+    if quarantine is not None:
+        steps.append(lambda: load.append("quarantine", quarantine.distinct()))
+    together(*steps)
+    dims = {name: load.read(name) for name in members}
     first = first_wins(planned, ["stop_id"], ["snapshot_ts", "member"], existing=load.read("fact_rows"))
     rows = S.with_foreign_keys(first.withColumn("trip_start", start), dims["dim_station"], dims["dim_train"],
                                dims["dim_date"], dims["dim_time"], prefix)
-    load.append("fact_rows", rows.select(*FACT_ROWS))
-    add_changes(load, changes, "last")
-    stops = load.read("fact_rows")
-    _add_unmatched(load, changes, planned if stops is None else stops)
-    if quarantine is not None:
-        load.append("quarantine", quarantine.distinct())
+    known, brought = load.read("fact_rows"), planned.select("stop_id")
+    stops = brought if known is None else known.select("stop_id").unionByName(brought)
+    together(lambda: load.append("fact_rows", rows.select(*FACT_ROWS)), lambda: _add_unmatched(load, changes, stops))
     return star_of(load.commit())
 
 
