@@ -45,7 +45,8 @@ NOISE_WORDS = 8       # shorter matches are never looked at
 WINDOW_WORDS = 42     # every repeated run of 8 + 42 = 50 words is found
 
 KEY = ["id0", "th"]   # a document: its id (0 for null) and a hash that knows nulls
-PLACE_BITS = 28       # low bits of a selected hash, for its place in the document
+PLACE_BITS = 31       # low bits of a word's hash, for its place (an array cannot be longer)
+RARE = 16             # one in so many hashes counts as least
 
 
 def _key(doc_id: Column, text: Column) -> list[Column]:
@@ -57,101 +58,144 @@ def _trimmed(line: Column) -> Column:
 
 
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per non-blank line: key, hash, words in it, words before it."""
+    """One row per non-blank line: key, number, hash, words in it."""
     rows = docs.select(*_key(F.col(id_col), F.col(text_col)), F.col(id_col).isNull().alias("nul"),
                        F.posexplode(F.split(F.col(text_col), "\n")).alias("at", "line"))
     rows = rows.withColumn("line", _trimmed(F.col("line"))).where("line <> ''")
-    rows = rows.select(*KEY, "nul", "at", F.size(F.split("line", WORD_GAP)).cast("long").alias("nw"),
+    return rows.select(*KEY, "nul", "at", F.size(F.split("line", WORD_GAP)).cast("long").alias("nw"),
                        F.xxhash64("line").alias("h")).dropDuplicates([*KEY, "at"])
-    by = Window.partitionBy(*KEY).orderBy("at")
-    return rows.select(*KEY, "nul", "h", "nw", (F.sum("nw").over(by) - F.col("nw")).alias("c"))
 
 
 def line_grams(lines: DataFrame, noise: int) -> DataFrame:
     """(g1, g2, nul, key, lo, hi): the grams that start and end at every line,
     with their first and last word."""
-    out = lines.withColumn("e", F.col("c") + F.col("nw") - 1)
-    on = Window.partitionBy(*KEY).orderBy("c").rangeBetween(0, noise - 1)
-    upto = Window.partitionBy(*KEY).orderBy("e").rangeBetween(1 - noise, 0)
-    out = out.select(*KEY, "nul", "nw", F.collect_list("h").over(on).alias("on"), F.max("e").over(on).alias("on_hi"),
-                     F.collect_list("h").over(upto).alias("upto"), F.min("c").over(upto).alias("upto_lo"), "c", "e")
-    gram = lambda hashes, lo, hi: F.struct(
-        F.xxhash64(hashes, F.lit(1)).alias("g1"), F.xxhash64(hashes, F.lit(2)).alias("g2"), F.col(lo).alias("lo"),
-        F.col(hi).alias("hi"))
-    # a line with enough words is its own gram both ways
-    out = out.select(*KEY, "nul", F.explode(F.array_compact(F.array(
-        F.when(F.col("on_hi") - F.col("c") + 1 >= noise, gram("on", "c", "on_hi")),
-        F.when((F.col("nw") < noise) & (F.col("e") - F.col("upto_lo") + 1 >= noise), gram("upto", "upto_lo", "e"))))).alias("g"))
-    return out.select("g.g1", "g.g2", "nul", *KEY, "g.lo", "g.hi")
-
-
-def _neighbours(array: Column, apart: int, f: Callable[[Column, Column], Column]) -> Column:
-    """f of every element and the one ``apart`` after it."""
-    n = F.greatest(F.size(array) - apart, F.lit(0))
-    return F.zip_with(F.slice(array, F.lit(1), n), F.slice(array, F.lit(apart + 1), n), f)
-
-
-def _over(df: DataFrame, name: str, width: int, f: Callable[[Column, Column], Column], have: int = 1) -> DataFrame:
-    """Replace array ``name``, whose elements stand for ``have`` places each, by f
-    over ``width`` places; each step is a column of its own, so that none is
-    computed again.  (To unfold such a column use an outer explode: the filter that
-    Spark infers from an inner one holds all steps, each several times.)"""
-    while have < width:
-        apart = min(have, width - have)
-        df, have = df.withColumn(name, _neighbours(F.col(name), apart, f)), have + apart
-    return df
-
-
-def _words(text: Column) -> Column:
-    return F.transform(F.split(_trimmed(text), WORD_GAP), lambda w: F.xxhash64(w))
-
-
-def _islands(ranges: Column) -> Column:
-    """Sorted ranges, joined where they meet or overlap."""
-    kind = "struct<done:array<struct<lo:bigint,hi:bigint>>,lo:bigint,hi:bigint>"
-    one = lambda lo, hi: F.struct(lo.alias("lo"), hi.alias("hi"))
-    state = lambda done, lo, hi: F.struct(done.alias("done"), lo.alias("lo"), hi.alias("hi")).cast(kind)
-    first = state(F.array().cast("array<struct<lo:bigint,hi:bigint>>"), F.get(ranges, F.lit(0))["lo"], F.get(ranges, F.lit(0))["hi"])
-    return F.aggregate(ranges, first, lambda at, r: F.when(
-        r["lo"] <= at["hi"] + 1, state(at["done"], at["lo"], F.greatest(at["hi"], r["hi"]))).otherwise(
-        state(F.concat(at["done"], F.array(one(at["lo"], at["hi"]))), r["lo"], r["hi"])),
-        lambda at: F.concat(at["done"], F.array(one(at["lo"], at["hi"]))))
-
-
-def selected_windows(docs: DataFrame, id_col: str, text_col: str, noise: int, run: int) -> DataFrame:
-    """(g, key, lo, hi): the hashes that winnowing selects, each with the first
-    and last start of the windows of ``run`` words that select it."""
-    rows = docs.select(*_key(F.col(id_col), F.col(text_col)), _words(F.col(text_col)).alias("h")).where(F.size("h") >= run)
-    rows = _over(rows, "h", noise, lambda a, b: F.xxhash64(a, b))
-    place = (1 << PLACE_BITS) - 1
-    rows = rows.withColumn("m", F.transform("h", lambda g, at: g.bitwiseAND(F.lit(~place)).bitwiseOR(at.cast("long"))))
-    rows = _over(rows, "m", run - noise + 1, lambda a, b: F.least(a, b))
-    rows = rows.withColumn("windows", F.size("m")).withColumn("m", F.array_distinct("m"))
-    at = lambda v: v.bitwiseAND(F.lit(place))
-    # the next place is selected once it comes into the window, if smaller, or when the one before leaves it
-    starts = F.transform("m", lambda v, i: F.when(i == 0, F.lit(0).cast("long")).when(
-        v < F.get("m", i - 1), at(v) - (run - noise)).otherwise(at(F.get("m", i - 1)) + 1))
-    rows = rows.withColumn("lo", starts).withColumn("one", F.explode_outer(F.transform("m", lambda v, i: F.struct(
-        F.get("h", at(v).cast("int")).alias("g"), F.get("lo", i).alias("lo"),
-        (F.coalesce(F.get("lo", i + 1), F.col("windows").cast("long")) - 1).alias("hi")))))
-    return rows.select("one.g", *KEY, "one.lo", "one.hi")
-
-
-def word_grams(docs: DataFrame, id_col: str, text_col: str, noise: int, run: int) -> tuple[DataFrame, DataFrame]:
-    """(g1, g2, nul, key, lo, hi) of the windows of ``run`` words that may occur
-    twice, and the staged table that this reads."""
-    spots = stage(docs.sparkSession, selected_windows(docs, id_col, text_col, noise, run), "linededup-spots")
-    twice = spots.groupBy("g").agg(F.count("*").alias("times")).where("times > 1").select("g")
-    spans = spots.join(twice, "g", "left_semi").groupBy(*KEY).agg(
-        F.array_sort(F.collect_set(F.struct("lo", "hi"))).alias("spans")).withColumn("spans", _islands(F.col("spans")))
+    by = Window.partitionBy(*KEY).orderBy("at")
+    line = F.struct("h", "nw")
+    # every line has a word: no gram has more than ``noise`` lines
+    rows = lines.select(
+        *KEY, "nul", "h", "nw", (F.sum("nw").over(by.rowsBetween(Window.unboundedPreceding, 0)) - F.col("nw")).alias("c"),
+        F.collect_list(line).over(by.rowsBetween(0, noise - 1)).alias("on"),
+        F.collect_list(line).over(by.rowsBetween(1 - noise, 0)).alias("upto"))
+
+    def words(of: Column) -> Column:
+        return F.aggregate(of, F.lit(0).cast("long"), lambda n, x: n + x["nw"])
+
+    def gram(hashes: Column, lo: Column, hi: Column) -> Column:
+        return F.struct(F.xxhash64(hashes, F.lit(1)).alias("g1"), F.xxhash64(hashes, F.lit(2)).alias("g2"),
+                        lo.alias("lo"), hi.alias("hi"))
+
+    def fewest(cut: Callable[[Column], Column], first: Callable[[Column], Column]) -> Column:
+        """The gram of the fewest lines, ``cut(k)`` for k lines, with enough words."""
+        enough = F.filter(F.transform(F.sequence(F.lit(1), F.lit(noise)), cut), lambda x: words(x) >= noise)
+        return _let(F.get(enough, F.lit(0)), lambda x: F.when(x.isNotNull(), gram(
+            F.transform(x, lambda y: y["h"]), first(words(x)), first(words(x)) + words(x) - 1)))
+
+    c, nw = F.col("c"), F.col("nw")
+    own = F.array(gram(F.array("h"), c, c + nw - 1))     # a line with enough words is its own gram both ways
+    pair = F.array(fewest(lambda k: F.slice("on", F.lit(1), k), lambda n: c),
+                   fewest(lambda k: F.slice("upto", F.greatest(F.size("upto") - k + 1, F.lit(1)), k), lambda n: c + nw - n))
+    rows = rows.select("nul", *KEY, F.explode_outer(F.when(nw >= noise, own).otherwise(F.array_compact(pair))).alias("g"))
+    return rows.where("g IS NOT NULL").select("g.g1", "g.g2", "nul", *KEY, "g.lo", "g.hi")
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def islands(ranges: DataFrame) -> DataFrame:
+    """(key, runs): the ranges (key, lo, hi) of every document, in order and joined
+    where they meet or overlap."""
+    by = Window.partitionBy(*KEY).orderBy("lo", "hi")
+    reach = F.max("hi").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    rows = ranges.withColumn("reach", reach).withColumn("opens", F.when(F.col("lo") <= F.col("reach") + 1, 0).otherwise(1))
+    rows = rows.withColumn("island", F.sum("opens").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.groupBy(*KEY, "island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return rows.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("runs"))
+
+
+def selected_places(docs: DataFrame, id_col: str, text_col: str, noise: int, run: int) -> DataFrame:
+    """(g, context, nul, key, lo, hi): the places that winnowing selects.  A window of
+    ``run`` words selects the place in it whose hash (of two words) is least; hashes below the
+    ``1 / RARE`` quantile count as equal, and the first of equals is taken.  ``lo`` and
+    ``hi`` are the first and last start of the windows that select the place, ``g`` is
+    the hash of the ``noise`` words from it on, ``context`` that of all words of these
+    windows: equal contexts hold equal windows."""
+    # (a filter here would split every text twice)
+    words = _let(F.split(_trimmed(F.col(text_col)), WORD_GAP), lambda w: F.when(F.size(w) >= run, w))
+    words = F.transform(words, lambda w: F.xxhash64(w))
+    rows = docs.select(*_key(F.col(id_col), F.col(text_col)), F.col(id_col).isNull().alias("nul"), words.alias("w"))
+    width, place = run - noise + 1, (1 << PLACE_BITS) - 1
+    last, struct = F.size("w") - run, lambda at, lo, hi: F.struct(at.alias("at"), lo.alias("lo"), hi.alias("hi"))
+    where = lambda v: v.bitwiseAND(F.lit(place)).cast("int")
+    # hash in the high bits, place in the low ones; two words, as single ones can be too frequent
+    rows = rows.withColumn("m", F.transform("w", lambda x, i: F.xxhash64(x, F.get("w", i + 1)).bitwiseAND(F.lit(~place)).bitwiseOR(i.cast("long"))))
+    least = F.filter(F.slice("m", F.lit(1), F.size("w") - noise + 1), lambda v: v < F.lit(-(1 << 63) + (1 << 64) // RARE))
+    rows = rows.withColumn("low", F.transform(least, where))
+    rows = rows.withColumn("ends", F.concat(F.array(F.lit(-1)), "low", F.array(last + width)))
+    n = F.size("low")
+    near = F.zip_with("low", F.slice("ends", F.lit(1), n), lambda at, before: struct(
+        at, F.greatest(before + 1, at - (width - 1), F.lit(0)), F.least(at, last)))
+    # windows without any such place: their least hashes one by one, equal neighbours joined
+    gaps = F.filter(F.zip_with(F.slice("ends", F.lit(1), n + 1), F.slice("ends", F.lit(2), n + 1), lambda x, y: F.struct(
+        (x + 1).alias("lo"), (y - width).alias("hi"))), lambda gap: gap["lo"] <= gap["hi"])
+
+    def minima(gap: Column) -> Column:
+        found = F.array_distinct(F.transform(F.sequence(gap["lo"], gap["hi"]), lambda s: F.array_min(F.slice("m", s + 1, width))))
+        starts = lambda found: F.transform(found, lambda v, i: F.when(i == 0, gap["lo"]).when(
+            v < F.get(found, i - 1), where(v) - (width - 1)).otherwise(where(F.get(found, i - 1)) + 1))
+        return _let(found, lambda found: _let(starts(found), lambda lo: F.transform(found, lambda v, i: struct(
+            where(v), F.get(lo, i), F.coalesce(F.get(lo, i + 1) - 1, gap["hi"])))))
+    rows = rows.withColumn("spots", F.concat(F.filter(near, lambda x: x["lo"] <= x["hi"]), F.flatten(F.transform(gaps, minima))))
+    rows = rows.withColumn("one", F.explode_outer(F.transform("spots", lambda x: F.struct(
+        F.xxhash64(F.slice("w", x["at"] + 1, noise)).alias("g"),
+        F.xxhash64(F.slice("w", x["lo"] + 1, x["hi"] - x["lo"] + run)).alias("context"),
+        x["lo"].cast("long").alias("lo"), x["hi"].cast("long").alias("hi")))))
+    return rows.where("one IS NOT NULL").select("one.g", "one.context", "nul", *KEY, "one.lo", "one.hi")
+
+
+def window_grams(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str, run: int) -> DataFrame:
+    """(g1, g2, nul, key, lo, hi): every window of ``run`` words that starts in one of
+    the ``spans`` (key, runs) of its document."""
     rows = docs.select(*_key(F.col(id_col), F.col(text_col)), F.col(id_col).isNull().alias("nul"), F.col(text_col).alias("t"))
-    rows = rows.join(spans, KEY).withColumn("h", _words(F.col("t"))).select(*KEY, "nul", "h", F.explode_outer("spans").alias("span"))
-    rows = rows.select(*KEY, "nul", F.col("span.lo").alias("from"), F.slice(
-        "h", (F.col("span.lo") + 1).cast("int"), (F.col("span.hi") - F.col("span.lo") + run).cast("int")).alias("h"))
-    rows = _over(rows, "h", run, lambda a, b: F.xxhash64(a, b))
-    rows = rows.select(*KEY, "nul", "from", F.posexplode_outer("h").alias("at", "g1"))
-    lo = F.col("from") + F.col("at")
-    return rows.select("g1", F.lit(0).cast("long").alias("g2"), "nul", *KEY, lo.alias("lo"), (lo + run - 1).alias("hi")), spots
+    rows = rows.join(spans, KEY).withColumn("w", F.split(_trimmed(F.col("t")), WORD_GAP))
+    starts = F.flatten(F.transform("runs", lambda r: F.sequence(r["lo"], r["hi"])))
+    one = lambda s: _let(F.slice("w", (s + 1).cast("int"), run), lambda x: F.struct(
+        F.xxhash64(x).alias("g1"), F.xxhash64(x, F.lit(2)).alias("g2"), s.alias("lo")))
+    rows = rows.select(*KEY, "nul", F.explode_outer(F.transform(starts, one)).alias("g"))
+    return rows.select("g.g1", "g.g2", "nul", *KEY, "g.lo", (F.col("g.lo") + run - 1).alias("hi"))
+
+
+def repeated_windows(docs: DataFrame, id_col: str, text_col: str, noise: int, run: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(key, lo, hi): the words of every window of ``run`` words that occurs earlier,
+    and the staged tables that this reads.
+
+    Places with the same hash meet the first place with the same context: all windows
+    of the others are repeats.  Only where a hash has several contexts, so that a match
+    ends within one, are the windows of each context's first place compared one by
+    one; a window's earliest occurrence is in the first place of its context.  (So are
+    places that overlap the first of their context in its own document.)"""
+    spark = docs.sparkSession
+    spots = stage(spark, selected_places(docs, id_col, text_col, noise, run), "linededup-spots")
+    twice = spots.groupBy("g").agg(F.count("*").alias("times")).where("times > 1").select("g")
+    spots_again = stage(spark, spots.join(twice, "g", "left_semi"), "linededup-repeats")
+    unstage(spots)
+    firsts = spots_again.groupBy("g", "context").agg(F.min(F.struct("nul", *KEY, "lo")).alias("first"))
+    contexts = firsts.groupBy("g").agg(F.count("*").alias("contexts"))
+    rows = spots_again.join(firsts, ["g", "context"]).join(contexts, "g")
+    same_doc = (F.col("id0") == F.col("first.id0")) & (F.col("th") == F.col("first.th"))
+    is_first = same_doc & (F.col("lo") == F.col("first.lo"))
+    overlaps = same_doc & ~is_first & (F.col("lo") < F.col("first.lo") + F.col("hi") - F.col("lo") + run)
+    rows = rows.withColumn("kind", F.when(overlaps, "loop").when(~is_first, "later").when(
+        F.col("contexts") > 1, "open").otherwise("only"))
+    rows = stage(spark, rows.select("g", "context", "kind", *KEY, "lo", "hi"), "linededup-kinds")
+    unstage(spots_again)
+    loops = rows.where("kind = 'loop'")
+    looked = rows.where("kind IN ('open', 'loop')").unionByName(rows.where("kind = 'only'").join(
+        loops.select("g", "context").distinct(), ["g", "context"], "left_semi"))
+    windows = stage(spark, window_grams(docs, islands(looked.select(*KEY, "lo", "hi")), id_col, text_col, run), "linededup-windows")
+    whole = rows.where("kind = 'later'").select(*KEY, "lo", (F.col("hi") + run - 1).alias("hi"))
+    return whole.unionByName(later_ones(windows)), [rows, windows]
 
 
 def later_ones(grams: DataFrame) -> DataFrame:
@@ -175,11 +219,9 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     grams = stage(spark, line_grams(lines_of(docs, id_col, text_col), noise), "linededup-lines")
     found, done = later_ones(grams), [grams]
     if passages:
-        windows, spots = word_grams(docs, id_col, text_col, noise, noise + window)
-        windows = stage(spark, windows, "linededup-windows")
-        found, done = found.unionByName(later_ones(windows)), [grams, spots, windows]
-    runs = found.groupBy(*KEY).agg(F.array_sort(F.collect_set(F.struct("lo", "hi"))).alias("runs"))
-    runs = stage(spark, runs.withColumn("runs", _islands(F.col("runs"))), "linededup-runs")
+        windows, read = repeated_windows(docs, id_col, text_col, noise, noise + window)
+        found, done = found.unionByName(windows), [grams, *read]
+    runs = stage(spark, islands(found.where("lo <= hi")), "linededup-runs")
     unstage(*done)
     return runs
 
@@ -189,24 +231,26 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """All rows with the later repeated runs deleted from their texts, and the
     number of lines that were deleted or cut in column ``removed`` (a line cut at
     several places counts for each).  Without ``passages`` only whole lines go."""
+    names = {c: fresh(docs, c) for c in ("run_id", "run_th", "runs", "doc_id0", "doc_th", "words", "end", "out")}
+    run_id, run_th, runs_, doc_id0, doc_th, words_, end_, out_ = names.values()
     runs = repeated_runs(docs, id_col, text_col, noise, window, passages).select(
-        F.col("id0").alias("_run_id"), F.col("th").alias("_run_th"), F.col("runs").alias("_runs"))
-    keyed = docs.select("*", *[k.alias(f"_doc_{i}") for i, k in enumerate(_key(F.col(id_col), F.col(text_col)))])
-    out = keyed.join(runs, (F.col("_doc_0") == F.col("_run_id")) & (F.col("_doc_1") == F.col("_run_th")), "left")
-    name, text, space = fresh(docs, removed), F.col(text_col), F.lit(SPACE_CHARS)
-    hit = F.col("_runs").isNotNull()
+        F.col("id0").alias(run_id), F.col("th").alias(run_th), F.col("runs").alias(runs_))
+    keyed = docs.select("*", *[k.alias(n) for n, k in zip((doc_id0, doc_th), _key(F.col(id_col), F.col(text_col)))])
+    out = keyed.join(runs, (F.col(doc_id0) == F.col(run_id)) & (F.col(doc_th) == F.col(run_th)), "left")
+    name, text, space, all_runs, all_words = fresh(docs, removed), F.col(text_col), F.lit(SPACE_CHARS), F.col(runs_), F.col(words_)
+    hit = all_runs.isNotNull()
     # each step is a column of its own, so that no lambda computes it again
-    out = out.withColumn("_words", F.when(hit, F.regexp_extract_all(text, F.lit(f"{WORD_GAP[:-1]}*[^\\x20\\x09-\\x0D]+"), F.lit(0))))
-    out = out.withColumn("_end", F.when(hit, F.regexp_extract(text, f"{WORD_GAP[:-1]}*\\z", 0)))
-    piece = lambda lo, hi: F.slice("_words", (lo + 1).cast("int"), F.greatest(hi - lo + 1, F.lit(0)).cast("int"))
+    out = out.withColumn(words_, F.when(hit, F.regexp_extract_all(text, F.lit(f"{WORD_GAP[:-1]}*[^\\x20\\x09-\\x0D]+"), F.lit(0))))
+    out = out.withColumn(end_, F.when(hit, F.regexp_extract(text, f"{WORD_GAP[:-1]}*\\z", 0)))
+    piece = lambda lo, hi: F.slice(all_words, (lo + 1).cast("int"), F.greatest(hi - lo + 1, F.lit(0)).cast("int"))
     lead = lambda word: F.left(word, F.char_length(word) - F.char_length(F.ltrim(word, space)))
-    n_words = F.size("_words").cast("long")
+    n_words = F.size(all_words).cast("long")
 
     def join_after(run: Column, i: Column) -> Column:
         """What stands for a run and the words after it."""
         last = run["hi"] + 1 >= n_words
-        before = lead(F.get("_words", run["lo"].cast("int")))
-        after = F.when(last, F.col("_end")).otherwise(lead(F.get("_words", (run["hi"] + 1).cast("int"))))
+        before = lead(F.get(all_words, run["lo"].cast("int")))
+        after = F.when(last, F.col(end_)).otherwise(lead(F.get(all_words, (run["hi"] + 1).cast("int"))))
         starts = (run["lo"] == 0) | F.contains(before, F.lit("\n"))
         ends = last | F.contains(after, F.lit("\n"))
         upto = F.regexp_extract(before, r"(?s)\A.*\n", 0)       # all lines before, with the line end
@@ -214,17 +258,20 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         inside = F.exists(piece(run["lo"] + 1, run["hi"]), lambda w: F.contains(w, F.lit("\n")))
         whole = F.when(F.contains(after, F.lit("\n")), F.concat(upto, below)).otherwise(F.regexp_replace(upto, r"\n\z", ""))
         gap = F.when(starts & ends, whole).when(starts, before).when(ends, after).when(inside, F.lit("\n")).otherwise(after)
-        then = F.coalesce(F.get("_runs", i + 1)["lo"], n_words) - 1
-        first = F.when(last, F.lit("")).otherwise(F.ltrim(F.get("_words", (run["hi"] + 1).cast("int")), space))
-        tail = F.when(then + 1 >= n_words, F.when(last, F.lit("")).otherwise(F.col("_end"))).otherwise(F.lit(""))
+        then = F.coalesce(F.get(all_runs, i + 1)["lo"], n_words) - 1
+        first = F.when(last, F.lit("")).otherwise(F.ltrim(F.get(all_words, (run["hi"] + 1).cast("int")), space))
+        tail = F.when(then + 1 >= n_words, F.when(last, F.lit("")).otherwise(F.col(end_))).otherwise(F.lit(""))
         return F.concat(gap, first, F.array_join(piece(run["hi"] + 2, then), ""), tail)
 
-    out = out.withColumn("_left", F.when(hit, F.concat(
-        F.array_join(piece(F.lit(0), F.get("_runs", F.lit(0))["lo"] - 1), ""), F.array_join(F.transform("_runs", join_after), ""))))
-    lines = F.aggregate("_runs", F.lit(0), lambda n, run: n + 1 + F.size(
+    left = F.concat(F.array_join(piece(F.lit(0), F.get(all_runs, F.lit(0))["lo"] - 1), ""),
+                    F.array_join(F.transform(all_runs, join_after), ""))
+    lines = F.aggregate(all_runs, F.lit(0), lambda n, run: n + 1 + F.size(
         F.filter(piece(run["lo"] + 1, run["hi"]), lambda w: F.contains(w, F.lit("\n")))))
-    out = out.withColumn(name, F.when(hit, lines).otherwise(0))
-    return out.withColumn(text_col, F.when(hit, F.col("_left")).otherwise(text)).select(*docs.columns, name)
+    # out of a generator, so that a filter on the result does not hold all this once more
+    result = F.struct(F.when(hit, left).otherwise(text).alias("text"), F.when(hit, lines).otherwise(0).alias("lines"))
+    out = out.select(*[f"`{c}`" for c in docs.columns], F.explode_outer(F.array(result)).alias(out_))
+    return out.select(*[F.col(out_)["text"].alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns],
+                      F.col(out_)["lines"].alias(name))
 
 
 def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", removed: str = "n_removed",

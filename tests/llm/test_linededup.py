@@ -1,6 +1,8 @@
 """Line dedup: what is deleted repeats earlier, what repeats is deleted."""
 
 
+from pyspark.sql import functions as F
+
 from railflow.llm import linededup as L
 
 SF = "/root/testdata/sf0.01"
@@ -203,3 +205,25 @@ def test_every_repeated_line_above_noise_goes(spark):
     docs = spark.createDataFrame([(k, "\n".join(v)) for k, v in rows.items()], "doc_id long, text string")
     got = texts(L.dedup_lines(docs))
     assert all(got[k + 1] == "\n".join(lines(4, f"n{k}", 9) + lines(4, f"m{k}", 9)) for k in range(200))
+
+
+def test_clashing_helper_names(spark):
+    p = " ".join(words(60, "p"))
+    names = ["run_id", "run_th", "runs", "doc_id0", "doc_th", "words", "end", "out", "id0", "th", "w", "t", "lo", "hi", "at", "line",
+             "_runs", "_run_id", "_doc_0", "_words", "_left", "_end", "n_removed", "g", "context", "nul", "kind"]
+    docs = spark.createDataFrame([(1, f"a {p}"), (2, f"b {p} c")], "doc_id long, text string").select(
+        "*", *[F.lit(n).alias(n) for n in names])
+    out = L.dedup_passages(docs)
+    assert out.columns == [*docs.columns, "n_removed_"]
+    rows = {r.doc_id: r for r in out.collect()}
+    assert rows[2].text == "b c" and all(rows[2][n] == n for n in names)
+
+
+def test_very_long_texts(spark):
+    """100,000 words each: repeats with changes, and one word over and over."""
+    one = words(100_000, "v")
+    two = [w if i % 1000 else f"x{i}" for i, w in enumerate(one)]
+    rows = [(1, " ".join(one)), (2, " ".join(two)), (3, "same " * 30_000)]
+    got = texts(L.dedup_passages(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert got[1] == rows[0][1] and got[2].split() == [f"x{i}" for i in range(0, 100_000, 1000)]
+    assert got[3].split() == ["same"] * 50
