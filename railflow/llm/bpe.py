@@ -30,6 +30,7 @@ import hashlib
 import heapq
 import itertools
 import json
+import operator
 import re
 import unicodedata
 from array import array
@@ -42,7 +43,7 @@ from pyspark.sql import DataFrame
 from railflow.llm.common import ship
 
 TOKENIZER = "word_bpe_49k.json"
-KEPT = 200_000         # spellings remembered by a worker
+KEPT = 400_000         # spellings remembered by a worker before the older half is forgotten
 ROWS_OUT = 512         # rows in a batch of results
 STREAM_STEP = 4096     # symbols taken into the buffer at a time
 
@@ -69,6 +70,7 @@ MORE_CAPITALS = [
     (0x10D50, 0x10D65, 0x10D70), (0x16EA0, 0x16EB8, 0x16EBB),
 ]
 _PIECE = re.compile(r"[^\t-\r ]+")   # ASCII white space never lies inside a token
+regex_match = operator.methodcaller("group")
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -172,17 +174,18 @@ class Transducer:
 
     def tokens(self, symbols: Iterable[int]) -> Iterator[int]:
         """``symbols``: base token ids, the last one in its word-end form."""
-        buffer: list[int] = []
-        for symbol in symbols:
-            buffer.append(symbol)
-            if len(buffer) >= self.merges.lookahead + self.step:
-                stable, kept = len(buffer) - self.merges.lookahead, 0
-                for token in self.merges.merge(buffer):
-                    if kept + self.lengths[token] > stable:
-                        break
-                    kept += self.lengths[token]
-                    yield token
-                buffer = buffer[kept:]
+        symbols, size = iter(symbols), self.merges.lookahead + self.step
+        buffer = [*itertools.islice(symbols, size)]
+        more = len(buffer) == size
+        while more:
+            stable, kept = len(buffer) - self.merges.lookahead, 0
+            for token in self.merges.merge(buffer):
+                if kept + self.lengths[token] > stable:
+                    break
+                kept += self.lengths[token]
+                yield token
+            fresh = [*itertools.islice(symbols, kept or self.step)]
+            buffer, more = buffer[kept:] + fresh, bool(fresh)
         yield from self.merges.merge(buffer)
 
 
@@ -208,8 +211,9 @@ class WordTokenizer:
         self.last = [model["vocab"][alphabet[b] + self.suffix] for b in range(256)]
         self._words = regex.compile(WORD_PATTERN)
         self._special = re.compile("|".join(map(re.escape, self.special)))
-        self._known_words: dict[str, tuple[str, str]] = {}
-        self._known: dict[str, tuple[str, str]] = {}
+        self._known_words: dict[str | int, tuple[str, str, tuple[int, ...]]] = {}
+        self._known: dict[str, tuple[str, str, tuple[int, ...]]] = {}      # lately used
+        self._older: dict[str, tuple[str, str, tuple[int, ...]]] = {}
         odd = "".join(f"{chr(a)}-{chr(b)}" for a, b in NOT_IN_WORDS)
         capitals = "".join(f"{chr(a)}-{chr(b)}" for a, b, _ in MORE_CAPITALS)
         self._rare = re.compile(f"[{odd}{capitals}]")
@@ -218,38 +222,41 @@ class WordTokenizer:
             r"|[\p{L}]+|", rf"|(?:(?![{odd}])\p{{L}})+|").replace(r"|[\p{N}]|", rf"|(?![{odd}])\p{{N}}|").replace(
             r"[^\s\p{L}\p{N}]", rf"(?:[^\s\p{{L}}\p{{N}}]|[{odd}])"))
 
-    def _word(self, word: str) -> Iterable[int]:
-        data = word.encode()
-        if len(data) > 64:
-            return self.stream(word)
-        symbols = [self.inner[b] for b in data]
-        symbols[-1] = self.last[data[-1]]
-        return self.merges.merge(symbols)
-
-    def stream(self, word: str) -> Iterator[int]:
-        """Tokens of one word of any length; only the buffer is held."""
-        def symbols():
-            held = None
-            for char in word:
-                for b in char.encode():
-                    if held is not None:
-                        yield self.inner[held]
-                    held = b
-            yield self.last[held]
-        return self.transducer.tokens(symbols())
-
-    def words(self, text: str) -> list[str]:
-        """Words of a text without special strings."""
+    def symbols(self, characters: Iterable[str]) -> Iterator[int]:
+        """Base tokens of a word's characters, one at a time; the last in its word-end form."""
+        held = None
+        for char in characters:
+            for b in char.encode():
+                if held is not None:
+                    yield self.inner[held]
+                held = b
+        yield self.last[held]
+
+    def stream(self, word: Iterable[str]) -> Iterator[int]:
+        """Tokens of one word of any length, each as soon as it is stable; only the
+        buffer is held."""
+        if isinstance(word, str) and len(word) <= 48:     # its symbols at once
+            data = word.encode()
+            return self.transducer.tokens([*map(self.inner.__getitem__, data[:-1]), self.last[data[-1]]])
+        return self.transducer.tokens(self.symbols(word))
+
+    def words(self, text: str) -> Iterator[str]:
+        """Words of a text without special strings, one at a time."""
+        found = self._words
         if text.isascii():
-            return self._words.findall(text.lower())
-        # lower case letter by letter: no final sigma
-        small = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        if self._rare.search(small):
-            return self._words_rare.findall(small.translate(self._small))
-        return self._words.findall(small)
+            text = text.lower()
+        else:
+            # lower case letter by letter: no final sigma
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+            if self._rare.search(text):
+                text, found = text.translate(self._small), self._words_rare
+        return map(regex_match, found.finditer(text))
 
     def piece(self, piece: str) -> Iterator[str | int]:
         """Words and special ids of a piece without ASCII white space."""
+        if piece.isalpha() and piece.isascii():
+            yield piece.lower()
+            return
         start = 0
         if "<|" in piece:
             for match in self._special.finditer(piece):
@@ -265,32 +272,38 @@ class WordTokenizer:
                 if isinstance(word, int):
                     out.append(word)
                 else:
-                    out.extend(self._word(word))
+                    out.extend(self.stream(word))
         return out
 
-    def spelled_word(self, word: str | int) -> tuple[str, str]:
-        """(ids, library decoding) of a word as text, remembered."""
+    def spelled_word(self, word: str | int) -> tuple[str, str, tuple[int, ...]]:
+        """(ids as text, library decoding, ids) of a word, remembered."""
         known = self._known_words.get(word)
         if known is None:
-            ids = [word] if isinstance(word, int) else list(self._word(word))
-            known = " ".join(map(str, ids)), "".join(map(SpellingDecoder(self.spelling).feed, ids))
+            ids = (word,) if isinstance(word, int) else tuple(self.stream(word))
+            known = " ".join(map(str, ids)), "".join(map(SpellingDecoder(self.spelling).feed, ids)), ids
             if isinstance(word, int) or len(word) <= 48:
                 if len(self._known_words) >= KEPT:
                     self._known_words.clear()
                 self._known_words[word] = known
         return known
 
-    def spelled(self, piece: str) -> tuple[str, str]:
-        """The same for a piece without ASCII white space."""
-        known = self._known.get(piece)
+    def spelled(self, pieces: list[str]) -> list[tuple[str, str, tuple[int, ...]]]:
+        """The same for pieces without ASCII white space."""
+        known = self._known
+        return [known.get(p) or self._spell(p) for p in pieces]
+
+    def _spell(self, piece: str) -> tuple[str, str, tuple[int, ...]]:
+        known = self._older.get(piece)
         if known is None:
             words = [self.spelled_word(w) for w in self.piece(piece)]
             known = words[0] if len(words) == 1 else (
-                " ".join([w[0] for w in words]), " ".join([w[1] for w in words]))
-            if len(piece) <= 48:
-                if len(self._known) >= KEPT:
-                    self._known.clear()
-                self._known[piece] = known
+                " ".join([w[0] for w in words]), " ".join([w[1] for w in words]),
+                tuple(itertools.chain.from_iterable(w[2] for w in words)))
+        if len(piece) <= 48:
+            if len(self._known) >= KEPT:
+                self._older = dict(self._known)
+                self._known.clear()
+            self._known[piece] = known
         return known
 
 
@@ -340,18 +353,23 @@ def tokenizer(name: str) -> WordTokenizer:
     return _loaded[name]
 
 
-def _encoded(model: WordTokenizer, text: str | None) -> tuple[array, str, str]:
-    """(ids, SHA-256 of the ids as text, SHA-256 of their library decoding)."""
-    ids, numbers_hash, text_hash, gap = array("i"), hashlib.sha256(), hashlib.sha256(), ""
+def _encoded(model: WordTokenizer, text: str | None, ids: array | None) -> tuple[int, str, str]:
+    """(number of ids, SHA-256 of the ids as text, SHA-256 of their library decoding);
+    appends the ids if there is a place for them."""
+    n, numbers_hash, text_hash, gap = 0, hashlib.sha256(), hashlib.sha256(), ""
     for part in _parts(text or ""):
-        spelled = [s for s in map(model.spelled, _PIECE.findall(part)) if s[0]]
+        spelled = model.spelled(_PIECE.findall(part))
+        if not all([s[2] for s in spelled]):      # white space beyond ASCII alone
+            spelled = [s for s in spelled if s[2]]
         if spelled:
-            numbers = " ".join([s[0] for s in spelled])
-            ids.extend(map(int, numbers.split(" ")))
-            numbers_hash.update((gap + numbers).encode())
-            text_hash.update((gap + " ".join([s[1] for s in spelled])).encode())
+            numbers, spellings, tokens = zip(*spelled)
+            n += sum(map(len, tokens))
+            if ids is not None:
+                ids.extend(itertools.chain.from_iterable(tokens))
+            numbers_hash.update((gap + " ".join(numbers)).encode())
+            text_hash.update((gap + " ".join(spellings)).encode())
             gap = " "
-    return ids, numbers_hash.hexdigest(), text_hash.hexdigest()
+    return n, numbers_hash.hexdigest(), text_hash.hexdigest()
 
 
 def encode(df: DataFrame, text_col: str, keep_ids: bool = True, name: str = TOKENIZER) -> DataFrame:
@@ -366,11 +384,11 @@ def encode(df: DataFrame, text_col: str, keep_ids: bool = True, name: str = TOKE
         for whole in batches:
             for start in range(0, whole.num_rows, ROWS_OUT):
                 batch = whole.slice(start, ROWS_OUT)
-                rows = [_encoded(model, t) for t in batch.column(len(kept)).to_pylist()]
-                sizes = [len(r[0]) for r in rows]
+                flat = array("i") if keep_ids else None
+                rows = [_encoded(model, t, flat) for t in batch.column(len(kept)).to_pylist()]
+                sizes = [r[0] for r in rows]
                 columns = [*batch.columns[:len(kept)], pa.array(sizes, pa.int64())]
                 if keep_ids:
-                    flat = array("i", itertools.chain.from_iterable(r[0] for r in rows))
                     offsets = pa.array([0, *itertools.accumulate(sizes)], pa.int32())
                     columns.append(pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(flat, np.int32))))
                 columns += [pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string())]

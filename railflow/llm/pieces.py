@@ -13,8 +13,8 @@ the characters of the two anew gives these two again.  So it is found without a
 So every position fails at most once, and the work is linear in the text.
 
 Before that a text is prepared as the vocabulary demands: a space before it, spaces
-written as U+2581.  No piece has that sign behind another character, so a text falls
-apart before every run of it, exactly; the codes of such units are remembered per
+written as U+2581.  No piece has that sign behind another character, nor a line end, so
+a text falls apart before every run of the sign and every line end, exactly; the codes of such units are remembered per
 worker (at most ``2 * KEPT``, the long unused ones forgotten).  Pieces of this sign alone all have one score, below all
 others: a run is merged last, from the left.  A character without a piece becomes its
 bytes' pieces.
@@ -44,14 +44,14 @@ from railflow.llm.common import ship
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-KEPT = 250_000          # units remembered by a worker before the older half is forgotten
+KEPT = 400_000          # units remembered by a worker before the older half is forgotten
 PAIRS = 1_000_000       # pairs of pieces remembered by a worker
 LONGEST_KEPT = 64       # characters of a unit that is remembered
 ROWS_OUT = 512          # rows in a batch of results
 PART = 1 << 18          # characters of a text that are split into units at once
 UNKNOWN_TEXT = " ⁇ "    # what the library writes for the unknown id (fixed value)
 
-_UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+_UNIT = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n[^{SPACE}\n]*")
 _CUT = re.compile("(?<! ) ")
 
 codecs.register_error("each_byte", lambda e: ("�", e.start + 1))
@@ -85,8 +85,8 @@ class Pieces:
         if len({*words}) < len(words) or len(blanks) > 1 or (blanks and max(blanks) >= min(words)):
             raise ValueError("pieces of characters need different scores, blank ones one lower score")
         if any(SPACE in p.lstrip(SPACE) or (p.startswith(SPACE * 2) and p.strip(SPACE)) or not {*p} <= self.ids.keys()
-               for p in scores):
-            raise ValueError("a piece goes over a space, or has a character that is no piece")
+               for p in scores) or any("\n" in p for p in self.ids):
+            raise ValueError("a piece goes over a space or line end, or has a character that is no piece")
 
     def merge(self, symbols: list[str]) -> list[str]:
         """The merges as they are defined, on few symbols."""
@@ -164,28 +164,36 @@ class Pieces:
             yield from map(self.ids.__getitem__, self.backtrack(text[start:]))
 
     def unit(self, unit: str) -> list[int]:
-        """Ids of a run of signs and the characters behind it."""
-        if unit[:1] == SPACE != unit[1:2] and len(unit) > 1:       # one sign: nothing to join with
-            return list(self._characters(unit))
+        """Ids of a unit: a run of signs and the characters behind it, where a single
+        sign is left out; or a line end and the characters behind it."""
+        if unit[0] == "\n":
+            return [*self._characters("\n"), *(self._characters(unit[1:]) if len(unit) > 1 else ())]
         body = unit.lstrip(SPACE)
         signs = len(unit) - len(body)
+        if not signs:
+            return list(self._characters(SPACE + unit))
         if not body:
             return [self.ids[p] for p in self.blanks(signs)]
-        out = list(self._characters(unit[signs - 1:] if signs else body))
-        if signs and out[0] == self.ids.get(SPACE):
+        out = list(self._characters(unit[signs - 1:]))
+        if out[0] == self.ids.get(SPACE):
             del out[0]
-        elif signs:
+        else:
             signs -= 1
         return [self.ids[p] for p in self.blanks(signs)] + out
 
     def units(self, text: str | None) -> Iterator[list[str]]:
         """Units of the prepared text, part by part."""
-        start, mark, size = 0, SPACE, len(text or "")
+        start, size = 0, len(text or "")
         while start < size:
             cut = _CUT.search(text, start + PART) if size - start > PART else None
             end = cut.start() if cut else size
-            yield _UNIT.findall(mark + text[start:end].replace(" ", SPACE))
-            start, mark = end, ""
+            part = text[start + (start > 0):end]      # the space before the part is its first sign
+            start = end
+            words = part.replace("\n", " \n").split(" ")
+            if "" in words or SPACE in part:
+                words = [u[1:] if u[0] == SPACE and len(u) > 1 and u[1] != SPACE else u
+                         for u in _UNIT.findall(SPACE + part.replace(" ", SPACE))]
+            yield words
 
     def _plain(self, text: str) -> bool:
         return self.ids.keys() >= {*text}
