@@ -30,11 +30,14 @@ def candidate_names(raw, prefix: str = DEFAULT_PREFIX):
     return F.array(raw, stripped, F.concat(F.lit(f"{prefix}-"), raw), F.concat(F.lit(f"{prefix} "), raw))
 
 
-def lookup_table(stations: DataFrame, name_col: str = "name", id_col: str = "eva_number") -> DataFrame:
-    """name -> id, one row per name (a repeated name keeps its largest id,
-    so the choice does not depend on read order)."""
+def lookup_table(stations: DataFrame, name_col: str = "name", id_col: str = "eva_number",
+                 order_col: str | None = None) -> DataFrame:
+    """name -> id, one row per name.  Of a repeated name the last row in ``order_col``
+    counts; without an order the largest id, so the choice does not depend on read
+    order."""
+    best = F.max_by(id_col, order_col) if order_col else F.max(id_col)
     return (stations.filter(F.col(name_col).isNotNull())
-            .groupBy(F.col(name_col).alias("_name")).agg(F.max(id_col).alias("_id")))
+            .groupBy(F.col(name_col).alias("_name")).agg(best.alias("_id")))
 
 
 def inverted_lookup(lookup: DataFrame, prefix: str = DEFAULT_PREFIX) -> DataFrame:

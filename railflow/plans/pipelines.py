@@ -17,10 +17,14 @@ from railflow.operators.names import DEFAULT_PREFIX, lookup_table, resolve_names
 from railflow.sources.timetables import change_rows, planned_rows
 
 
+STATION_ORDER = "station_order"     # place of a station in its file, for names that stand in it twice
+
+
 def resolve_planned(planned: DataFrame, stations: DataFrame, prefix: str = DEFAULT_PREFIX) -> DataFrame:
     """``eva_number`` of each planned row from its (loosely spelled)
     station name; the document's own ``eva`` stays in ``eva_raw``."""
-    return resolve_names(planned, "station_name", lookup_table(stations), prefix, "eva_number")
+    order = STATION_ORDER if STATION_ORDER in stations.columns else None
+    return resolve_names(planned, "station_name", lookup_table(stations, order_col=order), prefix, "eva_number")
 
 
 def build_movements(planned_elements: DataFrame, change_elements: DataFrame, stations: DataFrame,
@@ -33,7 +37,7 @@ def build_movements(planned_elements: DataFrame, change_elements: DataFrame, sta
 
 # ------------------------------------------------------------ raw inputs
 
-def stage_documents(spark, paths, kind: str, path: str, archive_mode: str = "content") -> DataFrame:
+def stage_documents(spark, paths, kind: str, path: str, archive_mode: str = "path") -> DataFrame:
     """Untar and parse the archives once into Parquet at ``path`` (a folder of
     the shared store); every table of the load is built from it."""
     from railflow.sources.archives import read_archives
@@ -56,7 +60,7 @@ def _stage_load(spark, planned_paths, change_paths, staging: str, archive_mode:
 
 def etl_movements(spark, planned_paths, change_paths, stations_path: str, out_path: str,
                   prefix: str = DEFAULT_PREFIX, policy: str = "max", platform_rule: str = "parquet",
-                  archive_mode: str = "content", staging_path: str | None = None) -> DataFrame:
+                  archive_mode: str = "path", staging_path: str | None = None) -> DataFrame:
     """E1 end to end: one load of archives + station JSON merged into the
     ``train_movements`` stored at ``out_path`` (``plans.incremental``), together with
     its malformed documents and unmatched changes (``incremental.read_movements``).
@@ -70,7 +74,8 @@ def etl_movements(spark, planned_paths, change_paths, stations_path: str, out_pa
     staging = staging_path or f"{out_path}_staging"
     planned_el, change_el, bad = _stage_load(spark, planned_paths, change_paths, staging, archive_mode)
     changes = change_rows(change_el, platform_rule)
-    planned = resolve_planned(planned_rows(planned_el), read_stations(spark, stations_path), prefix)
+    stations = read_stations(spark, stations_path, STATION_ORDER)
+    planned = resolve_planned(planned_rows(planned_el), stations, prefix)
     movements = load_movements(planned, changes, out_path, policy, quarantine=bad, keep_unmatched=True)
     remove(spark, staging)
     return movements
@@ -102,7 +107,7 @@ def build_star(planned_elements: DataFrame, change_elements: DataFrame, stations
 
 
 def etl_star(spark, planned_paths, change_paths, stations_path: str, out_dir: str,
-             prefix: str = DEFAULT_PREFIX, archive_mode: str = "content",
+             prefix: str = DEFAULT_PREFIX, archive_mode: str = "path",
              staging_path: str | None = None) -> dict[str, DataFrame]:
     """E2 end to end: one load of archives + station JSON merged into the
     star schema under ``out_dir`` (six tables and ``quarantine``; see

@@ -6,14 +6,14 @@ and everything after it run at full width.
 
 Two ways in:
 
-* ``content`` (default): ``binaryFile`` hands each archive to a task as one
-  binary value (Spark caps a value at 2 GB);
-* ``path``: only the archive path travels; the task streams the file
-  itself through ``pyarrow.fs`` (local, HDFS, S3, ...), for archives beyond
-  the 2 GB value limit.
-
-The untar is the one Python step of the pipeline (``mapInPandas``, rows
-emitted in bounded Arrow batches); everything downstream is JVM-side.
+* ``path`` (default): only the archive path travels; the task streams the file
+  itself through ``pyarrow.fs`` (local, HDFS, S3, ...), whatever its size;
+* ``content``: ``binaryFile`` hands each archive to a task as one binary value
+  (Spark caps a value at 2 GB), for stores that ``pyarrow.fs`` does not know.
+
+The untar is the one Python step of the pipeline (``mapInPandas``); everything
+downstream is JVM-side.  Rows leave in batches of at most ``BATCH_ROWS`` members or
+about ``BATCH_BYTES`` of text, so a worker holds one member and one batch.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from railflow.functions.timefmt import snapshot_from_member
 
 ARCHIVE_ROW_SCHEMA = "archive string, member string, xml string"
 BATCH_ROWS = 2000
+BATCH_BYTES = 8 << 20
 
 
 def _members(fileobj, archive: str):
@@ -44,12 +45,13 @@ def _members(fileobj, archive: str):
 
 
 def _batched(rows):
-    buf = []
+    buf, size = [], 0
     for row in rows:
         buf.append(row)
-        if len(buf) >= BATCH_ROWS:
+        size += len(row[2] or "")
+        if len(buf) >= BATCH_ROWS or size >= BATCH_BYTES:
             yield pd.DataFrame(buf, columns=["archive", "member", "xml"])
-            buf = []
+            buf, size = [], 0
     if buf:
         yield pd.DataFrame(buf, columns=["archive", "member", "xml"])
 
@@ -75,7 +77,7 @@ def _untar_path(batches):
     yield from _batched(rows())
 
 
-def read_archives(spark: SparkSession, paths, mode: str = "content",
+def read_archives(spark: SparkSession, paths, mode: str = "path",
                   partitions: int | None = None) -> DataFrame:
     """``paths``: a path, glob or list of them.  Returns
     ``archive, member, xml, snapshot_ts`` (``snapshot_ts`` NULL when the

@@ -59,6 +59,9 @@ def station_columns(s) -> list:
     ]
 
 
-def read_stations(spark: SparkSession, path: str) -> DataFrame:
+def read_stations(spark: SparkSession, path: str, order_col: str | None = None) -> DataFrame:
+    """The stations of JSON files; ``order_col`` adds each one's place (file, index)."""
     raw = spark.read.schema(STATION_JSON_SCHEMA).option("multiLine", True).json(path)
-    return raw.select(F.explode("result").alias("s")).select(*station_columns(F.col("s")))
+    rows = raw.select(F.input_file_name().alias("file"), F.posexplode("result").alias("at", "s"))
+    order = [F.struct("file", "at").alias(order_col)] if order_col else []
+    return rows.select(*station_columns(F.col("s")), *order)

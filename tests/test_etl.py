@@ -71,3 +71,30 @@ def test_members_without_snapshot_are_quarantined(spark):
     bad = sorted(r.member for r in malformed_documents(docs, "change").collect())
     assert bad == ["2509020730/X/broken.xml", "incoming/X/changes.xml"]
     assert change_elements_from_xml(docs).count() == 1
+
+
+def test_archives_leave_in_batches_of_bytes(spark, monkeypatch):
+    from railflow.sources import archives
+    from tests.handfixture import write_tar
+    root = tempfile.mkdtemp(prefix="railflow-big-")
+    docs = {f"2509020700/X/{i}.xml": f"<timetable>{'x' * 200_000}{i}</timetable>" for i in range(60)}     # 12 MB
+    write_tar(f"{root}/big.tar.gz", docs)
+    paths = [f"file://{root}/big.tar.gz"]
+    import pandas as pd
+    sizes = [sum(map(len, b["xml"])) for b in archives._untar_path([pd.DataFrame({"path": paths})])]
+    assert len(sizes) == 2 and max(sizes) < archives.BATCH_BYTES + 300_000
+    got = {r.member: r.xml for r in read_archives(spark, root + "/*.tar.gz").collect()}
+    assert got == docs
+
+
+def test_last_station_of_a_name_wins(spark, tmp_path):
+    import json
+
+    from railflow.plans.pipelines import STATION_ORDER, resolve_planned
+    from railflow.sources.stations import read_stations
+    one = lambda name, eva: {"name": name, "evaNumbers": [{"number": eva}]}
+    (tmp_path / "s.json").write_text(json.dumps({"result": [one("A", 9), one("B", 2), one("A", 3)]}))
+    stations = read_stations(spark, str(tmp_path / "s.json"), STATION_ORDER)
+    planned = spark.createDataFrame([("A",), ("B",), ("C",)], "station_name string")
+    got = {r.station_name: r.eva_number for r in resolve_planned(planned, stations).collect()}
+    assert got == {"A": 3, "B": 2, "C": None}
