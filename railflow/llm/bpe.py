@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from railflow.llm.common import ship
 
 TOKENIZER = "word_bpe_49k.json"
-KEPT = 400_000         # spellings remembered by a worker before the older half is forgotten
+KEPT = 150_000         # spellings remembered by a worker before the older half is forgotten
 ROWS_OUT = 512         # rows in a batch of results
 STREAM_STEP = 4096     # symbols taken into the buffer at a time
 
@@ -211,9 +211,9 @@ class WordTokenizer:
         self.last = [model["vocab"][alphabet[b] + self.suffix] for b in range(256)]
         self._words = regex.compile(WORD_PATTERN)
         self._special = re.compile("|".join(map(re.escape, self.special)))
-        self._known_words: dict[str | int, tuple[str, str, tuple[int, ...]]] = {}
-        self._known: dict[str, tuple[str, str, tuple[int, ...]]] = {}      # lately used
-        self._older: dict[str, tuple[str, str, tuple[int, ...]]] = {}
+        self._known_words: dict[str | int, tuple[str, str, bytes]] = {}
+        self._known: dict[str, tuple[str, str, bytes]] = {}      # lately used
+        self._older: dict[str, tuple[str, str, bytes]] = {}
         odd = "".join(f"{chr(a)}-{chr(b)}" for a, b in NOT_IN_WORDS)
         capitals = "".join(f"{chr(a)}-{chr(b)}" for a, b, _ in MORE_CAPITALS)
         self._rare = re.compile(f"[{odd}{capitals}]")
@@ -275,30 +275,30 @@ class WordTokenizer:
                     out.extend(self.stream(word))
         return out
 
-    def spelled_word(self, word: str | int) -> tuple[str, str, tuple[int, ...]]:
-        """(ids as text, library decoding, ids) of a word, remembered."""
+    def spelled_word(self, word: str | int) -> tuple[str, str, bytes]:
+        """(ids as text, library decoding, ids as 32-bit numbers) of a word, remembered."""
         known = self._known_words.get(word)
         if known is None:
             ids = (word,) if isinstance(word, int) else tuple(self.stream(word))
-            known = " ".join(map(str, ids)), "".join(map(SpellingDecoder(self.spelling).feed, ids)), ids
+            known = " ".join(map(str, ids)), "".join(map(SpellingDecoder(self.spelling).feed, ids)), array("i", ids).tobytes()
             if isinstance(word, int) or len(word) <= 48:
                 if len(self._known_words) >= KEPT:
                     self._known_words.clear()
                 self._known_words[word] = known
         return known
 
-    def spelled(self, pieces: list[str]) -> list[tuple[str, str, tuple[int, ...]]]:
+    def spelled(self, pieces: list[str]) -> list[tuple[str, str, bytes]]:
         """The same for pieces without ASCII white space."""
         known = self._known
         return [known.get(p) or self._spell(p) for p in pieces]
 
-    def _spell(self, piece: str) -> tuple[str, str, tuple[int, ...]]:
+    def _spell(self, piece: str) -> tuple[str, str, bytes]:
         known = self._older.get(piece)
         if known is None:
             words = [self.spelled_word(w) for w in self.piece(piece)]
             known = words[0] if len(words) == 1 else (
                 " ".join([w[0] for w in words]), " ".join([w[1] for w in words]),
-                tuple(itertools.chain.from_iterable(w[2] for w in words)))
+                b"".join([w[2] for w in words]))
         if len(piece) <= 48:
             if len(self._known) >= KEPT:
                 self._older = dict(self._known)
@@ -363,9 +363,9 @@ def _encoded(model: WordTokenizer, text: str | None, ids: array | None) -> tuple
             spelled = [s for s in spelled if s[2]]
         if spelled:
             numbers, spellings, tokens = zip(*spelled)
-            n += sum(map(len, tokens))
+            n += sum(map(len, tokens)) // 4
             if ids is not None:
-                ids.extend(itertools.chain.from_iterable(tokens))
+                ids.frombytes(b"".join(tokens))
             numbers_hash.update((gap + " ".join(numbers)).encode())
             text_hash.update((gap + " ".join(spellings)).encode())
             gap = " "

@@ -43,11 +43,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+def stage(spark: SparkSession, df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: the lineage
-    is cut, and a lost executor costs no recomputation."""
+    is cut, and a lost executor costs no recomputation.  ``compression``: Spark's own
+    choice if not given; "zstd" holds no memory outside the heap."""
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    (df.write.option("compression", compression) if compression else df.write).parquet(path)
     staged = spark.read.schema(df.schema).parquet(path)
     _staged.append((path, staged))
     return staged

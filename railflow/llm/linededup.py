@@ -176,9 +176,9 @@ def repeated_windows(docs: DataFrame, id_col: str, text_col: str, noise: int, ru
     one; a window's earliest occurrence is in the first place of its context.  (So are
     places that overlap the first of their context in its own document.)"""
     spark = docs.sparkSession
-    spots = stage(spark, selected_places(docs, id_col, text_col, noise, run), "linededup-spots")
+    spots = stage(spark, selected_places(docs, id_col, text_col, noise, run), "linededup-spots", "zstd")
     twice = spots.groupBy("g").agg(F.count("*").alias("times")).where("times > 1").select("g")
-    spots_again = stage(spark, spots.join(twice, "g", "left_semi"), "linededup-repeats")
+    spots_again = stage(spark, spots.join(twice, "g", "left_semi"), "linededup-repeats", "zstd")
     unstage(spots)
     firsts = spots_again.groupBy("g", "context").agg(F.min(F.struct("nul", *KEY, "lo")).alias("first"))
     contexts = firsts.groupBy("g").agg(F.count("*").alias("contexts"))
@@ -188,12 +188,12 @@ def repeated_windows(docs: DataFrame, id_col: str, text_col: str, noise: int, ru
     overlaps = same_doc & ~is_first & (F.col("lo") < F.col("first.lo") + F.col("hi") - F.col("lo") + run)
     rows = rows.withColumn("kind", F.when(overlaps, "loop").when(~is_first, "later").when(
         F.col("contexts") > 1, "open").otherwise("only"))
-    rows = stage(spark, rows.select("g", "context", "kind", *KEY, "lo", "hi"), "linededup-kinds")
+    rows = stage(spark, rows.select("g", "context", "kind", *KEY, "lo", "hi"), "linededup-kinds", "zstd")
     unstage(spots_again)
     loops = rows.where("kind = 'loop'")
     looked = rows.where("kind IN ('open', 'loop')").unionByName(rows.where("kind = 'only'").join(
         loops.select("g", "context").distinct(), ["g", "context"], "left_semi"))
-    windows = stage(spark, window_grams(docs, islands(looked.select(*KEY, "lo", "hi")), id_col, text_col, run), "linededup-windows")
+    windows = stage(spark, window_grams(docs, islands(looked.select(*KEY, "lo", "hi")), id_col, text_col, run), "linededup-windows", "zstd")
     whole = rows.where("kind = 'later'").select(*KEY, "lo", (F.col("hi") + run - 1).alias("hi"))
     return whole.unionByName(later_ones(windows)), [rows, windows]
 
@@ -216,12 +216,12 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(id0, th, runs): the runs of words [lo, hi] to delete per document, in
     order and apart."""
     spark = docs.sparkSession
-    grams = stage(spark, line_grams(lines_of(docs, id_col, text_col), noise), "linededup-lines")
+    grams = stage(spark, line_grams(lines_of(docs, id_col, text_col), noise), "linededup-lines", "zstd")
     found, done = later_ones(grams), [grams]
     if passages:
         windows, read = repeated_windows(docs, id_col, text_col, noise, noise + window)
         found, done = found.unionByName(windows), [grams, *read]
-    runs = stage(spark, islands(found.where("lo <= hi")), "linededup-runs")
+    runs = stage(spark, islands(found.where("lo <= hi")), "linededup-runs", "zstd")
     unstage(*done)
     return runs
 

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from railflow.llm.common import HASH60, SPACE_CHARS, WORD_GAP, fresh, hash60, sqrt_buckets, stage
+from railflow.llm.common import HASH60, SPACE_CHARS, WORD_GAP, fresh, hash60, sqrt_buckets, stage, unstage
 from railflow.llm.ranking import running_start
 
 SEED = 29
@@ -115,20 +115,22 @@ def mix(docs: DataFrame, domain: Column | None = None, budget: tuple[int, int] =
     tokens_col, epoch_col, domain_col = (fresh(docs, c) for c in (tokens_col, epoch_col, domain_col))
     domain = domain_of(F.col(source_col)) if domain is None else domain
     rows = docs.withColumns({tokens_col: word_tokens(F.col(text_col)), domain_col: domain})
-    keys = ["_domain", "_lang", "_source"]
+    keys = [fresh(rows, c) for c in ("domain_key", "lang_key", "source_key")]
     rows = rows.withColumns(dict(zip(keys, [_name(F.col(domain_col)), _name(F.col(lang_col)), _name(F.col(source_col))])))
-    leaves = rows.groupBy(*[F.col(k).alias(level) for k, level in zip(keys, LEVELS)]).agg(
-        F.sum(tokens_col).alias("tokens"))
-    targets = leaf_budgets(leaves, budget, max_epochs, weights).join(leaves, LEVELS).select(
+    epochs, rest, order, start = (fresh(rows, c) for c in ("epochs", "rest", "order", "start"))
+    leaves = stage(docs.sparkSession, rows.groupBy(*[F.col(k).alias(level) for k, level in zip(keys, LEVELS)]).agg(
+        F.sum(tokens_col).alias("tokens"), F.count("*").alias("n_rows")), "mixing-leaves")     # one row per leaf
+    targets = leaf_budgets(leaves.drop("n_rows"), budget, max_epochs, weights).join(leaves, LEVELS).select(
         *[F.col(level).alias(k) for k, level in zip(keys, LEVELS)],
-        F.expr("target div greatest(tokens, 1)").cast("int").alias("_epochs"),
-        F.expr("target % greatest(tokens, 1)").alias("_rest"))
-    targets = stage(docs.sparkSession, targets, "mixing-targets")   # one row per leaf
+        F.expr("target div greatest(tokens, 1)").cast("int").alias(epochs),
+        F.expr("target % greatest(tokens, 1)").alias(rest))
+    targets = stage(docs.sparkSession, targets, "mixing-targets")
+    n_rows = leaves.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
+    unstage(leaves)
     rows = rows.join(targets, keys)
-    rows = rows.withColumn("_order", hash60(F.lit(seed), F.col("_epochs"), F.col(id_col)))
-    buckets = sqrt_buckets(docs.count())
-    rows = running_start(rows, keys, F.expr(f"_order div {-(-HASH60 // buckets)}L"),
-                         [F.col("_order"), F.col(id_col), F.col(tokens_col)], F.col(tokens_col), "_start")
-    times = F.col("_epochs") + F.when(F.col("_start") < F.col("_rest"), 1).otherwise(0)
+    rows = rows.withColumn(order, hash60(F.lit(seed), F.col(epochs), F.col(id_col)))
+    rows = running_start(rows, keys, F.expr(f"`{order}` div {-(-HASH60 // sqrt_buckets(n_rows))}L"),
+                         [F.col(order), F.col(id_col), F.col(tokens_col)], F.col(tokens_col), start)
+    times = F.col(epochs) + F.when(F.col(start) < F.col(rest), 1).otherwise(0)
     rows = rows.where(times > 0).withColumn(epoch_col, F.explode(F.sequence(F.lit(0), times - 1)))
-    return rows.drop(*keys, "_epochs", "_rest", "_order", "_start")
+    return rows.drop(*keys, epochs, rest, order, start)

@@ -44,8 +44,8 @@ from railflow.llm.common import ship
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-KEPT = 400_000          # units remembered by a worker before the older half is forgotten
-PAIRS = 1_000_000       # pairs of pieces remembered by a worker
+KEPT = 200_000          # units remembered by a worker before the older half is forgotten
+PAIRS = 300_000         # pairs of pieces remembered by a worker
 LONGEST_KEPT = 64       # characters of a unit that is remembered
 ROWS_OUT = 512          # rows in a batch of results
 PART = 1 << 18          # characters of a text that are split into units at once

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from railflow.llm.common import fresh
+
 
 def running_start(df: DataFrame, group: list[str], bucket: Column, order: list[Column],
                   amount: Column, name: str, total: str | None = None) -> DataFrame:
@@ -21,17 +23,19 @@ def running_start(df: DataFrame, group: list[str], bucket: Column, order: list[C
     sum over the whole group.  Ties in ``order`` are cut arbitrarily, so
     ``order`` should end with every column that the result shows.
     """
-    df = df.withColumns({"_bucket": bucket, "_amount": amount})
-    keys = [*group, "_bucket"]
+    bucket_, amount_, inside_, sum_, start_, total_ = (fresh(df, c) for c in ("bucket", "amount", "inside", "sum", "start", "total"))
+    wanted = [*df.columns, name, *([total] if total else [])]
+    df = df.withColumns({bucket_: bucket, amount_: amount})
+    keys = [*group, bucket_]
     by_group = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
-    sums = df.groupBy(*keys).agg(F.sum("_amount").alias("_sum"))
+    sums = df.groupBy(*keys).agg(F.sum(amount_).alias(sum_))
     starts = sums.select(
-        *keys, (F.sum("_sum").over(by_group.orderBy("_bucket")) - F.col("_sum")).alias("_bucket_start"),
-        F.sum("_sum").over(by_group).alias("_total"))
+        *keys, (F.sum(sum_).over(by_group.orderBy(bucket_)) - F.col(sum_)).alias(start_),
+        F.sum(sum_).over(by_group).alias(total_))
     inside = Window.partitionBy(*keys).orderBy(*order)
-    out = df.withColumn("_inside", F.sum("_amount").over(
-        inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_amount"))
-    out = out.join(starts, keys).withColumn(name, F.col("_bucket_start") + F.col("_inside"))
+    out = df.withColumn(inside_, F.sum(amount_).over(
+        inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col(amount_))
+    out = out.join(starts, keys).withColumn(name, F.col(start_) + F.col(inside_))
     if total:
-        out = out.withColumn(total, F.col("_total"))
-    return out.drop("_bucket", "_amount", "_inside", "_bucket_start", "_total")
+        out = out.withColumn(total, F.col(total_))
+    return out.select(*[f"`{c}`" for c in wanted])

@@ -104,3 +104,14 @@ def test_odd_tables(spark):
     assert everything.where("doc_id = 1").count() == 2 and everything.where("doc_id = 3").count() == 1
     assert M.mix(docs.limit(0)).collect() == []
     assert M.mix(docs, weights={"source": {"s": 0}}).where(F.col("source") == "s").count() == 0
+
+
+def test_clashing_helper_names(spark):
+    names = ["domain_key", "lang_key", "source_key", "epochs", "rest", "order", "start", "bucket", "amount", "inside", "sum", "total",
+             "_rest", "_epochs", "_start", "_order", "_domain", "_bucket", "_amount", "n_tokens", "epoch", "domain"]
+    docs = spark.createDataFrame([(i, "a b c", "en", f"s{i % 3}") for i in range(30)], "doc_id long, text string, lang string, source string")
+    plain = {(r.doc_id, r.epoch) for r in M.mix(docs).collect()}
+    out = M.mix(docs.select("*", *[F.lit(n).alias(n) for n in names]))
+    rows = out.collect()
+    assert all(r[n] == n for r in rows for n in names)
+    assert {(r.doc_id, r.epoch_) for r in rows} == plain
