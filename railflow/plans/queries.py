@@ -121,6 +121,21 @@ def avg_delay(fact: DataFrame, stations_dim: DataFrame, raw_name: str, prefix: s
     return delays_long(at).agg(F.avg("delay_minutes").alias("avg_delay_minutes"))
 
 
+def avg_delay_from_rows(planned: DataFrame, changes: DataFrame, stations_dim: DataFrame, raw_name: str, prefix: str) -> DataFrame:
+    """Q4 straight from planned and change rows, without a stored fact: the first
+    planned row of each stop is kept, of these the station's, and only their changes
+    are folded; no other dimension is built."""
+    from railflow.operators.merge import first_wins
+    from railflow.operators.names import lookup_table, resolve_names
+    from railflow.operators.star import apply_changes
+    first = first_wins(planned, ["stop_id"], ["snapshot_ts", "member"])
+    rows = resolve_names(first, "station_name", lookup_table(stations_dim, "name", "station_id"), prefix, "station_id")
+    sid = resolve_station(stations_dim, raw_name, prefix, "station_id").select("station_id")
+    at = rows.join(F.broadcast(sid), "station_id")   # at most one row
+    own = changes.join(at.select("stop_id"), "stop_id", "left_semi")
+    return delays_long(apply_changes(at, own)).agg(F.avg("delay_minutes").alias("avg_delay_minutes"))
+
+
 PEAK_HOURS = ((7, 9), (17, 19))   # fixed values: [07:00, 09:00) and [17:00, 19:00)
 
 

@@ -322,3 +322,11 @@ def test_date_bounds_reach_the_stored_folders(spark, rail, tmp_path):
     for df in (one, peak, Q.cancelled_in_snapshot(mv, day, 7)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "PartitionFilters: [isnotnull(snapshot_date" in plan
+
+
+def test_avg_delay_from_rows_equals_the_fact(rail):
+    from railflow.plans import queries as Q
+    for name in ("Ostkreuz", "Berlin-Wedding", "Nowhere"):
+        a = Q.avg_delay(rail.star["fact_train_movements"], rail.star["dim_station"], name, "Berlin").collect()
+        b = Q.avg_delay_from_rows(rail.planned, rail.changes_star, rail.star["dim_station"], name, "Berlin").collect()
+        assert a == b
