@@ -2,11 +2,11 @@
 
 ``write_movements``  overwrites exactly the snapshot partitions present in the
                      rows given (dynamic partition overwrite).  The rows must be
-                     *complete* for these partitions: ``plans.incremental`` merges
-                     a new load with what is stored before it calls this.
-``replace_table``    whole-table replacement that reads may depend on: the new
-                     content is written beside the table first, so a plan over
-                     the old content can feed it and a crash loses nothing.
+                     *complete* for these partitions: an export of the merged fact
+                     (``plans.incremental``), or of some of its snapshots.
+``write_table``      whole-table overwrite.
+
+Tables that loads are merged into are kept by ``operators.store``.
 
 Rows are range-partitioned on the partition columns *and* ``stop_id`` before
 writing: each task writes a contiguous key range (few files per folder) and a
@@ -44,35 +44,6 @@ def _file(spark: SparkSession, path: str):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
-def is_written(spark: SparkSession, path: str) -> bool:
-    """Whether a complete write ended at ``path``."""
-    store, target = _file(spark, f"{path}/_SUCCESS")
-    return store.exists(target)
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether there is a folder (a partitioned table has no end mark of its own)."""
-    store, target = _file(spark, path)
-    return store.exists(target)
-
-
 def remove(spark: SparkSession, path: str) -> None:
     store, target = _file(spark, path)
     store.delete(target, True)
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The stored table, or None.  A replacement that was cut short after
-    its content was complete is finished first."""
-    if is_written(spark, f"{path}__next"):
-        write_table(spark.read.parquet(f"{path}__next"), path)
-        remove(spark, f"{path}__next")
-    return spark.read.parquet(path) if is_written(spark, path) else None
-
-
-def replace_table(df: DataFrame, path: str) -> DataFrame:
-    """Replace the table at ``path`` by ``df``, which may read it."""
-    spark = df.sparkSession
-    remove(spark, f"{path}__next")
-    df.write.parquet(f"{path}__next")
-    return read_table(spark, path)
