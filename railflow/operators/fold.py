@@ -49,20 +49,29 @@ def fold_changes(changes: DataFrame, policy: str = "max", order_cols=("snapshot_
                          "cancelled", "changed_platform")
 
 
+def _with_places(rows: DataFrame, lasts: list, cancelled) -> DataFrame:
+    """One (place, value) per value column and stop, taken apart: the last value of each
+    with its place.  One buffer holds both, so a place is shuffled once."""
+    packed = rows.groupBy("stop_id").agg(*[F.max(x).alias(f"_{c}") for c, x in zip(VALUE_COLUMNS, lasts)],
+                                         cancelled.alias("cancelled"))
+    return packed.select("stop_id", *[F.col(f"_{c}.value").alias(c) for c in VALUE_COLUMNS], "cancelled",
+                         *[F.col(f"_{c}.at").alias(f"{c}_at") for c in VALUE_COLUMNS])
+
+
 def fold_state(changes: DataFrame, policy: str = "max", order_cols=("snapshot_ts", "member")) -> DataFrame:
     """The fold with what a later merge needs: for ``last`` also the place
-    (``<column>_at``) of each value."""
-    aggs = fold_aggregations(policy, order_cols)
+    (``<column>_at``) of each value; of values at one place the largest counts."""
     if policy == "last":
-        at = F.struct(*[F.col(c) for c in order_cols])
-        aggs += [F.max(F.when(F.col(c).isNotNull(), at)).alias(f"{c}_at") for c in VALUE_COLUMNS]
-    return changes.groupBy("stop_id").agg(*aggs)
+        at = F.struct(*[F.col(c) for c in order_cols]).alias("at")
+        lasts = [F.when(F.col(c).isNotNull(), F.struct(at, F.col(c).alias("value"))) for c in VALUE_COLUMNS]
+        return _with_places(changes, lasts, F.bool_or("cancelled"))
+    return changes.groupBy("stop_id").agg(*fold_aggregations(policy, order_cols))
 
 
 def merge_deltas(states: DataFrame, policy: str = "max") -> DataFrame:
     """One state per stop out of any number of ``fold_state`` results."""
     if policy == "max":
         return states.groupBy("stop_id").agg(*fold_aggregations("max"))
-    values = [F.max_by(c, f"{c}_at").alias(c) for c in VALUE_COLUMNS]
-    places = [F.max(f"{c}_at").alias(f"{c}_at") for c in VALUE_COLUMNS]
-    return states.groupBy("stop_id").agg(*values, F.bool_or("cancelled").alias("cancelled"), *places)
+    lasts = [F.when(F.col(f"{c}_at").isNotNull(), F.struct(F.col(f"{c}_at").alias("at"), F.col(c).alias("value")))
+             for c in VALUE_COLUMNS]
+    return _with_places(states, lasts, F.bool_or("cancelled"))

@@ -68,7 +68,12 @@ def unmatched_changes(changes: DataFrame, planned: DataFrame) -> DataFrame:
     (also cancel-only and platform-only changes; ``has_time`` marks the
     ones carrying a changed time)."""
     keys = planned.select("stop_id")
-    return changes.join(keys, "stop_id", "left_anti").select(
+    return as_unmatched(changes.join(keys, "stop_id", "left_anti"))
+
+
+def as_unmatched(changes: DataFrame) -> DataFrame:
+    """What is kept of changes without a planned stop."""
+    return changes.select(
         "stop_id", "station_name", F.col("eva_raw").alias("eva_number"), "snapshot_ts",
         "changed_arrival_time", "changed_departure_time", "cancelled", "changed_platform",
         "has_time")

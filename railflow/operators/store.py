@@ -113,7 +113,7 @@ class Load(TableSet):
         folder = f"delta=d{uuid.uuid4().hex}"
         path = f"{self.root}/data/{name}/{folder}"
         writer = rows.write.partitionBy(*partition_by) if partition_by else rows.write
-        for key, value in (settings or {}).items():
+        for key, value in {"compression": "zstd", **(settings or {})}.items():
             writer = writer.option(key, value)
         writer.parquet(path)
         table = self.tables.setdefault(name, {"schema": json.loads(rows.schema.json()), "deltas": []})

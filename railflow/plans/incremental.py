@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from railflow.operators import star as S
 from railflow.operators.fold import fold_state, merge_deltas
 from railflow.operators.index import with_dense_key
-from railflow.operators.merge import first_wins, merge_movements, unmatched_changes
+from railflow.operators.merge import as_unmatched, first_wins, merge_movements, unmatched_changes
 from railflow.operators.names import DEFAULT_PREFIX
 from railflow.operators.sinks import PARTITION_COLUMNS
 from railflow.operators.store import Load, TableSet, together
@@ -41,6 +41,7 @@ CHANGED = ["changed_arrival_time", "changed_departure_time", "changed_platform",
            "arrival_delay_minutes", "departure_delay_minutes"]
 IDENTITY = [*PARTITION_COLUMNS, "stop_id"]
 PLANNED = [*IDENTITY, "member", *[c for c in MOVEMENT_COLUMNS if c not in IDENTITY and c not in CHANGED]]
+FEW_STOPS = 100_000     # stops whose numbers may be broadcast
 FACT_ROWS = [c for c in S.FACT_COLUMNS if c not in CHANGED]
 
 
@@ -77,7 +78,16 @@ def read_change_state(spark: SparkSession, path: str, policy: str) -> DataFrame
 
 
 def _add_unmatched(load: Load, changes: DataFrame, stops: DataFrame) -> None:
-    load.append("unmatched", unmatched_changes(changes, stops).distinct())
+    """The load's changes without a stop in ``stops``.  ``add_changes`` has folded them,
+    so the stops to look for come from its delta; the changes themselves are only
+    shuffled for a join if very many stops are missing."""
+    own = load.read("changes", load.deltas("changes")[-1:])     # the load's delta, or the merge that took it in
+    missing = own.select("stop_id").join(stops.select("stop_id"), "stop_id", "left_anti").checkpoint()
+    if missing.limit(FEW_STOPS + 1).count() <= FEW_STOPS:
+        rows = as_unmatched(_null_safe(changes, F.broadcast(missing), ["stop_id"], "left_semi"))
+    else:
+        rows = unmatched_changes(changes, stops)
+    load.append("unmatched", rows.distinct())
 
 
 def _unmatched(tables: TableSet, stops: DataFrame) -> DataFrame | None:
@@ -203,6 +213,7 @@ def load_star(planned: DataFrame, changes: DataFrame, stations: DataFrame, out_d
               prefix: str = DEFAULT_PREFIX, trip_start_col: Column | None = None,
               quarantine: DataFrame | None = None) -> dict[str, DataFrame]:
     """Merge one load into the star schema under ``out_dir``; its tables."""
+    ensure_checkpoint_dir(planned.sparkSession)
     load = TableSet(planned.sparkSession, out_dir).load()
     trips, start = _trips(planned, trip_start_col)
     members = {"dim_station": (stations, ["eva_number", "name"], "station_id"),
@@ -212,12 +223,12 @@ def load_star(planned: DataFrame, changes: DataFrame, stations: DataFrame, out_d
         steps.append(lambda: load.append("quarantine", quarantine.distinct()))
     together(*steps)
     dims = {name: load.read(name) for name in members}
-    first = first_wins(planned, ["stop_id"], ["snapshot_ts", "member"], existing=load.read("fact_rows"))
+    # the parts of the snapshot's time follow from it: they settle no tie and are in no fact
+    first = first_wins(planned.drop(*PARTITION_COLUMNS), ["stop_id"], ["snapshot_ts", "member"], existing=load.read("fact_rows"))
     rows = S.with_foreign_keys(first.withColumn("trip_start", start), dims["dim_station"], dims["dim_train"],
                                dims["dim_date"], dims["dim_time"], prefix)
-    known, brought = load.read("fact_rows"), planned.select("stop_id")
-    stops = brought if known is None else known.select("stop_id").unionByName(brought)
-    together(lambda: load.append("fact_rows", rows.select(*FACT_ROWS)), lambda: _add_unmatched(load, changes, stops))
+    load.append("fact_rows", rows.select(*FACT_ROWS))
+    _add_unmatched(load, changes, load.read("fact_rows"))      # all stops of this load and earlier ones
     return star_of(load.commit())
 
 

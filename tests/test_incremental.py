@@ -3,8 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from railflow.operators import store
-from railflow.plans.incremental import load_changes, load_movements, read_change_state, read_movements, read_star
+from railflow.operators import fold, merge, store
+from railflow.plans import incremental
+from railflow.plans.incremental import load_changes, load_movements, load_star, read_change_state, read_movements, read_star
 from railflow.plans.pipelines import etl_movements, etl_star, resolve_planned
 from tests.handfixture import write_tar
 
@@ -162,3 +163,30 @@ def test_two_loads_at_once(spark, rail, tmp_path):
     with pytest.raises(RuntimeError):
         two.commit()
     assert store.TableSet(spark, f"{tmp_path}/t").read("a").count() == 3
+
+
+def test_changes_of_known_stops_are_not_joined_for_the_unmatched(spark, rail, tmp_path, monkeypatch):
+    def never(*args):
+        raise AssertionError("all changes are shuffled although few stops are missing")
+    monkeypatch.setattr(incremental, "unmatched_changes", never)
+    changes = rail.changes_star.unionByName(rail.changes_star.limit(1).withColumn("stop_id", F.lit(None).cast("string")))
+    out = f"{tmp_path}/star"
+    for _ in range(2):
+        got = load_star(rail.planned, changes, rail.stations, out)
+    _same(got["unmatched_timetable_changes"], merge.unmatched_changes(changes, rail.planned).distinct())
+    monkeypatch.undo()
+    monkeypatch.setattr(incremental, "FEW_STOPS", 0)
+    _same(load_star(rail.planned, changes, rail.stations, f"{tmp_path}/many")["unmatched_timetable_changes"],
+          got["unmatched_timetable_changes"])
+
+
+def test_a_last_value_and_its_place_share_one_buffer(spark):
+    rows = spark.createDataFrame([("a", 1, "m", "x", True), ("a", 2, "m", None, False), ("a", 2, "k", "y", None), (None, 1, "m", "z", None)],
+                                 "stop_id string, day int, member string, changed_platform string, cancelled boolean")
+    rows = rows.select("stop_id", F.timestamp_seconds("day").cast("timestamp_ntz").alias("snapshot_ts"), "member", "changed_platform",
+                       "cancelled", *[F.lit(None).cast("timestamp_ntz").alias(c) for c in ("changed_arrival_time", "changed_departure_time")])
+    parts = [fold.fold_state(rows.where(F.second("snapshot_ts") == day), "last") for day in (1, 2)]
+    whole = fold.merge_deltas(parts[0].unionByName(parts[1]), "last")
+    assert {(r.stop_id, r.changed_platform, r.cancelled) for r in whole.collect()} == {("a", "y", True), (None, "z", None)}
+    _same(whole.select("stop_id", "changed_platform", "cancelled"), fold.fold_changes(rows, "last").select("stop_id", "changed_platform", "cancelled"))
+    assert not any("max_by" in s._jdf.queryExecution().toString() for s in (parts[0], whole))
