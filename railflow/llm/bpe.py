@@ -174,7 +174,11 @@ class Transducer:
 
     def tokens(self, symbols: Iterable[int]) -> Iterator[int]:
         """``symbols``: base token ids, the last one in its word-end form."""
-        symbols, size = iter(symbols), self.merges.lookahead + self.step
+        size = self.merges.lookahead + self.step
+        if isinstance(symbols, list) and len(symbols) < size:     # all in the buffer: nothing to wait for
+            yield from self.merges.merge(symbols)
+            return
+        symbols = iter(symbols)
         buffer = [*itertools.islice(symbols, size)]
         more = len(buffer) == size
         while more:
@@ -211,9 +215,11 @@ class WordTokenizer:
         self.last = [model["vocab"][alphabet[b] + self.suffix] for b in range(256)]
         self._words = regex.compile(WORD_PATTERN)
         self._special = re.compile("|".join(map(re.escape, self.special)))
-        self._known_words: dict[str | int, tuple[str, str, bytes]] = {}
-        self._known: dict[str, tuple[str, str, bytes]] = {}      # lately used
-        self._older: dict[str, tuple[str, str, bytes]] = {}
+        self._number = {v: str(v) for v in self.spelling}
+        self._known_words: dict[str | int, tuple[str, str, int]] = {}      # lately used
+        self._older_words: dict[str | int, tuple[str, str, int]] = {}
+        self._known: dict[str, tuple[str, str, int]] = {}      # lately used
+        self._older: dict[str, tuple[str, str, int]] = {}
         odd = "".join(f"{chr(a)}-{chr(b)}" for a, b in NOT_IN_WORDS)
         capitals = "".join(f"{chr(a)}-{chr(b)}" for a, b, _ in MORE_CAPITALS)
         self._rare = re.compile(f"[{odd}{capitals}]")
@@ -275,30 +281,34 @@ class WordTokenizer:
                     out.extend(self.stream(word))
         return out
 
-    def spelled_word(self, word: str | int) -> tuple[str, str, bytes]:
-        """(ids as text, library decoding, ids as 32-bit numbers) of a word, remembered."""
+    def spelled_word(self, word: str | int) -> tuple[str, str, int]:
+        """(ids as text, library decoding, number of ids) of a word, remembered."""
         known = self._known_words.get(word)
         if known is None:
-            ids = (word,) if isinstance(word, int) else tuple(self.stream(word))
-            known = " ".join(map(str, ids)), "".join(map(SpellingDecoder(self.spelling).feed, ids)), array("i", ids).tobytes()
+            known = self._older_words.get(word)
+            if known is None:
+                ids = (word,) if isinstance(word, int) else [*self.stream(word)]
+                known = (" ".join([self._number[i] for i in ids]), SpellingDecoder(self.spelling).feed_all(ids), len(ids))
             if isinstance(word, int) or len(word) <= 48:
                 if len(self._known_words) >= KEPT:
-                    self._known_words.clear()
+                    self._older_words, self._known_words = self._known_words, {}
                 self._known_words[word] = known
         return known
 
-    def spelled(self, pieces: list[str]) -> list[tuple[str, str, bytes]]:
+    def spelled(self, pieces: list[str]) -> list[tuple[str, str, int]]:
         """The same for pieces without ASCII white space."""
         known = self._known
         return [known.get(p) or self._spell(p) for p in pieces]
 
-    def _spell(self, piece: str) -> tuple[str, str, bytes]:
+    def _spell(self, piece: str) -> tuple[str, str, int]:
         known = self._older.get(piece)
         if known is None:
-            words = [self.spelled_word(w) for w in self.piece(piece)]
-            known = words[0] if len(words) == 1 else (
-                " ".join([w[0] for w in words]), " ".join([w[1] for w in words]),
-                b"".join([w[2] for w in words]))
+            if piece.isalpha() and piece.isascii():
+                known = self.spelled_word(piece.lower())
+            else:
+                words = [self.spelled_word(w) for w in self.piece(piece)]
+                known = words[0] if len(words) == 1 else (
+                    " ".join([w[0] for w in words]), " ".join([w[1] for w in words]), sum([w[2] for w in words]))
         if len(piece) <= 48:
             if len(self._known) >= KEPT:
                 self._older = dict(self._known)
@@ -320,6 +330,12 @@ class SpellingDecoder:
         self.started = True
         return text
 
+    def feed_all(self, tokens: list[int]) -> str:
+        """The same for several ids at once."""
+        text = " ".join([self.spelling[t] for t in tokens])
+        started, self.started = self.started, self.started or bool(tokens)
+        return " " + text if started and tokens else text
+
 
 class ByteDecoder:
     """Text behind the byte alphabet, one id at a time: an unfinished UTF-8
@@ -362,11 +378,12 @@ def _encoded(model: WordTokenizer, text: str | None, ids: array | None) -> tuple
         if not all([s[2] for s in spelled]):      # white space beyond ASCII alone
             spelled = [s for s in spelled if s[2]]
         if spelled:
-            numbers, spellings, tokens = zip(*spelled)
-            n += sum(map(len, tokens)) // 4
+            numbers, spellings, sizes = zip(*spelled)
+            n += sum(sizes)
+            numbers = " ".join(numbers)
             if ids is not None:
-                ids.frombytes(b"".join(tokens))
-            numbers_hash.update((gap + " ".join(numbers)).encode())
+                ids.extend(map(int, numbers.split(" ")))
+            numbers_hash.update((gap + numbers).encode())
             text_hash.update((gap + " ".join(spellings)).encode())
             gap = " "
     return n, numbers_hash.hexdigest(), text_hash.hexdigest()

@@ -105,3 +105,19 @@ def test_decoder_holds_back_unfinished_bytes(mine):
     assert machine.feed(mine.inner[data[0]]) == ""
     assert machine.feed(mine.last[data[1]]) == "é "
     assert machine.feed(mine.inner[0xE2]) == "" and machine.end() == "�"
+
+
+def test_words_are_remembered_over_two_generations(monkeypatch):
+    import public_tokenizers
+    monkeypatch.setattr(bpe, "KEPT", 3)
+    model = bpe.WordTokenizer(public_tokenizers.path(bpe.TOKENIZER))
+    first = [model.spelled_word(w) for w in ("alpha", "beta", "gamma", "delta")]
+    real, merged = model.stream, []
+    monkeypatch.setattr(model, "stream", lambda word: merged.append(word) or real(word))
+    assert [model.spelled_word(w) for w in ("alpha", "delta")] == [first[0], first[3]] and not merged
+    for numbers, text, n in first:
+        ids = [*map(int, numbers.split())]
+        one = bpe.SpellingDecoder(model.spelling)
+        assert text == "".join(map(one.feed, ids)) and n == len(ids)
+        both = bpe.SpellingDecoder(model.spelling)
+        assert both.feed_all(ids) + both.feed_all([]) + both.feed_all(ids) == text + " " + text
