@@ -52,6 +52,7 @@ PART = 1 << 18          # characters of a text that are split into units at once
 UNKNOWN_TEXT = " ⁇ "    # what the library writes for the unknown id (fixed value)
 
 _UNIT = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n[^{SPACE}\n]*")
+_OPENS = SPACE + "\n"     # what a unit with a sign or line end of its own starts with
 _CUT = re.compile("(?<! ) ")
 
 codecs.register_error("each_byte", lambda e: ("�", e.start + 1))
@@ -65,6 +66,7 @@ class Pieces:
         self.ids, self.byte_ids, self.silent, self.unknown = pieces, byte_ids, silent, unknown
         self.text_of = {i: p for p, i in pieces.items()}
         self.byte_of = {i: b for b, i in enumerate(byte_ids)}
+        self._number = {i: str(i) for i in (*pieces.values(), *byte_ids, unknown)}
         self._rank = {p: -s for p, s in scores.items()}
         self._check(scores)
         found = ahocorasick.Automaton()
@@ -116,12 +118,12 @@ class Pieces:
         for end, (size, piece) in self._found.iter(text):
             longest[end - size + 1] = piece      # later ends are longer
         pairs, shorter, n = self._pairs, self._shorter, len(text)
-        failed = bytearray(n // 8 + 1)
+        failed, none_failed = bytearray(n // 8 + 1), True
         taken: list[str] = []
         at, piece, before = 0, longest[0], None
         while True:
             end = at + len(piece)
-            if not failed[end >> 3] >> (end & 7) & 1:
+            if none_failed or not failed[end >> 3] >> (end & 7) & 1:
                 fits = before is None or pairs.get((before, piece))
                 if fits is None:
                     fits = self.compatible(before, piece)
@@ -134,6 +136,7 @@ class Pieces:
             piece = shorter.get(piece)
             while piece is None:
                 failed[at >> 3] |= 1 << (at & 7)
+                none_failed = False
                 last = taken.pop()
                 at -= len(last)
                 before = taken[-1] if taken else None
@@ -209,9 +212,12 @@ class Pieces:
     def _spell(self, unit: str) -> tuple[int, str, str]:
         known = self._older.get(unit)
         if known is None:
-            ids = self.unit(unit)
+            if unit[0] not in _OPENS and self._plain(unit):
+                ids = [self.ids[p] for p in self.backtrack(SPACE + unit)]
+            else:
+                ids = self.unit(unit)
             machine = Decoder(self, inside=True)
-            known = len(ids), ",".join(map(str, ids)), machine.feed_all(ids) + machine.end()
+            known = len(ids), ",".join([self._number[i] for i in ids]), machine.feed_all(ids) + machine.end()
         if len(unit) <= LONGEST_KEPT:
             if len(self._known) >= KEPT:
                 self._older = dict(self._known)
@@ -224,13 +230,14 @@ class Decoder:
     """Text behind ids, one at a time; ``inside`` a text the first sign stays."""
 
     def __init__(self, pieces: Pieces, inside: bool = False):
-        self.pieces, self.first = pieces, not inside
-        self.utf8 = codecs.getincrementaldecoder("utf-8")("each_byte")
+        self.pieces, self.first, self.utf8 = pieces, not inside, None
 
     def feed(self, token: int) -> str:
         byte = self.pieces.byte_of.get(token)
         if byte is not None:
             self.first = False
+            if self.utf8 is None:
+                self.utf8 = codecs.getincrementaldecoder("utf-8")("each_byte")
             return self.utf8.decode(bytes([byte]))
         before = self.end()
         if token in self.pieces.silent:
@@ -243,11 +250,13 @@ class Decoder:
     def feed_all(self, tokens: list[int]) -> str:
         """The same for several ids; at once where none of them has a state."""
         text_of = self.pieces.text_of
-        if not self.first and all(map(text_of.__contains__, tokens)):
-            return self.end() + "".join(map(text_of.__getitem__, tokens)).replace(SPACE, " ")
+        if not self.first and text_of.keys() >= {*tokens}:
+            return self.end() + "".join([text_of[t] for t in tokens]).replace(SPACE, " ")
         return "".join(map(self.feed, tokens))
 
     def end(self) -> str:
+        if self.utf8 is None:      # no byte so far
+            return ""
         out = self.utf8.decode(b"", True)
         self.utf8.reset()
         return out

@@ -79,3 +79,17 @@ def test_table(spark, library, pieces):
     texts_back = P.decode_ids(full, "ids").collect()
     assert {r.doc_id: r.text for r in texts_back if r.doc_id is not None} == {r[0]: library.decode(library.encode(r[1] or "")) for r in rows if r[0] is not None}
     assert P.encode_digests(docs.limit(0), "doc_id", "text").collect() == []
+
+
+def test_plain_units_skip_the_character_scan(monkeypatch):
+    model = P.vocabulary(P.MODEL)
+    units = ["plain", "Straße", "x́y", "naïve,"]
+    before = [(len(ids := model.unit(u)), ",".join(map(str, ids)), "".join(map(P.Decoder(model, inside=True).feed, ids)))
+              for u in units if model._plain(u)]
+    monkeypatch.setattr(model, "_known", {})
+    monkeypatch.setattr(model, "_older", {})
+    monkeypatch.setattr(model, "_characters", None)      # not called
+    assert [model._spell(u) for u in units if model._plain(u)] == before and len(before) > 1
+    machine = P.Decoder(model)
+    machine.feed(model.ids["a"])
+    assert machine.utf8 is None      # no byte, no byte decoder
