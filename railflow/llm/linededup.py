@@ -39,7 +39,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from railflow.llm.common import SPACE_CHARS, WORD_GAP, fresh, stage, unstage
+from railflow.llm.common import SPACE_CHARS, WORD_GAP, fresh, let, stage, unstage
 
 NOISE_WORDS = 8       # shorter matches are never looked at
 WINDOW_WORDS = 42     # every repeated run of 8 + 42 = 50 words is found
@@ -87,7 +87,7 @@ def line_grams(lines: DataFrame, noise: int) -> DataFrame:
     def fewest(cut: Callable[[Column], Column], first: Callable[[Column], Column]) -> Column:
         """The gram of the fewest lines, ``cut(k)`` for k lines, with enough words."""
         enough = F.filter(F.transform(F.sequence(F.lit(1), F.lit(noise)), cut), lambda x: words(x) >= noise)
-        return _let(F.get(enough, F.lit(0)), lambda x: F.when(x.isNotNull(), gram(
+        return let(F.get(enough, F.lit(0)), lambda x: F.when(x.isNotNull(), gram(
             F.transform(x, lambda y: y["h"]), first(words(x)), first(words(x)) + words(x) - 1)))
 
     c, nw = F.col("c"), F.col("nw")
@@ -98,11 +98,6 @@ def line_grams(lines: DataFrame, noise: int) -> DataFrame:
     return rows.where("g IS NOT NULL").select("g.g1", "g.g2", "nul", *KEY, "g.lo", "g.hi")
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)``, with the value computed once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def islands(ranges: DataFrame) -> DataFrame:
     """(key, runs): the ranges (key, lo, hi) of every document, in order and joined
     where they meet or overlap."""
@@ -122,7 +117,7 @@ def selected_places(docs: DataFrame, id_col: str, text_col: str, noise: int, run
     the hash of the ``noise`` words from it on, ``context`` that of all words of these
     windows: equal contexts hold equal windows."""
     # (a filter here would split every text twice)
-    words = _let(F.split(_trimmed(F.col(text_col)), WORD_GAP), lambda w: F.when(F.size(w) >= run, w))
+    words = let(F.split(_trimmed(F.col(text_col)), WORD_GAP), lambda w: F.when(F.size(w) >= run, w))
     words = F.transform(words, lambda w: F.xxhash64(w))
     rows = docs.select(*_key(F.col(id_col), F.col(text_col)), F.col(id_col).isNull().alias("nul"), words.alias("w"))
     width, place = run - noise + 1, (1 << PLACE_BITS) - 1
@@ -144,7 +139,7 @@ def selected_places(docs: DataFrame, id_col: str, text_col: str, noise: int, run
         found = F.array_distinct(F.transform(F.sequence(gap["lo"], gap["hi"]), lambda s: F.array_min(F.slice("m", s + 1, width))))
         starts = lambda found: F.transform(found, lambda v, i: F.when(i == 0, gap["lo"]).when(
             v < F.get(found, i - 1), where(v) - (width - 1)).otherwise(where(F.get(found, i - 1)) + 1))
-        return _let(found, lambda found: _let(starts(found), lambda lo: F.transform(found, lambda v, i: struct(
+        return let(found, lambda found: let(starts(found), lambda lo: F.transform(found, lambda v, i: struct(
             where(v), F.get(lo, i), F.coalesce(F.get(lo, i + 1) - 1, gap["hi"])))))
     rows = rows.withColumn("spots", F.concat(F.filter(near, lambda x: x["lo"] <= x["hi"]), F.flatten(F.transform(gaps, minima))))
     rows = rows.withColumn("one", F.explode_outer(F.transform("spots", lambda x: F.struct(
@@ -160,7 +155,7 @@ def window_grams(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str,
     rows = docs.select(*_key(F.col(id_col), F.col(text_col)), F.col(id_col).isNull().alias("nul"), F.col(text_col).alias("t"))
     rows = rows.join(spans, KEY).withColumn("w", F.split(_trimmed(F.col("t")), WORD_GAP))
     starts = F.flatten(F.transform("runs", lambda r: F.sequence(r["lo"], r["hi"])))
-    one = lambda s: _let(F.slice("w", (s + 1).cast("int"), run), lambda x: F.struct(
+    one = lambda s: let(F.slice("w", (s + 1).cast("int"), run), lambda x: F.struct(
         F.xxhash64(x).alias("g1"), F.xxhash64(x, F.lit(2)).alias("g2"), s.alias("lo")))
     rows = rows.select(*KEY, "nul", F.explode_outer(F.transform(starts, one)).alias("g"))
     return rows.select("g.g1", "g.g2", "nul", *KEY, "g.lo", (F.col("g.lo") + run - 1).alias("hi"))

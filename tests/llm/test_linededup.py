@@ -1,8 +1,10 @@
 """Line dedup: what is deleted repeats earlier, what repeats is deleted."""
 
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from railflow.llm import common
 from railflow.llm import linededup as L
 
 SF = "/root/testdata/sf0.01"
@@ -227,3 +229,16 @@ def test_very_long_texts(spark):
     got = texts(L.dedup_passages(spark.createDataFrame(rows, "doc_id long, text string")))
     assert got[1] == rows[0][1] and got[2].split() == [f"x{i}" for i in range(0, 100_000, 1000)]
     assert got[3].split() == ["same"] * 50
+
+
+def test_working_tables_leave_no_shuffle_files(spark):
+    def shuffled():
+        folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f.name for d in folders for f in Path(d).rglob("shuffle_*")}
+    before, setting = shuffled(), spark.conf.get(common.SHUFFLE_CLEANUP, "false")
+    table = common.stage(spark, spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "test")
+    left = shuffled() - before
+    assert table.count() == 7
+    common.unstage(table)
+    assert spark.conf.get(common.SHUFFLE_CLEANUP) == setting
+    assert not left
