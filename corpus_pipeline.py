@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from railflow.llm import bpe, common, linededup, mixing, neardup, quality
 
 K, PERCENT = 5, 80
+BATCH_ROWS = 1000     # rows of texts that are held at once on their way to a Python worker, by JVM and worker
 BUDGET, MAX_EPOCHS = (9, 10), 2
 
 _done: list[DataFrame] = []    # working tables of finished stages
@@ -30,7 +31,16 @@ def _tidy(before: list[DataFrame]) -> None:
     _done[:] = [t for t in common.staged_tables() if not any(t is b for b in before)]
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH_ROWS`` rows: their buffers lie outside the heap,
+    one or two for each task, and grow with the texts in a batch."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     before = common.staged_tables()
     out = quality.keep_good(docs, common.table(spark, sf_dir, "labels"))
     _tidy(before)
@@ -48,6 +58,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     before = common.staged_tables()
     out = neardup.keep_one(docs, K, PERCENT)
     _tidy(before)
@@ -62,6 +73,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     before = common.staged_tables()
     out = bpe.encode(docs, "text")
     _tidy(before)

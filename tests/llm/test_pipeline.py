@@ -57,3 +57,16 @@ def test_empty_documents(spark, tmp_path):
     spark.read.parquet(f"{SF}/documents.parquet").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     spark.read.parquet(f"{SF}/labels.parquet").write.parquet(str(tmp_path / "labels.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_texts_reach_python_in_small_batches(spark):
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(rows)
+    try:
+        for given, kept in (("10000", corpus_pipeline.BATCH_ROWS), ("0", corpus_pipeline.BATCH_ROWS), ("100", 100)):
+            spark.conf.set(rows, given)
+            docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+            assert corpus_pipeline.bpe_tokens(spark, docs, SF).count() == 1
+            assert int(spark.conf.get(rows)) == kept
+    finally:
+        spark.conf.set(rows, before)
