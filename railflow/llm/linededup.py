@@ -153,7 +153,8 @@ def window_grams(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str,
     """(g1, g2, nul, key, lo, hi): every window of ``run`` words that starts in one of
     the ``spans`` (key, runs) of its document."""
     rows = docs.select(*_key(F.col(id_col), F.col(text_col)), F.col(id_col).isNull().alias("nul"), F.col(text_col).alias("t"))
-    rows = rows.join(spans, KEY).withColumn("w", F.split(_trimmed(F.col("t")), WORD_GAP))
+    # words are hashed once, not in each of the windows that hold them
+    rows = rows.join(spans, KEY).withColumn("w", F.transform(F.split(_trimmed(F.col("t")), WORD_GAP), lambda w: F.xxhash64(w)))
     starts = F.flatten(F.transform("runs", lambda r: F.sequence(r["lo"], r["hi"])))
     one = lambda s: let(F.slice("w", (s + 1).cast("int"), run), lambda x: F.struct(
         F.xxhash64(x).alias("g1"), F.xxhash64(x, F.lit(2)).alias("g2"), s.alias("lo")))

@@ -242,3 +242,20 @@ def test_working_tables_leave_no_shuffle_files(spark):
     common.unstage(table)
     assert spark.conf.get(common.SHUFFLE_CLEANUP) == setting
     assert not left
+
+
+def test_window_grams_are_equal_where_the_words_are(spark):
+    """Of hashed words, whatever stands between them; only the words of the window count."""
+    rows = {1: "a b c d e f", 2: " x b\tc\n d  e y", 3: "b c d d e f", 4: None, 5: "a b"}
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    key = docs.select("doc_id", *L._key(F.col("doc_id"), F.col("text")))
+    spans = key.where("doc_id <= 3").select(*L.KEY, F.expr("array(named_struct('lo', 0L, 'hi', 0L), named_struct('lo', 1L, 'hi', 3L))").alias("runs"))
+    grams = L.window_grams(docs, spans, "doc_id", "text", 3)
+    assert "transform(split(" in grams._jdf.queryExecution().optimizedPlan().toString()     # hashed before the windows are cut
+    found = {}
+    for r in grams.collect():
+        window = tuple(rows[r.id0].split()[r.lo:r.lo + 3])
+        assert r.hi == r.lo + 2
+        found.setdefault((r.g1, r.g2), set()).add(window)
+    windows = {tuple(t.split()[i:i + 3]) for t in (rows[1], rows[2], rows[3]) for i in range(4)}
+    assert len(found) == len(windows) and all(len(w) == 1 for w in found.values())
