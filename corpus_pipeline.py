@@ -19,6 +19,7 @@ from railflow.llm import bpe, common, linededup, mixing, neardup, quality
 
 K, PERCENT = 5, 80
 BATCH_ROWS = 1000     # rows of texts that are held at once on their way to a Python worker, by JVM and worker
+REMEMBERED = 40_000   # spellings in half a table of a worker in the last stage, where the heap of earlier ones is still held
 BUDGET, MAX_EPOCHS = (9, 10), 2
 
 _done: list[DataFrame] = []    # working tables of finished stages
@@ -75,7 +76,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _small_batches(spark)
     before = common.staged_tables()
-    out = bpe.encode(docs, "text")
+    out = bpe.encode(docs, "text", remembered=REMEMBERED)
     _tidy(before)
     return out
 

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from railflow.llm.common import ship
 
 TOKENIZER = "word_bpe_49k.json"
-KEPT = 150_000         # spellings remembered by a worker before the older half is forgotten
+KEPT = 150_000         # spellings in a table of a worker before the older half is forgotten; two tables of two halves
 ROWS_OUT = 512         # rows in a batch of results
 STREAM_STEP = 4096     # symbols taken into the buffer at a time
 
@@ -214,6 +214,7 @@ class WordTokenizer:
         self.inner = [model["vocab"][alphabet[b]] for b in range(256)]
         self.last = [model["vocab"][alphabet[b] + self.suffix] for b in range(256)]
         self._words = regex.compile(WORD_PATTERN)
+        self.kept = KEPT
         self._special = re.compile("|".join(map(re.escape, self.special)))
         self._number = {v: str(v) for v in self.spelling}
         self._known_words: dict[str | int, tuple[str, str, int]] = {}      # lately used
@@ -281,6 +282,13 @@ class WordTokenizer:
                     out.extend(self.stream(word))
         return out
 
+    def remember(self, kept: int) -> None:
+        """Hold at most ``kept`` spellings in half a table; larger tables are forgotten."""
+        self.kept = kept
+        for table in (self._known_words, self._older_words, self._known, self._older):
+            if len(table) > kept:
+                table.clear()
+
     def spelled_word(self, word: str | int) -> tuple[str, str, int]:
         """(ids as text, library decoding, number of ids) of a word, remembered."""
         known = self._known_words.get(word)
@@ -290,7 +298,7 @@ class WordTokenizer:
                 ids = (word,) if isinstance(word, int) else [*self.stream(word)]
                 known = (" ".join([self._number[i] for i in ids]), SpellingDecoder(self.spelling).feed_all(ids), len(ids))
             if isinstance(word, int) or len(word) <= 48:
-                if len(self._known_words) >= KEPT:
+                if len(self._known_words) >= self.kept:
                     self._older_words, self._known_words = self._known_words, {}
                 self._known_words[word] = known
         return known
@@ -310,7 +318,7 @@ class WordTokenizer:
                 known = words[0] if len(words) == 1 else (
                     " ".join([w[0] for w in words]), " ".join([w[1] for w in words]), sum([w[2] for w in words]))
         if len(piece) <= 48:
-            if len(self._known) >= KEPT:
+            if len(self._known) >= self.kept:
                 self._older = dict(self._known)
                 self._known.clear()
             self._known[piece] = known
@@ -389,15 +397,17 @@ def _encoded(model: WordTokenizer, text: str | None, ids: array | None) -> tuple
     return n, numbers_hash.hexdigest(), text_hash.hexdigest()
 
 
-def encode(df: DataFrame, text_col: str, keep_ids: bool = True, name: str = TOKENIZER) -> DataFrame:
+def encode(df: DataFrame, text_col: str, keep_ids: bool = True, name: str = TOKENIZER, remembered: int = KEPT) -> DataFrame:
     """All columns but the text, plus ``n_tokens``, ``ids`` (on request),
     ``ids_sha256`` and ``decoded_sha256``; earlier columns of those names are
-    replaced.  Rows leave in small batches, so that ids never pile up."""
+    replaced.  Rows leave in small batches, so that ids never pile up.  ``remembered``
+    bounds the spellings that a worker holds: fewer take less memory and more time."""
     ship(df.sparkSession)
     kept = [c for c in df.columns if c not in (text_col, "n_tokens", "ids", "ids_sha256", "decoded_sha256")]
 
     def run(batches):
         model = tokenizer(name)
+        model.remember(remembered)
         for whole in batches:
             for start in range(0, whole.num_rows, ROWS_OUT):
                 batch = whole.slice(start, ROWS_OUT)

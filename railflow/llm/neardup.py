@@ -49,7 +49,7 @@ REGISTERS = BANDS * LANES
 MANTISSA_BITS = 10
 SKETCH = [f"b{j}" for j in range(BANDS)]
 CHUNK = 1 << 15            # shingles permuted at a time
-KEPT_WORDS = 500_000       # word hashes remembered by a worker
+KEPT_WORDS = 100_000       # word hashes remembered by a worker, also after the stage while it is kept
 BLOCK = 4096               # members of a bucket compared at a time
 DEVIATIONS = 5             # of the estimate below the threshold
 

@@ -121,3 +121,18 @@ def test_words_are_remembered_over_two_generations(monkeypatch):
         assert text == "".join(map(one.feed, ids)) and n == len(ids)
         both = bpe.SpellingDecoder(model.spelling)
         assert both.feed_all(ids) + both.feed_all([]) + both.feed_all(ids) == text + " " + text
+
+
+def test_remembered_spellings_are_bounded():
+    """Few remembered spellings, set before or after the tables have grown: the same results."""
+    import public_tokenizers
+    model = bpe.WordTokenizer(public_tokenizers.path(bpe.TOKENIZER))
+    texts = [" ".join(f"word{i}x{j}, Plain{'abcdefghij'[j]}" for j in range(10)) + "!" for i in range(60)]
+    want = [bpe._encoded(model, t, None) for t in texts]
+    tables = lambda: [len(t) for t in (model._known, model._older, model._known_words, model._older_words)]
+    assert max(tables()) > 25
+    model.remember(25)
+    assert max(tables()) <= 25
+    for _ in range(2):
+        assert [bpe._encoded(model, t, None) for t in texts] == want
+        assert max(tables()) <= 25

@@ -70,3 +70,15 @@ def test_texts_reach_python_in_small_batches(spark):
             assert int(spark.conf.get(rows)) == kept
     finally:
         spark.conf.set(rows, before)
+
+
+def test_last_stage_remembers_less(spark, monkeypatch):
+    """Its workers stand beside the heap and the workers of earlier stages."""
+    from railflow.llm import bpe, neardup
+    given, encode = [], bpe.encode
+    monkeypatch.setattr(bpe, "encode", lambda *a, **k: given.append(k) or encode(*a, **k))
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    rows = {r.doc_id: r.n_tokens for r in corpus_pipeline.bpe_tokens(spark, docs, SF).collect()}
+    assert rows == {1: 2, 2: 0}
+    assert given == [{"remembered": corpus_pipeline.REMEMBERED}] and corpus_pipeline.REMEMBERED <= 50_000
+    assert neardup.KEPT_WORDS <= 100_000
